@@ -6,62 +6,58 @@ registered queries, the tests and the benchmark, not users.
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.functions.calendar import (
-    DAY,
-    date_of,
-    epoch_of,
-    interval_seconds,
-    month_start,
-)
+from candlewick.functions.calendar import date_of, epoch_of, interval_seconds, month_start
 from candlewick.operators.check import check, with_verdict
-from candlewick.schema import KLINE_COLUMNS, SPOT, UNCHECKED
+from candlewick.schema import ERROR, KEY, KLINE_COLUMNS, OK, SPOT, UNCHECKED
 
-# (exchange, interval) of the candles made from each table.
-EVENTS_1H = ("binance", "1h")
-ORDERS_1D = ("bybit", "1d")
-ORDERS_1MO = ("okx", "1mo")
+# Expressions on candles.
+HOUR = "floor(open_time / 3600)"
+DAY = "floor(open_time / 86400)"
 
 
-def seconds(ts: Column) -> Column:
-    return F.unix_seconds(ts.cast("timestamp"))
+def replaced(df: DataFrame, **expressions: str) -> DataFrame:
+    """``df`` with some columns replaced."""
+    return df.selectExpr(*[f"{expressions[c]} as {c}" if c in expressions else c for c in df.columns])
 
 
-def money(value: Column) -> Column:
-    return value.cast("decimal(18,2)")
+def seconds(ts: str) -> str:
+    return f"unix_seconds(cast({ts} as timestamp))"
 
 
 def _candles(ticks: DataFrame, exchange: str, interval: str) -> DataFrame:
     """Candles of ticks (symbol, t, price, tie): first, last, least, greatest and summed price."""
-    delta = interval_seconds(F.lit(interval))
     if interval.endswith("mo"):
-        opened = epoch_of(month_start(date_of(F.col("t"))))
+        opened = epoch_of(month_start(date_of("t")))
     else:
-        opened = F.floor(F.col("t") / delta).cast("long") * delta
-    order = F.struct("t", "tie")
+        delta = interval_seconds(f"'{interval}'")
+        opened = f"cast(floor(t / {delta}) as bigint) * {delta}"
+    figures = {
+        "open_price": "min_by(price, struct(t, tie))",
+        "close_price": "max_by(price, struct(t, tie))",
+        "low": "min(price)",
+        "high": "max(price)",
+        "volume": "sum(price)",
+    }
     return (
-        ticks.withColumn("open_time", opened)
+        ticks.selectExpr("*", f"{opened} as open_time")
         .groupBy("symbol", "open_time")
-        .agg(
-            F.min_by("price", order).alias("open_price"),
-            F.max_by("price", order).alias("close_price"),
-            F.min("price").alias("low"),
-            F.max("price").alias("high"),
-            F.sum("price").alias("volume"),
-        )
-        .withColumns(
-            {
-                "exchange": F.lit(exchange),
-                "trading_type": F.lit(SPOT),
-                "interval": F.lit(interval),
-                "close_time": F.col("open_time") + interval_seconds(F.lit(interval), F.col("open_time")),
-                "status": F.lit(UNCHECKED),
-                **{c: F.col(c).cast("string") for c in ("open_price", "close_price", "low", "high", "volume")},
-            }
+        .agg(*[F.expr(f"cast({e} as string) as {name}") for name, e in figures.items()])
+        .selectExpr(
+            "*",
+            f"'{exchange}' as exchange",
+            f"'{SPOT}' as trading_type",
+            f"'{interval}' as interval",
+            f"open_time + {interval_seconds(repr(interval), 'open_time')} as close_time",
+            f"'{UNCHECKED}' as status",
         )
         .select(*KLINE_COLUMNS)
     )
@@ -70,33 +66,31 @@ def _candles(ticks: DataFrame, exchange: str, interval: str) -> DataFrame:
 def event_candles(
     spark: SparkSession, sf_dir: str, interval: str = "1h", exchange: str = "binance", by: str = "event_type"
 ) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    ticks = events.select(
-        F.concat(F.upper(F.col(by).cast("string")), F.lit("/USD")).alias("symbol"),
-        seconds(F.col("ts")).alias("t"),
-        money(F.col("value")).alias("price"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("tie"),
+    ticks = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        f"upper({by}) || '/USD' as symbol",
+        f"{seconds('ts')} as t",
+        "cast(value as decimal(18,2)) as price",
+        "unix_micros(cast(ts as timestamp)) as tie",
     )
     return _candles(ticks, exchange, interval)
 
 
 def order_candles(spark: SparkSession, sf_dir: str, interval: str, exchange: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    ticks = orders.select(
-        F.concat(F.regexp_replace("o_orderpriority", "[^A-Z]", ""), F.lit("/USD")).alias("symbol"),
-        seconds(F.col("o_orderdate")).alias("t"),
-        money(F.col("o_totalprice")).alias("price"),
-        F.col("o_orderkey").alias("tie"),
+    ticks = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "regexp_replace(o_orderpriority, '[^A-Z]', '') || '/USD' as symbol",
+        f"{seconds('o_orderdate')} as t",
+        "cast(o_totalprice as decimal(18,2)) as price",
+        "o_orderkey as tie",
     )
     return _candles(ticks, exchange, interval)
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unchecked candles of all three kinds: hours, days with gaps, calendar months."""
+    """Unchecked candles of three kinds: hours, days with gaps, calendar months."""
     parts = [
-        event_candles(spark, sf_dir, EVENTS_1H[1], EVENTS_1H[0]),
-        order_candles(spark, sf_dir, ORDERS_1D[1], ORDERS_1D[0]),
-        order_candles(spark, sf_dir, ORDERS_1MO[1], ORDERS_1MO[0]),
+        event_candles(spark, sf_dir, "1h", "binance"),
+        order_candles(spark, sf_dir, "1d", "bybit"),
+        order_candles(spark, sf_dir, "1mo", "okx"),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -105,4 +99,137 @@ def checked_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_verdict(check(history(spark, sf_dir)))
 
 
-__all__ = ["DAY", "checked_history", "event_candles", "history", "money", "order_candles", "seconds"]
+def dented(candles: DataFrame) -> DataFrame:
+    """Some hours close a minute early, some days close an hour late."""
+    return replaced(
+        candles,
+        close_time=f"case when interval = '1h' and {HOUR} % 41 = 7 then close_time - 60 "
+        f"when interval = '1d' and {DAY} % 53 = 7 then close_time + 3600 else close_time end",
+    )
+
+
+def part_checked(candles: DataFrame) -> DataFrame:
+    """A third of the candles stored as OK, a third as ERROR, a third unchecked."""
+    return replaced(
+        candles, status=f"case {HOUR} % 3 when 0 then '{OK}' when 1 then '{ERROR}' else '{UNCHECKED}' end"
+    )
+
+
+# Payloads: one per symbol and day of hourly candles, with an item too short to use.
+
+_ITEMS = {
+    "binance": ('[%d,"%s","%s","%s","%s","%s",%d,"0",1,"0","0","0"]', "ms o h l c v close"),
+    "binanceus": ('[%d,"%s","%s","%s","%s","%s",%d,"0",1,"0","0","0"]', "ms o h l c v close"),
+    "bybit": ('["%d","%s","%s","%s","%s","%s","0"]', "ms o h l c v"),
+    "okx": ('["%d","%s","%s","%s","%s","%s","0","0","%d"]', "ms o h l c v done"),
+    "kucoin": ('["%d","%s","%s","%s","%s","%s","0"]', "s o c h l v"),
+    "bingx": ("[%d,%s,%s,%s,%s,%s,%d,0]", "ms o h l c v close"),
+}
+_BODIES = {
+    "binance": "[%s]",
+    "binanceus": "[%s]",
+    "bybit": '{"retCode":0,"result":{"list":[%s]}}',
+    "okx": '{"code":"0","data":[%s]}',
+    "kucoin": '{"code":"200000","data":[%s]}',
+    "bingx": '{"code":0,"data":[%s]}',
+}
+_FIELDS = {
+    "ms": "open_time * 1000",
+    "s": "open_time",
+    "close": "close_time * 1000 - 1",
+    "done": f"if({HOUR} % 5 <> 0, 1, 0)",
+    "o": "open_price",
+    "h": "high",
+    "l": "low",
+    "c": "close_price",
+    "v": "volume",
+}
+
+
+def payloads(candles: DataFrame, exchange: str) -> DataFrame:
+    """Candles packed as the exchange sends them, a day per payload."""
+    pattern, names = _ITEMS[exchange]
+    item = f"format_string('{pattern}', {', '.join(_FIELDS[n] for n in names.split())})"
+    ordered = f"array_sort(collect_list(struct(open_time, {item} as item)))"
+    if not exchange.startswith("binance"):
+        ordered = f"reverse({ordered})"
+    items = f"concat_ws(',', '[\"1\"]', transform({ordered}, x -> x.item))"
+    return (
+        candles.groupBy("symbol", "interval", F.expr(f"{DAY} as day"))
+        .agg(F.expr(f"format_string('{_BODIES[exchange]}', {items}) as body"), F.expr("min(open_time) as request_start"))
+        .selectExpr(
+            f"concat_ws(':', '{exchange}', symbol, day) as payload_id",
+            f"'{exchange}' as exchange",
+            "symbol",
+            "interval",
+            "request_start",
+            "body",
+        )
+    )
+
+
+def live_elements(candles: DataFrame, closed: str, seq: int = 0) -> DataFrame:
+    """Candles as a live feed delivers them."""
+    return candles.selectExpr(
+        "open_time * 1000 as open_time",
+        "close_time * 1000 - 1 as close_time",
+        "open_price as open",
+        "close_price as close",
+        "low",
+        "high as hight",
+        "volume",
+        "exchange",
+        "symbol",
+        "interval",
+        f"cast({closed} as boolean) as is_closed",
+        f"{seq}L as seq",
+    )
+
+
+def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        contents = []
+        for file, text in zip(batch["file"], batch["text"]):
+            buffer = io.BytesIO()
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                # A fixed time stamp: run again, the task gives the same bytes.
+                archive.writestr(zipfile.ZipInfo(file.replace(".zip", ".csv")), text, zipfile.ZIP_DEFLATED)
+            contents.append(buffer.getvalue())
+        yield pd.DataFrame({"file": batch["file"], "content": contents})
+
+
+def archives(candles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Daily archives of hourly candles and their checksums.
+
+    Every third day counts in microseconds. Each fifth day has a wrong
+    checksum, each seventh none.
+    """
+    unit = f"if({DAY} % 3 = 0, 1000000L, 1000L)"
+    line = (
+        f"concat_ws(',', open_time * {unit}, open_price, high, low, close_price, volume, "
+        f"close_time * {unit} - 1, '0', '0', '0', '0', '0')"
+    )
+    file = f"concat(replace(symbol, '/'), '-', interval, '-', {date_of('open_time')}, '.zip')"
+    texts = candles.groupBy(F.expr(f"{file} as file")).agg(
+        F.expr(f"concat_ws('\n', transform(array_sort(collect_list(struct(open_time, {line} as line))), x -> x.line)) as text")
+    )
+    zips = texts.mapInPandas(_zip, "file string, content binary")
+    day = "unix_date(to_date(left(right(file, 14), 10)))"
+    sums = zips.where(f"{day} % 7 <> 0").selectExpr(
+        "file", f"if({day} % 5 = 0, repeat('0', 64), sha2(content, 256)) as expected"
+    )
+    return zips, sums
+
+
+def repair_batches(requests: DataFrame, clean: DataFrame) -> DataFrame:
+    """Answers to repair requests: the wanted candle and the two after it, if they exist.
+
+    The volume names the request, so that the last answer can be told.
+    """
+    wanted = requests.selectExpr("*", "explode(array(0, 1, 2)) as pos").selectExpr(
+        *[c for c in requests.columns if c != "error_time"],
+        "pos",
+        f"error_time + pos * {interval_seconds(anchor='error_time')} as open_time",
+    )
+    answers = clean.join(wanted, list(KEY)).select("request_start", "pos", *KLINE_COLUMNS)
+    return replaced(answers, volume="cast(request_start as string)")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from candlewick.dims import INTERVAL_SECONDS
 
 DAY = 86400
@@ -12,117 +9,106 @@ DAY = 86400
 _YEAR_10000 = 253402300800
 
 
-def date_of(epoch: Column) -> Column:
-    """UTC date of an epoch second (times before 1970 included)."""
-    return F.date_from_unix_date(F.floor(epoch / DAY).cast("int"))
+def date_of(epoch: str) -> str:
+    """UTC date of an epoch second."""
+    return f"date_from_unix_date(cast(floor(({epoch}) / {DAY}) as int))"
 
 
-def epoch_of(date: Column) -> Column:
+def epoch_of(date: str) -> str:
     """First second of a date."""
-    return F.unix_date(date).cast("long") * DAY
+    return f"(cast(unix_date({date}) as bigint) * {DAY})"
 
 
-def time_text(epoch: Column) -> Column:
+def time_text(epoch: str) -> str:
     """``YYYY-MM-DD HH:MM:SS`` of an epoch second."""
-    start = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
-    return (start + F.make_dt_interval(secs=epoch)).cast("string")
+    return f"cast(timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {epoch}) as string)"
 
 
-def year_of(epoch: Column) -> Column:
-    return F.year(date_of(epoch))
+def year_of(epoch: str) -> str:
+    return f"year({date_of(epoch)})"
 
 
-def month_of(epoch: Column) -> Column:
-    return F.month(date_of(epoch))
+def month_of(epoch: str) -> str:
+    return f"month({date_of(epoch)})"
 
 
-def day_of(epoch: Column) -> Column:
-    return F.dayofmonth(date_of(epoch))
+def day_of(epoch: str) -> str:
+    return f"dayofmonth({date_of(epoch)})"
 
 
-def month_start(date: Column) -> Column:
-    return F.trunc(date, "MM")
+def month_start(date: str) -> str:
+    return f"trunc({date}, 'MM')"
 
 
-def next_month_time(epoch: Column) -> Column:
+def next_month_time(epoch: str) -> str:
     """First second of the month after the one ``epoch`` falls in."""
-    return epoch_of(F.add_months(month_start(date_of(epoch)), 1))
+    return epoch_of(next_month(date_of(epoch)))
 
 
-def previous_month(date: Column) -> Column:
-    return F.add_months(month_start(date), -1)
+def previous_month(date: str) -> str:
+    return f"add_months({month_start(date)}, -1)"
 
 
-def next_month(date: Column) -> Column:
-    return F.add_months(month_start(date), 1)
+def next_month(date: str) -> str:
+    return f"add_months({month_start(date)}, 1)"
 
 
-def previous_day(date: Column) -> Column:
-    return F.date_add(date, -1)
+def previous_day(date: str) -> str:
+    return f"date_add({date}, -1)"
 
 
-def next_day_until(date: Column, today: Column) -> Column:
+def next_day_until(date: str, today: str) -> str:
     """The next day, but today stays today."""
-    return F.when(date == today, date).otherwise(F.date_add(date, 1))
+    return f"if({date} = {today}, {date}, date_add({date}, 1))"
 
 
-def next_month_until(date: Column, today: Column) -> Column:
+def next_month_until(date: str, today: str) -> str:
     """The next month, but the current month stays the current month."""
-    first = month_start(date)
-    return F.when(first == month_start(today), first).otherwise(F.add_months(first, 1))
+    return f"if({month_start(date)} = {month_start(today)}, {month_start(date)}, {next_month(date)})"
 
 
-def seconds_from_midnight(date: Column, as_of: Column) -> Column:
+def seconds_from_midnight(date: str, as_of: str) -> str:
     """Seconds from the start of ``date`` to ``as_of``, one day at most."""
-    return F.least(as_of - epoch_of(date), F.lit(DAY))
+    return f"least({as_of} - {epoch_of(date)}, {DAY})"
 
 
-def months_ago(date: Column, today: Column) -> Column:
+def months_ago(date: str, today: str) -> str:
     """Whole calendar months from the month of ``date`` to the month of ``today``."""
-    return (F.year(today) - F.year(date)) * 12 + F.month(today) - F.month(date)
+    return f"((year({today}) - year({date})) * 12 + month({today}) - month({date}))"
 
 
-def interval_seconds(interval: Column, anchor: Column | None = None, month_days: int = 28) -> Column:
+def interval_seconds(interval: str = "interval", anchor: str | None = None, month_days: int = 28) -> str:
     """Length of an interval in seconds.
 
     With ``anchor`` (an epoch second) ``Nmo`` is the length of the N calendar
     months from the anchor's month on; without, N times ``month_days`` days.
     A bare number counts seconds.
     """
-    number = F.regexp_replace(interval, "[^0-9]", "").cast("long")
-    unit = F.regexp_replace(interval, "[0-9]", "")
-    if anchor is None:
-        month = number * (month_days * DAY)
-        one_month = F.lit(month_days * DAY).cast("long")
-    else:
+    number = f"cast(regexp_replace({interval}, '[^0-9]', '') as bigint)"
+
+    def months(n: str) -> str:
+        if anchor is None:
+            return f"{n} * {month_days * DAY}L"
         first = month_start(date_of(anchor))
-        month = F.datediff(F.add_months(first, number.cast("int")), first).cast("long") * DAY
-        one_month = F.datediff(F.add_months(first, 1), first).cast("long") * DAY
+        return f"datediff(add_months({first}, cast({n} as int)), {first}) * {DAY}L"
 
+    known = " ".join(f"when '{code}' then {seconds}L" for code, seconds in INTERVAL_SECONDS.items())
+    units = {"m": 60, "h": 3600, "d": DAY, "w": 7 * DAY}
+    others = " ".join(f"when '{unit}' then {number} * {seconds}L" for unit, seconds in units.items())
     # The usual codes are settled by comparison; only other codes reach the regular expressions.
-    known = F
-    for code, seconds in INTERVAL_SECONDS.items():
-        known = known.when(interval == code, F.lit(seconds).cast("long"))
     return (
-        known.when(interval == "1mo", one_month)
-        .when(unit == "m", number * 60)
-        .when(unit == "h", number * 3600)
-        .when(unit == "d", number * DAY)
-        .when(unit == "w", number * (7 * DAY))
-        .when(unit == "mo", month)
-        .otherwise(number)
+        f"(case {interval} {known} when '1mo' then {months('1')} else "
+        f"case regexp_replace({interval}, '[0-9]', '') {others} when 'mo' then {months(number)} else {number} end end)"
     )
 
 
-def rounded_seconds(millis: Column) -> Column:
+def rounded_seconds(millis: str) -> str:
     """Milliseconds to seconds, halves to the even second."""
-    whole = F.floor(millis / 1000).cast("long")
-    rest = millis - whole * 1000
-    up = (rest > 500) | ((rest == 500) & (whole % 2 != 0))
-    return whole + up.cast("long")
+    whole, rest = f"cast(floor(({millis}) / 1000) as bigint)", f"pmod({millis}, 1000)"
+    return f"({whole} + if({rest} > 500 or ({rest} = 500 and {whole} % 2 != 0), 1L, 0L))"
 
 
-def archive_seconds(raw: Column) -> Column:
+def archive_seconds(raw: str) -> str:
     """Archive times to seconds: milliseconds, or microseconds in newer files."""
     value = rounded_seconds(raw)
-    return F.when(value >= _YEAR_10000, F.floor(value / 1000).cast("long")).otherwise(value)
+    return f"if({value} >= {_YEAR_10000}, cast(floor({value} / 1000) as bigint), {value})"

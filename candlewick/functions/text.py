@@ -2,61 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from candlewick.dims import EXCHANGES
 
 
-def series_name(exchange: Column, trading_type: Column, symbol: Column, interval: Column) -> Column:
+def series_name(
+    exchange: str = "exchange", trading_type: str = "trading_type", symbol: str = "symbol", interval: str = "interval"
+) -> str:
     """Flat name of a series: ``exchange__trading__base_quote__interval``."""
-    return F.concat_ws(
-        "__",
-        exchange,
-        F.lower(F.translate(trading_type, "/-", "__")),
-        F.lower(F.translate(symbol, "/", "_")),
-        interval,
+    return (
+        f"concat_ws('__', {exchange}, lower(translate({trading_type}, '/-', '__')), "
+        f"lower(translate({symbol}, '/', '_')), {interval})"
     )
 
 
-def partition_name(series: Column, year: Column) -> Column:
-    return F.concat_ws("__", series, year.cast("string"))
+def partition_name(series: str, year: str = "year") -> str:
+    return f"concat_ws('__', {series}, {year})"
 
 
-def meta_key(
-    exchange: Column, symbol: Column, interval: Column, trading_type: Column, cache_type: Column
-) -> Column:
-    """Hashed metadata key, as other readers of the table compute it."""
-    text = F.format_string("_____%s_%s_%s_%s_%s_____", exchange, symbol, interval, trading_type, cache_type)
-    return F.sha2(text, 256)
+def meta_key(cache_type: str = "cache_type") -> str:
+    """Hashed metadata key of a row with the series columns, as other readers of the table compute it."""
+    return f"sha2(format_string('_____%s_%s_%s_%s_%s_____', exchange, symbol, interval, trading_type, {cache_type}), 256)"
 
 
-def native_symbol(exchange: Column, symbol: Column) -> Column:
+def native_symbol(exchange: str = "exchange", symbol: str = "symbol") -> str:
     """``BASE/QUOTE`` as the exchange writes it."""
-    dashed = [n for n, e in EXCHANGES.items() if e.native_separator == "-"]
-    return F.upper(
-        F.when(exchange.isin(dashed), F.translate(symbol, "/", "-")).otherwise(F.replace(symbol, F.lit("/")))
-    )
+    dashed = ", ".join(f"'{name}'" for name, e in EXCHANGES.items() if e.native_separator == "-")
+    return f"upper(replace({symbol}, '/', if({exchange} in ({dashed}), '-', '')))"
 
 
-def bare_symbol(symbol: Column) -> Column:
+def bare_symbol(symbol: str) -> str:
     """A symbol without case or separator, for comparing native and unified names."""
-    return F.lower(F.regexp_replace(symbol, "[/-]", ""))
+    return f"lower(translate({symbol}, '/-', ''))"
 
 
-def is_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+def is_json(text: str) -> str:
+    return f"(try_parse_json({text}) is not null)"
 
 
-def structure(body: Column) -> Column:
+def structure(body: str) -> str:
     """Shape of one JSON text; decimals of any size count as one type."""
-    return _plain(F.schema_of_variant(F.try_parse_json(body)))
+    return _plain(f"schema_of_variant(try_parse_json({body}))")
 
 
-def structure_of_all(body: Column) -> Column:
+def structure_of_all(body: str) -> str:
     """Merged shape of many JSON texts (aggregate)."""
-    return _plain(F.schema_of_variant_agg(F.try_parse_json(body)))
+    return _plain(f"schema_of_variant_agg(try_parse_json({body}))")
 
 
-def _plain(schema: Column) -> Column:
-    return F.regexp_replace(schema, r"DECIMAL\(\d+,\d+\)", "DOUBLE")
+def _plain(schema: str) -> str:
+    return f"regexp_replace({schema}, 'DECIMAL[(][0-9]+,[0-9]+[)]', 'DOUBLE')"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.calendar import interval_seconds, time_text, year_of
@@ -13,65 +13,59 @@ from candlewick.schema import ERROR, KEY, OK, SERIES
 LOOK_BACK = 5
 
 
-def check(candles: DataFrame, start_from: int | Column = 0, span: int = SPAN) -> DataFrame:
+def check(candles: DataFrame, start_from: int | str = 0, span: int = SPAN) -> DataFrame:
     """The verdict on every candle.
 
     ``checked`` is OK if the candle lasts one interval (a month its own
     calendar length) and closes when the next one opens, else ERROR. The last
     candle of a series keeps its stored status. ``start_from`` (a number, or
-    an expression on the series) limits the check to candles from five
+    expression text on the series) limits the check to candles from five
     intervals before it; a series that ends at or before it is not checked.
     """
-    limited = not (isinstance(start_from, int) and start_from <= 0)
+    limited = isinstance(start_from, str) or start_from > 0
+    columns = [c for c in candles.columns if c != "chunk"]
     if limited:
-        start = F.lit(start_from) if isinstance(start_from, int) else start_from
-        step = interval_seconds(F.col("interval"), month_days=31)
-        earliest = F.greatest(start - LOOK_BACK * step, F.lit(0))
-        candles = candles.where(F.col("open_time") >= earliest)
+        earliest = f"greatest({start_from} - {LOOK_BACK} * {interval_seconds(month_days=31)}, 0)"
+        candles = candles.where(f"open_time >= {earliest}")
         if "year" in candles.columns:
             # Uses partition columns only, so whole years are skipped.
-            candles = candles.where(F.col("year") >= year_of(earliest))
+            candles = candles.where(f"year >= {year_of(earliest)}")
     linked = with_next_open(candles, span)
     if limited:
-        linked = linked.where(start < F.col("series_last"))
-    delta = interval_seconds(F.col("interval"), F.col("open_time"))
-    good = (F.col("close_time") == F.col("next_open")) & (
-        F.col("close_time") - F.col("open_time") == delta
+        linked = linked.where(f"{start_from} < series_last")
+    good = f"close_time = next_open and close_time - open_time = {interval_seconds(anchor='open_time')}"
+    return linked.selectExpr(
+        "chunk",
+        *columns,
+        "next_open",
+        f"case when next_open is null then status when {good} then '{OK}' else '{ERROR}' end as checked",
     )
-    return linked.withColumn(
-        "checked",
-        F.when(F.col("next_open").isNull(), F.col("status"))
-        .when(good, F.lit(OK))
-        .otherwise(F.lit(ERROR)),
-    ).drop("series_last")
 
 
 def errors(checked: DataFrame) -> DataFrame:
     """One record per candle found in error."""
-    return checked.where(F.col("checked") == ERROR).select(
+    return checked.where(F.col("checked") == ERROR).selectExpr(
         *KEY,
-        time_text(F.col("open_time")).alias("open_date"),
+        f"{time_text('open_time')} as open_date",
         "close_time",
-        time_text(F.col("close_time")).alias("close_date"),
-        F.col("checked").alias("status"),
-        (F.col("close_time") - F.col("open_time")).alias("diff_open_close"),
-        (F.col("next_open") - F.col("open_time")).alias("diff_data"),
+        f"{time_text('close_time')} as close_date",
+        "checked as status",
+        "close_time - open_time as diff_open_close",
+        "next_open - open_time as diff_data",
     )
 
 
 def summary(checked: DataFrame) -> DataFrame:
     """Per series: number of errors and the last candle looked at."""
     return checked.groupBy(*SERIES).agg(
-        F.count_if(F.col("checked") == ERROR).alias("result_counter"),
-        F.max("open_time").alias("last_open_time_check"),
+        F.expr(f"count_if(checked = '{ERROR}') as result_counter"),
+        F.expr("max(open_time) as last_open_time_check"),
     )
 
 
 def status_changes(checked: DataFrame) -> DataFrame:
     """Keys whose stored status differs from the verdict, with the new status."""
-    return checked.where(~F.col("checked").eqNullSafe(F.col("status"))).select(
-        *KEY, F.col("status").alias("old_status"), F.col("checked").alias("status")
-    )
+    return checked.where("not (checked <=> status)").selectExpr(*KEY, "status as old_status", "checked as status")
 
 
 def with_verdict(checked: DataFrame, keep_chunk: bool = False) -> DataFrame:
@@ -80,5 +74,5 @@ def with_verdict(checked: DataFrame, keep_chunk: bool = False) -> DataFrame:
     ``keep_chunk`` leaves the chunk column in, so that ``consistent_streams``
     with the same span works on the same partitioning without a new shuffle.
     """
-    verdict = checked.withColumn("status", F.col("checked")).drop("checked", "next_open")
-    return verdict if keep_chunk else verdict.drop("chunk")
+    helpers = {"status", "checked", "next_open"} | (set() if keep_chunk else {"chunk"})
+    return checked.selectExpr(*[c for c in checked.columns if c not in helpers], "checked as status")

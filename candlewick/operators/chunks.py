@@ -10,7 +10,7 @@ per chunk, aggregated map-side and joined back on the same partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.schema import SERIES
@@ -19,25 +19,19 @@ from candlewick.schema import SERIES
 SPAN = 1 << 23
 
 CHUNK = (*SERIES, "chunk")
+_SERIES, _CHUNK = ", ".join(SERIES), ", ".join(CHUNK)
 
+# Windows: the rows of a chunk in time order, and the chunk summaries of a series.
+IN_CHUNK = f"partition by {_CHUNK} order by open_time"
+ACROSS_CHUNKS = f"partition by {_SERIES} order by chunk"
+RUNNING = "rows between unbounded preceding and current row"
+BEFORE = "rows between unbounded preceding and 1 preceding"
 
-def chunk_of(epoch: Column, span: int = SPAN) -> Column:
-    return F.floor(epoch / span).cast("long")
 
-
-def with_chunk(candles: DataFrame, span: int = SPAN) -> DataFrame:
-    if "chunk" in candles.columns:
-        return candles
-    return candles.withColumn("chunk", chunk_of(F.col("open_time"), span))
-
-
-def in_chunk() -> WindowSpec:
-    return Window.partitionBy(*CHUNK).orderBy("open_time")
-
-
-def across_chunks() -> WindowSpec:
-    """Order of the chunk summaries of a series."""
-    return Window.partitionBy(*SERIES).orderBy("chunk")
+def with_chunk(rows: DataFrame, span: int = SPAN) -> DataFrame:
+    if "chunk" in rows.columns:
+        return rows
+    return rows.selectExpr("*", f"cast(floor(open_time / {span}) as bigint) as chunk")
 
 
 def with_next_open(candles: DataFrame, span: int = SPAN) -> DataFrame:
@@ -46,45 +40,43 @@ def with_next_open(candles: DataFrame, span: int = SPAN) -> DataFrame:
     edges = (
         with_chunk(candles.select(*SERIES, "open_time"), span)
         .groupBy(*CHUNK)
-        .agg(F.min("open_time").alias("head"), F.max("open_time").alias("tail"))
-        .select(
+        .agg(F.expr("min(open_time) as head"), F.expr("max(open_time) as tail"))
+        .selectExpr(
             *CHUNK,
-            F.lead("head").over(across_chunks()).alias("next_head"),
-            F.max("tail").over(Window.partitionBy(*SERIES)).alias("series_last"),
+            f"lead(head) over ({ACROSS_CHUNKS}) as next_head",
+            f"max(tail) over (partition by {_SERIES}) as series_last",
         )
     )
-    local = with_chunk(candles, span).withColumn("next_open", F.lead("open_time").over(in_chunk()))
     return (
-        local.join(edges, [*CHUNK])
-        .withColumn("next_open", F.coalesce("next_open", "next_head"))
-        .drop("next_head")
+        with_chunk(candles, span)
+        .selectExpr("*", f"lead(open_time) over ({IN_CHUNK}) as next_here")
+        .join(edges, [*CHUNK])
+        .selectExpr(
+            *CHUNK,
+            *[c for c in candles.columns if c not in CHUNK],
+            "coalesce(next_here, next_head) as next_open",
+            "series_last",
+        )
     )
 
 
-def nearest(rows: DataFrame, value: Column, name: str, tie: str, later: bool = False, span: int = SPAN) -> DataFrame:
+def nearest(rows: DataFrame, value: str, name: str, tie: str, later: bool = False, span: int = SPAN) -> DataFrame:
     """Add ``name``: the last non-null ``value`` at or before the row in its series,
     in the order of ``open_time`` and ``tie``; with ``later`` the first at or after it.
     """
-    turn = F.desc if later else F.asc
-    chunked = with_chunk(rows, span).withColumn("_value", value)
-    running = (
-        Window.partitionBy(*CHUNK)
-        .orderBy(turn("open_time"), turn(tie))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    beyond = (
-        Window.partitionBy(*SERIES).orderBy(turn("chunk")).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    edge = F.min_by if later else F.max_by
-    place = F.when(F.col("_value").isNotNull(), F.struct("open_time", tie))
+    turn, edge = ("desc", "min_by") if later else ("asc", "max_by")
+    chunked = with_chunk(rows, span).selectExpr("*", f"{value} as _value")
     edges = (
         chunked.groupBy(*CHUNK)
-        .agg(edge("_value", place).alias("_edge"))
-        .select(*CHUNK, F.last("_edge", ignorenulls=True).over(beyond).alias("_edge"))
+        .agg(F.expr(f"{edge}(_value, if(_value is null, null, struct(open_time, {tie}))) as _edge"))
+        .selectExpr(
+            *CHUNK,
+            f"last(_edge, true) over (partition by {_SERIES} order by chunk {turn} {BEFORE}) as _edge",
+        )
     )
-    local = chunked.withColumn(name, F.last("_value", ignorenulls=True).over(running))
+    order = f"partition by {_CHUNK} order by open_time {turn}, {tie} {turn}"
     return (
-        local.join(edges, [*CHUNK])
-        .withColumn(name, F.coalesce(name, "_edge"))
-        .drop("_value", "_edge", "chunk")
+        chunked.selectExpr("*", f"last(_value, true) over ({order} {RUNNING}) as _here")
+        .join(edges, [*CHUNK])
+        .selectExpr(*rows.columns, f"coalesce(_here, _edge) as {name}")
     )

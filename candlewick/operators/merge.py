@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.schema import KEY, KLINE_COLUMNS, META_KEY, UNCHECKED, VALUES
@@ -15,9 +15,9 @@ def last_wins(rows: DataFrame, order: Sequence[str], key: Sequence[str] = KEY) -
 
     A plain aggregate, so copies of a hot key are reduced before the shuffle.
     """
-    rest = [c for c in rows.columns if c not in key and c not in order]
-    latest = F.max_by(F.struct(*rest), F.struct(*order)).alias("latest")
-    return rows.groupBy(*key).agg(latest).select(*key, "latest.*")
+    rest = ", ".join(c for c in rows.columns if c not in key and c not in order)
+    latest = f"max_by(struct({rest}), struct({', '.join(order)})) as latest"
+    return rows.groupBy(*key).agg(F.expr(latest)).select(*key, "latest.*")
 
 
 def merge_rows(
@@ -25,26 +25,26 @@ def merge_rows(
     incoming: DataFrame,
     key: Sequence[str],
     replaced: Sequence[str],
-    defaults: dict[str, Column],
+    defaults: dict[str, str],
 ) -> DataFrame:
     """Stored rows after an upsert of ``incoming`` (unique by key).
 
     ``replaced`` columns come from the incoming row, missing values included;
-    ``defaults`` columns keep their stored value and take the default on insert.
+    ``defaults`` columns keep their stored value and take the default (an
+    expression) on insert.
     """
-    new = incoming.select(*key, F.struct(*replaced).alias("new"))
-    old = stored.select(*key, F.struct(*replaced, *defaults).alias("old"))
-    both = old.join(new, [*key], "full_outer")
-    return both.select(
+    new = incoming.selectExpr(*key, f"struct({', '.join(replaced)}) as new")
+    old = stored.selectExpr(*key, f"struct({', '.join([*replaced, *defaults])}) as old")
+    return old.join(new, [*key], "full_outer").selectExpr(
         *key,
-        *[F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in replaced],
-        *[F.when(F.col("old").isNotNull(), F.col(f"old.{c}")).otherwise(d).alias(c) for c, d in defaults.items()],
+        *[f"if(new is not null, new.{c}, old.{c}) as {c}" for c in replaced],
+        *[f"if(old is not null, old.{c}, {default}) as {c}" for c, default in defaults.items()],
     )
 
 
 def merge_klines(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """Upsert candles: new values replace old ones, a stored status is never touched."""
-    merged = merge_rows(stored, incoming, KEY, VALUES, {"status": F.lit(UNCHECKED)})
+    merged = merge_rows(stored, incoming, KEY, VALUES, {"status": f"'{UNCHECKED}'"})
     return merged.select(*KLINE_COLUMNS)
 
 
@@ -54,9 +54,6 @@ def merge_meta(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def merge_status(stored: DataFrame, changes: DataFrame) -> DataFrame:
     """Stored candles with the status of ``changes`` (unique by key); other keys stay."""
-    new = changes.select(*KEY, F.col("status").alias("new_status"))
-    return (
-        stored.join(new, [*KEY], "left")
-        .withColumn("status", F.coalesce("new_status", "status"))
-        .select(*KLINE_COLUMNS)
-    )
+    new = changes.selectExpr(*KEY, "status as new_status")
+    kept = [c for c in KLINE_COLUMNS if c != "status"]
+    return stored.join(new, [*KEY], "left").selectExpr(*kept, "coalesce(new_status, status) as status")

@@ -2,34 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.dims import EXCHANGES
-from candlewick.functions.calendar import (
-    date_of,
-    epoch_of,
-    interval_seconds,
-    month_start,
-    next_month,
-)
+from candlewick.functions.calendar import date_of, epoch_of, interval_seconds, month_start, next_month
 from candlewick.schema import ERROR, OK, SERIES, UNCHECKED
 
 
 def series_profile(candles: DataFrame) -> DataFrame:
     """All extent figures of every series in one pass."""
-    opened = F.col("open_time")
-    other = F.max(F.when(F.col("status") != OK, opened))
-    return candles.groupBy(*SERIES).agg(
-        F.min("open_time").alias("first_open"),
-        F.max("open_time").alias("last_open"),
-        F.max("close_time").alias("last_close"),
-        F.coalesce(F.min(F.when(F.col("status") == UNCHECKED, opened)), F.lit(0)).alias("min_unchecked"),
+    figures = {
+        "first_open": "min(open_time)",
+        "last_open": "max(open_time)",
+        "last_close": "max(close_time)",
+        "min_unchecked": f"coalesce(min(if(status = '{UNCHECKED}', open_time, null)), 0)",
         # The newest candle that is not OK, else the oldest candle.
-        F.coalesce(other, F.min("open_time")).alias("min_valid"),
-        F.count("*").alias("n_candles"),
-        F.count_if(F.col("status") == ERROR).alias("n_errors"),
-    )
+        "min_valid": f"coalesce(max(if(status <> '{OK}', open_time, null)), min(open_time))",
+        "n_candles": "count(*)",
+        "n_errors": f"count_if(status = '{ERROR}')",
+    }
+    return candles.groupBy(*SERIES).agg(*[F.expr(f"{e} as {name}") for name, e in figures.items()])
 
 
 def for_requests(requests: DataFrame, profile: DataFrame) -> DataFrame:
@@ -44,38 +37,39 @@ def first_listed(profile: DataFrame, as_of: int) -> DataFrame:
 
     A series without candles gets the exchange's earliest month, or the month of ``as_of``.
     """
-    first = F.when(F.col("first_open") > 0, month_start(date_of(F.col("first_open"))))
-    default = month_start(date_of(F.lit(as_of)))
-    own_month = []
-    for name, exchange in EXCHANGES.items():
-        if exchange.first_year_month:
-            own_month.append(name)
-            earliest = F.make_date(*(F.lit(n) for n in exchange.first_year_month))
-            default = F.when(F.col("exchange") == name, earliest).otherwise(default)
-    month = F.when(F.col("exchange").isin(own_month), first).otherwise(next_month(first))
-    listed = profile.withColumn("first_month", F.coalesce(month, default))
+    own = {name: e.first_year_month for name, e in EXCHANGES.items() if e.first_year_month}
+    names = ", ".join(f"'{name}'" for name in own)
+    earliest = " ".join(f"when '{name}' then make_date({y}, {m}, 1)" for name, (y, m) in own.items())
+    first = date_of("first_open")
+    month = (
+        f"case when first_open > 0 then if(exchange in ({names}), {month_start(first)}, {next_month(first)}) "
+        f"else case exchange {earliest} else {month_start(date_of(str(as_of)))} end end"
+    )
     return (
-        listed.withColumn("first_year", F.year("first_month"))
-        .withColumn("first_month_time", epoch_of(F.col("first_month")))
-        .withColumn("first_month", F.month("first_month"))
+        profile.selectExpr("*", f"{month} as _first")
+        .selectExpr(
+            "*",
+            "year(_first) as first_year",
+            "month(_first) as first_month",
+            f"{epoch_of('_first')} as first_month_time",
+        )
+        .drop("_first")
     )
 
 
 def with_high_water(listed: DataFrame) -> DataFrame:
     """Add ``high_water``: the last close, or the first-listed month without candles."""
-    close = F.col("last_close")
-    return listed.withColumn("high_water", F.when(close > 0, close).otherwise(F.col("first_month_time")))
+    return listed.selectExpr("*", "if(last_close > 0, last_close, first_month_time) as high_water")
 
 
 def with_staleness(profile: DataFrame, as_of: int, mark: str = "last_close") -> DataFrame:
     """Add ``stale``: more than two intervals and a second behind ``as_of``."""
-    delta: Column = interval_seconds(F.col("interval"))
-    return profile.withColumn("stale", F.col(mark) < F.lit(as_of) - (2 * delta + 1))
+    return profile.selectExpr("*", f"{mark} < {as_of} - (2 * {interval_seconds()} + 1) as stale")
 
 
 def series_exists(requests: DataFrame, candles: DataFrame) -> DataFrame:
     """Requested series with whether any candle of them is stored."""
-    present = candles.select(*SERIES).distinct().withColumn("present", F.lit(True))
-    return requests.join(present, [*SERIES], "left").select(
-        *requests.columns, F.coalesce("present", F.lit(False)).alias("present")
+    present = candles.select(*SERIES).distinct().selectExpr("*", "true as stored")
+    return requests.join(present, [*SERIES], "left").selectExpr(
+        *requests.columns, "coalesce(stored, false) as present"
     )

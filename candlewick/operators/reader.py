@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from candlewick.functions.calendar import year_of
 from candlewick.schema import OK, PRICES, SERIES, UNCHECKED
@@ -17,15 +16,15 @@ def in_range(candles: DataFrame, start_from: int = 0, until_to: int | None = Non
     """
     if not isinstance(start_from, int) or not isinstance(until_to, (int, type(None))):
         raise ValueError("start_from and until_to count epoch seconds")
-    found = candles.where(F.col("open_time") >= start_from)
-    if "year" in candles.columns and start_from > 0:
-        found = found.where(F.col("year") >= year_of(F.lit(start_from)))
+    conditions = [f"open_time >= {start_from}"]
     if until_to is not None:
-        found = found.where(F.col("close_time") <= until_to)
-        if "year" in candles.columns:
+        conditions.append(f"close_time <= {until_to}")
+    if "year" in candles.columns:
+        conditions.append(f"year >= {year_of(str(start_from))}")
+        if until_to is not None:
             # A stored candle never closes before it opens, see store.writable.
-            found = found.where(F.col("year") <= year_of(F.lit(until_to)))
-    return found
+            conditions.append(f"year <= {year_of(str(until_to))}")
+    return candles.where(" and ".join(conditions))
 
 
 def typed(candles: DataFrame, lenient: bool = False) -> DataFrame:
@@ -33,20 +32,17 @@ def typed(candles: DataFrame, lenient: bool = False) -> DataFrame:
 
     Text that is not a number fails the read, or reads as null if ``lenient``.
     """
-
-    def number(name: str):
-        return (F.col(name).try_cast("double") if lenient else F.col(name).cast("double")).alias(name)
-
+    cast = "try_cast" if lenient else "cast"
     extra = [c for c in ("stream_no",) if c in candles.columns]
-    return candles.select(
-        *SERIES, "open_time", "close_time", *[number(c) for c in PRICES], "status", *extra
+    return candles.selectExpr(
+        *SERIES, "open_time", "close_time", *[f"{cast}({c} as double) as {c}" for c in PRICES], "status", *extra
     )
 
 
 def unchecked(candles: DataFrame) -> DataFrame:
-    return candles.where(F.col("status") == UNCHECKED)
+    return candles.where(f"status = '{UNCHECKED}'")
 
 
 def not_ok(candles: DataFrame) -> DataFrame:
     """Candles with a status other than OK; a missing status is no status."""
-    return candles.where(F.col("status") != OK)
+    return candles.where(f"status <> '{OK}'")

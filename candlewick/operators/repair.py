@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.dims import EXCHANGES
@@ -19,8 +17,8 @@ BATCH = (*SERIES, "request_start")
 
 def repair_requests(errors: DataFrame) -> DataFrame:
     """Where to fetch from for each error: half an interval before it."""
-    half = F.bround(interval_seconds(F.col("interval"), month_days=31) / 2).cast("long")
-    return errors.select(*SERIES, (F.col("open_time") - half).alias("request_start"), F.col("open_time").alias("error_time"))
+    half = f"cast(bround({interval_seconds(month_days=31)} / 2) as bigint)"
+    return errors.selectExpr(*SERIES, f"open_time - {half} as request_start", "open_time as error_time")
 
 
 def batch_verdicts(candidates: DataFrame) -> DataFrame:
@@ -30,18 +28,13 @@ def batch_verdicts(candidates: DataFrame) -> DataFrame:
     from 0 within the batch. One bad pair refuses the whole batch, the
     candles after the pair are not looked at.
     """
-
-    def at(pos: int, column: str) -> Column:
-        return F.max(F.when(F.col("pos") == pos, F.col(column)))
-
     pairs = candidates.groupBy(*BATCH).agg(
-        at(0, "open_time").alias("first_open"),
-        at(0, "close_time").alias("first_close"),
-        at(1, "open_time").alias("second_open"),
+        F.expr("max(if(pos = 0, open_time, null)) as first_open"),
+        F.expr("max(if(pos = 0, close_time, null)) as first_close"),
+        F.expr("max(if(pos = 1, open_time, null)) as second_open"),
     )
-    whole = F.col("first_close") - F.col("first_open") == interval_seconds(F.col("interval"), F.col("first_open"))
-    touching = F.col("first_close") == F.col("second_open")
-    return pairs.withColumn("accepted", F.coalesce(whole & touching, F.lit(False)))
+    whole = f"first_close - first_open = {interval_seconds(anchor='first_open')}"
+    return pairs.selectExpr("*", f"coalesce({whole} and first_close = second_open, false) as accepted")
 
 
 def accepted_candles(requests: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -50,19 +43,13 @@ def accepted_candles(requests: DataFrame, candidates: DataFrame) -> DataFrame:
     good = (
         batch_verdicts(candidates)
         .where("accepted")
-        .join(requests.select(*BATCH).distinct(), [*BATCH], "left_semi")
+        .join(requests.select(*BATCH), [*BATCH], "left_semi")
         .select(*BATCH)
     )
     rows = candidates.join(good, [*BATCH], "left_semi").select(*KLINE_COLUMNS, "request_start", "pos")
     return last_wins(rows, ["request_start", "pos"])
 
 
-def _reach(interval: Column, exchange: Column) -> Column:
-    """Seconds a full reply covers."""
-    limit = reduce(lambda c, kv: c.when(exchange == kv[0], F.lit(kv[1].limit)), EXCHANGES.items(), F)
-    return limit * interval_seconds(interval, month_days=31)
-
-
 def accepted_from_pool(requests: DataFrame, pool: DataFrame, span: int = SPAN) -> DataFrame:
     """As ``accepted_candles`` for candidates without a request key.
 
@@ -72,38 +59,27 @@ def accepted_from_pool(requests: DataFrame, pool: DataFrame, span: int = SPAN) -
     candle at or after the request, already judged against its successor, and
     a candle is taken if the last accepted request before it reaches it.
     """
-    reach = _reach(F.col("interval"), F.col("exchange"))
-    judged = check(pool, span=span)
-    head = F.struct(
-        F.col("open_time").alias("t"),
-        "close_time",
-        ((F.col("checked") == OK) & F.col("next_open").isNotNull()).alias("good"),
-    )
-    heads = judged.select(*SERIES, "open_time", F.lit(1).alias("kind"), head.alias("head"))
-    probes = requests.select(
-        *SERIES, F.col("request_start").alias("open_time"), F.lit(0).alias("kind"), F.lit(None).cast(heads.schema["head"].dataType).alias("head")
+    limits = " ".join(f"when '{name}' then {e.limit}" for name, e in EXCHANGES.items())
+    reach = f"case exchange {limits} end * {interval_seconds(month_days=31)}"
+    heads = check(pool, span=span).selectExpr(
+        *SERIES,
+        "open_time",
+        "1 as kind",
+        f"struct(close_time, checked = '{OK}' and next_open is not null as good) as head",
     )
     # A probe sorts before a candle of the same time, so that candle is "at or after" it.
-    probed = nearest(heads.unionByName(probes), F.col("head"), "found", "kind", later=True, span=span)
-    starts = probed.where(
-        (F.col("kind") == 0)
-        & F.col("found.good")
-        & (F.col("found.close_time") < F.col("open_time") + reach)
-    ).select(*SERIES, "open_time")
-
-    marks = starts.withColumn("kind", F.lit(0))
-    values = [c for c in KLINE_COLUMNS if c not in (*SERIES, "open_time")]
-    rows = pool.select(*SERIES, "open_time", F.lit(1).alias("kind"), *values)
-    covered = nearest(
-        rows.unionByName(marks, allowMissingColumns=True),
-        F.when(F.col("kind") == 0, F.col("open_time")),
-        "start",
-        "kind",
-        span=span,
+    probes = requests.selectExpr(*SERIES, "request_start as open_time", "0 as kind")
+    probed = nearest(
+        heads.unionByName(probes, allowMissingColumns=True), "head", "found", "kind", later=True, span=span
+    )
+    marks = probed.where(f"kind = 0 and found.good and found.close_time < open_time + {reach}").select(
+        *SERIES, "open_time", "kind"
     )
-    return covered.where((F.col("kind") == 1) & (F.col("open_time") < F.col("start") + reach)).select(*KLINE_COLUMNS)
+    rows = pool.selectExpr(*KLINE_COLUMNS, "1 as kind").unionByName(marks, allowMissingColumns=True)
+    covered = nearest(rows, "if(kind = 0, open_time, null)", "start", "kind", span=span)
+    return covered.where(f"kind = 1 and open_time < start + {reach}").select(*KLINE_COLUMNS)
 
 
-def recheck_start(as_of: int, last_n: int) -> Column:
+def recheck_start(as_of: int, last_n: int) -> str:
     """Start of a look-back over the last ``last_n`` intervals, for ``check``."""
-    return F.abs(F.lit(as_of) - last_n * interval_seconds(F.col("interval")))
+    return f"abs({as_of} - {last_n} * {interval_seconds()})"

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.operators.chunks import CHUNK, SPAN, across_chunks, in_chunk, with_chunk
+from candlewick.operators.chunks import ACROSS_CHUNKS, BEFORE, CHUNK, IN_CHUNK, RUNNING, SPAN, with_chunk
 from candlewick.schema import OK, SERIES
 
 # Widest nested row: at most 2^20 candles, 17,477 at one per minute.
@@ -20,46 +20,41 @@ def consistent_streams(candles: DataFrame, span: int = SPAN) -> DataFrame:
 
     def numbered(rows: DataFrame) -> DataFrame:
         """Add ``local_no``: streams begun in the chunk up to and including the row."""
-        window = in_chunk()
-        ok = F.col("status").eqNullSafe(OK)
-        begins = ok & ~F.coalesce(F.lag(ok).over(window), F.lit(False))
-        running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        begins = f"cast(ok and not lag(ok, 1, false) over ({IN_CHUNK}) as bigint)"
         return (
             with_chunk(rows, span)
-            .withColumn("ok", ok)
-            .withColumn("begins", begins.cast("long"))
-            .withColumn("local_no", F.sum("begins").over(running))
+            .selectExpr("*", f"status <=> '{OK}' as ok")
+            .selectExpr("*", f"{begins} as begins")
+            .selectExpr("*", f"sum(begins) over ({IN_CHUNK} {RUNNING}) as local_no")
         )
 
-    narrow = (*CHUNK, "open_time", "status")
+    columns = [c for c in candles.columns if c != "chunk"]
+    narrow = [c for c in candles.columns if c in (*CHUNK, "open_time", "status")]
     # Per chunk: streams begun before it. A stream that runs over the chunk's
     # edge was counted on both sides, so it is taken off once.
-    joined = F.col("first_ok") & F.coalesce(F.lag("last_ok").over(across_chunks()), F.lit(False))
-    before = across_chunks().rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        numbered(candles.select(*[c for c in candles.columns if c in narrow]))
+        numbered(candles.select(*narrow))
         .groupBy(*CHUNK)
         .agg(
-            F.sum("begins").alias("begun"),
-            F.min_by("ok", "open_time").alias("first_ok"),
-            F.max_by("ok", "open_time").alias("last_ok"),
+            F.expr("sum(begins) as begun"),
+            F.expr("min_by(ok, open_time) as first_ok"),
+            F.expr("max_by(ok, open_time) as last_ok"),
         )
-        .withColumn("joined", joined.cast("long"))
-        .select(
+        .selectExpr(
             *CHUNK,
-            (
-                F.coalesce(F.sum(F.col("begun") - F.col("joined")).over(before), F.lit(0))
-                - F.col("joined")
-                - 1
-            ).alias("offset"),
+            "begun",
+            f"cast(first_ok and lag(last_ok, 1, false) over ({ACROSS_CHUNKS}) as bigint) as joined",
+        )
+        .selectExpr(
+            *CHUNK,
+            f"coalesce(sum(begun - joined) over ({ACROSS_CHUNKS} {BEFORE}), 0) - joined - 1 as offset",
         )
     )
     return (
         numbered(candles)
         .where("ok")
         .join(offsets, [*CHUNK])
-        .withColumn("stream_no", F.col("offset") + F.col("local_no"))
-        .drop("chunk", "ok", "begins", "local_no", "offset")
+        .selectExpr(*columns, "offset + local_no as stream_no")
     )
 
 
@@ -71,7 +66,7 @@ def nested_streams(streams: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """
     inner = [c for c in streams.columns if c not in (*SERIES, "stream_no", "open_time")]
     return (
-        streams.withColumn("segment_no", F.floor(F.col("open_time") / segment).cast("long"))
+        streams.selectExpr("*", f"cast(floor(open_time / {segment}) as bigint) as segment_no")
         .groupBy(*SERIES, "stream_no", "segment_no")
-        .agg(F.array_sort(F.collect_list(F.struct("open_time", *inner))).alias("candles"))
+        .agg(F.expr(f"array_sort(collect_list(struct(open_time, {', '.join(inner)}))) as candles"))
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from candlewick.dims import EXCHANGES
 from candlewick.functions.calendar import interval_seconds
@@ -21,22 +20,21 @@ def backfill_plan(profile: DataFrame, as_of: int) -> DataFrame:
     Needs ``high_water`` and ``stale``. Starts run from ten intervals before
     the high-water mark to ``as_of``, one full reply apart.
     """
-    delta = interval_seconds(F.col("interval"))
-    limit = F
-    recent = F
-    for name, exchange in EXCHANGES.items():
-        here = F.col("exchange") == name
-        limit = limit.when(here, F.lit(exchange.limit))
-        recent = recent.when(here, F.lit(exchange.recent_limit or exchange.limit))
-    now = F.lit(as_of).cast("long")
-    first = F.greatest(F.col("high_water") - OVERLAP * delta, F.lit(0).cast("long"))
+
+    def limit(of: dict[str, int]) -> str:
+        return "case exchange " + " ".join(f"when '{name}' then {n}" for name, n in of.items()) + " end"
+
+    usual = limit({name: e.limit for name, e in EXCHANGES.items()})
+    recent = limit({name: e.recent_limit or e.limit for name, e in EXCHANGES.items()})
     return (
         profile.where("stale")
-        .withColumn("limit", limit)
-        .withColumn("request_start", F.explode(F.sequence(F.least(first, now), now, F.col("limit") * delta)))
-        .withColumn(
-            "limit",
-            F.when(F.col("request_start") >= now - RECENT * delta, recent).otherwise(F.col("limit")),
+        .selectExpr(*SERIES, "high_water", f"{interval_seconds()} as delta", f"{usual} as usual", f"{recent} as recent")
+        .selectExpr(
+            "*",
+            f"explode(sequence(least(greatest(high_water - {OVERLAP} * delta, 0L), {as_of}L), {as_of}L, "
+            "usual * delta)) as request_start",
+        )
+        .selectExpr(
+            *SERIES, "request_start", f"if(request_start >= {as_of} - {RECENT} * delta, recent, usual) as limit"
         )
-        .select(*SERIES, "request_start", "limit")
     )

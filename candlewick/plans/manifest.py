@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from candlewick.dims import EXCHANGES, MONTHLY_ONLY
 from candlewick.functions.calendar import DAY, date_of, month_start, previous_month
@@ -16,6 +15,10 @@ MONTHLY_FROM_DAY = 8
 DAILY_FROM_HOUR = 15
 
 
+def _file(date: str, pattern: str) -> str:
+    return f"concat({native_symbol()}, '-', interval, '-', date_format({date}, '{pattern}'), '.zip')"
+
+
 def archive_manifest(
     requests: DataFrame, as_of: int, available: DataFrame | None = None, force_daily: bool = False
 ) -> DataFrame:
@@ -28,57 +31,42 @@ def archive_manifest(
     does not list that file, or are added if ``force_daily``.
     Without ``available`` all candidate files are returned.
     """
-    now = F.lit(as_of).cast("long")
-    today = date_of(now)
-    this_month = month_start(today)
-    from_stored = previous_month(date_of(F.col("last_open")))
-    start = F.when(F.col("last_open") > 0, from_stored).otherwise(
-        month_start(date_of(F.col("first_month_time")))
-    )
-    stop = F.greatest(start, previous_month(today))
-    has_archive = [name for name, e in EXCHANGES.items() if e.has_archive]
-    months = requests.where(F.col("exchange").isin(has_archive)).select(
-        *SERIES,
-        F.explode(F.sequence(start, stop, F.expr("interval 1 month"))).alias("month"),
-    )
-
-    def file(when: Column, pattern: str) -> Column:
-        stem = F.concat_ws(
-            "-", native_symbol(F.col("exchange"), F.col("symbol")), F.col("interval"), F.date_format(when, pattern)
+    today = date_of(str(as_of))
+    sources = ", ".join(f"'{name}'" for name, e in EXCHANGES.items() if e.has_archive)
+    months = (
+        requests.where(f"exchange in ({sources})")
+        .selectExpr(
+            *SERIES,
+            f"if(last_open > 0, {previous_month(date_of('last_open'))}, {month_start(date_of('first_month_time'))})"
+            " as start",
         )
-        return F.concat(stem, F.lit(".zip"))
-
-    too_early = (F.col("month") == this_month) & (F.dayofmonth(today) < MONTHLY_FROM_DAY)
-    monthly = months.withColumn("file", file(F.col("month"), "yyyy-MM"))
-    monthly_files = monthly.where(~too_early)
-
-    # Past months to their last day, the current month to yesterday or the day before.
-    hour = F.floor((now % DAY) / 3600)
-    newest = F.date_add(today, F.when(hour >= DAILY_FROM_HOUR, F.lit(-1)).otherwise(F.lit(-2)))
-    last_day = F.least(F.last_day("month"), newest)
-
-    def days(of: DataFrame) -> DataFrame:
-        return (
-            of.where(~F.col("interval").isin(*MONTHLY_ONLY))
-            .where(F.col("month") <= last_day)
-            .withColumn("day", F.explode(F.sequence(F.col("month"), last_day, F.expr("interval 1 day"))))
-            .withColumn("file", file(F.col("day"), "yyyy-MM-dd"))
+        .selectExpr(
+            *SERIES, f"explode(sequence(start, greatest(start, {previous_month(today)}), interval 1 month)) as month"
         )
+        .selectExpr("*", f"{_file('month', 'yyyy-MM')} as file")
+    )
+    too_early = f"month = {month_start(today)} and dayofmonth({today}) < {MONTHLY_FROM_DAY}"
+    monthly = months.where(f"not ({too_early})")
 
-    columns = [*SERIES, "month", "kind", "file"]
     if available is None:
-        covered, to_split = monthly_files, monthly
+        covered, to_split = monthly, months
     else:
         landed = available.select("file").distinct()
-        covered = monthly_files.join(landed, "file", "left_semi")
-        to_split = (
-            monthly
-            if force_daily
-            else monthly.where(too_early).unionByName(monthly_files.join(landed, "file", "left_anti"))
-        )
-    daily = days(to_split)
+        covered = monthly.join(landed, "file", "left_semi")
+        missing = months.where(too_early).unionByName(monthly.join(landed, "file", "left_anti"))
+        to_split = months if force_daily else missing
+
+    # Past months to their last day, the current month to yesterday or the day before.
+    back = 1 if as_of % DAY // 3600 >= DAILY_FROM_HOUR else 2
+    last_day = f"least(last_day(month), date_add({today}, -{back}))"
+    longer = ", ".join(f"'{i}'" for i in MONTHLY_ONLY)
+    daily = (
+        to_split.where(f"interval not in ({longer}) and month <= {last_day}")
+        .selectExpr(*SERIES, "month", f"explode(sequence(month, {last_day}, interval 1 day)) as day")
+        .selectExpr(*SERIES, "month", f"{_file('day', 'yyyy-MM-dd')} as file")
+    )
     if available is not None:
         daily = daily.join(landed, "file", "left_semi")
-    return covered.withColumn("kind", F.lit("monthly")).select(*columns).unionByName(
-        daily.withColumn("kind", F.lit("daily")).select(*columns)
+    return covered.selectExpr(*SERIES, "month", "'monthly' as kind", "file").unionByName(
+        daily.selectExpr(*SERIES, "month", "'daily' as kind", "file")
     )

@@ -8,7 +8,6 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from candlewick.functions.calendar import archive_seconds
 from candlewick.schema import KLINE_COLUMNS, SPOT, UNCHECKED
@@ -39,30 +38,29 @@ def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     yield pd.DataFrame({"file": file, "pos": range(first, first + len(lines)), "line": lines})
 
 
-def verified_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Archives (file, content) whose SHA-256 is the first word of their checksum file.
+def landed_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Archives (file, content) and checksum files (file, expected) below ``folder``."""
 
-    The checksum side has one short line per archive. Its size on disk decides
-    whether Spark broadcasts it; if not, both sides are shuffled by file name.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    name = F.element_at(F.split("path", "/"), -1)
-    archives = files.option("pathGlobFilter", "*.zip").load(folder).select(name.alias("file"), "content")
-    sums = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*" + CHECKSUM)
-        .load(folder)
-        .select(
-            F.replace(name, F.lit(CHECKSUM)).alias("file"),
-            F.element_at(F.split(F.trim(F.decode("content", "UTF-8")), r"\s+"), 1).alias("expected"),
-        )
-    )
-    return (
-        archives.join(sums, "file")
-        .where(F.sha2("content", 256) == F.col("expected"))
-        .drop("expected")
+    def files(pattern: str) -> DataFrame:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        return reader.option("pathGlobFilter", pattern).load(folder)
+
+    name = "element_at(split(path, '/'), -1)"
+    archives = files("*.zip").selectExpr(f"{name} as file", "content")
+    sums = files("*" + CHECKSUM).selectExpr(
+        f"replace({name}, '{CHECKSUM}') as file",
+        r"get(split(trim(decode(content, 'UTF-8')), '[ \t\r\n]+'), 0) as expected",
     )
+    return archives, sums
+
+
+def verified(archives: DataFrame, sums: DataFrame) -> DataFrame:
+    """Archives whose SHA-256 is the expected one; without a checksum file none is.
+
+    The checksum side has one short row per archive. Its size decides whether
+    Spark broadcasts it; if not, both sides are shuffled by file name.
+    """
+    return archives.join(sums, "file").where("sha2(content, 256) = expected").drop("expected")
 
 
 def archive_candles(files: DataFrame, symbols: DataFrame, exchange: str = "binance") -> DataFrame:
@@ -73,30 +71,35 @@ def archive_candles(files: DataFrame, symbols: DataFrame, exchange: str = "binan
     turns into the unified one. Files of unknown symbols keep the native name.
     """
     lines = files.mapInPandas(_unzip, "file string, pos long, line string")
-    parts = F.split("line", ",")
-    name = F.split("file", "-")
-    fields = {c: F.trim(F.get(parts, i)) for c, i in _FIELDS.items()}
-    times = {c: fields[c].try_cast("long") for c in ("open_time", "close_time")}
+    text = {c: f"trim(get(parts, {i}))" for c, i in _FIELDS.items()}
+    times = ("open_time", "close_time")
     return (
-        lines.select(
+        lines.selectExpr("file", "pos", "split(file, '-') as name", "split(line, ',') as parts")
+        .selectExpr(
             "file",
             "pos",
-            F.get(name, 0).alias("native_symbol"),
-            F.get(name, 1).alias("interval"),
-            *[(times.get(c, e)).alias(c) for c, e in fields.items()],
+            "get(name, 0) as native_symbol",
+            "get(name, 1) as interval",
+            *[f"try_cast({t} as bigint) as {c}" if c in times else f"{t} as {c}" for c, t in text.items()],
         )
         # Blank lines and a heading line, if a file has one, carry no time.
-        .where(F.col("open_time").isNotNull() & F.col("close_time").isNotNull())
-        .withColumn("open_time", archive_seconds(F.col("open_time")))
-        .withColumn("close_time", archive_seconds(F.col("close_time")))
-        .join(symbols.select("native_symbol", "symbol"), "native_symbol", "left")
-        .withColumns(
-            {
-                "symbol": F.coalesce("symbol", "native_symbol"),
-                "exchange": F.lit(exchange),
-                "trading_type": F.lit(SPOT),
-                "status": F.lit(UNCHECKED),
-            }
+        .where("open_time is not null and close_time is not null")
+        .join(symbols.selectExpr("native_symbol", "symbol as unified"), "native_symbol", "left")
+        .selectExpr(
+            "file",
+            "pos",
+            f"'{exchange}' as exchange",
+            f"'{SPOT}' as trading_type",
+            "coalesce(unified, native_symbol) as symbol",
+            "interval",
+            f"{archive_seconds('open_time')} as open_time",
+            "open_price",
+            f"{archive_seconds('close_time')} as close_time",
+            "close_price",
+            "low",
+            "high",
+            "volume",
+            f"'{UNCHECKED}' as status",
         )
         .select("file", "pos", *KLINE_COLUMNS)
     )

@@ -7,10 +7,22 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.dims import EXCHANGES, interval_codes
+from candlewick.dims import EXCHANGES, Catalog, interval_codes
 from candlewick.functions.text import bare_symbol, native_symbol
 
 
+def _entries(name: str, c: Catalog) -> tuple[str, str, str]:
+    """Condition on a reply, its list of entries, and the symbol of an ``entry``."""
+    success = f"get_json_object(body, '{c.success[0]}') = '{c.success[1]}'" if c.success else "true"
+    listed = "body" if c.root == "$" else f"get_json_object(body, '{c.root}')"
+    symbol = (
+        f"translate(entry['{c.joined}'], '-', '/')"
+        if c.joined
+        else f"upper(concat(entry['{c.base}'], '/', entry['{c.quote}']))"
+    )
+    return f"exchange = '{name}' and {success}", f"from_json({listed}, 'array<map<string,string>>')", symbol
+
+
 def symbol_catalog(infos: DataFrame) -> DataFrame:
     """``BASE/QUOTE`` symbols of exchange-info payloads (exchange, body).
 
@@ -19,37 +31,21 @@ def symbol_catalog(infos: DataFrame) -> DataFrame:
     """
     parts = []
     for name, exchange in EXCHANGES.items():
-        catalog = exchange.catalog
-        mine = infos.where(F.col("exchange") == name)
-        if catalog.success:
-            path, code = catalog.success
-            mine = mine.where(F.get_json_object("body", path) == code)
-        listed = F.col("body") if catalog.root == "$" else F.get_json_object("body", catalog.root)
-        entry = F.from_json(listed, "array<map<string,string>>")
-        if catalog.joined:
-            symbol = F.translate(F.col("entry")[catalog.joined], "-", "/")
-        else:
-            base, quote = F.col("entry")[catalog.base], F.col("entry")[catalog.quote]
-            symbol = F.upper(F.concat(base, F.lit("/"), quote))
+        reply, entries, symbol = _entries(name, exchange.catalog)
         parts.append(
-            mine.select("exchange", F.posexplode(entry).alias("pos", "entry")).select(
-                "exchange", symbol.alias("symbol"), "pos"
-            )
+            infos.where(reply)
+            .selectExpr("exchange", f"posexplode({entries}) as (pos, entry)")
+            .selectExpr("exchange", f"{symbol} as symbol", "pos")
         )
-    listed = reduce(DataFrame.unionByName, parts).where(F.col("symbol").isNotNull())
-    return listed.groupBy("exchange", "symbol").agg(F.min("pos").alias("pos"))
+    listed = reduce(DataFrame.unionByName, parts).where("symbol is not null")
+    return listed.groupBy("exchange", "symbol").agg(F.expr("min(pos) as pos"))
 
 
 def with_native_symbol(requests: DataFrame, catalog: DataFrame) -> DataFrame:
     """Add ``native_symbol``; symbols the exchange does not list stay as they are."""
-    listed = catalog.select("exchange", "symbol").withColumn("listed", F.lit(True))
-    return (
-        requests.join(listed, ["exchange", "symbol"], "left")
-        .withColumn(
-            "native_symbol",
-            F.when(F.col("listed"), native_symbol(F.col("exchange"), F.col("symbol"))).otherwise(F.col("symbol")),
-        )
-        .drop("listed")
+    listed = catalog.selectExpr("exchange", "symbol", "true as listed")
+    return requests.join(listed, ["exchange", "symbol"], "left").selectExpr(
+        *requests.columns, f"if(listed, {native_symbol()}, symbol) as native_symbol"
     )
 
 
@@ -57,15 +53,14 @@ def with_unified_symbol(natives: DataFrame, catalog: DataFrame) -> DataFrame:
     """Add the catalog symbol that ``native_symbol`` stands for, the first listed one
     if several do; unknown names stay as they are."""
     names = (
-        catalog.withColumn("bare", bare_symbol(F.col("symbol")))
+        catalog.selectExpr("exchange", "symbol", "pos", f"{bare_symbol('symbol')} as bare")
         .groupBy("exchange", "bare")
-        .agg(F.min_by("symbol", "pos").alias("unified"))
+        .agg(F.expr("min_by(symbol, pos) as unified"))
     )
     return (
-        natives.withColumn("bare", bare_symbol(F.col("native_symbol")))
+        natives.selectExpr("*", f"{bare_symbol('native_symbol')} as bare")
         .join(names, ["exchange", "bare"], "left")
-        .withColumn("symbol", F.coalesce("unified", "native_symbol"))
-        .drop("bare", "unified")
+        .selectExpr(*natives.columns, "coalesce(unified, native_symbol) as symbol")
     )
 
 
@@ -73,24 +68,27 @@ def with_native_interval(requests: DataFrame) -> DataFrame:
     """Add the exchange's own interval code, null where it has none."""
     codes = interval_codes(requests.sparkSession).withColumnRenamed("native", "native_interval")
     # At most 15 rows per exchange.
-    return requests.join(F.broadcast(codes), ["exchange", "interval"], "left")
+    return requests.join(F.broadcast(codes), ["exchange", "interval"], "left").select(
+        *requests.columns, "native_interval"
+    )
 
 
 def validate(requests: DataFrame, catalog: DataFrame) -> DataFrame:
     """Requests with ``reason``: null if they can be fetched, else what is wrong."""
-    listed = catalog.select("exchange", "symbol").distinct().withColumn("listed", F.lit(True))
+    listed = catalog.select("exchange", "symbol").distinct().selectExpr("*", "true as listed")
     joined = with_native_interval(requests).join(listed, ["exchange", "symbol"], "left")
+    known = ", ".join(f"'{name}'" for name in EXCHANGES)
     reason = (
-        F.when(~F.col("exchange").isin(list(EXCHANGES)), "unknown exchange")
-        .when(F.col("listed").isNull(), "unknown symbol")
-        .when(F.col("native_interval").isNull(), "unsupported interval")
+        f"case when exchange not in ({known}) then 'unknown exchange' "
+        "when listed is null then 'unknown symbol' "
+        "when native_interval is null then 'unsupported interval' end"
     )
-    return joined.select(*requests.columns, reason.alias("reason"))
+    return joined.selectExpr(*requests.columns, f"{reason} as reason")
 
 
 def accepted(validated: DataFrame) -> DataFrame:
-    return validated.where(F.col("reason").isNull()).drop("reason")
+    return validated.where("reason is null").drop("reason")
 
 
 def rejected(validated: DataFrame) -> DataFrame:
-    return validated.where(F.col("reason").isNotNull())
+    return validated.where("reason is not null")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.dims import EXCHANGES
 from candlewick.functions.calendar import rounded_seconds
-from candlewick.schema import KLINE_COLUMNS, SERIES, SPOT, UNCHECKED
+from candlewick.schema import KEY, KLINE_COLUMNS, SERIES, SPOT, UNCHECKED
 
 # Newest candles looked at per series and refresh.
 LAST_N = 9
@@ -18,21 +18,25 @@ DROP_TAIL = [name for name, e in EXCHANGES.items() if e.drop_live_tail]
 
 def closed(elements: DataFrame) -> DataFrame:
     """Elements of closed candles; feeds that do not say count as closed."""
-    return elements.where(F.coalesce("is_closed", F.lit(True)))
+    return elements.where("coalesce(is_closed, true)")
 
 
 def to_candles(elements: DataFrame, *extra: str) -> DataFrame:
     """Rename and convert feed elements to candle columns."""
-    return elements.withColumns(
-        {
-            "open_time": rounded_seconds(F.col("open_time")),
-            "close_time": rounded_seconds(F.col("close_time")),
-            "open_price": F.col("open"),
-            "close_price": F.col("close"),
-            "high": F.col("hight"),
-            "trading_type": F.lit(SPOT),
-            "status": F.lit(UNCHECKED),
-        }
+    return elements.selectExpr(
+        "exchange",
+        f"'{SPOT}' as trading_type",
+        "symbol",
+        "interval",
+        f"{rounded_seconds('open_time')} as open_time",
+        "open as open_price",
+        f"{rounded_seconds('close_time')} as close_time",
+        "close as close_price",
+        "low",
+        "hight as high",
+        "volume",
+        f"'{UNCHECKED}' as status",
+        *extra,
     ).select(*KLINE_COLUMNS, *extra)
 
 
@@ -43,14 +47,13 @@ def live_tail(elements: DataFrame) -> DataFrame:
     the closed ones, and of those all but the newest on exchanges that do not
     tell whether a candle is closed.
     """
-    series = ["exchange", "symbol", "interval"]
-    newest = Window.partitionBy(*series).orderBy(F.desc("open_time"))
     # The constant limit lets Spark cut each series to 27 rows before the shuffle.
     recent = (
-        elements.withColumn("age", F.row_number().over(newest))
-        .where(F.col("age") <= LAST_N_1M)
-        .where((F.col("age") <= LAST_N) | (F.col("interval") == "1m"))
-        .drop("age")
+        elements.selectExpr(
+            "*", "row_number() over (partition by exchange, symbol, interval order by open_time desc) as age"
+        )
+        .where(f"age <= {LAST_N_1M}")
+        .where(f"age <= {LAST_N} or interval = '1m'")
     )
     return without_tail(to_candles(closed(recent)))
 
@@ -58,6 +61,6 @@ def live_tail(elements: DataFrame) -> DataFrame:
 def without_tail(candles: DataFrame) -> DataFrame:
     """Leave out the newest candle of each series of exchanges whose feed has no closed flag."""
     newest = (
-        candles.where(F.col("exchange").isin(DROP_TAIL)).groupBy(*SERIES).agg(F.max("open_time").alias("open_time"))
+        candles.where(F.col("exchange").isin(DROP_TAIL)).groupBy(*SERIES).agg(F.expr("max(open_time) as open_time"))
     )
-    return candles.join(newest, [*SERIES, "open_time"], "left_anti")
+    return candles.join(newest, [*KEY], "left_anti")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.dims import EXCHANGES, Layout
@@ -19,22 +19,49 @@ from candlewick.schema import KLINE_COLUMNS, SPOT, UNCHECKED
 LAYOUTS: dict[str, Layout] = {name: e.layout for name, e in EXCHANGES.items()}
 
 
-def _by_layout(layouts: Mapping[str, Layout], value: Callable[[Layout], Column]) -> Column:
-    """``value`` of the layout of the row's exchange; one branch per different value."""
-    groups: dict[str, tuple[Column, list[str]]] = {}
+def split_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Payloads with a JSON body, and the others for quarantine."""
+    good = is_json("body")
+    return payloads.where(good), payloads.where(f"not {good}")
+
+
+def by_exchange(layouts: Mapping[str, Layout], value: Callable[[Layout], str]) -> str:
+    """``value`` of the layout of the row's exchange; one branch per different text."""
+    names: dict[str, list[str]] = {}
     for name, layout in layouts.items():
-        expression = value(layout)
-        groups.setdefault(str(expression), (expression, []))[1].append(name)
-    chosen = F
-    for expression, names in groups.values():
-        chosen = chosen.when(F.col("exchange").isin(names), expression)
-    return chosen
+        names.setdefault(value(layout), []).append(f"'{name}'")
+    return "case " + " ".join(f"when exchange in ({', '.join(n)}) then {text}" for text, n in names.items()) + " end"
 
 
-def split_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Payloads with a JSON body, and the others for quarantine."""
-    good = is_json(F.col("body"))
-    return payloads.where(good), payloads.where(~good)
+def _root(x: Layout) -> str:
+    return "body" if x.root == "$" else f"get_json_object(body, '{x.root}')"
+
+
+def _success(x: Layout) -> str:
+    return f"get_json_object(body, '{x.success[0]}') = '{x.success[1]}'" if x.success else "true"
+
+
+def _usable(x: Layout) -> str:
+    """Condition on an item ``i``."""
+    times = [x.open] if x.close is None else [x.open, x.close]
+    rules = [f"size(i) >= {x.min_len}", *[f"try_cast(get(i, {t}) as bigint) is not null" for t in times]]
+    if x.flag is not None:
+        rules.append(f"get(i, {x.flag}) = '1'")
+    return f"coalesce({' and '.join(rules)}, false)"
+
+
+def _trimmed(x: Layout) -> str:
+    """``ordered`` without the candle in progress."""
+    if x.tail == "last":
+        return "slice(ordered, 1, greatest(size(ordered) - 1, 0))"
+    if x.tail == "last_of_many":
+        return "if(size(ordered) >= 2, slice(ordered, 1, size(ordered) - 1), ordered)"
+    return "ordered"
+
+
+def _epoch(x: Layout, index: int) -> str:
+    number = f"cast(get(item, {index}) as bigint)"
+    return rounded_seconds(number) if x.unit_ms else number
 
 
 def normalise(payloads: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
@@ -44,83 +71,60 @@ def normalise(payloads: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> D
     out, and so is the candle still in progress. Bodies that are no JSON, of
     an unknown exchange, or with a failure code give nothing.
     """
-    root = _by_layout(
-        layouts,
-        lambda x: F.col("body") if x.root == "$" else F.get_json_object("body", x.root),
-    )
-    success = _by_layout(
-        layouts,
-        lambda x: F.get_json_object("body", x.success[0]) == x.success[1] if x.success else F.lit(True),
-    )
-    items = F.from_json(root, "array<array<string>>")
-
-    def usable(item: Column) -> Column:
-        def rule(x: Layout) -> Column:
-            fine = (F.size(item) >= x.min_len) & F.get(item, x.open).try_cast("long").isNotNull()
-            if x.close is not None:
-                fine = fine & F.get(item, x.close).try_cast("long").isNotNull()
-            return fine & (F.get(item, x.flag) == "1") if x.flag is not None else fine
-
-        return F.coalesce(_by_layout(layouts, rule), F.lit(False))
-
-    kept = F.filter(F.col("items"), usable)
-    ordered = _by_layout(layouts, lambda x: F.reverse("kept") if x.newest_first else F.col("kept"))
-    trimmed = _by_layout(
-        layouts,
-        lambda x: {
-            "last": F.slice("ordered", F.lit(1), F.greatest(F.size("ordered") - 1, F.lit(0))),
-            "last_of_many": F.when(
-                F.size("ordered") >= 2, F.slice("ordered", F.lit(1), F.size("ordered") - 1)
-            ).otherwise(F.col("ordered")),
-        }.get(x.tail, F.col("ordered")),
-    )
 
-    def at(index: Callable[[Layout], int]) -> Column:
-        return _by_layout(layouts, lambda x: F.get("item", index(x)))
+    def pick(value: Callable[[Layout], str]) -> str:
+        return by_exchange(layouts, value)
 
-    def epoch(text: Column, layout: Layout) -> Column:
-        number = text.cast("long")
-        return rounded_seconds(number) if layout.unit_ms else number
+    def price(place: int) -> str:
+        return pick(lambda x: f"get(item, {x.ohlcv[place]})")
 
-    closed = _by_layout(
-        layouts,
-        lambda x: epoch(F.get("item", x.close), x)
-        if x.close is not None
-        else F.col("open_time") + interval_seconds(F.col("interval"), F.col("open_time")),
-    )
+    kept = pick(lambda x: f"filter(items, i -> {_usable(x)})")
     rows = (
-        payloads.where(success)
-        .withColumn("items", items)
-        .withColumn("kept", kept)
-        .withColumn("ordered", ordered)
-        .select("payload_id", "request_start", "exchange", "symbol", "interval", F.posexplode(trimmed).alias("pos", "item"))
-        .withColumn("open_time", _by_layout(layouts, lambda x: epoch(F.get("item", x.open), x)))
-        .withColumns(
-            {
-                "trading_type": F.lit(SPOT),
-                "close_time": closed,
-                "open_price": at(lambda x: x.ohlcv[0]),
-                "high": at(lambda x: x.ohlcv[1]),
-                "low": at(lambda x: x.ohlcv[2]),
-                "close_price": at(lambda x: x.ohlcv[3]),
-                "volume": at(lambda x: x.ohlcv[4]),
-                "status": F.lit(UNCHECKED),
-            }
+        payloads.where(pick(_success))
+        .selectExpr("*", f"from_json({pick(_root)}, 'array<array<string>>') as items")
+        .selectExpr("*", f"{kept} as kept")
+        .selectExpr("*", f"{pick(lambda x: 'reverse(kept)' if x.newest_first else 'kept')} as ordered")
+        .selectExpr(
+            "payload_id",
+            "request_start",
+            "exchange",
+            "symbol",
+            "interval",
+            f"posexplode({pick(_trimmed)}) as (pos, item)",
         )
+        .selectExpr("*", f"{pick(lambda x: _epoch(x, x.open))} as open_time")
     )
-    return rows.select("payload_id", "request_start", "pos", *KLINE_COLUMNS)
-
-
-def drift(payloads: DataFrame, received: Column) -> DataFrame:
+    length = interval_seconds(anchor="open_time")
+    closed = pick(lambda x: f"open_time + {length}" if x.close is None else _epoch(x, x.close))
+    return rows.selectExpr(
+        "payload_id",
+        "request_start",
+        "pos",
+        "exchange",
+        f"'{SPOT}' as trading_type",
+        "symbol",
+        "interval",
+        "open_time",
+        f"{price(0)} as open_price",
+        f"{closed} as close_time",
+        f"{price(3)} as close_price",
+        f"{price(2)} as low",
+        f"{price(1)} as high",
+        f"{price(4)} as volume",
+        f"'{UNCHECKED}' as status",
+    ).select("payload_id", "request_start", "pos", *KLINE_COLUMNS)
+
+
+def drift(payloads: DataFrame, received: str = "received") -> DataFrame:
     """Shape of each exchange's payloads per day and whether it differs from the day before.
 
     ``received`` is the epoch second a payload came in.
     """
     days = (
-        payloads.withColumn("day", date_of(received))
+        payloads.selectExpr("exchange", "body", f"{date_of(received)} as day")
         .groupBy("exchange", "day")
-        .agg(structure_of_all(F.col("body")).alias("structure"))
+        .agg(F.expr(f"{structure_of_all('body')} as structure"))
     )
     # One row per exchange and day: small whatever the number of payloads.
-    before = F.lag("structure").over(Window.partitionBy("exchange").orderBy("day"))
-    return days.withColumn("drifted", F.coalesce(before != F.col("structure"), F.lit(False)))
+    before = "lag(structure) over (partition by exchange order by day)"
+    return days.selectExpr("*", f"coalesce({before} <> structure, false) as drifted")

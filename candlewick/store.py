@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -70,15 +70,9 @@ def writable(candles: DataFrame, partitions: int | None = None) -> DataFrame:
     over many tasks, a task writes into few folders, and every file covers
     few symbols. A candle that closes before it opens fails the write.
     """
-    forward = F.assert_true(
-        F.col("close_time") >= F.col("open_time"), F.lit("a candle closes before it opens")
-    )
     order = [*PARTITION, "symbol", "open_time"]
-    ready = (
-        candles.select(*KLINE_COLUMNS)
-        .where(forward.isNull())
-        .withColumn("year", year_of(F.col("open_time")))
-    )
+    forward = "assert_true(close_time >= open_time, 'a candle closes before it opens') is null"
+    ready = candles.where(forward).selectExpr(*KLINE_COLUMNS, f"{year_of('open_time')} as year")
     ranged = ready.repartitionByRange(partitions, *order) if partitions else ready.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order)
 
@@ -94,24 +88,22 @@ def _write(candles: DataFrame, path: str, partitions: int | None) -> None:
     )
 
 
-def touched(rows: DataFrame) -> Column:
+def touched(rows: DataFrame) -> str:
     """Condition for the stored folders that ``rows`` fall in.
 
     Collects the folder names: exchanges x intervals x years, a few thousand at most.
     """
     folders = (
-        rows.select("exchange", "interval", year_of(F.col("open_time")).alias("year"))
-        .distinct()
+        rows.selectExpr("exchange", "interval", f"{year_of('open_time')} as year")
         .groupBy("exchange", "interval")
-        .agg(F.collect_set("year").alias("years"))
+        .agg(F.expr("collect_set(year) as years"))
         .collect()
     )
-    condition = F.lit(False)
-    for f in folders:
-        condition = condition | (
-            (F.col("exchange") == f.exchange) & (F.col("interval") == f.interval) & F.col("year").isin(f.years)
-        )
-    return condition
+    parts = [
+        f"(exchange = '{f.exchange}' and interval = '{f.interval}' and year in ({', '.join(map(str, f.years))}))"
+        for f in folders
+    ]
+    return " or ".join(parts) or "false"
 
 
 def upsert(
@@ -140,7 +132,7 @@ def snapshot(
     inside = touched(rows)
     stored = scan(spark, root)
     merged = merge_klines(stored.where(inside), rows)
-    whole = merged.unionByName(stored.where(~inside).select(*KLINE_COLUMNS))
+    whole = merged.unionByName(stored.where(f"not ({inside})").select(*KLINE_COLUMNS))
     _write(whole, klines_path(target), partitions)
 
 
@@ -169,17 +161,17 @@ def _read(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame
 
 def merged_upto(spark: SparkSession, root: str) -> int:
     """The last log batch that is in the table, -1 if none is."""
-    found = _read(spark, f"{root}/merged", "upto long").agg(F.max("upto")).first()[0]
+    found = _read(spark, f"{root}/merged", "upto long").agg(F.expr("max(upto)")).first()[0]
     return -1 if found is None else found
 
 
 def pending(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
     """Latest candle per key of the log batches not merged yet, and of those held back."""
     done = merged_upto(spark, root)
-    log = _read(spark, f"{root}/log", LOG_SCHEMA).where(F.col("batch") > done)
+    log = _read(spark, f"{root}/log", LOG_SCHEMA).where(f"batch > {done}")
     if upto is not None:
-        log = log.where(F.col("batch") <= upto)
-    held = _read(spark, f"{root}/held", LOG_SCHEMA).where(F.col("batch") == done)
+        log = log.where(f"batch <= {upto}")
+    held = _read(spark, f"{root}/held", LOG_SCHEMA).where(f"batch = {done}")
     return last_wins(log.unionByName(held), ["batch", "seq"])
 
 
@@ -194,8 +186,8 @@ def merge_log(spark: SparkSession, root: str, upto: int, partitions: int | None
         return
     rows = pending(spark, root, upto)
     final = without_tail(rows)
-    held = rows.join(final, [*KEY], "left_anti").withColumn("seq", F.lit(-1).cast("long"))
-    held.select("seq", *KLINE_COLUMNS).write.mode("overwrite").parquet(f"{root}/held/batch={upto}")
+    held = rows.join(final, [*KEY], "left_anti")
+    held.selectExpr("-1L as seq", *KLINE_COLUMNS).write.mode("overwrite").parquet(f"{root}/held/batch={upto}")
     upsert(spark, root, final, partitions=partitions)
     spark.createDataFrame([(upto,)], "upto long").write.mode("append").parquet(f"{root}/merged")
 
@@ -214,8 +206,7 @@ def meta(spark: SparkSession, root: str) -> DataFrame:
 
 
 def with_meta_key(rows: DataFrame) -> DataFrame:
-    names = ("exchange", "symbol", "interval", "trading_type", "cache_type")
-    return rows.withColumn("key_sha256_hash", meta_key(*[F.col(c) for c in names]))
+    return rows.selectExpr("*", f"{meta_key()} as key_sha256_hash")
 
 
 def upsert_meta(spark: SparkSession, root: str, incoming: DataFrame) -> None:

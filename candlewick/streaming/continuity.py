@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.operators.check import check
@@ -34,18 +33,18 @@ def watch(
         else:
             tails = seed if seed is not None else spark.createDataFrame([], KLINE)
         # One row per series; Spark broadcasts it if it is small.
-        newest = tails.select(*SERIES, F.col("open_time").alias("tail_time"))
+        newest = tails.selectExpr(*SERIES, "open_time as tail_time")
         arrived = last_wins(batch.select(*KLINE_COLUMNS, "seq"), ["seq"]).join(newest, [*SERIES], "left")
-        in_order = F.col("tail_time").isNull() | (F.col("open_time") > F.col("tail_time"))
-        rows = tails.unionByName(arrived.where(in_order).drop("tail_time"))
-        judged = check(rows.select(*KLINE_COLUMNS), span=span)
+        late = "coalesce(open_time <= tail_time, false)"
+        rows = tails.unionByName(arrived.where(f"not {late}").select(*KLINE_COLUMNS))
+        judged = check(rows, span=span)
 
         def write(df: DataFrame, name: str) -> None:
             df.write.mode("overwrite").parquet(f"{root}/{name}/batch={number}")
 
-        write(judged.where(F.col("next_open").isNotNull()).select(*VERDICT_COLUMNS), "verdicts")
-        write(arrived.where(~in_order).select(*KLINE_COLUMNS), "late")
-        write(judged.where(F.col("next_open").isNull()).select(*KLINE_COLUMNS), "tails")
+        write(judged.where("next_open is not null").select(*VERDICT_COLUMNS), "verdicts")
+        write(arrived.where(late).select(*KLINE_COLUMNS), "late")
+        write(judged.where("next_open is null").select(*KLINE_COLUMNS), "tails")
 
     return (
         candles.writeStream.foreachBatch(judge)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,17 +34,16 @@ def kafka_feed(spark: SparkSession, servers: str, topic: str, **options: str) ->
 
 
 def refresh(
-    feed: DataFrame, root: str, checkpoint: str, merge_every: int = 0, order: Column | None = None, **trigger
+    feed: DataFrame, root: str, checkpoint: str, merge_every: int = 0, order: str = "seq", **trigger
 ) -> StreamingQuery:
     """Append the closed candles of ``feed`` to the store's log, and merge the
     log into the table every ``merge_every`` batches (0: leave that to a job).
 
     Candles may come late, repeatedly or corrected: the last one by batch and
-    ``order`` (default: column ``seq``) wins, and a replayed batch replaces itself.
+    ``order`` (a number per element) wins, and a replayed batch replaces itself.
     """
     spark = feed.sparkSession
-    sequence = F.coalesce(F.col("seq") if order is None else order, F.lit(0).cast("long"))
-    candles = to_candles(closed(feed.withColumn("seq", sequence)), "seq")
+    candles = to_candles(closed(feed.withColumn("seq", F.expr(f"coalesce({order}, 0L)"))), "seq")
 
     def store_batch(batch: DataFrame, number: int) -> None:
         store.append_log(batch, root, number)

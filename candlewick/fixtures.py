@@ -85,6 +85,17 @@ def order_candles(spark: SparkSession, sf_dir: str, interval: str, exchange: str
     return _candles(ticks, exchange, interval)
 
 
+def lineitem_candles(spark: SparkSession, sf_dir: str, exchange: str = "bybit") -> DataFrame:
+    """Daily candles of every supplier: many series with gaps, for the benchmark."""
+    ticks = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "l_suppkey || '/USD' as symbol",
+        f"{seconds('l_shipdate')} as t",
+        "cast(l_extendedprice as decimal(18,2)) as price",
+        "l_orderkey * 10 + l_linenumber as tie",
+    )
+    return _candles(ticks, exchange, "1d")
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unchecked candles of three kinds: hours, days with gaps, calendar months."""
     parts = [

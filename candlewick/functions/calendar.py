@@ -77,6 +77,13 @@ def months_ago(date: str, today: str) -> str:
     return f"((year({today}) - year({date})) * 12 + month({today}) - month({date}))"
 
 
+def part_of(interval: str, epoch: str) -> str:
+    """Folder a candle is stored in: the month of minute candles, the year of
+    hour candles, one folder for longer ones. Grows with time within an interval."""
+    day = f"cast({date_of(epoch)} as string)"
+    return f"case right({interval}, 1) when 'm' then left({day}, 7) when 's' then left({day}, 7) when 'h' then left({day}, 4) else 'all' end"
+
+
 def interval_seconds(interval: str = "interval", anchor: str | None = None, month_days: int = 28) -> str:
     """Length of an interval in seconds.
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from candlewick import store
 from candlewick.dims import EXCHANGES, INTERVALS
@@ -14,7 +13,8 @@ from candlewick.operators import profile as profiles
 from candlewick.operators import reader, repair, streams
 from candlewick.plans.backfill import backfill_plan
 from candlewick.plans.manifest import archive_manifest
-from candlewick.schema import KLINE_COLUMNS, SERIES, SPOT
+from candlewick.schema import ERROR, KEY, SPOT
+from candlewick.session import staged
 
 RESULTS = ("frame", "streams", "nested_streams")
 
@@ -38,7 +38,7 @@ class CandleHistory:
     def _requests(self, requests: DataFrame) -> DataFrame:
         if "trading_type" in requests.columns:
             return requests
-        return requests.withColumn("trading_type", F.lit(self.trading_type))
+        return requests.selectExpr("*", f"'{self.trading_type}' as trading_type")
 
     # Load
 
@@ -118,11 +118,11 @@ class CandleHistory:
     def check_and_store(self, start_from: int = 0, as_of: int | None = None, last_n: int | None = None) -> DataFrame:
         """Check, write the changed statuses, and return the errors."""
         checked = self.check(start_from, as_of, last_n)
-        folder = store.new_dir(self.spark, "checked")
-        checks.status_changes(checked).write.parquet(f"{folder}/changes")
-        checks.errors(checked).write.parquet(f"{folder}/errors")
-        store.write_status(self.spark, self.root, self.spark.read.parquet(f"{folder}/changes"))
-        return self.spark.read.parquet(f"{folder}/errors")
+        # Errors and changes come from one pass; the rest of the candles is not kept.
+        found = checked.select(*KEY, "close_time", "status", "next_open", "checked")
+        found = staged(found.where(f"checked = '{ERROR}' or not (checked <=> status)"), "checked")
+        store.set_status(self.spark, self.root, checks.status_changes(found))
+        return checks.errors(found)
 
     def repair(self, errors: DataFrame, candidates: DataFrame) -> DataFrame:
         """Merge the acceptable answers to ``errors`` and return the merged candles.
@@ -135,10 +135,8 @@ class CandleHistory:
             good = repair.accepted_candles(requests, candidates)
         else:
             good = repair.accepted_from_pool(requests, candidates)
-        folder = store.new_dir(self.spark, "repair")
-        good.write.parquet(folder)
-        good = self.spark.read.parquet(folder)
-        self.upsert(good.select(*KLINE_COLUMNS))
+        good = staged(good, "repair")
+        self.upsert(good)
         return good
 
     def check_and_repair(
@@ -170,4 +168,3 @@ class CandleHistory:
         return int(time.time()) if as_of is None else as_of
 
 
-__all__ = ["RESULTS", "SERIES", "CandleHistory"]

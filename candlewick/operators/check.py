@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions.calendar import interval_seconds, time_text, year_of
+from candlewick.functions.calendar import interval_seconds, part_of, time_text
 from candlewick.operators.chunks import SPAN, with_next_open
 from candlewick.schema import ERROR, KEY, OK, SERIES
 
@@ -27,9 +27,9 @@ def check(candles: DataFrame, start_from: int | str = 0, span: int = SPAN) -> Da
     if limited:
         earliest = f"greatest({start_from} - {LOOK_BACK} * {interval_seconds(month_days=31)}, 0)"
         candles = candles.where(f"open_time >= {earliest}")
-        if "year" in candles.columns:
-            # Uses partition columns only, so whole years are skipped.
-            candles = candles.where(f"year >= {year_of(earliest)}")
+        if "part" in candles.columns:
+            # Uses partition columns only, so whole folders are skipped.
+            candles = candles.where(f"part >= {part_of('interval', earliest)}")
     linked = with_next_open(candles, span)
     if limited:
         linked = linked.where(f"{start_from} < series_last")

@@ -4,26 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from candlewick.functions.calendar import year_of
+from candlewick.functions.calendar import part_of
 from candlewick.schema import OK, PRICES, SERIES, UNCHECKED
 
 
 def in_range(candles: DataFrame, start_from: int = 0, until_to: int | None = None) -> DataFrame:
     """Candles that open at or after ``start_from`` and close at or before ``until_to``.
 
-    Where the rows carry the ``year`` partition column its bounds are added,
-    so whole years are never listed or read.
+    Where the rows carry the ``part`` partition column its bounds are added,
+    so folders out of range are not read.
     """
     if not isinstance(start_from, int) or not isinstance(until_to, (int, type(None))):
         raise ValueError("start_from and until_to count epoch seconds")
     conditions = [f"open_time >= {start_from}"]
     if until_to is not None:
         conditions.append(f"close_time <= {until_to}")
-    if "year" in candles.columns:
-        conditions.append(f"year >= {year_of(str(start_from))}")
+    if "part" in candles.columns:
+        conditions.append(f"part >= {part_of('interval', str(start_from))}")
         if until_to is not None:
             # A stored candle never closes before it opens, see store.writable.
-            conditions.append(f"year <= {year_of(str(until_to))}")
+            conditions.append(f"part <= {part_of('interval', str(until_to))}")
     return candles.where(" and ".join(conditions))
 
 

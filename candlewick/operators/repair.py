@@ -11,6 +11,7 @@ from candlewick.operators.check import check
 from candlewick.operators.chunks import SPAN, nearest
 from candlewick.operators.merge import last_wins
 from candlewick.schema import KLINE_COLUMNS, OK, SERIES
+from candlewick.session import staged
 
 BATCH = (*SERIES, "request_start")
 
@@ -72,8 +73,12 @@ def accepted_from_pool(requests: DataFrame, pool: DataFrame, span: int = SPAN) -
     probed = nearest(
         heads.unionByName(probes, allowMissingColumns=True), "head", "found", "kind", later=True, span=span
     )
-    marks = probed.where(f"kind = 0 and found.good and found.close_time < open_time + {reach}").select(
-        *SERIES, "open_time", "kind"
+    # One row per accepted request, read twice below; written so that it is worked out once.
+    marks = staged(
+        probed.where(f"kind = 0 and found.good and found.close_time < open_time + {reach}").select(
+            *SERIES, "open_time", "kind"
+        ),
+        "accepted",
     )
     rows = pool.selectExpr(*KLINE_COLUMNS, "1 as kind").unionByName(marks, allowMissingColumns=True)
     covered = nearest(rows, "if(kind = 0, open_time, null)", "start", "kind", span=span)

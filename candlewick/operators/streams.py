@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,15 +61,28 @@ def consistent_streams(candles: DataFrame, span: int = SPAN) -> DataFrame:
     )
 
 
-def nested_streams(streams: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """Streams as arrays of candles, one row per stream and time segment.
+def in_segments(streams: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """Add ``segment_no``. A stream may be as long as its series, so it is cut at
+    fixed times: segments of ``segment`` seconds bound the rows of a group."""
+    return streams.selectExpr("*", f"cast(floor(open_time / {segment}) as bigint) as segment_no")
 
-    A stream may be as long as its series, so it is cut at fixed times:
-    ``segment_no`` counts spans of ``segment`` seconds and bounds the array.
-    """
+
+def map_streams(
+    streams: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, segment: int = SEGMENT
+) -> DataFrame:
+    """Run ``work`` on the candles of each stream segment, as a pandas frame in time order."""
+
+    def ordered(candles: pd.DataFrame) -> pd.DataFrame:
+        return work(candles.sort_values("open_time", ignore_index=True))
+
+    return in_segments(streams, segment).groupBy(*SERIES, "stream_no", "segment_no").applyInPandas(ordered, schema)
+
+
+def nested_streams(streams: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """Streams as arrays of candles in time order, one row per stream and segment."""
     inner = [c for c in streams.columns if c not in (*SERIES, "stream_no", "open_time")]
     return (
-        streams.selectExpr("*", f"cast(floor(open_time / {segment}) as bigint) as segment_no")
+        in_segments(streams, segment)
         .groupBy(*SERIES, "stream_no", "segment_no")
         .agg(F.expr(f"array_sort(collect_list(struct(open_time, {', '.join(inner)}))) as candles"))
     )

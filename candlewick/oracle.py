@@ -240,7 +240,7 @@ ORACLE["payload_drift"] = _with(
     """kinds AS (SELECT exchange, CAST(ts AS DATE) AS day, string_agg(DISTINCT json_structure(body)::VARCHAR) AS kind
   FROM bodies WHERE json_valid(body) GROUP BY ALL)""",
 ) + """
-SELECT exchange, day, coalesce(kind <> lag(kind) OVER (PARTITION BY exchange ORDER BY day), false) AS drifted FROM kinds"""
+SELECT exchange, CAST(day AS VARCHAR) AS day, coalesce(kind <> lag(kind) OVER (PARTITION BY exchange ORDER BY day), false) AS drifted FROM kinds"""
 ORACLE["payload_parity"] = "SELECT event_id, event_id % 3 <> 0 AS same FROM events"
 
 # Catalogs and requests
@@ -310,10 +310,11 @@ _MONTHS = """series AS (SELECT DISTINCT 'binance' AS exchange, 'SPOT' AS trading
   daily AS (SELECT *, CAST(unnest(generate_series(month, last_day(month), INTERVAL 1 DAY)) AS DATE) AS day FROM months),
   days AS (SELECT *, bare || 'USD-1h-' || strftime(day, '%Y-%m-%d') || '.zip' AS file FROM daily)"""
 ORACLE["archive_manifest"] = _with(_MONTHS) + f"""
-SELECT {SERIES}, month, 'monthly' AS kind, file FROM monthly UNION ALL SELECT {SERIES}, month, 'daily', file FROM days"""
+SELECT {SERIES}, CAST(month AS VARCHAR) AS month, 'monthly' AS kind, file FROM monthly
+UNION ALL SELECT {SERIES}, CAST(month AS VARCHAR), 'daily', file FROM days"""
 ORACLE["archive_manifest_landed"] = _with(_MONTHS) + f"""
-SELECT {SERIES}, month, 'monthly' AS kind, file FROM monthly WHERE month(month) = 1
-UNION ALL SELECT {SERIES}, month, 'daily', file FROM days WHERE month(month) <> 1 AND day(day) % 2 = 0"""
+SELECT {SERIES}, CAST(month AS VARCHAR) AS month, 'monthly' AS kind, file FROM monthly WHERE month(month) = 1
+UNION ALL SELECT {SERIES}, CAST(month AS VARCHAR), 'daily', file FROM days WHERE month(month) <> 1 AND day(day) % 2 = 0"""
 ORACLE["archive_ingest"] = _with(_HOURS) + f"""
 SELECT {COLUMNS} FROM hours WHERE (open_time // 86400) % 7 <> 0 AND (open_time // 86400) % 5 <> 0"""
 
@@ -382,9 +383,9 @@ SELECT o_orderkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS text, year(d)::INTEGER A
   date_diff('day', m, CAST(m + to_months(n) AS DATE)) * 86400 AS months_seconds,
   n::BIGINT * 28 * 86400 AS plain_months_seconds, (o_orderkey % 9 + 1) * 604800 AS weeks_seconds,
   epoch_us(m + INTERVAL 1 MONTH) // 1000000 AS next_month_time,
-  CAST(m - INTERVAL 1 MONTH AS DATE) AS previous_month, CAST(m + INTERVAL 1 MONTH AS DATE) AS next_month,
-  CASE WHEN m = DATE '1998-07-01' THEN m ELSE CAST(m + INTERVAL 1 MONTH AS DATE) END AS next_month_until,
-  d - 1 AS previous_day, CASE WHEN d = DATE '1998-07-15' THEN d ELSE d + 1 END AS next_day,
+  CAST(CAST(m - INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS previous_month, CAST(CAST(m + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS next_month,
+  CAST(CASE WHEN m = DATE '1998-07-01' THEN m ELSE CAST(m + INTERVAL 1 MONTH AS DATE) END AS VARCHAR) AS next_month_until,
+  CAST(d - 1 AS VARCHAR) AS previous_day, CAST(CASE WHEN d = DATE '1998-07-15' THEN d ELSE d + 1 END AS VARCHAR) AS next_day,
   least(900000000 - epoch_us(CAST(d AS TIMESTAMP)) // 1000000, 86400) AS since_midnight,
   date_diff('month', m, DATE '1998-07-01')::INTEGER AS months_ago,
   CASE WHEN ms % 1000 = 500 THEN ms // 1000 + (ms // 1000) % 2 ELSE (ms + 500) // 1000 END AS rounded,

@@ -46,14 +46,14 @@ def query(run: Query) -> Query:
 # Reads
 
 
-def _with_year(candles: DataFrame) -> DataFrame:
-    return candles.selectExpr("*", f"{cal.year_of('open_time')} as year")
+def _with_part(candles: DataFrame) -> DataFrame:
+    return candles.selectExpr("*", f"{cal.part_of('interval', 'open_time')} as part")
 
 
 @query
 def range_read(spark, sf):
     """A time range of all series, typed."""
-    found = reader.in_range(_with_year(fx.checked_history(spark, sf)), *EVENT_RANGE)
+    found = reader.in_range(_with_part(fx.checked_history(spark, sf)), *EVENT_RANGE)
     return reader.typed(found)
 
 
@@ -141,7 +141,7 @@ def consistent_streams(spark, sf):
 @query
 def streams_in_range(spark, sf):
     """Streams of stored statuses in a time range."""
-    found = reader.in_range(_with_year(fx.part_checked(fx.history(spark, sf))), *EVENT_RANGE)
+    found = reader.in_range(_with_part(fx.part_checked(fx.history(spark, sf))), *EVENT_RANGE)
     return reader.typed(streams.consistent_streams(found))
 
 
@@ -241,7 +241,7 @@ def upsert_store(spark, sf):
     root = new_dir(spark, "upsert_store")
     store.create(spark, root)
     stored = fx.part_checked(fx.history(spark, sf))
-    _with_year(stored).write.mode("overwrite").partitionBy(*PARTITION).parquet(store.klines_path(root))
+    _with_part(stored).write.mode("overwrite").partitionBy(*PARTITION).parquet(store.klines_path(root))
     store.upsert(spark, root, _incoming(fx.history(spark, sf)), ["seq"])
     return store.scan(spark, root).select(*KLINE_COLUMNS)
 
@@ -323,7 +323,7 @@ def payload_quarantine(spark, sf):
 def payload_drift(spark, sf):
     """Days on which the shape of an exchange's payloads changed."""
     good, _ = payloads.split_payloads(_bodies(spark, sf))
-    return payloads.drift(good).select("exchange", "day", "drifted")
+    return payloads.drift(good).selectExpr("exchange", "cast(day as string) as day", "drifted")
 
 
 @query
@@ -440,10 +440,13 @@ def _event_series(spark: SparkSession, sf: str) -> DataFrame:
     return fx.replaced(profile.first_listed(figures, NOW), last_open="if(symbol = 'CLICK/USD', 0, last_open)")
 
 
+_FILES = (*SERIES, "cast(month as string) as month", "kind", "file")
+
+
 @query
 def archive_manifest(spark, sf):
     """Candidate files per series at 2024-03-20 16:00."""
-    return plan_archives(_event_series(spark, sf), 1710950400).select(*SERIES, "month", "kind", "file")
+    return plan_archives(_event_series(spark, sf), 1710950400).selectExpr(*_FILES)
 
 
 @query
@@ -453,7 +456,7 @@ def archive_manifest_landed(spark, sf):
     every = plan_archives(requests, 1710950400)
     even_day = "cast(left(right(file, 6), 2) as int) % 2 = 0"
     landed = every.where(f"if(kind = 'monthly', month(month) = 1, {even_day})").select("file")
-    return plan_archives(requests, 1710950400, landed).select(*SERIES, "month", "kind", "file")
+    return plan_archives(requests, 1710950400, landed).selectExpr(*_FILES)
 
 
 @query
@@ -580,7 +583,9 @@ def calendar_exprs(spark, sf):
         "from_micros": cal.archive_seconds("t * 1000000 + 999999"),
         "from_millis": cal.archive_seconds("t * 1000 + 499"),
     }
-    return dated.selectExpr(*[f"{e} as {name}" for name, e in columns.items()])
+    dates = ("previous_month", "next_month", "next_month_until", "previous_day", "next_day")
+    texts = {name: f"cast({e} as string)" if name in dates else e for name, e in columns.items()}
+    return dated.selectExpr(*[f"{e} as {name}" for name, e in texts.items()])
 
 
 @query

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 SERIES = ("exchange", "trading_type", "symbol", "interval")
 KEY = (*SERIES, "open_time")
-PARTITION = ("exchange", "interval", "year")
+PARTITION = ("exchange", "interval", "part")
 
 # Candle values an upsert replaces. Prices stay text to keep the exchange's precision.
 VALUES = ("open_price", "close_time", "close_price", "low", "high", "volume")
@@ -35,7 +35,7 @@ KLINE = T.StructType(
     ]
 )
 KLINE_COLUMNS = tuple(KLINE.fieldNames())
-STORED = T.StructType([*KLINE.fields, T.StructField("year", T.IntegerType())])
+STORED = T.StructType([*KLINE.fields, T.StructField("part", T.StringType())])
 
 PAYLOAD = T.StructType(
     [

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "candlewick", **conf: str) -> SparkSession:
@@ -41,3 +41,11 @@ def shared_dir(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` as a written table in the shared folder: worked out once, and the
+    same rows however often a later task reads them."""
+    folder = new_dir(rows.sparkSession, label)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)

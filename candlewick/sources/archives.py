@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,21 +22,20 @@ _FIELDS = {"open_time": 0, "open_price": 1, "high": 2, "low": 3, "close_price":
 _LINES = 20_000
 
 
+def _lines(file: str, content: bytes) -> Iterator[tuple[str, int, str]]:
+    """Numbered lines of the first member of an archive."""
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        with io.TextIOWrapper(archive.open(archive.infolist()[0]), "utf-8") as text:
+            for pos, line in enumerate(text):
+                yield file, pos, line.rstrip("\r\n")
+
+
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Lines of the first member of each archive, numbered."""
-    for batch in batches:
-        for file, content in zip(batch["file"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                with io.TextIOWrapper(archive.open(archive.infolist()[0]), "utf-8") as text:
-                    lines: list[str] = []
-                    first = 0
-                    for line in text:
-                        lines.append(line.rstrip("\r\n"))
-                        if len(lines) == _LINES:
-                            yield pd.DataFrame({"file": file, "pos": range(first, first + len(lines)), "line": lines})
-                            first += len(lines)
-                            lines = []
-                    yield pd.DataFrame({"file": file, "pos": range(first, first + len(lines)), "line": lines})
+    lines = chain.from_iterable(
+        _lines(file, content) for batch in batches for file, content in zip(batch["file"], batch["content"])
+    )
+    while part := list(islice(lines, _LINES)):
+        yield pd.DataFrame(part, columns=["file", "pos", "line"])
 
 
 def landed_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

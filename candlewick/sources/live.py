@@ -47,15 +47,18 @@ def live_tail(elements: DataFrame) -> DataFrame:
     the closed ones, and of those all but the newest on exchanges that do not
     tell whether a candle is closed.
     """
+    age = "row_number() over (partition by exchange, symbol, interval order by open_time desc)"
     # The constant limit lets Spark cut each series to 27 rows before the shuffle.
     recent = (
-        elements.selectExpr(
-            "*", "row_number() over (partition by exchange, symbol, interval order by open_time desc) as age"
-        )
+        elements.selectExpr("*", f"{age} as age")
         .where(f"age <= {LAST_N_1M}")
         .where(f"age <= {LAST_N} or interval = '1m'")
     )
-    return without_tail(to_candles(closed(recent)))
+    unsure = ", ".join(f"'{name}'" for name in DROP_TAIL)
+    kept = closed(recent).selectExpr("*", f"{age} as closed_age").where(
+        f"exchange not in ({unsure}) or closed_age > 1"
+    )
+    return to_candles(kept)
 
 
 def without_tail(candles: DataFrame) -> DataFrame:

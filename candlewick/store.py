@@ -2,7 +2,7 @@
 
 Layout under a root folder::
 
-    klines/exchange=/interval=/year=/   the table, files sorted by symbol and time
+    klines/exchange=/interval=/part=/   the table, files sorted by symbol and time
     log/batch=N/                        candles of live batches, not yet merged
     held/batch=N/                       candles held back when batch N was merged
     merged/                             how far the log has been merged
@@ -18,15 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from candlewick.functions.calendar import year_of
+from candlewick.functions.calendar import part_of
 from candlewick.functions.text import meta_key
 from candlewick.operators.merge import last_wins, merge_klines, merge_meta, merge_status
 from candlewick.schema import KEY, KLINE_COLUMNS, META, META_KEY, PARTITION, STORED
-from candlewick.session import new_dir
+from candlewick.session import staged
 from candlewick.sources.live import without_tail
 
 LOG_SCHEMA = "batch long, seq long, " + ", ".join(
-    f"{f.name} {f.dataType.simpleString()}" for f in STORED if f.name != "year"
+    f"{f.name} {f.dataType.simpleString()}" for f in STORED if f.name != "part"
 )
 
 
@@ -53,7 +53,7 @@ def scan(
     interval: str | None = None,
     trading_type: str | None = None,
 ) -> DataFrame:
-    """Stored candles with ``year``; exchange and interval prune folders, the symbol
+    """Stored candles with ``part``; exchange and interval prune folders, the symbol
     skips row groups."""
     candles = spark.read.schema(STORED).parquet(klines_path(root))
     wanted = {"exchange": exchange, "interval": interval, "symbol": symbol, "trading_type": trading_type}
@@ -64,7 +64,7 @@ def scan(
 
 
 def writable(candles: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Candles ready to write: with ``year``, and cut by ranges of the sort order.
+    """Candles ready to write: with ``part``, and cut by ranges of the sort order.
 
     Ranges follow the data, so a folder that holds much of the table is spread
     over many tasks, a task writes into few folders, and every file covers
@@ -72,7 +72,7 @@ def writable(candles: DataFrame, partitions: int | None = None) -> DataFrame:
     """
     order = [*PARTITION, "symbol", "open_time"]
     forward = "assert_true(close_time >= open_time, 'a candle closes before it opens') is null"
-    ready = candles.where(forward).selectExpr(*KLINE_COLUMNS, f"{year_of('open_time')} as year")
+    ready = candles.where(forward).selectExpr(*KLINE_COLUMNS, f"{part_of('interval', 'open_time')} as part")
     ranged = ready.repartitionByRange(partitions, *order) if partitions else ready.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order)
 
@@ -91,19 +91,19 @@ def _write(candles: DataFrame, path: str, partitions: int | None) -> None:
 def touched(rows: DataFrame) -> str:
     """Condition for the stored folders that ``rows`` fall in.
 
-    Collects the folder names: exchanges x intervals x years, a few thousand at most.
+    Collects the folder names: exchanges x intervals x months, a few thousand at most.
     """
     folders = (
-        rows.selectExpr("exchange", "interval", f"{year_of('open_time')} as year")
+        rows.selectExpr("exchange", "interval", f"{part_of('interval', 'open_time')} as part")
         .groupBy("exchange", "interval")
-        .agg(F.expr("collect_set(year) as years"))
+        .agg(F.expr("collect_set(part) as parts"))
         .collect()
     )
-    parts = [
-        f"(exchange = '{f.exchange}' and interval = '{f.interval}' and year in ({', '.join(map(str, f.years))}))"
+    conditions = [
+        f"(exchange = {f.exchange!r} and interval = {f.interval!r} and part in ({', '.join(map(repr, f.parts))}))"
         for f in folders
     ]
-    return " or ".join(parts) or "false"
+    return " or ".join(conditions) or "false"
 
 
 def upsert(
@@ -118,32 +118,47 @@ def upsert(
     ``order`` columns rank candles of the same key, the last one wins; without
     it the keys must be unique. The folders are replaced when all tasks are
     done, one after the other; readers that need all at once use ``snapshot``.
+    ``partitions`` is the number of write tasks, by default the session's
+    number of shuffle partitions.
     """
-    rows = last_wins(incoming, order) if order else incoming
+    rows = staged(last_wins(incoming, order) if order else incoming.select(*KLINE_COLUMNS), "incoming")
     stored = scan(spark, root).where(touched(rows))
     _write(merge_klines(stored, rows), klines_path(root), partitions)
 
 
 def snapshot(
-    spark: SparkSession, root: str, incoming: DataFrame, target: str, order: Sequence[str] = (), partitions: int | None = None
+    spark: SparkSession,
+    root: str,
+    incoming: DataFrame,
+    target: str,
+    order: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> None:
     """As ``upsert``, but write the whole merged table to a new root."""
-    rows = last_wins(incoming, order) if order else incoming
+    rows = staged(last_wins(incoming, order) if order else incoming.select(*KLINE_COLUMNS), "incoming")
+    _write(_overlaid(scan(spark, root), rows), klines_path(target), partitions)
+
+
+def _overlaid(stored: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stored candles with ``rows`` merged in; folders without a new row take no part in the join."""
     inside = touched(rows)
-    stored = scan(spark, root)
-    merged = merge_klines(stored.where(inside), rows)
-    whole = merged.unionByName(stored.where(f"not ({inside})").select(*KLINE_COLUMNS))
-    _write(whole, klines_path(target), partitions)
+    outside = stored.where(f"not ({inside})").select(*KLINE_COLUMNS)
+    return merge_klines(stored.where(inside), rows).unionByName(outside)
 
 
 def write_status(spark: SparkSession, root: str, changes: DataFrame, partitions: int | None = None) -> None:
     """Set the status of the keys in ``changes``; folders without a change stay untouched."""
-    stored = scan(spark, root).where(touched(changes))
-    _write(merge_status(stored, changes), klines_path(root), partitions)
+    set_status(spark, root, staged(changes, "changes"), partitions)
+
+
+def set_status(spark: SparkSession, root: str, rows: DataFrame, partitions: int | None = None) -> None:
+    """``write_status`` of rows that are staged already."""
+    stored = scan(spark, root).where(touched(rows))
+    _write(merge_status(stored, rows), klines_path(root), partitions)
 
 
 # Live batches are appended to a log and merged in bulk, so that a few new
-# candles do not rewrite a year of all symbols.
+# candles do not rewrite a month of all symbols.
 
 
 def append_log(candles: DataFrame, root: str, batch: int) -> None:
@@ -192,10 +207,12 @@ def merge_log(spark: SparkSession, root: str, upto: int, partitions: int | None
     spark.createDataFrame([(upto,)], "upto long").write.mode("append").parquet(f"{root}/merged")
 
 
-def current(spark: SparkSession, root: str) -> DataFrame:
-    """The table as it will be once the log is merged."""
-    stored = scan(spark, root).select(*KLINE_COLUMNS)
-    return merge_klines(stored, without_tail(pending(spark, root)))
+def current(spark: SparkSession, root: str, **series: str) -> DataFrame:
+    """The table as it will be once the log is merged; ``series`` as in ``scan``."""
+    waiting = without_tail(pending(spark, root))
+    for name, value in series.items():
+        waiting = waiting.where(F.col(name) == value)
+    return _overlaid(scan(spark, root, **series), waiting)
 
 
 # Metadata: one row per series and kind, a few columns.
@@ -211,10 +228,8 @@ def with_meta_key(rows: DataFrame) -> DataFrame:
 
 def upsert_meta(spark: SparkSession, root: str, incoming: DataFrame) -> None:
     """Merge metadata rows (unique by key)."""
-    merged = merge_meta(meta(spark, root), incoming).select(*META_KEY, "data")
-    staged = new_dir(spark, "meta")
-    merged.write.parquet(staged)
-    spark.read.schema(META).parquet(staged).write.mode("overwrite").parquet(f"{root}/meta")
+    merged = staged(merge_meta(meta(spark, root), incoming).select(*META_KEY, "data"), "meta")
+    merged.write.mode("overwrite").parquet(f"{root}/meta")
 
 
 def lookup_meta(requests: DataFrame, stored: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.operators.check import check
@@ -11,6 +13,14 @@ from candlewick.operators.merge import last_wins
 from candlewick.schema import KEY, KLINE, KLINE_COLUMNS, SERIES
 
 VERDICT_COLUMNS = (*KEY, "close_time", "next_open", "checked")
+JUDGED = T.StructType(
+    [
+        *KLINE.fields,
+        T.StructField("next_open", T.LongType()),
+        T.StructField("checked", T.StringType()),
+        T.StructField("kind", T.StringType()),
+    ]
+)
 
 
 def watch(
@@ -18,33 +28,37 @@ def watch(
 ) -> StreamingQuery:
     """Judge each candle of a stream (with ``seq``) once its successor is known.
 
-    Written per batch below ``root``: ``verdicts`` on candles whose successor
-    came, ``tails`` with the newest candle of each series, which is the state
-    the next batch starts from, and ``late`` candles at or before that state.
-    A late candle may change verdicts already given, so it is left to the next
-    batch check. ``seed`` gives the newest stored candle of each series to
-    start from. A replayed batch reads the same state and replaces its output.
+    Every batch writes three kinds of rows below ``root/judged/batch=N``: ``verdict``,
+    candles whose successor came; ``tail``, the newest candle of each series,
+    which is the state the next batch starts from; and ``late``, candles at or
+    before that state. A late candle may change verdicts already given, so it
+    is left to the next batch check. ``seed`` gives the newest stored candle
+    of each series to start from. A replayed batch reads the same state and
+    replaces its output.
     """
     spark = candles.sparkSession
 
     def judge(batch: DataFrame, number: int) -> None:
         if number:
-            tails = spark.read.schema(KLINE).parquet(f"{root}/tails/batch={number - 1}")
+            before = spark.read.schema(JUDGED).parquet(f"{root}/judged/batch={number - 1}")
+            tails = before.where("kind = 'tail'").select(*KLINE_COLUMNS)
         else:
             tails = seed if seed is not None else spark.createDataFrame([], KLINE)
         # One row per series; Spark broadcasts it if it is small.
         newest = tails.selectExpr(*SERIES, "open_time as tail_time")
         arrived = last_wins(batch.select(*KLINE_COLUMNS, "seq"), ["seq"]).join(newest, [*SERIES], "left")
         late = "coalesce(open_time <= tail_time, false)"
-        rows = tails.unionByName(arrived.where(f"not {late}").select(*KLINE_COLUMNS))
-        judged = check(rows, span=span)
-
-        def write(df: DataFrame, name: str) -> None:
-            df.write.mode("overwrite").parquet(f"{root}/{name}/batch={number}")
-
-        write(judged.where("next_open is not null").select(*VERDICT_COLUMNS), "verdicts")
-        write(arrived.where(late).select(*KLINE_COLUMNS), "late")
-        write(judged.where("next_open is null").select(*KLINE_COLUMNS), "tails")
+        in_order = arrived.where(f"not {late}").select(*KLINE_COLUMNS)
+        judged = check(tails.unionByName(in_order), span=span).selectExpr(
+            *KLINE_COLUMNS, "next_open", "checked", "if(next_open is null, 'tail', 'verdict') as kind"
+        )
+        aside = arrived.where(late).selectExpr(*KLINE_COLUMNS, "'late' as kind")
+        (
+            judged.unionByName(aside, allowMissingColumns=True)
+            .write.mode("overwrite")
+            .partitionBy("kind")
+            .parquet(f"{root}/judged/batch={number}")
+        )
 
     return (
         candles.writeStream.foreachBatch(judge)
@@ -54,8 +68,10 @@ def watch(
     )
 
 
+def judged(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """All rows of a kind written so far."""
+    return spark.read.schema(JUDGED).parquet(f"{root}/judged").where(F.col("kind") == kind)
+
+
 def verdicts(spark: SparkSession, root: str) -> DataFrame:
-    """All verdicts given so far."""
-    types = {f.name: f.dataType.simpleString() for f in KLINE}
-    schema = ", ".join(f"{c} {types.get(c, 'long' if c == 'next_open' else 'string')}" for c in VERDICT_COLUMNS)
-    return spark.read.schema(schema).parquet(f"{root}/verdicts").select(*VERDICT_COLUMNS)
+    return judged(spark, root, "verdict").select(*VERDICT_COLUMNS)

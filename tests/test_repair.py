@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import random
+
+from helpers import LENGTH, by_series, candle, epoch, frame, length, plain_check, random_series
+from pyspark.sql.types import IntegerType, LongType
+
+from candlewick.operators import check as checks
+from candlewick.operators import repair
+from candlewick.operators.chunks import nearest
+from candlewick.schema import ERROR, KEY, KLINE_COLUMNS
+
+T = epoch(2024, 1, 1)
+
+
+def batches(spark, *groups):
+    rows = [(*c, start, pos) for start, candles in groups for pos, c in enumerate(candles)]
+    schema = frame(spark, []).schema.add("request_start", LongType()).add("pos", IntegerType())
+    return spark.createDataFrame(rows, schema)
+
+
+def test_requests_start_half_an_interval_early(spark):
+    rows = [candle(T, interval=i) for i in ("1m", "1h", "1mo")]
+    found = {r.interval: r.error_time - r.request_start for r in repair.repair_requests(frame(spark, rows)).collect()}
+    assert found == {"1m": 30, "1h": 1800, "1mo": 31 * 43200}
+
+
+def test_head_pair(spark):
+    feb = epoch(2024, 2, 1)
+    groups = [
+        (1, [candle(T), candle(T + 3600), candle(T + 9000)]),  # the third is not looked at
+        (2, [candle(T), candle(T + 7200)]),  # gap
+        (3, [candle(T, T + 3540), candle(T + 3540)]),  # too short
+        (4, [candle(T)]),  # alone
+        (5, [candle(feb, interval="1mo"), candle(epoch(2024, 3, 1), interval="1mo")]),
+        (6, [candle(feb, feb + 31 * 86400, interval="1mo"), candle(feb + 31 * 86400, interval="1mo")]),
+    ]
+    found = {r.request_start: r.accepted for r in repair.batch_verdicts(batches(spark, *groups)).collect()}
+    assert found == {1: True, 2: False, 3: False, 4: False, 5: True, 6: False}
+
+
+def test_later_answer_wins_and_only_wanted_ones_count(spark):
+    errors = frame(spark, [candle(T, status=ERROR), candle(T + 3600, status=ERROR)])
+    requests = repair.repair_requests(errors)
+    groups = [
+        (T - 1800, [candle(T, price="1"), candle(T + 3600, price="1")]),
+        (T + 1800, [candle(T + 3600, price="2"), candle(T + 7200, price="2")]),
+        (T + 5400, [candle(T + 7200, price="3"), candle(T + 10800, price="3")]),  # nobody asked
+    ]
+    found = repair.accepted_candles(requests, batches(spark, *groups))
+    assert {r.open_time: r.open_price for r in found.collect()} == {T: "1", T + 3600: "2", T + 7200: "2"}
+
+
+def plain_pool(errors, pool, limit=1000):
+    """Fetch for each error in turn."""
+    taken = set()
+    candles = by_series(pool)
+    for e in errors:
+        step = 31 * 86400 if e[3] == "1mo" else LENGTH[e[3]]
+        start = e[4] - step // 2
+        reply = [c for c in candles.get(e[:4], []) if start <= c[4] < start + limit * step]
+        if len(reply) >= 2 and reply[0][6] - reply[0][4] == length(e[3], reply[0][4]) and reply[0][6] == reply[1][4]:
+            taken |= set(reply)
+    return taken
+
+
+def test_pool_like_a_loop(spark):
+    for interval, seed in (("1h", 7), ("1mo", 8)):
+        pool = random_series(seed, 50, interval)
+        draw = random.Random(seed)
+        stored = [c for c in pool if draw.random() < 0.6]
+        wrong = {k for k, (_, verdict) in plain_check(stored).items() if verdict == ERROR}
+        errors = [c for c in stored if c[:5] in wrong]
+        expected = plain_pool(errors, pool)
+        assert expected
+        for span in (1 << 23, 50_000):
+            found_errors = checks.errors(checks.check(frame(spark, stored), span=span))
+            found = repair.accepted_from_pool(repair.repair_requests(found_errors), frame(spark, pool), span)
+            assert {tuple(r[c] for c in KLINE_COLUMNS) for r in found.collect()} == expected
+
+
+def test_pool_reach(spark):
+    """okx answers a hundred candles, no more."""
+    pool = [candle(T + i * 3600, exchange="okx") for i in range(300)]
+    requests = repair.repair_requests(frame(spark, [pool[10], pool[50]]))
+    found = sorted(r.open_time for r in repair.accepted_from_pool(requests, frame(spark, pool)).collect())
+    assert found == [T + i * 3600 for i in range(10, 150)]
+
+
+def test_nearest(spark):
+    draw = random.Random(3)
+    rows = []
+    for n in range(30):
+        for t in sorted(draw.sample(range(0, 50_000), draw.randrange(1, 80))):
+            rows.append(("e", "SPOT", f"S{n}", "1h", t, 0, draw.choice([None, None, t])))
+    df = spark.createDataFrame(
+        rows, "exchange string, trading_type string, symbol string, interval string, open_time long, tie int, v long"
+    )
+    for later in (False, True):
+        for span in (1000, 7000, 1 << 23):
+            found = {tuple(r[c] for c in KEY): r.near for r in nearest(df, "v", "near", "tie", later, span).collect()}
+            for r in rows:
+                known = [o[6] for o in rows if o[:4] == r[:4] and o[6] is not None]
+                reach = [v for v in known if (v >= r[4] if later else v <= r[4])]
+                assert found[r[:5]] == ((min(reach) if later else max(reach)) if reach else None)

@@ -73,6 +73,7 @@ class Exchange:
     limit: int
     recent_limit: int | None = None
     native_separator: str = ""
+    separator_counts: bool = False
     native_intervals: dict[str, str] = field(default_factory=dict)
     first_year_month: tuple[int, int] | None = None
     has_archive: bool = False
@@ -152,6 +153,7 @@ EXCHANGES: dict[str, Exchange] = {
         catalog=Catalog(root="$.data.symbols", joined="symbol"),
         limit=500,
         native_separator="-",
+        separator_counts=True,
         native_intervals={**_SAME, "1mo": "1M"},
         drop_live_tail=True,
     ),

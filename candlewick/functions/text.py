@@ -30,9 +30,15 @@ def native_symbol(exchange: str = "exchange", symbol: str = "symbol") -> str:
     return f"upper(replace({symbol}, '/', if({exchange} in ({dashed}), '-', '')))"
 
 
-def bare_symbol(symbol: str) -> str:
-    """A symbol without case or separator, for comparing native and unified names."""
-    return f"lower(translate({symbol}, '/-', ''))"
+def bare_symbol(symbol: str, unified: bool, exchange: str = "exchange") -> str:
+    """A symbol as it is compared with others of the exchange: lower case and, unless
+    the exchange tells symbols apart by it, without the separator."""
+    kept = ", ".join(f"'{name}'" for name, e in EXCHANGES.items() if e.separator_counts)
+    dashed = ", ".join(f"'{name}'" for name, e in EXCHANGES.items() if e.native_separator == "-")
+    separator = "'/'" if unified else f"if({exchange} in ({dashed}), '-', '/')"
+    return (
+        f"lower(if({exchange} in ({kept}), replace({symbol}, '/', '-'), replace({symbol}, {separator})))"
+    )
 
 
 def is_json(text: str) -> str:
@@ -49,5 +55,19 @@ def structure_of_all(body: str) -> str:
     return _plain(f"schema_of_variant_agg(try_parse_json({body}))")
 
 
+# What stands between the brackets of a list type, nested three deep at most.
+_ANY = "[^<>]*(<[^<>]*(<[^<>]*(<[^<>]*>[^<>]*)*>[^<>]*)*>[^<>]*)*"
+
+
+def same_structure(one: str, other: str) -> str:
+    """Whether two shapes agree; an empty list agrees with any list."""
+
+    def fits(a: str, b: str) -> str:
+        pattern = rf"concat(r'^\Q', replace({a}, 'ARRAY<VOID>', r'\EARRAY<{_ANY}>\Q'), r'\E$')"
+        return f"{b} rlike {pattern}"
+
+    return f"({one} = {other} or {fits(one, other)} or {fits(other, one)})"
+
+
 def _plain(schema: str) -> str:
     return f"regexp_replace({schema}, 'DECIMAL[(][0-9]+,[0-9]+[)]', 'DOUBLE')"

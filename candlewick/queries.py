@@ -331,7 +331,8 @@ def payload_parity(spark, sf):
     """Whether each event's properties have the shape of the same body with a text value."""
     events = spark.read.parquet(f"{sf}/events.parquet")
     other = f"if(event_id % 3 = 0, {_AS_TEXT}, props)"
-    return events.selectExpr("event_id", f"{names.structure('props')} = {names.structure(other)} as same")
+    shapes = events.selectExpr("event_id", f"{names.structure('props')} as a", f"{names.structure(other)} as b")
+    return shapes.selectExpr("event_id", f"{names.same_structure('a', 'b')} as same")
 
 
 # Catalogs and requests

@@ -53,12 +53,12 @@ def with_unified_symbol(natives: DataFrame, catalog: DataFrame) -> DataFrame:
     """Add the catalog symbol that ``native_symbol`` stands for, the first listed one
     if several do; unknown names stay as they are."""
     names = (
-        catalog.selectExpr("exchange", "symbol", "pos", f"{bare_symbol('symbol')} as bare")
+        catalog.selectExpr("exchange", "symbol", "pos", f"{bare_symbol('symbol', unified=True)} as bare")
         .groupBy("exchange", "bare")
         .agg(F.expr("min_by(symbol, pos) as unified"))
     )
     return (
-        natives.selectExpr("*", f"{bare_symbol('native_symbol')} as bare")
+        natives.selectExpr("*", f"{bare_symbol('native_symbol', unified=False)} as bare")
         .join(names, ["exchange", "bare"], "left")
         .selectExpr(*natives.columns, "coalesce(unified, native_symbol) as symbol")
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from candlewick.dims import EXCHANGES, Layout
 from candlewick.functions.calendar import date_of, interval_seconds, rounded_seconds
-from candlewick.functions.text import is_json, structure_of_all
+from candlewick.functions.text import is_json, same_structure, structure_of_all
 from candlewick.schema import KLINE_COLUMNS, SPOT, UNCHECKED
 
 LAYOUTS: dict[str, Layout] = {name: e.layout for name, e in EXCHANGES.items()}
@@ -33,8 +33,13 @@ def by_exchange(layouts: Mapping[str, Layout], value: Callable[[Layout], str]) -
     return "case " + " ".join(f"when exchange in ({', '.join(n)}) then {text}" for text, n in names.items()) + " end"
 
 
-def _root(x: Layout) -> str:
-    return "body" if x.root == "$" else f"get_json_object(body, '{x.root}')"
+def _items(x: Layout) -> str:
+    """The candle list as one JSON text per item: an odd item spoils itself only."""
+    names = x.root.split(".")[1:]
+    schema = "array<string>"
+    for name in reversed(names):
+        schema = f"struct<{name}:{schema}>"
+    return ".".join([f"from_json(body, '{schema}')", *names])
 
 
 def _success(x: Layout) -> str:
@@ -67,7 +72,7 @@ def _epoch(x: Layout, index: int) -> str:
 def normalise(payloads: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
     """Candles of all payloads, oldest first by ``pos`` within a payload.
 
-    Items that are too short, or whose times are no whole numbers, are left
+    Items that are no list, too short, or without whole numbers as times are left
     out, and so is the candle still in progress. Bodies that are no JSON, of
     an unknown exchange, or with a failure code give nothing.
     """
@@ -81,7 +86,7 @@ def normalise(payloads: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> D
     kept = pick(lambda x: f"filter(items, i -> {_usable(x)})")
     rows = (
         payloads.where(pick(_success))
-        .selectExpr("*", f"from_json({pick(_root)}, 'array<array<string>>') as items")
+        .selectExpr("*", f"transform({pick(_items)}, i -> from_json(i, 'array<string>')) as items")
         .selectExpr("*", f"{kept} as kept")
         .selectExpr("*", f"{pick(lambda x: 'reverse(kept)' if x.newest_first else 'kept')} as ordered")
         .selectExpr(
@@ -126,5 +131,6 @@ def drift(payloads: DataFrame, received: str = "received") -> DataFrame:
         .agg(F.expr(f"{structure_of_all('body')} as structure"))
     )
     # One row per exchange and day: small whatever the number of payloads.
-    before = "lag(structure) over (partition by exchange order by day)"
-    return days.selectExpr("*", f"coalesce({before} <> structure, false) as drifted")
+    return days.selectExpr("*", "lag(structure) over (partition by exchange order by day) as before").selectExpr(
+        *days.columns, f"coalesce(not {same_structure('before', 'structure')}, false) as drifted"
+    )

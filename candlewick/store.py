@@ -170,7 +170,9 @@ def _read(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame
     """A dataset that may not be there yet."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 

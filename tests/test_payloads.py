@@ -85,11 +85,13 @@ def test_close_from_interval(spark):
 
 def test_odd_bodies(spark):
     good = binance_item(T)
+    for body in ('{"data":{"a":1}}', '{"data":5}', '{"code":"200000","data":null}'):
+        assert normalised(spark, "bingx", body) == [], body
     for body in ("", "[", "{}", "null", "[]", '{"code":1}', "12", '"x"'):
         assert normalised(spark, "binance", body) == [], body
     assert normalised(spark, "nowhere", [good, good]) == []
     # Short items, nulls and times that are no numbers are left out, the rest stays.
-    mixed = [good[:11], None, ["x"] + good[1:], good, binance_item(T + 3600)]
+    mixed = [good[:11], None, 5, "x", {"a": 1}, ["x"] + good[1:], good, binance_item(T + 3600)]
     assert [r.open_time for r in normalised(spark, "binance", mixed)] == [T]
 
 
@@ -164,3 +166,11 @@ def test_validation(spark):
         zip(specs, [None, "unknown symbol", "unsupported interval", "unknown exchange", "unsupported interval", None])
     )
     assert catalog.accepted(found).count() == 2 and catalog.rejected(found).count() == 4
+
+
+def test_separator_counts_on_bingx(spark):
+    body = json.dumps({"code": 0, "data": {"symbols": [{"symbol": "AB-C"}, {"symbol": "A-BC"}]}})
+    listed = catalog.symbol_catalog(spark.createDataFrame([("bingx", body)], "exchange string, body string"))
+    natives = spark.createDataFrame([("bingx", "a-bc"), ("bingx", "ABC")], "exchange string, native_symbol string")
+    found = {r.native_symbol: r.symbol for r in catalog.with_unified_symbol(natives, listed).collect()}
+    assert found == {"a-bc": "A/BC", "ABC": "ABC"}

@@ -6,11 +6,13 @@ import re
 
 import pytest
 from helpers import epoch
+from pyspark.sql import functions as F
 
 from candlewick import fixtures as fx
 from candlewick import store
 from candlewick.operators import check as checks
 from candlewick.operators import merge, profile, reader, repair, streams
+from candlewick.operators.chunks import nearest
 from candlewick.queries import QUERIES
 from candlewick.sources import live, payloads
 
@@ -141,3 +143,46 @@ def test_candles_are_never_windowed_by_series(spark):
                 continue
             spec = line.split("windowspecdefinition(")[1]
             assert "chunk" in spec or "tail" in line, (name, line[:200])
+
+
+def shares(df) -> float:
+    """Rows of the fullest task against an even share, without adaptive changes."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        counts = [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    return max(counts) / (sum(counts) / 16)
+
+
+@pytest.fixture(scope="module")
+def one_series(spark):
+    """One series that is the whole table: two thousand days, an hour each."""
+    return spark.range(48_000).selectExpr(
+        "'binance' as exchange", "'SPOT' as trading_type", "'HOT/USD' as symbol", "'1h' as interval",
+        "1500000000 + id * 3600 as open_time", "'1' as open_price", "1500003600 + id * 3600 as close_time",
+        "'1' as close_price", "'1' as low", "'1' as high", "'1' as volume", "'__OK__' as status",
+    )
+
+
+def test_one_series_is_spread_over_tasks(one_series):
+    span = 1 << 18
+    assert shares(checks.check(one_series, span=span)) < 2
+    assert shares(streams.consistent_streams(one_series, span=span)) < 2
+    pool = nearest(one_series.selectExpr("*", "1 as tie"), "open_time", "near", "tie", span=span)
+    assert shares(pool) < 2
+
+
+def test_one_folder_is_written_by_many_tasks(one_series):
+    days = one_series.selectExpr(*[f"'1d' as {c}" if c == "interval" else c for c in one_series.columns])
+    assert shares(store.writable(days, 16)) < 2
+
+
+def test_copies_of_one_key_are_reduced_before_the_shuffle(spark, one_series):
+    columns = [f"1500000000L as {c}" if c == "open_time" else c for c in one_series.columns]
+    copies = one_series.selectExpr(*columns, "close_time as seq")
+    (row,) = merge.last_wins(copies.repartition(8), ["seq"]).collect()
+    assert row.close_time == 1500003600 + 47_999 * 3600

@@ -58,7 +58,10 @@ def main() -> None:
         for name in ("binance", "kucoin", "okx")
     }
     incoming = staged(
-        clean.where(f"{fx.DAY} % 10 = 0").selectExpr("*", "explode(array(1, 2)) as seq"), "bench-incoming"
+        clean.where("open_time >= 1706400000 or open_time between 852076800 and 873000000").selectExpr(
+            "*", "explode(array(1, 2)) as seq"
+        ),
+        "bench-incoming",
     )
     feed = staged(fx.live_elements(clean, "null"), "bench-feed")
     zips, sums = fx.archives(clean.where("interval = '1h'"))

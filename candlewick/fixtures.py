@@ -212,8 +212,8 @@ def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def archives(candles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Daily archives of hourly candles and their checksums.
 
-    Every third day counts in microseconds. Each fifth day has a wrong
-    checksum, each seventh none.
+    Every third day counts in microseconds. Saturdays have a wrong checksum,
+    Sundays none.
     """
     unit = f"if({DAY} % 3 = 0, 1000000L, 1000L)"
     line = (
@@ -225,9 +225,9 @@ def archives(candles: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.expr(f"concat_ws('\n', transform(array_sort(collect_list(struct(open_time, {line} as line))), x -> x.line)) as text")
     )
     zips = texts.mapInPandas(_zip, "file string, content binary")
-    day = "unix_date(to_date(left(right(file, 14), 10)))"
-    sums = zips.where(f"{day} % 7 <> 0").selectExpr(
-        "file", f"if({day} % 5 = 0, repeat('0', 64), sha2(content, 256)) as expected"
+    day = "dayofweek(to_date(left(right(file, 14), 10)))"
+    sums = zips.where(f"{day} <> 1").selectExpr(
+        "file", f"if({day} = 7, repeat('0', 64), sha2(content, 256)) as expected"
     )
     return zips, sums
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,34 +26,62 @@ def merge_rows(
     key: Sequence[str],
     replaced: Sequence[str],
     defaults: dict[str, str],
+    place: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Stored rows after an upsert of ``incoming`` (unique by key).
+    """Stored rows after an upsert of ``incoming`` (both unique by key).
 
     ``replaced`` columns come from the incoming row, missing values included;
     ``defaults`` columns keep their stored value and take the default (an
-    expression) on insert.
+    expression) on insert. Both sides are put together and grouped by key, so
+    each is shuffled once; ``place`` may lay out the rows itself, and if it
+    does so by columns of the key, grouping needs no further shuffle.
     """
-    new = incoming.selectExpr(*key, f"struct({', '.join(replaced)}) as new")
-    old = stored.selectExpr(*key, f"struct({', '.join([*replaced, *defaults])}) as old")
-    return old.join(new, [*key], "full_outer").selectExpr(
-        *key,
-        *[f"if(new is not null, new.{c}, old.{c}) as {c}" for c in replaced],
-        *[f"if(old is not null, old.{c}, {default}) as {c}" for c, default in defaults.items()],
+    both = stored.selectExpr(*key, *replaced, *defaults, "0 as turn").unionByName(
+        incoming.selectExpr(*key, *replaced, *[f"{d} as {c}" for c, d in defaults.items()], "1 as turn")
     )
+    grouped = (place(both) if place else both).groupBy(*key)
+    newest = F.expr(f"max_by(struct({', '.join(replaced)}), turn) as newest")
+    kept = [F.expr(f"min_by({c}, turn) as {c}") for c in defaults]
+    return grouped.agg(newest, *kept).select(*key, "newest.*", *defaults)
 
 
-def merge_klines(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Upsert candles: new values replace old ones, a stored status is never touched."""
-    merged = merge_rows(stored, incoming, KEY, VALUES, {"status": f"'{UNCHECKED}'"})
-    return merged.select(*KLINE_COLUMNS)
+def merge_klines(
+    stored: DataFrame,
+    incoming: DataFrame,
+    key: Sequence[str] = KEY,
+    place: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Upsert candles: new values replace old ones, a stored status is never touched.
+
+    ``key`` may have columns besides the candle key that follow from it.
+    """
+    merged = merge_rows(stored, incoming, key, VALUES, {"status": f"'{UNCHECKED}'"}, place)
+    return merged.select(*KLINE_COLUMNS, *[c for c in key if c not in KEY])
 
 
 def merge_meta(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return merge_rows(stored, incoming, META_KEY, ("data",), {})
 
 
-def merge_status(stored: DataFrame, changes: DataFrame) -> DataFrame:
-    """Stored candles with the status of ``changes`` (unique by key); other keys stay."""
-    new = changes.selectExpr(*KEY, "status as new_status")
-    kept = [c for c in KLINE_COLUMNS if c != "status"]
-    return stored.join(new, [*KEY], "left").selectExpr(*kept, "coalesce(new_status, status) as status")
+def merge_status(
+    stored: DataFrame,
+    changes: DataFrame,
+    key: Sequence[str] = KEY,
+    place: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Stored candles with the status of ``changes`` (unique by key); keys not stored stay out."""
+    both = stored.selectExpr(*key, *VALUES, "status", "0 as turn").unionByName(
+        changes.selectExpr(*key, "status", "1 as turn"), allowMissingColumns=True
+    )
+    return (
+        (place(both) if place else both)
+        .groupBy(*key)
+        .agg(
+            F.expr(f"min_by(struct({', '.join(VALUES)}), turn) as old"),
+            F.expr("max_by(status, turn) as status"),
+            F.expr("min(turn) as turn"),
+        )
+        .where("turn = 0")
+        .select(*key, "old.*", "status")
+        .select(*KLINE_COLUMNS, *[c for c in key if c not in KEY])
+    )

@@ -188,7 +188,7 @@ FROM requests LEFT JOIN (SELECT {SERIES}, count(*) AS n FROM history GROUP BY AL
 
 _INCOMING = """incoming AS (SELECT exchange, trading_type, symbol, interval, open_time + shift * 60 AS open_time,
     open_price, close_time, close_price, CASE WHEN seq = 1 THEN low END AS low, high, volume || ':' || seq AS volume, status, seq
-  FROM history, (VALUES (1), (2)) AS v(seq), (VALUES (0), (1)) AS s(shift) WHERE (open_time // 3600) % 5 = 0),
+  FROM history, (VALUES (1), (2)) AS v(seq), (VALUES (0), (1)) AS s(shift) WHERE high <> low),
   latest AS (SELECT * EXCLUDE (seq) FROM incoming WHERE seq = 2)"""
 _MERGED = f"""SELECT {KEY}, CASE WHEN n.close_time IS NULL THEN o.open_price ELSE n.open_price END AS open_price,
   coalesce(n.close_time, o.close_time) AS close_time,
@@ -314,9 +314,9 @@ SELECT {SERIES}, CAST(month AS VARCHAR) AS month, 'monthly' AS kind, file FROM m
 UNION ALL SELECT {SERIES}, CAST(month AS VARCHAR), 'daily', file FROM days"""
 ORACLE["archive_manifest_landed"] = _with(_MONTHS) + f"""
 SELECT {SERIES}, CAST(month AS VARCHAR) AS month, 'monthly' AS kind, file FROM monthly WHERE month(month) = 1
-UNION ALL SELECT {SERIES}, CAST(month AS VARCHAR), 'daily', file FROM days WHERE month(month) <> 1 AND day(day) % 2 = 0"""
+UNION ALL SELECT {SERIES}, CAST(month AS VARCHAR), 'daily', file FROM days WHERE month(month) <> 1 AND day(day) >= 10"""
 ORACLE["archive_ingest"] = _with(_HOURS) + f"""
-SELECT {COLUMNS} FROM hours WHERE (open_time // 86400) % 7 <> 0 AND (open_time // 86400) % 5 <> 0"""
+SELECT {COLUMNS} FROM hours WHERE dayofweek(make_timestamp(open_time * 1000000)) BETWEEN 1 AND 5"""
 
 # Repair
 
@@ -363,8 +363,8 @@ SELECT {COLUMNS} FROM recent WHERE closed
 QUALIFY exchange <> 'kucoin' OR row_number() OVER (PARTITION BY {SERIES} ORDER BY open_time DESC) > 1"""
 ORACLE["stream_upsert"] = f"""
 WITH flagged AS ({_events('binance')}), unflagged AS ({_events('kucoin')})
-SELECT {COLUMNS} FROM (SELECT * REPLACE (CASE WHEN (open_time // 3600) % 3 = 0 THEN 'corrected' ELSE volume END AS volume)
-  FROM flagged WHERE (open_time // 3600) % 3 = 0 OR (open_time // 3600) % 4 <> 0)
+SELECT {COLUMNS} FROM (SELECT * REPLACE (CASE WHEN high <> low THEN 'corrected' ELSE volume END AS volume)
+  FROM flagged WHERE high <> low OR (open_time // 3600) % 4 <> 0)
 UNION ALL SELECT {COLUMNS} FROM (SELECT * FROM unflagged
   QUALIFY row_number() OVER (PARTITION BY {SERIES} ORDER BY open_time DESC) > 1)"""
 ORACLE["stream_continuity"] = _with(

@@ -46,14 +46,10 @@ def query(run: Query) -> Query:
 # Reads
 
 
-def _with_part(candles: DataFrame) -> DataFrame:
-    return candles.selectExpr("*", f"{cal.part_of('interval', 'open_time')} as part")
-
-
 @query
 def range_read(spark, sf):
     """A time range of all series, typed."""
-    found = reader.in_range(_with_part(fx.checked_history(spark, sf)), *EVENT_RANGE)
+    found = reader.in_range(store.with_part(fx.checked_history(spark, sf)), *EVENT_RANGE)
     return reader.typed(found)
 
 
@@ -141,7 +137,7 @@ def consistent_streams(spark, sf):
 @query
 def streams_in_range(spark, sf):
     """Streams of stored statuses in a time range."""
-    found = reader.in_range(_with_part(fx.part_checked(fx.history(spark, sf))), *EVENT_RANGE)
+    found = reader.in_range(store.with_part(fx.part_checked(fx.history(spark, sf))), *EVENT_RANGE)
     return reader.typed(streams.consistent_streams(found))
 
 
@@ -213,9 +209,9 @@ def series_exists(spark, sf):
 
 
 def _incoming(candles: DataFrame) -> DataFrame:
-    """Two versions of every fifth candle and of one new candle after it."""
+    """Two versions of every candle whose price moved, and of a new candle a minute later."""
     versions = (
-        candles.where(f"{fx.HOUR} % 5 = 0")
+        candles.where("high <> low")
         .selectExpr("*", "explode(array(1, 2)) as seq")
         .selectExpr("*", "explode(array(0, 1)) as shift")
     )
@@ -241,7 +237,7 @@ def upsert_store(spark, sf):
     root = new_dir(spark, "upsert_store")
     store.create(spark, root)
     stored = fx.part_checked(fx.history(spark, sf))
-    _with_part(stored).write.mode("overwrite").partitionBy(*PARTITION).parquet(store.klines_path(root))
+    store.with_part(stored).write.mode("overwrite").partitionBy(*PARTITION).parquet(store.klines_path(root))
     store.upsert(spark, root, _incoming(fx.history(spark, sf)), ["seq"])
     return store.scan(spark, root).select(*KLINE_COLUMNS)
 
@@ -452,11 +448,10 @@ def archive_manifest(spark, sf):
 
 @query
 def archive_manifest_landed(spark, sf):
-    """Files to load where the January files and every other day have landed."""
+    """Files to load where the January files and those of each month's tenth on have landed."""
     requests = _event_series(spark, sf)
     every = plan_archives(requests, 1710950400)
-    even_day = "cast(left(right(file, 6), 2) as int) % 2 = 0"
-    landed = every.where(f"if(kind = 'monthly', month(month) = 1, {even_day})").select("file")
+    landed = every.where("if(kind = 'monthly', month(month) = 1, left(right(file, 6), 2) >= '10')").select("file")
     return plan_archives(requests, 1710950400, landed).selectExpr(*_FILES)
 
 
@@ -528,7 +523,7 @@ def stream_upsert(spark, sf):
     flagged = fx.event_candles(spark, sf, "1h", "binance")
     unflagged = fx.event_candles(spark, sf, "1h", "kucoin")
     first = fx.live_elements(flagged, f"{fx.HOUR} % 4 <> 0").unionByName(fx.live_elements(unflagged, "null"))
-    corrected = fx.replaced(flagged.where(f"{fx.HOUR} % 3 = 0"), volume="'corrected'")
+    corrected = fx.replaced(flagged.where("high <> low"), volume="'corrected'")
     second = fx.live_elements(corrected, "true", seq=1)
     for part in (first, second):
         part.write.mode("append").json(feed)

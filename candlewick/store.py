@@ -63,24 +63,34 @@ def scan(
     return candles
 
 
-def writable(candles: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Candles ready to write: with ``part``, and cut by ranges of the sort order.
+# Folder, then sort order within files. The rest of the candle key follows the
+# columns that rows are placed by, so grouping by it needs no further shuffle.
+ORDER = (*PARTITION, "symbol", "open_time")
+STORED_KEY = (*ORDER, "trading_type")
+
+
+def with_part(rows: DataFrame) -> DataFrame:
+    return rows.selectExpr("*", f"{part_of('interval', 'open_time')} as part")
+
+
+def placed(rows: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows cut into tasks by ranges of the sort order.
 
     Ranges follow the data, so a folder that holds much of the table is spread
     over many tasks, a task writes into few folders, and every file covers
-    few symbols. A candle that closes before it opens fails the write.
+    few symbols. All rows of a candle key come together.
     """
-    order = [*PARTITION, "symbol", "open_time"]
-    forward = "assert_true(close_time >= open_time, 'a candle closes before it opens') is null"
-    ready = candles.where(forward).selectExpr(*KLINE_COLUMNS, f"{part_of('interval', 'open_time')} as part")
-    ranged = ready.repartitionByRange(partitions, *order) if partitions else ready.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*order)
+    return rows.repartitionByRange(partitions, *ORDER) if partitions else rows.repartitionByRange(*ORDER)
 
 
-def _write(candles: DataFrame, path: str, partitions: int | None) -> None:
-    """Replace the folders the candles fall in, leave the others."""
+def _write(candles: DataFrame, path: str) -> None:
+    """Replace the folders the placed candles fall in, leave the others.
+
+    A candle that closes before it opens fails the write.
+    """
     (
-        writable(candles, partitions)
+        candles.where("assert_true(close_time >= open_time, 'a candle closes before it opens') is null")
+        .sortWithinPartitions(*ORDER)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION)
@@ -94,7 +104,7 @@ def touched(rows: DataFrame) -> str:
     Collects the folder names: exchanges x intervals x months, a few thousand at most.
     """
     folders = (
-        rows.selectExpr("exchange", "interval", f"{part_of('interval', 'open_time')} as part")
+        with_part(rows)
         .groupBy("exchange", "interval")
         .agg(F.expr("collect_set(part) as parts"))
         .collect()
@@ -122,8 +132,12 @@ def upsert(
     number of shuffle partitions.
     """
     rows = staged(last_wins(incoming, order) if order else incoming.select(*KLINE_COLUMNS), "incoming")
-    stored = scan(spark, root).where(touched(rows))
-    _write(merge_klines(stored, rows), klines_path(root), partitions)
+    _write(_merged(scan(spark, root).where(touched(rows)), rows, partitions), klines_path(root))
+
+
+def _merged(stored: DataFrame, rows: DataFrame, partitions: int | None) -> DataFrame:
+    """One shuffle merges the rows and lays them out for the write."""
+    return merge_klines(stored, with_part(rows), STORED_KEY, lambda both: placed(both, partitions))
 
 
 def snapshot(
@@ -136,14 +150,7 @@ def snapshot(
 ) -> None:
     """As ``upsert``, but write the whole merged table to a new root."""
     rows = staged(last_wins(incoming, order) if order else incoming.select(*KLINE_COLUMNS), "incoming")
-    _write(_overlaid(scan(spark, root), rows), klines_path(target), partitions)
-
-
-def _overlaid(stored: DataFrame, rows: DataFrame) -> DataFrame:
-    """Stored candles with ``rows`` merged in; folders without a new row take no part in the join."""
-    inside = touched(rows)
-    outside = stored.where(f"not ({inside})").select(*KLINE_COLUMNS)
-    return merge_klines(stored.where(inside), rows).unionByName(outside)
+    _write(_merged(scan(spark, root), rows, partitions), klines_path(target))
 
 
 def write_status(spark: SparkSession, root: str, changes: DataFrame, partitions: int | None = None) -> None:
@@ -154,7 +161,8 @@ def write_status(spark: SparkSession, root: str, changes: DataFrame, partitions:
 def set_status(spark: SparkSession, root: str, rows: DataFrame, partitions: int | None = None) -> None:
     """``write_status`` of rows that are staged already."""
     stored = scan(spark, root).where(touched(rows))
-    _write(merge_status(stored, rows), klines_path(root), partitions)
+    merged = merge_status(stored, with_part(rows), STORED_KEY, lambda both: placed(both, partitions))
+    _write(merged, klines_path(root))
 
 
 # Live batches are appended to a log and merged in bulk, so that a few new
@@ -214,7 +222,10 @@ def current(spark: SparkSession, root: str, **series: str) -> DataFrame:
     waiting = without_tail(pending(spark, root))
     for name, value in series.items():
         waiting = waiting.where(F.col(name) == value)
-    return _overlaid(scan(spark, root, **series), waiting)
+    stored, inside = scan(spark, root, **series), touched(waiting)
+    # Folders without a new candle take no part in the merge.
+    outside = stored.where(f"not ({inside})").select(*KLINE_COLUMNS)
+    return merge_klines(stored.where(inside), waiting).unionByName(outside)
 
 
 # Metadata: one row per series and kind, a few columns.

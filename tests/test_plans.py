@@ -178,7 +178,14 @@ def test_one_series_is_spread_over_tasks(one_series):
 
 def test_one_folder_is_written_by_many_tasks(one_series):
     days = one_series.selectExpr(*[f"'1d' as {c}" if c == "interval" else c for c in one_series.columns])
-    assert shares(store.writable(days, 16)) < 2
+    assert shares(store.placed(store.with_part(days), 16)) < 2
+
+
+def test_upsert_shuffles_the_table_once(spark, root):
+    rows = store.scan(spark, root).drop("part").where("open_time % 7 = 0")
+    merged = store._merged(store.scan(spark, root), rows, None)
+    text = plan(merged.sortWithinPartitions(*store.ORDER))
+    assert text.count("Exchange") == 1 and "Exchange rangepartitioning" in text
 
 
 def test_copies_of_one_key_are_reduced_before_the_shuffle(spark, one_series):

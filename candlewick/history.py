@@ -15,6 +15,9 @@ from candlewick.plans.backfill import backfill_plan
 from candlewick.plans.manifest import archive_manifest
 from candlewick.schema import ERROR, KEY, SPOT
 from candlewick.session import staged
+from candlewick.sources import archives
+from candlewick.sources.live import live_tail
+from candlewick.sources.payloads import normalise, split_payloads
 
 RESULTS = ("frame", "streams", "nested_streams")
 
@@ -46,6 +49,26 @@ class CandleHistory:
         """Merge candles; see ``store.upsert``."""
         store.upsert(self.spark, self.root, candles, order)
 
+    def load_payloads(self, landed: DataFrame) -> DataFrame:
+        """Merge the candles of API payloads; later requests win. Returns payloads that are no JSON."""
+        good, bad = split_payloads(landed)
+        self.upsert(normalise(good), ("request_start", "payload_id", "pos"))
+        return bad
+
+    def load_archives(self, folder: str, symbols: DataFrame, manifest: DataFrame | None = None) -> None:
+        """Merge the candles of the verified archives below ``folder``, all or those of a
+        ``manifest``. ``symbols`` has a unified ``symbol`` per ``native_symbol``."""
+        zips, sums = archives.landed_files(self.spark, folder)
+        if manifest is not None:
+            zips = zips.join(manifest.select("file").distinct(), "file", "left_semi")
+        candles = archives.archive_candles(archives.verified(zips, sums), symbols)
+        # Daily files, whose names are longer, win over monthly ones.
+        self.upsert(candles.selectExpr("*", "length(file) as detail"), ("detail", "file", "pos"))
+
+    def load_live(self, elements: DataFrame) -> None:
+        """Merge the closed candles among the newest of a buffer of live elements."""
+        self.upsert(live_tail(elements))
+
     # Read
 
     def read(

@@ -3,9 +3,9 @@
 Layout under a root folder::
 
     klines/exchange=/interval=/part=/   the table, files sorted by symbol and time
-    log/batch=N/                        candles of live batches, not yet merged
-    held/batch=N/                       candles held back when batch N was merged
-    merged/                             how far the log has been merged
+    log/<feed>/folder=/batch=N/         candles of live batches
+    held/<feed>/batch=N/                candles held back when batch N was merged
+    merged/<feed>/                      how far the log has been merged
     meta/                               metadata of series
 """
 
@@ -21,13 +21,12 @@ from pyspark.sql.types import StructType
 from candlewick.functions.calendar import part_of
 from candlewick.functions.text import meta_key
 from candlewick.operators.merge import last_wins, merge_klines, merge_meta, merge_status
-from candlewick.schema import KEY, KLINE_COLUMNS, META, META_KEY, PARTITION, STORED
+from candlewick.schema import KEY, KLINE, KLINE_COLUMNS, META, META_KEY, PARTITION, STORED
 from candlewick.session import staged
 from candlewick.sources.live import without_tail
 
-LOG_SCHEMA = "batch long, seq long, " + ", ".join(
-    f"{f.name} {f.dataType.simpleString()}" for f in STORED if f.name != "part"
-)
+HELD_SCHEMA = "seq long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in KLINE)
+LOG_SCHEMA = "batch long, " + HELD_SCHEMA
 
 
 def klines_path(root: str) -> str:
@@ -166,60 +165,80 @@ def set_status(spark: SparkSession, root: str, rows: DataFrame, partitions: int
 
 
 # Live batches are appended to a log and merged in bulk, so that a few new
-# candles do not rewrite a month of all symbols.
+# candles do not rewrite a month of all symbols. Each feed (one streaming query
+# with one checkpoint) has a log of its own: its batches are counted from 0.
 
+FEED = "live"
+# Log batches per log folder, so that a read lists recent folders only.
+LOG_FOLDER = 1000
 
-def append_log(candles: DataFrame, root: str, batch: int) -> None:
+
+def _log_path(root: str, feed: str, folder: int) -> str:
+    return f"{root}/log/{feed}/folder={folder}"
+
+
+def append_log(candles: DataFrame, root: str, batch: int, feed: str = FEED) -> None:
     """Write the candles (with ``seq``) of one live batch; a replayed batch replaces itself."""
-    candles.select("seq", *KLINE_COLUMNS).write.mode("overwrite").parquet(f"{root}/log/batch={batch}")
+    path = f"{_log_path(root, feed, batch // LOG_FOLDER)}/batch={batch}"
+    candles.select("seq", *KLINE_COLUMNS).write.mode("overwrite").parquet(path)
 
 
-def _read(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """A dataset that may not be there yet."""
+def _found(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame | None:
+    """A dataset, None if it is not there."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
+
+
+def _read(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    found = _found(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
-def merged_upto(spark: SparkSession, root: str) -> int:
+def merged_upto(spark: SparkSession, root: str, feed: str = FEED) -> int:
     """The last log batch that is in the table, -1 if none is."""
-    found = _read(spark, f"{root}/merged", "upto long").agg(F.expr("max(upto)")).first()[0]
+    found = _read(spark, f"{root}/merged/{feed}", "upto long").agg(F.expr("max(upto)")).first()[0]
     return -1 if found is None else found
 
 
-def pending(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+def pending(spark: SparkSession, root: str, upto: int | None = None, feed: str = FEED) -> DataFrame:
     """Latest candle per key of the log batches not merged yet, and of those held back."""
-    done = merged_upto(spark, root)
-    log = _read(spark, f"{root}/log", LOG_SCHEMA).where(f"batch > {done}")
-    if upto is not None:
-        log = log.where(f"batch <= {upto}")
-    held = _read(spark, f"{root}/held", LOG_SCHEMA).where(f"batch = {done}")
-    return last_wins(log.unionByName(held), ["batch", "seq"])
-
-
-def merge_log(spark: SparkSession, root: str, upto: int, partitions: int | None = None) -> None:
-    """Merge the log up to and including batch ``upto`` into the table.
+    done = merged_upto(spark, root, feed)
+    rows = _read(spark, f"{root}/held/{feed}/batch={done}", HELD_SCHEMA).selectExpr(f"{done}L as batch", "*")
+    folder = max(done + 1, 0) // LOG_FOLDER
+    while (log := _found(spark, _log_path(root, feed, folder), LOG_SCHEMA)) is not None:
+        last = "" if upto is None else f" and batch <= {upto}"
+        rows = rows.unionByName(log.where(f"batch > {done}{last}"))
+        folder += 1
+    return last_wins(rows, ["batch", "seq"])
+
+
+def merge_log(
+    spark: SparkSession, root: str, upto: int, feed: str = FEED, partitions: int | None = None
+) -> None:
+    """Merge the log of a feed up to and including batch ``upto`` into the table.
 
     On exchanges whose feed has no closed flag the newest candle of a series
     may still change; it is held back until a newer one arrives. Run again
-    after a failure, the merge gives the same table.
+    after a failure, the merge gives the same table. Feeds may merge at the
+    same time if they do not share folders, say if each has its own exchange.
     """
-    if upto <= merged_upto(spark, root):
+    if upto <= merged_upto(spark, root, feed):
         return
-    rows = pending(spark, root, upto)
+    rows = staged(pending(spark, root, upto, feed), "pending")
     final = without_tail(rows)
     held = rows.join(final, [*KEY], "left_anti")
-    held.selectExpr("-1L as seq", *KLINE_COLUMNS).write.mode("overwrite").parquet(f"{root}/held/batch={upto}")
+    held.selectExpr("-1L as seq", *KLINE_COLUMNS).write.mode("overwrite").parquet(f"{root}/held/{feed}/batch={upto}")
     upsert(spark, root, final, partitions=partitions)
-    spark.createDataFrame([(upto,)], "upto long").write.mode("append").parquet(f"{root}/merged")
+    spark.createDataFrame([(upto,)], "upto long").write.mode("append").parquet(f"{root}/merged/{feed}")
 
 
-def current(spark: SparkSession, root: str, **series: str) -> DataFrame:
-    """The table as it will be once the log is merged; ``series`` as in ``scan``."""
-    waiting = without_tail(pending(spark, root))
+def current(spark: SparkSession, root: str, feed: str = FEED, **series: str) -> DataFrame:
+    """The table as it will be once the log of a feed is merged; ``series`` as in ``scan``."""
+    waiting = without_tail(pending(spark, root, feed=feed))
     for name, value in series.items():
         waiting = waiting.where(F.col(name) == value)
     stored, inside = scan(spark, root, **series), touched(waiting)

@@ -34,21 +34,28 @@ def kafka_feed(spark: SparkSession, servers: str, topic: str, **options: str) ->
 
 
 def refresh(
-    feed: DataFrame, root: str, checkpoint: str, merge_every: int = 0, order: str = "seq", **trigger
+    elements: DataFrame,
+    root: str,
+    checkpoint: str,
+    merge_every: int = 0,
+    order: str = "seq",
+    feed: str = store.FEED,
+    **trigger,
 ) -> StreamingQuery:
-    """Append the closed candles of ``feed`` to the store's log, and merge the
-    log into the table every ``merge_every`` batches (0: leave that to a job).
+    """Append the closed candles of ``elements`` to the log of ``feed``, and merge
+    the log into the table every ``merge_every`` batches (0: leave that to a job).
 
     Candles may come late, repeatedly or corrected: the last one by batch and
     ``order`` (a number per element) wins, and a replayed batch replaces itself.
+    Batches are counted by the checkpoint: a new checkpoint needs a new feed name.
     """
-    spark = feed.sparkSession
-    candles = to_candles(closed(feed.withColumn("seq", F.expr(f"coalesce({order}, 0L)"))), "seq")
+    spark = elements.sparkSession
+    candles = to_candles(closed(elements.withColumn("seq", F.expr(f"coalesce({order}, 0L)"))), "seq")
 
     def store_batch(batch: DataFrame, number: int) -> None:
-        store.append_log(batch, root, number)
+        store.append_log(batch, root, number, feed)
         if merge_every and (number + 1) % merge_every == 0:
-            store.merge_log(spark, root, number)
+            store.merge_log(spark, root, number, feed)
 
     return (
         candles.writeStream.foreachBatch(store_batch)

@@ -167,6 +167,53 @@ def test_profile_plans_and_meta(spark, history):
     assert {r.symbol: r.data for r in history.meta(wanted).collect()} == {"A/USD": '{"year":1}', "B/USD": "{}", "C/USD": "{}"}
 
 
+def test_load_payloads_and_archives(spark, history, tmp_path):
+    import json
+
+    from test_payloads import binance_item
+    from test_sources import line, put
+
+    def payload(name, start, items):
+        return (name, "binance", "A/USD", "1h", start, json.dumps(items) if items else "[broken")
+
+    older = [binance_item(T + i * 3600) for i in range(3)]
+    newer = [[*i[:5], "99", *i[6:]] for i in (binance_item(T + 3600), binance_item(T + 7200))]
+    rows = [payload("a", T + 3600, newer), payload("b", T, older), payload("c", T, None)]
+    schema = "payload_id string, exchange string, symbol string, interval string, request_start long, body string"
+    bad = history.load_payloads(spark.createDataFrame(rows, schema))
+    assert [r.payload_id for r in bad.collect()] == ["c"]
+    assert {r.open_time: r.volume for r in history.candles().collect()} == {T: "7.00", T + 3600: "99"}
+
+    put(tmp_path, "AUSD-1h-2024-01.zip", [line(T, volume="month"), line(T + 3600, volume="month")])
+    put(tmp_path, "AUSD-1h-2024-01-01.zip", [line(T, volume="day")])
+    put(tmp_path, "BUSD-1h-2024-01.zip", [line(T)])
+    symbols = spark.createDataFrame([("AUSD", "A/USD"), ("BUSD", "B/USD")], "native_symbol string, symbol string")
+    manifest = spark.createDataFrame([("AUSD-1h-2024-01.zip",), ("AUSD-1h-2024-01-01.zip",)], "file string")
+    history.load_archives(str(tmp_path), symbols, manifest)
+    assert {r.open_time: r.volume for r in history.candles().collect()} == {T: "day", T + 3600: "month"}
+    history.load_archives(str(tmp_path), symbols)
+    assert history.candles(symbol="B/USD").count() == 1
+
+
+def test_log_folders_and_feeds(spark, history, monkeypatch):
+    monkeypatch.setattr(store, "LOG_FOLDER", 2)
+
+    def log(batch, feed, *rows):
+        store.append_log(frame(spark, rows).selectExpr("*", "0L as seq"), history.root, batch, feed)
+
+    for n in range(5):
+        log(n, "one", candle(T + n * 3600))
+        log(n, "two", candle(T + n * 3600, symbol="B/USD"))
+    store.merge_log(spark, history.root, 2, "one")
+    assert history.candles().count() == 3
+    assert store.pending(spark, history.root, feed="one").count() == 2
+    assert store.pending(spark, history.root, feed="two").count() == 5
+    store.merge_log(spark, history.root, 4, "one")
+    store.merge_log(spark, history.root, 4, "two")
+    assert history.candles().count() == 10
+    assert store.pending(spark, history.root, feed="one").count() == 0
+
+
 def test_log_merge(spark, history):
     def log(batch, *rows):
         df = frame(spark, rows).selectExpr("*", "monotonically_increasing_id() as seq")

@@ -78,10 +78,11 @@ def months_ago(date: str, today: str) -> str:
 
 
 def part_of(interval: str, epoch: str) -> str:
-    """Folder a candle is stored in: the month of minute candles, the year of
-    hour candles, one folder for longer ones. Grows with time within an interval."""
-    day = f"cast({date_of(epoch)} as string)"
-    return f"case right({interval}, 1) when 'm' then left({day}, 7) when 's' then left({day}, 7) when 'h' then left({day}, 4) else 'all' end"
+    """Folder a candle is stored in: the month (202401) of minute candles, the year
+    (2024) of hour candles, 0 for longer ones. Grows with time within an interval."""
+    day = date_of(epoch)
+    month = f"year({day}) * 100 + month({day})"
+    return f"case right({interval}, 1) when 'm' then {month} when 's' then {month} when 'h' then year({day}) else 0 end"
 
 
 def interval_seconds(interval: str = "interval", anchor: str | None = None, month_days: int = 28) -> str:

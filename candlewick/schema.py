@@ -35,7 +35,7 @@ KLINE = T.StructType(
     ]
 )
 KLINE_COLUMNS = tuple(KLINE.fieldNames())
-STORED = T.StructType([*KLINE.fields, T.StructField("part", T.StringType())])
+STORED = T.StructType([*KLINE.fields, T.StructField("part", T.IntegerType())])
 
 PAYLOAD = T.StructType(
     [

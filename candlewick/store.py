@@ -102,14 +102,16 @@ def touched(rows: DataFrame) -> str:
 
     Collects the folder names: exchanges x intervals x months, a few thousand at most.
     """
+    # First down to a row per day, then to folders.
+    days = rows.selectExpr("exchange", "interval", "floor(open_time / 86400) * 86400 as open_time").distinct()
     folders = (
-        with_part(rows)
+        with_part(days)
         .groupBy("exchange", "interval")
         .agg(F.expr("collect_set(part) as parts"))
         .collect()
     )
     conditions = [
-        f"(exchange = {f.exchange!r} and interval = {f.interval!r} and part in ({', '.join(map(repr, f.parts))}))"
+        f"(exchange = {f.exchange!r} and interval = {f.interval!r} and part in ({', '.join(map(str, f.parts))}))"
         for f in folders
     ]
     return " or ".join(conditions) or "false"

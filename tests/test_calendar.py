@@ -81,7 +81,8 @@ def test_folders_grow_with_time(spark):
     for name in ("m", "h", "mo"):
         values = [r[name] for r in parts]
         assert values == sorted(values)
-    assert (parts[-1].m[:4], len(parts[-1].m), parts[0].mo) == (parts[-1].h, 7, "all")
+    assert (parts[0].m, parts[0].h, parts[0].mo) == (197001, 1970, 0)
+    assert (parts[-1].m // 100, parts[-1].mo) == (parts[-1].h, 0)
 
 
 def test_names(spark):

@@ -60,11 +60,11 @@ def test_upsert_rewrites_touched_folders_only(spark, history):
     before = files(history)
     folders = {str(Path(f).parent.relative_to(history.root)) for f in before}
     assert {f.split("interval=")[1] for f in folders} == {
-        "1m/part=2023-12", "1m/part=2024-01", "1m/part=2024-02", "1h/part=2024", "1h/part=2025", "1d/part=all",
+        "1m/part=202312", "1m/part=202401", "1m/part=202402", "1h/part=2024", "1h/part=2025", "1d/part=0",
     }
     history.upsert(frame(spark, [candle(epoch(2024, 1, 5), interval="1m")]))
     kept = before & files(history)
-    assert {f.split("interval=")[1].rsplit("/", 1)[0] for f in before - kept} == {"1m/part=2024-01"}
+    assert {f.split("interval=")[1].rsplit("/", 1)[0] for f in before - kept} == {"1m/part=202401"}
     assert history.candles().count() == 8
 
 

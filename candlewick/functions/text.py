@@ -21,6 +21,7 @@ def partition_name(series: str, year: str = "year") -> str:
 
 def meta_key(cache_type: str = "cache_type") -> str:
     """Hashed metadata key of a row with the series columns, as other readers of the table compute it."""
+    # Fixed value: the format of the text that is hashed.
     return f"sha2(format_string('_____%s_%s_%s_%s_%s_____', exchange, symbol, interval, trading_type, {cache_type}), 256)"
 
 

@@ -12,6 +12,7 @@ PARTITION = ("exchange", "interval", "part")
 VALUES = ("open_price", "close_time", "close_price", "low", "high", "volume")
 PRICES = ("open_price", "close_price", "low", "high", "volume")
 
+# Stored status texts.
 UNCHECKED = "__NON_CHECK__"
 OK = "__OK__"
 ERROR = "__ERROR__"

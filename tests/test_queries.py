@@ -6,6 +6,8 @@ import pytest
 from oracle_check import compare, duck
 
 import __spark_entry__ as registered
+from candlewick.oracle import ORACLE
+from candlewick.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,12 +18,14 @@ def connection():
 
 
 def test_same_keys():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(registered.queries())
+    assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    message, rows = compare(registered.queries()[name](spark, SF), connection, registered.oracle_sql()[name])
+    message, rows = compare(QUERIES[name](spark, SF), connection, ORACLE[name])
     assert not message, message
     assert rows > 0
 

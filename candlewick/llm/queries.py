@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, fingerprint, quality, reshard, url_filter
+from candlewick.llm import bpe, decontaminate, fingerprint, near_dup, quality, reshard, substring_dedup, suffix_dedup, url_filter
 
 #: The rules of the URL query and the vocabulary of the encoding query.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -26,6 +26,20 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("hits").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"),
+    )
+
+
 def op3_min_cost_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(OLD_SHARDS))
@@ -58,15 +72,36 @@ def op5_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op8_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
 
 
+def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "copy_id", "class_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_benchmark_index": op2_benchmark_index,
     "op3_min_cost_resharding": op3_min_cost_resharding,
     "op4_weighted_fingerprint": op4_weighted_fingerprint,
     "op5_quality_ftrl": op5_quality_ftrl,
+    "op6_suffix_sort": op6_suffix_sort,
+    "op8_suffix_trees": op8_suffix_trees,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_dart_minhash": op10_dart_minhash,
 }

@@ -81,10 +81,10 @@ def dart_signatures(rows: np.ndarray, marks: np.ndarray, weights: np.ndarray, n:
     open_rows = total > 0
     while open_rows.any():
         live = np.flatnonzero(open_rows[row])
-        time, step, thrown = np.zeros(len(live)), U64(0), []
+        time, step, thrown = np.zeros(len(live)), 0, []
         while len(live):
-            step += U64(1)
-            dart = mix(seed[live] + step * U64(0x9E3779B97F4A7C15))
+            step += 1
+            dart = mix(seed[live] + U64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
             time = time - np.log(_unit(dart)) / width[live]
             on = time <= until[row[live]]
             live, time, dart = live[on], time[on], dart[on]

@@ -22,6 +22,18 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM keyed LEFT JOIN fits USING (n)
 """
 
+_TOKENS = r"""
+WITH kept AS (
+    SELECT source, lang, coalesce(text, '') AS text FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = documents.doc_id AND quality = 0)
+), counted AS (
+    SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n FROM kept
+    UNION ALL
+    SELECT source, lang, 'words-2' AS tokenizer, len(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS n FROM kept
+)
+SELECT source, lang, tokenizer, count(*) AS documents, CAST(sum(n) AS BIGINT) AS tokens FROM counted GROUP BY ALL
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": _URLS,
+    "op7_token_deltas": _TOKENS,
 }

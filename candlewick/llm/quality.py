@@ -32,7 +32,7 @@ from candlewick.session import staged
 BUCKETS = 1 << 18
 SAMPLE, WORKERS, ROUNDS = 12_000, 6, 3
 #: Of FTRL-Proximal: step, its smoothing, L1 and L2.
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.01, 0.05
 _UPPER = np.zeros(256, bool)
 _UPPER[0x41:0x5B] = True
 _DIGIT = np.zeros(256, bool)

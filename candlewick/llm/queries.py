@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontaminate, fingerprint, near_dup, quality, reshard, substring_dedup, suffix_dedup, url_filter
+from candlewick.llm import bpe, decontaminate, fingerprint, near_dup, quality, reshard, substring_dedup, suffix_dedup, token_counts, url_filter
+from candlewick.session import new_dir, staged
 
 #: The rules of the URL query and the vocabulary of the encoding query.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -79,6 +80,31 @@ def op6_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provisional counts are loaded, revised, joined by those of a second tokenizer, and junk is deleted; one batch comes twice."""
+    docs = _table(spark, sf_dir, "documents")
+    counts = staged(
+        docs.select(
+            "doc_id",
+            "source",
+            "lang",
+            F.expr("n_chars div 6").alias("guess"),
+            *(token_counts.count(F.col("text"), v).alias(v) for v in token_counts.VERSIONS),
+        ),
+        "counts",
+    )
+    junk = counts.join(_table(spark, sf_dir, "labels").where("quality = 0").select("doc_id"), "doc_id", "left_semi")
+    totals = token_counts.TokenCounts(spark, new_dir(spark, "token-counts"))
+    first, second = token_counts.VERSIONS
+    totals.commit("load", token_counts.signed(counts, 1, first, "guess"))
+    totals.commit("revise", token_counts.revised(counts, first, "guess", first))
+    totals.fold()
+    totals.commit("second", token_counts.signed(counts, 1, second, second))
+    totals.commit("reject", token_counts.signed(junk, -1, first, first).unionByName(token_counts.signed(junk, -1, second, second)))
+    totals.commit("revise", token_counts.revised(counts, first, "guess", first))
+    return totals.totals()
+
+
 def op8_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -101,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_weighted_fingerprint": op4_weighted_fingerprint,
     "op5_quality_ftrl": op5_quality_ftrl,
     "op6_suffix_sort": op6_suffix_sort,
+    "op7_token_deltas": op7_token_deltas,
     "op8_suffix_trees": op8_suffix_trees,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_dart_minhash": op10_dart_minhash,

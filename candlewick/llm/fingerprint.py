@@ -104,7 +104,7 @@ def _ranged(docs: DataFrame) -> DataFrame:
     )
     own, extra = F.struct("part", F.lit(0).alias("last")), F.struct(F.col("before").alias("part"), F.lit(1).alias("last"))
     copies = F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, extra))
-    return placed.select("doc_id", "at", "text", F.explode(copies).alias("p")).select("doc_id", "at", "text", "p.part", "p.last")
+    return placed.select("doc_id", "text", F.explode(copies).alias("p")).select("doc_id", "text", "p.part", "p.last")
 
 
 def edited(docs: DataFrame) -> DataFrame:
@@ -112,7 +112,7 @@ def edited(docs: DataFrame) -> DataFrame:
 
     ``part`` and ``n`` name a row; rows with ``last`` = 1 only stand for the next document of their part.
     """
-    order = Window.partitionBy("part").orderBy("last", "at", F.xxhash64("text"), "text")
+    order = Window.partitionBy("part").orderBy("last", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
     rows = _ranged(docs).withColumn("text", F.coalesce("text", F.lit("")))
     rows = rows.select("*", F.row_number().over(order).alias("n"), F.coalesce(F.lead("text").over(order), F.lit("")).alias("next"))
     quarter = F.floor(F.length("text") / 4).cast("int")

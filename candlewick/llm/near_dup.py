@@ -14,7 +14,8 @@ number of its shingles and of those darts, not their product.
 ``BANDS`` bands of ``ROWS`` coordinates are compared: a pair of likeness 0.8 shares one with probability 0.9999. Equal texts are one
 node from the start. A band's texts aren't paired with each other: each meets the band's leader only, pairs are checked
 by their exact likeness, and checked links are put together to classes. Where a band still holds texts of several classes, others of its
-texts lead in the next round, until a round adds no link and leaves none untried with its leader.
+texts lead in the next round, until a round adds no link. Then all pairs across classes are tried that are left in bands of at
+most ``SMALL`` texts; in larger bands, each text has met as many leaders by then as there were rounds, in each band it is in.
 
 A null text is empty. Texts without words are alike only if equal. Rows without id belong to classes like others; a class is
 named by its least id (null if it has none). Repeated rows are rows of one class. An empty table gives an empty result.
@@ -23,6 +24,7 @@ named by its least id (null if it has none). Repeated rows are rows of one class
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ from candlewick.session import staged
 
 WORDS, LIKE = 5, 0.8
 BANDS, ROWS = 25, 5
+#: Texts of a band whose pairs are tried in the end if they are still in several classes.
+SMALL = 100
 #: Texts to check are found by broadcast up to so many, by a shuffle beyond.
 BROADCAST_ROWS = 1_000_000
 
@@ -160,38 +164,51 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one("a"), "a").join(one("b"), "b").mapInArrow(_likeness, "a binary, b binary, likeness double")
 
 
+def _led(placed: DataFrame, round_no: int) -> DataFrame:
+    """Each text with the leader of its band, unless they are in one class already. In round 0 texts rank alike in all bands, so
+    equal groups have one leader; later each band ranks them anew."""
+    turn = F.xxhash64("node", F.lit(round_no), *(["band"] if round_no else []))
+    bands = placed.groupBy("band").agg(
+        F.min(F.struct(turn.alias("turn"), "node", "root")).alias("leader"), F.min("root").alias("least"), F.max("root").alias("most")
+    )
+    bands = bands.where("least != most").select("band", F.col("leader.node").alias("leader"), F.col("leader.root").alias("leader_root"))
+    return placed.join(bands, "band").where("root != leader_root").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+
+
+def _crossed(placed: DataFrame) -> DataFrame:
+    """Pairs of texts of different classes in bands of at most ``SMALL`` texts, so at most that many for each text and band."""
+    bands = placed.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+    left = placed.join(bands.where(f"least != most and n <= {SMALL}").select("band"), "band")
+    one = lambda side: left.select("band", F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+    return one("a").join(one("b"), "band").where("a < b and root_a != root_b").select("a", "b")
+
+
 def links(docs: DataFrame, entries: DataFrame, like: float) -> DataFrame:
-    """Checked links (a, b, likeness) that connect all near duplicates of ``entries`` (node, band)."""
-    shared = entries.join(entries.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "band")
-    shared = staged(shared, "bands")
-    sets = None
-    tried = found = None
-    group = shared.select("node").distinct().select("node", F.col("node").alias("root"))
-    round_no = 0
-    while True:
-        placed = shared.join(group, "node")
-        mixed = placed.groupBy("band").agg(
-            F.min(F.struct(F.xxhash64("node", F.lit(round_no)).alias("turn"), "node", "root")).alias("leader"),
-            F.min("root").alias("least"),
-            F.max("root").alias("most"),
-        )
-        mixed = mixed.where("least != most").select("band", F.col("leader.node").alias("leader"), F.col("leader.root").alias("leader_root"))
-        pairs = placed.join(mixed, "band").where("root != leader_root")
-        pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    """Checked links (a, b, likeness) that connect the near duplicates of ``entries`` (node, band)."""
+    shared = staged(entries.join(entries.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "band"), "bands")
+    nodes = shared.select("node").distinct()
+    sets = staged(_multisets_of(docs, nodes), "shingles")
+    placed, tried = shared.withColumn("root", F.col("node")), None
+
+    def check(pairs: DataFrame) -> bool:
+        """Check the pairs that are new; whether there are links among them."""
+        nonlocal placed, tried
+        pairs = pairs.distinct()
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        if sets is None:
-            sets = staged(_multisets_of(docs, shared.select("node").distinct()), "shingles")
+            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         checked = staged(_checked(pairs, sets), "checked")
-        tried = checked.select("a", "b") if tried is None else tried.unionByName(checked.select("a", "b"))
-        good = checked.where(F.col("likeness") >= like)
-        found = good if found is None else found.unionByName(good)
-        if not good.limit(1).count():
-            return found
-        roots = components(found)
-        group = shared.select("node").distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-        round_no += 1
+        tried = checked if tried is None else tried.unionByName(checked)
+        if not checked.where(F.col("likeness") >= like).limit(1).count():
+            return False
+        roots = components(tried.where(F.col("likeness") >= like))
+        placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        return True
+
+    for round_no in count():
+        if not check(_led(placed, round_no)) and round_no:
+            break
+    check(_crossed(placed))
+    return tried.where(F.col("likeness") >= like)
 
 
 def classes(docs: DataFrame, like: float = LIKE) -> DataFrame:

@@ -113,12 +113,14 @@ class Anchors:
         return first, last
 
 
-def _named(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_at`` and ``_tie``."""
+def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``_at`` and ``_tie``, and each document once: these and its text."""
     at = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     shared = docs.select(at.alias("_at")).groupBy("_at").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
     tie = F.xxhash64(F.coalesce("text", F.lit(""))) if shared else F.lit(0).cast("long")
-    return docs.withColumns({"_at": at, "_tie": tie})
+    named = docs.withColumns({"_at": at, "_tie": tie})
+    texts = named.select("_at", "_tie", "text")
+    return named, texts.dropDuplicates(["_at", "_tie"]) if shared else texts
 
 
 def _anchor_rows(kind: Kind):
@@ -171,9 +173,9 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([*found.columns, pa.array(edges)], ["_at", "_tie", "place", "edge"])
 
 
-def marks(named: DataFrame, kind: Kind) -> DataFrame:
+def marks(texts: DataFrame, kind: Kind) -> DataFrame:
     """_at, _tie, place and edge of all anchors that are covered or edges, as a written table."""
-    anchors = named.select("_at", "_tie", "text").mapInArrow(_anchor_rows(kind), "gram long, context long, _at long, _tie long, place int")
+    anchors = texts.mapInArrow(_anchor_rows(kind), "gram long, context long, _at long, _tie long, place int")
     dealt = anchors.repartition("gram").sortWithinPartitions("gram", "context", "_at", "_tie", "place")
     return staged(dealt.mapInArrow(_marks, "_at long, _tie long, place int, edge boolean"), "marks")
 
@@ -269,9 +271,10 @@ def _later_rows(kind: Kind, limit: int):
                 hashes = mix(span_hashes(prefix_hashes(kind.codes(raw)), start[asked], start[asked] + kind.length) + gram[owner[asked]].view(U64))
                 yield _window_rows(at, tie, owner[asked], place[asked], place[asked], pa.array(hashes.view(np.int64)))
             found = np.flatnonzero(later)
+            if not len(found):
+                continue
             joined = np.zeros(len(found), bool)  # to the window before
-            if len(found):
-                joined[1:] = (owner[found[1:]] == owner[found[:-1]]) & (place[found[1:]] == place[found[:-1]] + 1)
+            joined[1:] = (owner[found[1:]] == owner[found[:-1]]) & (place[found[1:]] == place[found[:-1]] + 1)
             heads = np.flatnonzero(~joined)
             tails = np.append(heads[1:], len(found)) - 1
             yield _window_rows(at, tie, owner[found[heads]], place[found[heads]], place[found[tails]], pa.nulls(len(heads), pa.int64()))
@@ -326,12 +329,11 @@ def _applied(kind: Kind, names: list[str], finish):
     return work
 
 
-def without_repeats(docs: DataFrame, kind: Kind, schema: str, finish, limit: int = BLOCK) -> DataFrame:
+def without_repeats(docs: DataFrame, kind: Kind, schema: str, finish) -> DataFrame:
     """``docs`` (text kept as it was) with the columns of ``schema`` that ``finish`` makes of each piece's repeated symbols."""
-    named = _named(docs)
-    marked = marks(named, kind)
-    texts = named.select("_at", "_tie", "text")
-    later = _later_windows(texts, marked, kind, limit)
+    named, texts = _named(docs)
+    marked = marks(texts, kind)
+    later = _later_windows(texts, marked, kind, BLOCK)
     covered = marked.where("not edge").groupBy("_at", "_tie").agg(F.collect_list("place").alias("_places"))
     pairs = F.collect_list(F.struct("first", "last"))
     windows = later.groupBy("_at", "_tie").agg(pairs.alias("runs")).select("_at", "_tie", F.col("runs.first").alias("_firsts"), F.col("runs.last").alias("_lasts"))

@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import itertools
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from brute import TEXTS, documents
+from pyspark.sql import functions as F
+
+from candlewick.llm import reshard
+
+
+def cheapest(old, room):
+    """Least bytes moved, trying all flows unit by unit."""
+    best = None
+    options = [[j for j in room] for i in old for _ in range(old[i])]
+    owners = [i for i in old for _ in range(old[i])]
+    for choice in itertools.product(*options):
+        if all(choice.count(j) <= room[j] for j in room):
+            cost = sum(i != j for i, j in zip(owners, choice, strict=True))
+            best = cost if best is None else min(best, cost)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_flow_is_cheapest(seed):
+    draw = random.Random(seed)
+    old = {i: draw.randrange(4) for i in draw.sample(range(5), 3)}
+    room = dict(enumerate(reshard.level(sum(old.values()), [draw.randrange(3) for _ in range(3)])))
+    flow = reshard.least_moves(old, room)
+    for i in old:
+        assert sum(n for (a, _), n in flow.items() if a == i) == old[i]
+    for j in room:
+        assert sum(n for (_, b), n in flow.items() if b == j) <= room[j]
+    assert sum(n for (i, j), n in flow.items() if i != j) == cheapest(old, room)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_level(seed):
+    draw = random.Random(seed)
+    taken, total = [draw.randrange(50) for _ in range(7)], draw.randrange(200)
+    room = reshard.level(total, taken)
+    filled = [t + r for t, r in zip(taken, room, strict=True)]
+    assert total <= sum(room) < total + 7
+    assert all(r == 0 or f == max(x for x, q in zip(filled, room, strict=True) if q) for f, r in zip(filled, room, strict=True))
+
+
+def check_slots(rows):
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_cases(spark):
+    layout, _ = reshard.plan(documents(spark), F.lit(0), 4)
+    rows = layout.collect()
+    want = sorted(((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in TEXTS), key=str)
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in rows), key=str) == want
+    check_slots(rows)
+
+
+def test_sizes_are_even_and_little_moves(spark):
+    draw = random.Random(2)
+    texts = [(i, "x" * draw.choice([1, 10, 100, 3000])) for i in range(3000)]
+    old = F.when(F.col("doc_id") < 1000, 0).otherwise(F.col("doc_id") % 8)  # one holds a third and more
+    layout, _ = reshard.plan(documents(spark, texts), old, 10)
+    rows = layout.collect()
+    check_slots(rows)
+    sizes, before, after = [0] * 10, [0] * 10, defaultdict(int)
+    for r in rows:
+        sizes[r.shard] += r.size
+        before[r.old] += r.size
+        after[(r.old, r.shard)] += r.size
+    assert max(sizes) - min(sizes) <= 0.02 * max(sizes)
+    least = sum(max(0, b - sum(sizes) / 10) for b in before)
+    assert sum(n for (i, j), n in after.items() if i != j) <= 1.05 * least
+
+
+def test_empty(spark):
+    layout, flow = reshard.plan(documents(spark, []), F.lit(0), 3)
+    assert layout.count() == 0 and flow == {}
+
+
+def test_rewrite(spark, tmp_path):
+    texts = [(i, "y" * (i % 50)) for i in range(400)]
+    docs = documents(spark, texts)
+    layout, _ = reshard.plan(docs, F.when(F.col("doc_id") < 300, 0).otherwise(1), 3)
+    shards = reshard.rewrite(docs, layout, str(tmp_path / "new"))
+    want = {(r.doc_id, r.shard, r.slot) for r in layout.collect()}
+    assert shards == [0, 1, 2]
+    read = spark.read.parquet(str(tmp_path / "new"))
+    assert {(r.doc_id, r.shard, r.slot) for r in read.collect()} == want
+    same, _ = reshard.plan(docs, F.col("doc_id") % 2, 2)
+    settled = same.select("doc_id", "size", "text_crc32", F.col("shard").alias("old"), "shard", "slot")
+    assert reshard.rewrite(docs, settled, str(tmp_path / "none")) == []

@@ -35,7 +35,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 from candlewick.llm.text import ranges
 
-BLOCK = 16_000_000
+BLOCK = 12_000_000
 #: Bytes of a pre-token that gets its own queue.
 LONG = 64
 
@@ -333,6 +333,16 @@ def _digests(flat: np.ndarray, sizes: np.ndarray, drop: int = 0) -> list[str]:
     return [hashlib.sha256(view[a : max(a, b - drop)]).hexdigest() for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
 
 
+def _runs(counts: np.ndarray, limit: int = 400_000) -> Iterator[tuple[int, int, int, int]]:
+    """First and last row of runs of about ``limit`` ids, and where their ids begin and end."""
+    ends = np.append(0, np.cumsum(counts))
+    first = 0
+    while first < len(counts):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + limit, "right")) - 1)
+        yield first, last, int(ends[first]), int(ends[last])
+        first = last
+
+
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total, ends = np.append(0, np.cumsum(values)), np.cumsum(counts)
     return total[ends] - total[ends - counts]
@@ -342,10 +352,14 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, and the SHA-256 of the ids (decimal, commas between) and of the bytes decoded from them."""
 
     def cells(codec: Codec, texts: list[str], ids: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
-        named, sizes = codec.decimals.take(ids)
-        by_ids = _digests(named, _sums(sizes, counts), drop=1)
-        back, sizes = codec.token_bytes.take(ids)
-        return [pa.array(counts), pa.array(by_ids), pa.array(_digests(back, _sums(sizes, counts)))]
+        by_ids, by_bytes = [], []
+        for first, last, begin, end in _runs(counts):
+            own, part = counts[first:last], ids[begin:end]
+            named, sizes = codec.decimals.take(part)
+            by_ids += _digests(named, _sums(sizes, own), drop=1)
+            back, sizes = codec.token_bytes.take(part)
+            by_bytes += _digests(back, _sums(sizes, own))
+        return [pa.array(counts), pa.array(by_ids, pa.string()), pa.array(by_bytes, pa.string())]
 
     columns = [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]
     return _mapped(docs, path, pattern, ["doc_id"], columns, cells)

@@ -103,7 +103,7 @@ def main() -> None:
         "upsert_store": upsert,
         "repair_accept": lambda: run(repair.accepted_candles(requests, answers)),
         "repair_from_pool": lambda: run(repair.accepted_from_pool(requests, clean)),
-        "live_tail": lambda: run(live.live_tail(feed)),
+        "live_tail": lambda: run(live.live_tail(feed, live.LAST_N, live.LAST_N_1M)),
         "payload_normalise": lambda: [run(payloads.normalise(p)) for p in packed.values()],
         "archive_ingest": lambda: run(archives.archive_candles(archives.verified(zips, sums), symbols)),
         "stream_continuity": stream,

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
+
 from candlewick.dims import EXCHANGES
 
 
@@ -56,18 +63,56 @@ def structure_of_all(body: str) -> str:
     return _plain(f"schema_of_variant_agg(try_parse_json({body}))")
 
 
-# What stands between the brackets of a list type, nested three deep at most.
-_ANY = "[^<>]*(<[^<>]*(<[^<>]*(<[^<>]*>[^<>]*)*>[^<>]*)*>[^<>]*)*"
-
-
-def same_structure(one: str, other: str) -> str:
-    """Whether two shapes agree; an empty list agrees with any list."""
-
-    def fits(a: str, b: str) -> str:
-        pattern = rf"concat(r'^\Q', replace({a}, 'ARRAY<VOID>', r'\EARRAY<{_ANY}>\Q'), r'\E$')"
-        return f"{b} rlike {pattern}"
-
-    return f"({one} = {other} or {fits(one, other)} or {fits(other, one)})"
+# Names of types and fields (quoted where they aren't plain), and the marks between them.
+_TOKEN = re.compile(r"`(?:[^`]|``)*`|[<>:,]|[^`<>:,\s]+")
+
+
+@lru_cache(maxsize=4096)
+def _parsed(schema: str) -> tuple:
+    """A shape as nested tuples: (ARRAY, inner), (OBJECT, fields) or (type,). Deep ones need no deep call stack."""
+    stack: list[list] = [["", []]]
+    name = None
+    for token in _TOKEN.findall(schema):
+        if token == "<":
+            stack.append([stack[-1][1].pop()[0], [], name])
+            name = None
+        elif token == ">":
+            kind, inner, name = stack.pop()
+            stack[-1][1].append((kind, inner[0] if kind == "ARRAY" else tuple(sorted(zip(inner[::2], inner[1::2], strict=True)))))
+        elif token == ":":
+            stack[-1][1][-1] = stack[-1][1][-1][0]
+        elif token != ",":
+            stack[-1][1].append((token,))
+    return stack[0][1][0]
+
+
+def _agree(one: tuple, other: tuple) -> bool:
+    """Whether one shape agrees with the other, in which empty lists stand for any list."""
+    todo = [(one, other)]
+    while todo:
+        a, b = todo.pop()
+        if a[0] != b[0] or len(a) != len(b):
+            return False
+        if a[0] == "ARRAY" and len(a) == 2:
+            if a[1] != ("VOID",):
+                todo.append((a[1], b[1]))
+        elif len(a) == 2:
+            if [n for n, _ in a[1]] != [n for n, _ in b[1]]:
+                return False
+            todo += [(x, y) for (_, x), (_, y) in zip(a[1], b[1], strict=True)]
+    return True
+
+
+@F.pandas_udf(BooleanType())
+def same_structure(one: pd.Series, other: pd.Series) -> pd.Series:
+    """Whether two shapes agree at any depth; an empty list agrees with any list, but only on one of the two sides."""
+    return pd.Series(
+        [
+            None if a is None or b is None else a == b or _agree(_parsed(a), _parsed(b)) or _agree(_parsed(b), _parsed(a))
+            for a, b in zip(one, other, strict=True)
+        ],
+        dtype="object",
+    )
 
 
 def _plain(schema: str) -> str:

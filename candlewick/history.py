@@ -66,7 +66,7 @@ class CandleHistory:
         self.upsert(candles.selectExpr("*", "length(file) as detail"), ("detail", "file", "pos"))
 
     def load_live(self, elements: DataFrame) -> None:
-        """Merge the closed candles among the newest of a buffer of live elements."""
+        """Merge the closed candles of a buffer of live elements (with ``seq``), the last element of each."""
         self.upsert(live_tail(elements))
 
     # Read

@@ -28,7 +28,7 @@ def merge_rows(
     defaults: dict[str, str],
     place: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Stored rows after an upsert of ``incoming`` (both unique by key).
+    """Stored rows after an upsert of ``incoming`` (both unique by key; an incoming key that comes twice fails the job).
 
     ``replaced`` columns come from the incoming row, missing values included;
     ``defaults`` columns keep their stored value and take the default (an
@@ -42,7 +42,9 @@ def merge_rows(
     grouped = (place(both) if place else both).groupBy(*key)
     newest = F.expr(f"max_by(struct({', '.join(replaced)}), turn) as newest")
     kept = [F.expr(f"min_by({c}, turn) as {c}") for c in defaults]
-    return grouped.agg(newest, *kept).select(*key, "newest.*", *defaults)
+    merged = grouped.agg(newest, *kept, F.expr("sum(turn) as arrivals"))
+    single = "assert_true(arrivals <= 1, 'several incoming rows have one key: give the columns that order them') is null"
+    return merged.where(single).select(*key, "newest.*", *defaults)
 
 
 def merge_klines(

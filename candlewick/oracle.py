@@ -190,14 +190,12 @@ _INCOMING = """incoming AS (SELECT exchange, trading_type, symbol, interval, ope
     open_price, close_time, close_price, CASE WHEN seq = 1 THEN low END AS low, high, volume || ':' || seq AS volume, status, seq
   FROM history, (VALUES (1), (2)) AS v(seq), (VALUES (0), (1)) AS s(shift) WHERE high <> low),
   latest AS (SELECT * EXCLUDE (seq) FROM incoming WHERE seq = 2)"""
-_MERGED = f"""SELECT {KEY}, CASE WHEN n.close_time IS NULL THEN o.open_price ELSE n.open_price END AS open_price,
-  coalesce(n.close_time, o.close_time) AS close_time,
-  CASE WHEN n.close_time IS NULL THEN o.close_price ELSE n.close_price END AS close_price,
-  CASE WHEN n.close_time IS NULL THEN o.low ELSE n.low END AS low,
-  CASE WHEN n.close_time IS NULL THEN o.high ELSE n.high END AS high,
-  CASE WHEN n.close_time IS NULL THEN o.volume ELSE n.volume END AS volume,
-  CASE WHEN o.close_time IS NULL THEN '__NON_CHECK__' ELSE o.status END AS status
-FROM {{}} o FULL JOIN {{}} n USING ({KEY})"""
+# Stored and new rows one below the other; each key takes its values from the new one, if there is one, and its status from the stored one.
+_VALUES = "{{'open_price': open_price, 'close_time': close_time, 'close_price': close_price, 'low': low, 'high': high, 'volume': volume}}"
+_MERGED = f"""SELECT {KEY}, n.open_price, n.close_time, n.close_price, n.low, n.high, n.volume, status FROM (
+  SELECT {KEY}, arg_max(v, turn) AS n, CASE WHEN min(turn) = 0 THEN max(old) ELSE '__NON_CHECK__' END AS status
+  FROM (SELECT {KEY}, {_VALUES} AS v, status AS old, 0 AS turn FROM {{}}
+    UNION ALL SELECT {KEY}, {_VALUES} AS v, NULL AS old, 1 AS turn FROM {{}}) GROUP BY {KEY})"""
 ORACLE["dedupe_last_wins"] = _with(_HISTORY, _INCOMING) + f"SELECT {COLUMNS} FROM latest"
 ORACLE["upsert_merge"] = _with(_HISTORY, _part_checked("history"), _INCOMING) + _MERGED.format("part_checked", "latest")
 ORACLE["upsert_store"] = ORACLE["upsert_merge"]
@@ -361,6 +359,11 @@ WITH feeds AS (SELECT *, (open_time // 3600) % 4 <> 0 AS closed FROM ({_events('
     <= CASE interval WHEN '1m' THEN 27 ELSE 9 END)
 SELECT {COLUMNS} FROM recent WHERE closed
 QUALIFY exchange <> 'kucoin' OR row_number() OVER (PARTITION BY {SERIES} ORDER BY open_time DESC) > 1"""
+ORACLE["load_live"] = f"""
+WITH feeds AS (SELECT *, (open_time // 3600) % 4 <> 0 AS closed FROM ({_events('binance')})
+    UNION ALL SELECT *, true FROM ({_events('kucoin')}) UNION ALL SELECT *, true FROM ({_events('okx', '1m', 60)}))
+SELECT {COLUMNS} FROM feeds WHERE closed
+QUALIFY exchange <> 'kucoin' OR row_number() OVER (PARTITION BY {SERIES} ORDER BY open_time DESC) > 1"""
 ORACLE["stream_upsert"] = f"""
 WITH flagged AS ({_events('binance')}), unflagged AS ({_events('kucoin')})
 SELECT {COLUMNS} FROM (SELECT * REPLACE (CASE WHEN high <> low THEN 'corrected' ELSE volume END AS volume)

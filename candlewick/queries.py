@@ -13,6 +13,7 @@ from candlewick import store
 from candlewick.dims import EXCHANGES
 from candlewick.functions import calendar as cal
 from candlewick.functions import text as names
+from candlewick.history import CandleHistory
 from candlewick.operators import check as checks
 from candlewick.operators import merge, profile, reader, repair, streams
 from candlewick.plans.backfill import backfill_plan as plan_backfill
@@ -328,7 +329,7 @@ def payload_parity(spark, sf):
     events = spark.read.parquet(f"{sf}/events.parquet")
     other = f"if(event_id % 3 = 0, {_AS_TEXT}, props)"
     shapes = events.selectExpr("event_id", f"{names.structure('props')} as a", f"{names.structure(other)} as b")
-    return shapes.selectExpr("event_id", f"{names.same_structure('a', 'b')} as same")
+    return shapes.select("event_id", names.same_structure("a", "b").alias("same"))
 
 
 # Catalogs and requests
@@ -506,13 +507,30 @@ def repair_from_pool(spark, sf):
 
 @query
 def live_tail(spark, sf):
-    """Closed candles among the newest of a feed with the flag, one without and a one-minute feed."""
+    """Closed candles among the newest of a feed with the flag, one without and a one-minute feed; each candle comes several times."""
+    return live.live_tail(_feeds(spark, sf), live.LAST_N, live.LAST_N_1M)
+
+
+def _feeds(spark: SparkSession, sf: str) -> DataFrame:
     feeds = [
         fx.live_elements(fx.event_candles(spark, sf, "1h", "binance"), f"{fx.HOUR} % 4 <> 0"),
         fx.live_elements(fx.event_candles(spark, sf, "1h", "kucoin"), "null"),
         fx.live_elements(fx.event_candles(spark, sf, "1m", "okx"), "null"),
     ]
-    return live.live_tail(reduce(DataFrame.unionByName, feeds))
+    last = reduce(DataFrame.unionByName, feeds)
+    # Before the last element, one of each candle that is not closed, and two with other volumes.
+    early = last.withColumn("no", F.expr("explode(array(1L, 2L, 3L))"))
+    early = early.withColumns({"volume": F.lit("early"), "is_closed": F.expr("no > 1"), "seq": F.expr("no - 4")})
+    return last.unionByName(early.select(*last.columns))
+
+
+@query
+def load_live(spark, sf):
+    """All closed candles of the feeds, merged into a new store."""
+    root = new_dir(spark, "load_live")
+    history = CandleHistory(spark, root)
+    history.load_live(_feeds(spark, sf))
+    return store.scan(spark, root).select(*KLINE_COLUMNS)
 
 
 @query
@@ -538,9 +556,8 @@ def stream_continuity(spark, sf):
     """Verdicts given while the candles stream in, ten days at a time."""
     landed, root = new_dir(spark, "candles"), new_dir(spark, "continuity")
     candles = fx.dented(fx.event_candles(spark, sf, "1h", "binance")).selectExpr("*", "0L as seq")
-    bounds = [0, 1704931200, 1705795200, NOW]
-    for low, high in zip(bounds, bounds[1:]):
-        part = candles.where(f"open_time >= {low} and open_time < {high}")
+    for days in ("open_time < 1704931200", "open_time >= 1704931200 and open_time < 1705795200", "open_time >= 1705795200"):
+        part = candles.where(days)
         part.write.mode("append").parquet(landed)
         feed = spark.readStream.schema(part.schema).parquet(landed)
         continuity.watch(feed, root, f"{root}/checkpoint", availableNow=True).awaitTermination()

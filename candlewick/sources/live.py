@@ -9,7 +9,7 @@ from candlewick.dims import EXCHANGES
 from candlewick.functions.calendar import rounded_seconds
 from candlewick.schema import KEY, KLINE_COLUMNS, SERIES, SPOT, UNCHECKED
 
-# Newest candles looked at per series and refresh.
+# Newest candles per series that a refresh of a feed buffer looks at, for ``live_tail``.
 LAST_N = 9
 LAST_N_1M = 27
 
@@ -40,23 +40,36 @@ def to_candles(elements: DataFrame, *extra: str) -> DataFrame:
     ).select(*KLINE_COLUMNS, *extra)
 
 
-def live_tail(elements: DataFrame) -> DataFrame:
-    """Candles to store from a buffer of live elements.
+def latest(elements: DataFrame) -> DataFrame:
+    """The last element of each candle by ``seq`` (null first); of equal ones the greater values count."""
+    key = ("exchange", "symbol", "interval", "open_time")
+    rest = ", ".join(c for c in elements.columns if c not in (*key, "seq"))
+    return elements.groupBy(*key).agg(F.expr(f"max(struct(seq, {rest})) as last")).select(*key, "last.*").select(*elements.columns)
 
-    The newest 9 elements of a series (27 of a one-minute series), of those
-    the closed ones, and of those all but the newest on exchanges that do not
-    tell whether a candle is closed.
+
+def live_tail(elements: DataFrame, n: int | None = None, n_1m: int | None = None) -> DataFrame:
+    """Candles to store from a buffer of live elements (with ``seq``), one per candle.
+
+    All candles, or the newest ``n`` of a series (``n_1m`` of a one-minute series, by default ``n``). Of a candle the last
+    element counts; of the candles the closed ones are taken, and of those all but the newest on exchanges that do not tell
+    whether a candle is closed.
     """
-    age = "row_number() over (partition by exchange, symbol, interval order by open_time desc)"
-    # The constant limit lets Spark cut each series to 27 rows before the shuffle.
+    if n is None:
+        return without_tail(to_candles(closed(latest(elements))))
+    n_1m = n if n_1m is None else n_1m
+    series = "partition by exchange, symbol, interval order by open_time desc"
+    # Elements of one candle rank alike, and the constant limit lets Spark cut each series before the shuffle.
     recent = (
-        elements.selectExpr("*", f"{age} as age")
-        .where(f"age <= {LAST_N_1M}")
-        .where(f"age <= {LAST_N} or interval = '1m'")
+        elements.selectExpr("*", f"dense_rank() over ({series}) as age")
+        .where(f"age <= {max(n, n_1m)}")
+        .where(f"age <= if(interval = '1m', {n_1m}, {n})")
+        .drop("age")
     )
     unsure = ", ".join(f"'{name}'" for name in DROP_TAIL)
-    kept = closed(recent).selectExpr("*", f"{age} as closed_age").where(
-        f"exchange not in ({unsure}) or closed_age > 1"
+    kept = (
+        closed(latest(recent))
+        .selectExpr("*", f"row_number() over ({series}) as closed_age")
+        .where(f"exchange not in ({unsure}) or closed_age > 1")
     )
     return to_candles(kept)
 

@@ -131,6 +131,6 @@ def drift(payloads: DataFrame, received: str = "received") -> DataFrame:
         .agg(F.expr(f"{structure_of_all('body')} as structure"))
     )
     # One row per exchange and day: small whatever the number of payloads.
-    return days.selectExpr("*", "lag(structure) over (partition by exchange order by day) as before").selectExpr(
-        *days.columns, f"coalesce(not {same_structure('before', 'structure')}, false) as drifted"
-    )
+    linked = days.selectExpr("*", "lag(structure) over (partition by exchange order by day) as before")
+    drifted = F.coalesce(~same_structure("before", "structure"), F.lit(False)).alias("drifted")
+    return linked.select(*days.columns, drifted)

@@ -127,7 +127,7 @@ def upsert(
     """Merge candles into the table, rewriting only the folders they fall in.
 
     ``order`` columns rank candles of the same key, the last one wins; without
-    it the keys must be unique. The folders are replaced when all tasks are
+    it a key that comes twice fails the write. The folders are replaced when all tasks are
     done, one after the other; readers that need all at once use ``snapshot``.
     ``partitions`` is the number of write tasks, by default the session's
     number of shuffle partitions.

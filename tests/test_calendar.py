@@ -110,10 +110,16 @@ def test_structures(spark):
         ("[]", '{"a":1}', False),
         ("[]", "1", False),
         ("true", "false", True),
+        ('{"x":[]}', '{"x":' + "[" * 40 + "1" + "]" * 40 + "}", True),
+        ('{"x":[{"a<b":1}]}', '{"x":[]}', True),
+        ('{"a`b: c,d":[[]]}', '{"a`b: c,d":[["x"]]}', True),
+        ('{"a<b":1}', '{"a<c":1}', False),
+        ('{"a":{}}', '{"a":{"b":[]}}', False),
+        (None, "1", None),
     ]
     df = spark.createDataFrame(cases, "a string, b string, same boolean")
     shapes = df.selectExpr("*", f"{text.structure('a')} as sa", f"{text.structure('b')} as sb")
-    for r in shapes.selectExpr("*", f"{text.same_structure('sa', 'sb')} as got").collect():
+    for r in shapes.select("*", text.same_structure("sa", "sb").alias("got")).collect():
         assert r.got == r.same, r
 
 

@@ -103,7 +103,7 @@ def test_streams_add_no_shuffle_of_candles(spark, root):
 
 
 def test_live_tail_cuts_before_the_shuffle(spark, root):
-    text = plan(live.live_tail(fx.live_elements(store.scan(spark, root), "null")))
+    text = plan(live.live_tail(fx.live_elements(store.scan(spark, root), "null"), 9, 27))
     assert text.count("Exchange") == 1
     assert re.search(r"WindowGroupLimit .*27, Partial", text)
 

@@ -100,6 +100,17 @@ def test_backfill_limits(spark):
     assert found == [(-410, 100), (-310, 100), (-210, 300), (-110, 300), (-10, 300)]
 
 
+def test_live_tail_counts_candles(spark):
+    """Many updates of the newest candle leave the older ones in, and the last update counts."""
+    candles = [(T + i * 3600) * 1000 for i in range(9)]
+    rows = [(t, t + 3599999, "1", "2", "0", "4", "old", "binance", "A/USD", "1h", True, 0) for t in candles[:-1]]
+    rows += [(candles[-1], candles[-1] + 3599999, "1", "2", "0", "4", str(i), "binance", "A/USD", "1h", True, i) for i in range(1, 13)]
+    elements = spark.createDataFrame(rows, LIVE)
+    for found in (live.live_tail(elements), live.live_tail(elements, 9)):
+        assert sorted(r.volume for r in found.collect()) == ["12"] + ["old"] * 8
+    assert [r.volume for r in live.live_tail(elements, 1).collect()] == ["12"]
+
+
 def test_live_tail(spark):
     def element(exchange, interval, i, closed):
         return (
@@ -110,7 +121,7 @@ def test_live_tail(spark):
     rows += [element("binance", "1h", i, i != 38) for i in range(40)]
     rows += [element("kucoin", "1h", i, None) for i in range(40)]
     rows += [element("okx", "1h", i, None) for i in range(40)]
-    found = live.live_tail(spark.createDataFrame(rows, LIVE)).collect()
+    found = live.live_tail(spark.createDataFrame(rows, LIVE), live.LAST_N, live.LAST_N_1M).collect()
     kept = {k: sorted(int(r.volume) for r in found if (r.exchange, r.interval) == k) for k in {(r.exchange, r.interval) for r in found}}
     assert kept == {
         ("binance", "1m"): list(range(13, 39)),

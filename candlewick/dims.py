@@ -63,7 +63,8 @@ class Catalog:
     base: str | None = None
     quote: str | None = None
     joined: str | None = None
-    success: tuple[str, str] | None = None
+    # Path and value of the code of a good reply; without a value any code will do.
+    success: tuple[str, str | None] | None = None
 
 
 @dataclass(frozen=True)
@@ -150,7 +151,7 @@ EXCHANGES: dict[str, Exchange] = {
     ),
     "bingx": Exchange(
         layout=Layout(root="$.data", min_len=8, close=6),
-        catalog=Catalog(root="$.data.symbols", joined="symbol"),
+        catalog=Catalog(root="$.data.symbols", joined="symbol", success=("$.code", None)),
         limit=500,
         native_separator="-",
         separator_counts=True,

@@ -224,10 +224,10 @@ def archives(candles: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = candles.groupBy(F.expr(f"{file} as file")).agg(
         F.expr(f"concat_ws('\n', transform(array_sort(collect_list(struct(open_time, {line} as line))), x -> x.line)) as text")
     )
-    zips = texts.mapInPandas(_zip, "file string, content binary")
+    zips = texts.mapInPandas(_zip, "file string, content binary").selectExpr("file as path", "file", "content")
     day = "dayofweek(to_date(left(right(file, 14), 10)))"
     sums = zips.where(f"{day} <> 1").selectExpr(
-        "file", f"if({day} = 7, repeat('0', 64), sha2(content, 256)) as expected"
+        "path", f"if({day} = 7, repeat('0', 64), sha2(content, 256)) as expected"
     )
     return zips, sums
 

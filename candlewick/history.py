@@ -162,6 +162,10 @@ class CandleHistory:
         self.upsert(good)
         return good
 
+    def recover(self) -> None:
+        """Finish or undo the write of a process that is gone; see ``store``."""
+        store.recover(self.spark, self.root)
+
     def check_and_repair(
         self, candidates: DataFrame, as_of: int | None = None, last_n: int | None = None
     ) -> DataFrame:

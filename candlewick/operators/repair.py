@@ -51,17 +51,30 @@ def accepted_candles(requests: DataFrame, candidates: DataFrame) -> DataFrame:
     return last_wins(rows, ["request_start", "pos"])
 
 
-def accepted_from_pool(requests: DataFrame, pool: DataFrame, span: int = SPAN) -> DataFrame:
+def full_reply() -> str:
+    """Seconds a full reply of the exchange reaches: its row limit times the interval."""
+    limits = " ".join(f"when '{name}' then {e.limit}" for name, e in EXCHANGES.items())
+    return f"case exchange {limits} end * {interval_seconds(month_days=31)}"
+
+
+def accepted_from_pool(requests: DataFrame, pool: DataFrame, span: int = SPAN, reach: str | None = "") -> DataFrame:
     """As ``accepted_candles`` for candidates without a request key.
 
     ``pool`` are candles, one per key. The reply to a request is taken to be
-    the pool from the request time on, as far as a full reply reaches. No
-    request is paired with its candles: the head pair is the nearest pool
-    candle at or after the request, already judged against its successor, and
-    a candle is taken if the last accepted request before it reaches it.
+    the pool from the request time on, for ``reach`` seconds: an expression on the
+    series, by default as far as a full reply reaches; None for all that follows.
+    Only pool candles within reach of a request are looked at: time is cut into
+    buckets of that length, of which a request needs two. No request is paired
+    with its candles: the head pair is the nearest pool candle at or after the
+    request, already judged against its successor, and a candle is taken if the
+    last accepted request before it reaches it.
     """
-    limits = " ".join(f"when '{name}' then {e.limit}" for name, e in EXCHANGES.items())
-    reach = f"case exchange {limits} end * {interval_seconds(month_days=31)}"
+    reach = full_reply() if reach == "" else reach
+    within = "true"
+    if reach is not None:
+        within = f"{{}} < {{}} + {reach}"
+        asked = requests.selectExpr(*SERIES, f"explode(sequence(floor(request_start / ({reach})), floor(request_start / ({reach})) + 1)) as bucket")
+        pool = pool.withColumn("bucket", F.expr(f"floor(open_time / ({reach}))")).join(asked.distinct(), [*SERIES, "bucket"], "left_semi").drop("bucket")
     heads = check(pool, span=span).selectExpr(
         *SERIES,
         "open_time",
@@ -75,14 +88,14 @@ def accepted_from_pool(requests: DataFrame, pool: DataFrame, span: int = SPAN) -
     )
     # One row per accepted request, read twice below; written so that it is worked out once.
     marks = staged(
-        probed.where(f"kind = 0 and found.good and found.close_time < open_time + {reach}").select(
+        probed.where(f"kind = 0 and found.good and {within.format('found.close_time', 'open_time')}").select(
             *SERIES, "open_time", "kind"
         ),
         "accepted",
     )
     rows = pool.selectExpr(*KLINE_COLUMNS, "1 as kind").unionByName(marks, allowMissingColumns=True)
     covered = nearest(rows, "if(kind = 0, open_time, null)", "start", "kind", span=span)
-    return covered.where(f"kind = 1 and open_time < start + {reach}").select(*KLINE_COLUMNS)
+    return covered.where(f"kind = 1 and start is not null and {within.format('open_time', 'start')}").select(*KLINE_COLUMNS)
 
 
 def recheck_start(as_of: int, last_n: int) -> str:

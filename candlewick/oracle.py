@@ -253,6 +253,8 @@ _CUSTOMERS = """customers AS (SELECT c_custkey,
     CASE WHEN c_custkey % 5 = 0 THEN 'NONE' ELSE replace(r_name, ' ', '') END AS quote
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 ORACLE["symbol_catalog"] = _with(_PAIRS) + "SELECT exchange, symbol, pos::INTEGER AS pos FROM catalog"
+ORACLE["symbol_list"] = _with(_PAIRS) + """
+SELECT exchange, symbol, (row_number() OVER (PARTITION BY exchange ORDER BY symbol) - 1)::INTEGER AS place FROM catalog"""
 ORACLE["symbol_map"] = _with(_PAIRS, _CUSTOMERS) + """
 SELECT c_custkey, u.exchange, base || CASE WHEN u.exchange IN ('okx', 'kucoin', 'bingx') THEN '-' ELSE '' END || quote AS native_symbol,
   coalesce(c.symbol, native_symbol) AS symbol

@@ -367,6 +367,13 @@ def symbol_catalog(spark, sf):
     return catalog.symbol_catalog(_infos(spark, sf))
 
 
+@query
+def symbol_list(spark, sf):
+    """Each exchange's symbols in order, numbered."""
+    lists = catalog.symbol_lists(catalog.symbol_catalog(_infos(spark, sf)))
+    return lists.selectExpr("exchange", "posexplode(symbols) as (place, symbol)")
+
+
 def _customer_natives(spark: SparkSession, sf: str) -> DataFrame:
     """A native symbol per customer: nation and market segment's region, some unlisted."""
     customer = spark.read.parquet(f"{sf}/customer.parquet")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,19 +22,12 @@ def build_session(app: str = "candlewick", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as ``spark.checkpoint.dir`` names it.
-
-    Unset, a local session gets a temporary folder; a cluster session fails.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="candlewick-"))
-    return context.getCheckpointDir()
+    """The folder every executor can reach: what ``spark.checkpoint.dir`` names, else the context's checkpoint folder, else one
+    in the warehouse, which executors share as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/candlewick-work"
+    return folder.rstrip("/")
 
 
 def new_dir(spark: SparkSession, label: str) -> str:

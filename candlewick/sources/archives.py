@@ -5,10 +5,10 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
-from itertools import chain, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlewick.functions.calendar import archive_seconds
 from candlewick.schema import KLINE_COLUMNS, SPOT, UNCHECKED
@@ -18,37 +18,42 @@ CHECKSUM = ".CHECKSUM"
 # Places of the fields in an archive line.
 _FIELDS = {"open_time": 0, "open_price": 1, "high": 2, "low": 3, "close_price": 4, "volume": 5, "close_time": 6}
 
-# Lines handed back to Spark at a time.
-_LINES = 20_000
+# Bytes of text handed back to Spark at a time.
+_BLOCK = 1 << 20
+# Checksums are broadcast up to so many, so that archives stay where they are read.
+BROADCAST_ROWS = 1_000_000
 
 
-def _lines(file: str, content: bytes) -> Iterator[tuple[str, int, str]]:
-    """Numbered lines of the first member of an archive."""
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        with io.TextIOWrapper(archive.open(archive.infolist()[0]), "utf-8") as text:
-            for pos, line in enumerate(text):
-                yield file, pos, line.rstrip("\r\n")
+def _blocks(content: bytes) -> Iterator[tuple[int, str]]:
+    """The first member of an archive in blocks of whole lines, each with the number of its first line."""
+    with zipfile.ZipFile(io.BytesIO(content)) as archive, archive.open(archive.infolist()[0]) as member:
+        first, rest = 0, b""
+        while part := member.read(_BLOCK):
+            lines, end, rest = (rest + part).rpartition(b"\n")
+            if end:
+                yield first, lines.decode("utf-8")
+                first += lines.count(b"\n") + 1
+        if rest:
+            yield first, rest.decode("utf-8")
 
 
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    lines = chain.from_iterable(
-        _lines(file, content) for batch in batches for file, content in zip(batch["file"], batch["content"])
-    )
-    while part := list(islice(lines, _LINES)):
-        yield pd.DataFrame(part, columns=["file", "pos", "line"])
+    for batch in batches:
+        for file, content in zip(batch["file"], batch["content"]):
+            for first, text in _blocks(content):
+                yield pd.DataFrame({"file": [file], "first": [first], "text": [text]})
 
 
 def landed_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Archives (file, content) and checksum files (file, expected) below ``folder``."""
+    """Archives (path, file, content) and checksum files (path, expected) below ``folder``."""
 
     def files(pattern: str) -> DataFrame:
         reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         return reader.option("pathGlobFilter", pattern).load(folder)
 
-    name = "element_at(split(path, '/'), -1)"
-    archives = files("*.zip").selectExpr(f"{name} as file", "content")
+    archives = files("*.zip").selectExpr("path", "element_at(split(path, '/'), -1) as file", "content")
     sums = files("*" + CHECKSUM).selectExpr(
-        f"replace({name}, '{CHECKSUM}') as file",
+        f"regexp_replace(path, '{CHECKSUM.replace('.', '[.]')}$', '') as path",
         r"get(split(trim(decode(content, 'UTF-8')), '[ \t\r\n]+'), 0) as expected",
     )
     return archives, sums
@@ -57,10 +62,14 @@ def landed_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
 def verified(archives: DataFrame, sums: DataFrame) -> DataFrame:
     """Archives whose SHA-256 is the expected one; without a checksum file none is.
 
-    The checksum side has one short row per archive. Its size decides whether
-    Spark broadcasts it; if not, both sides are shuffled by file name.
+    An archive is hashed where it is read and meets the checksum of the same
+    path, so of two files of one name each has its own. Up to
+    ``BROADCAST_ROWS`` checksums are sent to the archives; beyond that, archives
+    are shuffled by path.
     """
-    return archives.join(sums, "file").where("sha2(content, 256) = expected").drop("expected")
+    hashed = archives.withColumn("expected", F.sha2("content", 256))
+    known = F.broadcast(sums) if sums.count() <= BROADCAST_ROWS else sums
+    return hashed.join(known, ["path", "expected"], "left_semi").drop("expected")
 
 
 def archive_candles(files: DataFrame, symbols: DataFrame, exchange: str = "binance") -> DataFrame:
@@ -70,7 +79,10 @@ def archive_candles(files: DataFrame, symbols: DataFrame, exchange: str = "binan
     the native symbol, which ``symbols`` (native_symbol, symbol; one row each)
     turns into the unified one. Files of unknown symbols keep the native name.
     """
-    lines = files.mapInPandas(_unzip, "file string, pos long, line string")
+    blocks = files.select("file", "content").mapInPandas(_unzip, "file string, first long, text string")
+    lines = blocks.selectExpr("file", "first", r"posexplode(split(text, '\r?\n')) as (place, line)").selectExpr(
+        "file", "first + place as pos", "line"
+    )
     text = {c: f"trim(get(parts, {i}))" for c, i in _FIELDS.items()}
     times = ("open_time", "close_time")
     return (

@@ -2,43 +2,56 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.dims import EXCHANGES, Catalog, interval_codes
 from candlewick.functions.text import bare_symbol, native_symbol
+from candlewick.sources.payloads import by_exchange
 
 
-def _entries(name: str, c: Catalog) -> tuple[str, str, str]:
-    """Condition on a reply, its list of entries, and the symbol of an ``entry``."""
-    success = f"get_json_object(body, '{c.success[0]}') = '{c.success[1]}'" if c.success else "true"
+def _success(c: Catalog) -> str:
+    if c.success is None:
+        return "true"
+    code = f"get_json_object(body, '{c.success[0]}')"
+    return f"{code} is not null" if c.success[1] is None else f"{code} = '{c.success[1]}'"
+
+
+def _entries(c: Catalog) -> str:
     listed = "body" if c.root == "$" else f"get_json_object(body, '{c.root}')"
-    symbol = (
-        f"translate(entry['{c.joined}'], '-', '/')"
-        if c.joined
-        else f"upper(concat(entry['{c.base}'], '/', entry['{c.quote}']))"
-    )
-    return f"exchange = '{name}' and {success}", f"from_json({listed}, 'array<map<string,string>>')", symbol
+    return f"from_json({listed}, 'array<map<string,string>>')"
+
+
+def _symbol(c: Catalog) -> str:
+    """The symbol of an ``entry``."""
+    return f"translate(entry['{c.joined}'], '-', '/')" if c.joined else f"upper(concat(entry['{c.base}'], '/', entry['{c.quote}']))"
 
 
 def symbol_catalog(infos: DataFrame) -> DataFrame:
-    """``BASE/QUOTE`` symbols of exchange-info payloads (exchange, body).
+    """``BASE/QUOTE`` symbols of exchange-info payloads (exchange, body), in one pass.
 
     ``pos`` is the place of the symbol's first listing. Replies with a failure
-    code and entries without names are left out.
+    code, or without any code where one is due, and entries without names are left out.
     """
-    parts = []
-    for name, exchange in EXCHANGES.items():
-        reply, entries, symbol = _entries(name, exchange.catalog)
-        parts.append(
-            infos.where(reply)
-            .selectExpr("exchange", f"posexplode({entries}) as (pos, entry)")
-            .selectExpr("exchange", f"{symbol} as symbol", "pos")
-        )
-    listed = reduce(DataFrame.unionByName, parts).where("symbol is not null")
-    return listed.groupBy("exchange", "symbol").agg(F.expr("min(pos) as pos"))
+
+    def pick(value: Callable[[Catalog], str]) -> str:
+        return by_exchange({name: e.catalog for name, e in EXCHANGES.items()}, value)
+
+    return (
+        infos.where(pick(_success))
+        .selectExpr("exchange", f"posexplode({pick(_entries)}) as (pos, entry)")
+        .selectExpr("exchange", f"{pick(_symbol)} as symbol", "pos")
+        .where("symbol is not null")
+        .groupBy("exchange", "symbol")
+        .agg(F.expr("min(pos) as pos"))
+    )
+
+
+def symbol_lists(catalog: DataFrame) -> DataFrame:
+    """The symbols of each exchange as one sorted list; an exchange has some thousands."""
+    return catalog.groupBy("exchange").agg(F.expr("array_sort(collect_set(symbol)) as symbols"))
 
 
 def with_native_symbol(requests: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ put in order, trimmed and numbered without a shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +20,16 @@ from candlewick.schema import KLINE_COLUMNS, SPOT, UNCHECKED
 LAYOUTS: dict[str, Layout] = {name: e.layout for name, e in EXCHANGES.items()}
 
 
+T = TypeVar("T")
+
+
 def split_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Payloads with a JSON body, and the others for quarantine."""
     good = is_json("body")
     return payloads.where(good), payloads.where(f"not {good}")
 
 
-def by_exchange(layouts: Mapping[str, Layout], value: Callable[[Layout], str]) -> str:
+def by_exchange(layouts: Mapping[str, T], value: Callable[[T], str]) -> str:
     """``value`` of the layout of the row's exchange; one branch per different text."""
     names: dict[str, list[str]] = {}
     for name, layout in layouts.items():

@@ -7,17 +7,25 @@ Layout under a root folder::
     held/<feed>/batch=N/                candles held back when batch N was merged
     merged/<feed>/                      how far the log has been merged
     meta/                               metadata of series
+    writing, pending/                   of the write under way
+
+A write of the table holds ``writing``, from before it reads what it merges with until its folders are in place, so two
+writers can't lose each other's candles; the second one fails. The new folders are written below ``pending`` first.
+``pending/READY`` makes them valid; from then on they are moved into place one by one, and what a crash leaves undone
+``recover`` does. Before that marker the table hasn't been touched.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from candlewick.files import Files
 from candlewick.functions.calendar import part_of
 from candlewick.functions.text import meta_key
 from candlewick.operators.merge import last_wins, merge_klines, merge_meta, merge_status
@@ -82,19 +90,56 @@ def placed(rows: DataFrame, partitions: int | None = None) -> DataFrame:
     return rows.repartitionByRange(partitions, *ORDER) if partitions else rows.repartitionByRange(*ORDER)
 
 
-def _write(candles: DataFrame, path: str) -> None:
-    """Replace the folders the placed candles fall in, leave the others.
+class BusyError(RuntimeError):
+    """Another write of the table is under way, or was when it crashed."""
+
+
+@contextmanager
+def writing(spark: SparkSession, root: str) -> Iterator[None]:
+    """Hold the table of ``root`` for one write. A write that fails before its folders are valid leaves nothing behind;
+    one that fails later leaves the table held, for ``recover`` to finish."""
+    files = Files(spark, root)
+    if not files.claim("writing"):
+        raise BusyError(f"{root} is being written; if that write has crashed, run recover")
+    try:
+        yield
+    finally:
+        if not files.exists("pending/READY"):
+            files.delete("pending")
+            files.delete("writing")
+
+
+def recover(spark: SparkSession, root: str) -> None:
+    """Finish or undo the write of a writer that is gone."""
+    files = Files(spark, root)
+    if files.exists("pending/READY"):
+        _publish(files)
+    files.delete("pending")
+    files.delete("writing")
+
+
+def _publish(files: Files) -> None:
+    """Move the valid folders into place. Folders moved before are no longer there, so it can be done again."""
+    for folder in files.folders("pending/klines", len(PARTITION)):
+        files.move(folder, folder.removeprefix("pending/"))
+    files.delete("pending/READY")
+
+
+def _write(candles: DataFrame, root: str) -> None:
+    """Replace the folders the placed candles fall in, leave the others. The caller holds the table.
 
     A candle that closes before it opens fails the write.
     """
+    files = Files(candles.sparkSession, root)
+    files.delete("pending")
     (
         candles.where("assert_true(close_time >= open_time, 'a candle closes before it opens') is null")
         .sortWithinPartitions(*ORDER)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION)
-        .parquet(path)
+        .write.partitionBy(*PARTITION)
+        .parquet(klines_path(f"{root}/pending"))
     )
+    files.claim("pending/READY")
+    _publish(files)
 
 
 def touched(rows: DataFrame) -> str:
@@ -129,11 +174,13 @@ def upsert(
     ``order`` columns rank candles of the same key, the last one wins; without
     it a key that comes twice fails the write. The folders are replaced when all tasks are
     done, one after the other; readers that need all at once use ``snapshot``.
+    While another write is under way it fails with ``BusyError``.
     ``partitions`` is the number of write tasks, by default the session's
     number of shuffle partitions.
     """
     rows = staged(last_wins(incoming, order) if order else incoming.select(*KLINE_COLUMNS), "incoming")
-    _write(_merged(scan(spark, root).where(touched(rows)), rows, partitions), klines_path(root))
+    with writing(spark, root):
+        _write(_merged(scan(spark, root).where(touched(rows)), rows, partitions), root)
 
 
 def _merged(stored: DataFrame, rows: DataFrame, partitions: int | None) -> DataFrame:
@@ -151,7 +198,8 @@ def snapshot(
 ) -> None:
     """As ``upsert``, but write the whole merged table to a new root."""
     rows = staged(last_wins(incoming, order) if order else incoming.select(*KLINE_COLUMNS), "incoming")
-    _write(_merged(scan(spark, root), rows, partitions), klines_path(target))
+    with writing(spark, target):
+        _write(_merged(scan(spark, root), rows, partitions), target)
 
 
 def write_status(spark: SparkSession, root: str, changes: DataFrame, partitions: int | None = None) -> None:
@@ -161,9 +209,9 @@ def write_status(spark: SparkSession, root: str, changes: DataFrame, partitions:
 
 def set_status(spark: SparkSession, root: str, rows: DataFrame, partitions: int | None = None) -> None:
     """``write_status`` of rows that are staged already."""
-    stored = scan(spark, root).where(touched(rows))
-    merged = merge_status(stored, with_part(rows), STORED_KEY, lambda both: placed(both, partitions))
-    _write(merged, klines_path(root))
+    with writing(spark, root):
+        stored = scan(spark, root).where(touched(rows))
+        _write(merge_status(stored, with_part(rows), STORED_KEY, lambda both: placed(both, partitions)), root)
 
 
 # Live batches are appended to a log and merged in bulk, so that a few new

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -14,7 +15,12 @@ from candlewick.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests",
-        **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"},
+        **{
+            "spark.master": "local[8]",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="candlewick-"),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

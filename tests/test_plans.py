@@ -193,3 +193,13 @@ def test_copies_of_one_key_are_reduced_before_the_shuffle(spark, one_series):
     copies = one_series.selectExpr(*columns, "close_time as seq")
     (row,) = merge.last_wins(copies.repartition(8), ["seq"]).collect()
     assert row.close_time == 1500003600 + 47_999 * 3600
+
+
+def test_pool_is_cut_to_the_requests_first(spark, root):
+    """Whatever is windowed has met the requests' buckets before."""
+    pool = store.scan(spark, root)
+    requests = repair.repair_requests(checks.errors(checks.check(pool)))
+    text = plan(repair.accepted_from_pool(requests, pool))
+    lines = [re.sub(r"^[ :+\-]*", "", line) for line in text.splitlines()]
+    first = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    assert any("Window" in line for line in lines[:first]) and "bucket" in lines[first]

@@ -85,6 +85,10 @@ def test_pool_reach(spark):
     requests = repair.repair_requests(frame(spark, [pool[10], pool[50]]))
     found = sorted(r.open_time for r in repair.accepted_from_pool(requests, frame(spark, pool)).collect())
     assert found == [T + i * 3600 for i in range(10, 150)]
+    found = repair.accepted_from_pool(requests, frame(spark, pool), reach=None).collect()
+    assert sorted(r.open_time for r in found) == [T + i * 3600 for i in range(10, 300)]
+    found = repair.accepted_from_pool(requests, frame(spark, pool), reach="3600 * 5").collect()
+    assert sorted(r.open_time for r in found) == [T + i * 3600 for i in [*range(10, 15), *range(50, 55)]]
 
 
 def test_nearest(spark):

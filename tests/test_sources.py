@@ -48,7 +48,7 @@ def test_archives_from_files(spark, tmp_path):
 
 
 def test_long_archive_keeps_every_line(spark, tmp_path):
-    n = 2 * archives._LINES + 17
+    n = 60_017
     put(tmp_path, "A-1m-2024-01.zip", [line(T + i * 60, volume=str(i)) for i in range(n)])
     symbols = spark.createDataFrame([], "native_symbol string, symbol string")
     found = archives.archive_candles(archives.verified(*archives.landed_files(spark, str(tmp_path))), symbols)

@@ -245,3 +245,67 @@ def test_log_merge(spark, history):
     store.merge_log(spark, history.root, 2)
     kucoin = {r.open_time: r.open_price for r in history.candles("kucoin").collect()}
     assert kucoin == {T: "1.5", T + 3600: "4"}
+
+
+# Crashes and two writers
+
+
+def by_time(history) -> dict[int, str]:
+    return {r.open_time: r.volume for r in history.candles().collect()}
+
+
+def test_a_crash_before_the_folders_are_valid_changes_nothing(spark, history, monkeypatch):
+    history.upsert(frame(spark, [candle(T, volume="1")]))
+    claim = store.Files.claim
+    monkeypatch.setattr(store.Files, "claim", lambda self, name: 1 / 0 if "READY" in name else claim(self, name))
+    with pytest.raises(ZeroDivisionError):
+        history.upsert(frame(spark, [candle(T, volume="2")]))
+    monkeypatch.undo()
+    assert by_time(history) == {T: "1"}
+    history.upsert(frame(spark, [candle(T, volume="3")]))
+    assert by_time(history) == {T: "3"}
+
+
+@pytest.mark.parametrize("after", [0, 1, 2])
+def test_a_crash_while_folders_move_is_finished(spark, history, monkeypatch, after):
+    """Three months of minutes are three folders; the write dies after some of them, or between two steps of a move."""
+    times = [epoch(2024, m, 1) for m in (1, 2, 3)]
+    history.upsert(frame(spark, [candle(t, interval="1m", volume="old") for t in times]))
+    move, done = store.Files.move, []
+
+    def dying(self, name, target):
+        if len(done) == after:
+            self.delete(target)  # the old folder is gone, the new one not yet there
+            raise KeyboardInterrupt
+        done.append(name)
+        move(self, name, target)
+
+    monkeypatch.setattr(store.Files, "move", dying)
+    with pytest.raises(KeyboardInterrupt):
+        history.upsert(frame(spark, [candle(t, interval="1m", volume="new") for t in times]))
+    monkeypatch.undo()
+    with pytest.raises(store.BusyError):
+        history.upsert(frame(spark, [candle(T)]))
+    history.recover()
+    assert by_time(history) == {t: "new" for t in times}
+    history.recover()
+    history.upsert(frame(spark, [candle(times[0], interval="1m", volume="newer")]))
+    assert by_time(history) == {times[0]: "newer", times[1]: "new", times[2]: "new"}
+
+
+def test_two_writers(spark, history):
+    history.upsert(frame(spark, [candle(T, volume="1")]))
+    with store.writing(spark, history.root):
+        for write in (lambda: history.upsert(frame(spark, [candle(T)])), lambda: history.check_and_store()):
+            with pytest.raises(store.BusyError):
+                write()
+    assert by_time(history) == {T: "1"}
+    history.upsert(frame(spark, [candle(T + 3600, volume="2")]))
+    assert by_time(history) == {T: "1", T + 3600: "2"}
+
+
+def test_keys_that_come_twice_are_refused(spark, history):
+    with pytest.raises(Exception, match="several incoming rows have one key"):
+        history.upsert(frame(spark, [candle(T, volume="1"), candle(T, volume="2")]))
+    history.upsert(frame(spark, [candle(T, volume="3")]))
+    assert by_time(history) == {T: "3"}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from candlewick.session import staged
@@ -33,8 +33,9 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges, before = staged(links.select("a", "b").where("a != b").distinct(), "links"), None
     while True:
-        edges = staged(_stars(_stars(edges, True), False), "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first()
-        if now == before:
+        seen = Observation()
+        mark = F.sum(F.xxhash64("a", "b") % 1_000_000_007)
+        edges = staged(_stars(_stars(edges, True), False).observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark")), "links")
+        if seen.get == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = now
+        before = seen.get

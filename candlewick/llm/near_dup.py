@@ -13,9 +13,9 @@ number of its shingles and of those darts, not their product.
 
 ``BANDS`` bands of ``ROWS`` coordinates are compared: a pair of likeness 0.8 shares one with probability 0.9999. Equal texts are one
 node from the start. A band's texts aren't paired with each other: each meets the band's leader only, pairs are checked
-by their exact likeness, and checked links are put together to classes. Where a band still holds texts of several classes, others of its
-texts lead in the next round, until a round adds no link. Then all pairs across classes are tried that are left in bands of at
-most ``SMALL`` texts; in larger bands, each text has met as many leaders by then as there were rounds, in each band it is in.
+by their exact likeness, and checked links are put together to classes. What a band then still holds of other classes than
+its leader's is settled by all pairs across classes, if the band has at most ``SMALL`` texts; in larger bands another text
+leads in each round, until a round adds no link.
 
 A null text is empty. Texts without words are alike only if equal. Rows without id belong to classes like others; a class is
 named by its least id (null if it has none). Repeated rows are rows of one class. An empty table gives an empty result.
@@ -28,7 +28,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from candlewick.llm.components import components
@@ -37,7 +37,7 @@ from candlewick.session import staged
 
 WORDS, LIKE = 5, 0.8
 BANDS, ROWS = 25, 5
-#: Texts of a band whose pairs are tried in the end if they are still in several classes.
+#: Texts of a band whose pairs across classes are all tried.
 SMALL = 100
 #: Texts to check are found by broadcast up to so many, by a shuffle beyond.
 BROADCAST_ROWS = 1_000_000
@@ -164,51 +164,50 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one("a"), "a").join(one("b"), "b").mapInArrow(_likeness, "a binary, b binary, likeness double")
 
 
-def _led(placed: DataFrame, round_no: int) -> DataFrame:
-    """Each text with the leader of its band, unless they are in one class already. In round 0 texts rank alike in all bands, so
-    equal groups have one leader; later each band ranks them anew."""
+def _pairs(placed: DataFrame, round_no: int) -> DataFrame:
+    """Pairs to check in bands that hold texts of several classes.
+
+    Each text of another class meets the band's leader: in round 0 in all bands, when texts rank alike in each, so that
+    equal groups have one leader; later in bands of more than ``SMALL`` texts, which rank them anew each time. Smaller bands
+    are settled in round 1 by all pairs across classes, at most ``SMALL`` for a text and band.
+    """
     turn = F.xxhash64("node", F.lit(round_no), *(["band"] if round_no else []))
     bands = placed.groupBy("band").agg(
-        F.min(F.struct(turn.alias("turn"), "node", "root")).alias("leader"), F.min("root").alias("least"), F.max("root").alias("most")
+        F.count("*").alias("n"),
+        F.min(F.struct(turn.alias("turn"), "node", "root")).alias("leader"),
+        F.min("root").alias("least"),
+        F.max("root").alias("most"),
     )
-    bands = bands.where("least != most").select("band", F.col("leader.node").alias("leader"), F.col("leader.root").alias("leader_root"))
-    return placed.join(bands, "band").where("root != leader_root").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-
-
-def _crossed(placed: DataFrame) -> DataFrame:
-    """Pairs of texts of different classes in bands of at most ``SMALL`` texts, so at most that many for each text and band."""
-    bands = placed.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
-    left = placed.join(bands.where(f"least != most and n <= {SMALL}").select("band"), "band")
-    one = lambda side: left.select("band", F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-    return one("a").join(one("b"), "band").where("a < b and root_a != root_b").select("a", "b")
+    bands = bands.where("least != most").select("band", "n", F.col("leader.node").alias("leader"), F.col("leader.root").alias("leader_root"))
+    mixed = placed.join(bands, "band")
+    led = mixed.where("root != leader_root" + (f" and n > {SMALL}" if round_no else ""))
+    pairs = led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    if round_no == 1:
+        few = mixed.where(f"n <= {SMALL}")
+        one = lambda side: few.select("band", F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        crossed = one("a").join(one("b"), "band").where("a < b and root_a != root_b")
+        pairs = pairs.unionByName(crossed.select("a", "b"))
+    return pairs.distinct()
 
 
 def links(docs: DataFrame, entries: DataFrame, like: float) -> DataFrame:
-    """Checked links (a, b, likeness) that connect the near duplicates of ``entries`` (node, band)."""
+    """``node`` and ``root`` of the classes of near duplicates among ``entries`` (node, band); a class's root has no row."""
     shared = staged(entries.join(entries.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "band"), "bands")
-    nodes = shared.select("node").distinct()
-    sets = staged(_multisets_of(docs, nodes), "shingles")
-    placed, tried = shared.withColumn("root", F.col("node")), None
-
-    def check(pairs: DataFrame) -> bool:
-        """Check the pairs that are new; whether there are links among them."""
-        nonlocal placed, tried
-        pairs = pairs.distinct()
+    sets = staged(_multisets_of(docs, shared.select("node").distinct()), "shingles")
+    placed, tried, roots = shared.withColumn("root", F.col("node")), None, None
+    for round_no in count():
+        pairs = _pairs(placed, round_no)
         if tried is not None:
             pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        checked = staged(_checked(pairs, sets), "checked")
+        seen = Observation()
+        checked = staged(_checked(pairs, sets).observe(seen, F.count_if(F.col("likeness") >= like).alias("links")), "checked")
         tried = checked if tried is None else tried.unionByName(checked)
-        if not checked.where(F.col("likeness") >= like).limit(1).count():
-            return False
-        roots = components(tried.where(F.col("likeness") >= like))
-        placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        return True
-
-    for round_no in count():
-        if not check(_led(placed, round_no)) and round_no:
+        if seen.get["links"]:
+            roots = components(tried.where(F.col("likeness") >= like))
+            placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        elif round_no:
             break
-    check(_crossed(placed))
-    return tried.where(F.col("likeness") >= like)
+    return roots if roots is not None else shared.select("node", F.col("node").alias("root")).limit(0)
 
 
 def classes(docs: DataFrame, like: float = LIKE) -> DataFrame:
@@ -218,7 +217,7 @@ def classes(docs: DataFrame, like: float = LIKE) -> DataFrame:
     signed = staged(rows.mapInArrow(_banded, "node binary, doc_id long, bands array<long>"), "signatures")
     texts = signed.groupBy("node").agg(F.min("doc_id").alias("copy_id"), F.first("bands").alias("bands"))
     entries = texts.select("node", F.posexplode("bands").alias("no", "band")).select("node", F.xxhash64("no", "band").alias("band"))
-    roots = components(links(docs, entries, like))
+    roots = links(docs, entries, like)
     named = texts.select("node", "copy_id").join(roots, "node", "left").select("node", "copy_id", F.coalesce("root", "node").alias("root"))
     first = F.min(F.struct(F.col("copy_id").isNull().alias("last"), "copy_id", "node"))
     heads = named.groupBy("root").agg(first.alias("head"))

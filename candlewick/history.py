@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from candlewick import store
 from candlewick.dims import EXCHANGES, INTERVALS
@@ -13,11 +14,12 @@ from candlewick.operators import profile as profiles
 from candlewick.operators import reader, repair, streams
 from candlewick.plans.backfill import backfill_plan
 from candlewick.plans.manifest import archive_manifest
-from candlewick.schema import ERROR, KEY, SPOT
+from candlewick.schema import ERROR, KEY, SERIES, SPOT
 from candlewick.session import staged
-from candlewick.sources import archives
+from candlewick.sources import archives, catalog
 from candlewick.sources.live import live_tail
 from candlewick.sources.payloads import normalise, split_payloads
+from candlewick.streaming import live as live_stream
 
 RESULTS = ("frame", "streams", "nested_streams")
 
@@ -80,12 +82,14 @@ class CandleHistory:
         until_to: int | None = None,
         result: str = "frame",
         lenient: bool = False,
+        feed: str | None = None,
     ) -> DataFrame:
         """Candles of a series in a time range, in time order, prices as numbers.
 
         ``result``: ``frame`` for all candles, ``streams`` for runs of
         consistent candles numbered by ``stream_no``, ``nested_streams`` for
-        the runs as arrays.
+        the runs as arrays. With ``feed`` the closed candles in the log of that
+        feed are read as well, as if they were merged.
         """
         if exchange not in EXCHANGES:
             raise ValueError(f"unknown exchange {exchange!r}")
@@ -96,7 +100,9 @@ class CandleHistory:
         if result not in RESULTS:
             raise ValueError(f"result is one of {RESULTS}")
         until_to = int(time.time()) if until_to is None else until_to
-        found = reader.in_range(self.candles(exchange, symbol, interval), start_from, until_to)
+        series = {"exchange": exchange, "symbol": symbol, "interval": interval, "trading_type": self.trading_type}
+        candles = store.scan(self.spark, self.root, **series) if feed is None else store.current(self.spark, self.root, feed, **series)
+        found = reader.in_range(candles, start_from, until_to)
         if result == "frame":
             return reader.typed(found, lenient).orderBy("open_time")
         runs = reader.typed(streams.consistent_streams(found), lenient)
@@ -108,6 +114,28 @@ class CandleHistory:
         """Requested (exchange, symbol, interval) with ``present``."""
         return profiles.series_exists(self._requests(requests), self.candles())
 
+    def map_streams(
+        self, exchange: str, symbol: str, interval: str, work, schema: str, segment: int = streams.SEGMENT, overlap: int = 0, **limits
+    ) -> DataFrame:
+        """Run pandas ``work`` on the streams of a series, segment by segment; see ``operators.streams``. ``limits`` as in ``read``."""
+        found = self.read(exchange, symbol, interval, result="streams", **limits)
+        named = found.selectExpr(
+            *(f"'{value}' as {name}" for name, value in zip(SERIES, (exchange, self.trading_type, symbol, interval)) if name not in found.columns), "*"
+        )
+        return streams.map_streams(named, work, schema, segment, overlap)
+
+    # Live
+
+    def follow(self, elements: DataFrame, checkpoint: str, feed: str = store.FEED, merge_every: int = 0, **trigger) -> StreamingQuery:
+        """Log the closed candles of a streaming feed as they come; ``read(feed=...)`` sees them, ``merge_live`` merges them."""
+        return live_stream.refresh(elements, self.root, checkpoint, merge_every, feed=feed, **trigger)
+
+    def merge_live(self, feed: str = store.FEED) -> int:
+        """Merge what the log of a feed holds by now; returns the last batch merged, -1 if there is none."""
+        last = store.logged_upto(self.spark, self.root, feed)
+        store.merge_log(self.spark, self.root, last, feed)
+        return last
+
     # Extent
 
     def profile(self, requests: DataFrame | None = None) -> DataFrame:
@@ -147,6 +175,10 @@ class CandleHistory:
         store.set_status(self.spark, self.root, checks.status_changes(found))
         return checks.errors(found)
 
+    def report(self, start_from: int = 0, as_of: int | None = None, last_n: int | None = None) -> DataFrame:
+        """Per series the number of errors and the last candle looked at."""
+        return checks.summary(self.check(start_from, as_of, last_n))
+
     def repair(self, errors: DataFrame, candidates: DataFrame) -> DataFrame:
         """Merge the acceptable answers to ``errors`` and return the merged candles.
 
@@ -174,6 +206,12 @@ class CandleHistory:
         self.repair(errors, candidates)
         return errors
 
+    # Requests
+
+    def validate(self, requests: DataFrame, infos: DataFrame) -> DataFrame:
+        """Requests (exchange, symbol, interval) with ``reason``, null if they can be fetched, by exchange-info payloads."""
+        return catalog.validate(requests, catalog.symbol_catalog(infos))
+
     # Metadata
 
     def meta(self, requests: DataFrame) -> DataFrame:

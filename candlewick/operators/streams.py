@@ -68,14 +68,28 @@ def in_segments(streams: DataFrame, segment: int = SEGMENT) -> DataFrame:
 
 
 def map_streams(
-    streams: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, segment: int = SEGMENT
+    streams: DataFrame,
+    work: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str,
+    segment: int = SEGMENT,
+    overlap: int = 0,
 ) -> DataFrame:
-    """Run ``work`` on the candles of each stream segment, as a pandas frame in time order."""
+    """Run ``work`` on the candles of each stream segment, as a pandas frame in time order.
+
+    A stream may be as long as its series, so ``work`` gets it in segments of ``segment`` seconds, not whole:
+    ``stream_no`` and ``segment_no`` say which. So that values that look back are right at a cut, the frame begins with the stream's
+    candles of the ``overlap`` seconds before the segment, for which ``carried`` is true; rows for these belong to the segment
+    before and are for ``work`` to leave out.
+    """
+    own = f"floor(open_time / {segment})"
+    cut = streams.selectExpr("*", f"explode(sequence({own}, floor((open_time + {overlap}) / {segment}))) as segment_no")
+    rows = cut.selectExpr("* except (segment_no)", "cast(segment_no as bigint) as segment_no", f"segment_no > {own} as carried")
 
     def ordered(candles: pd.DataFrame) -> pd.DataFrame:
-        return work(candles.sort_values("open_time", ignore_index=True))
+        # A segment with no candle of its own is not the stream's any more.
+        return work((candles.iloc[:0] if candles.carried.all() else candles).sort_values("open_time", ignore_index=True))
 
-    return in_segments(streams, segment).groupBy(*SERIES, "stream_no", "segment_no").applyInPandas(ordered, schema)
+    return rows.groupBy(*SERIES, "stream_no", "segment_no").applyInPandas(ordered, schema)
 
 
 def nested_streams(streams: DataFrame, segment: int = SEGMENT) -> DataFrame:

@@ -135,6 +135,9 @@ ORACLE["status_writeback"] = _with(*_CHANGES) + f"SELECT {KEY}, close_time, chec
 ORACLE["consistent_streams"] = _with(_HISTORY, _DENTED, _checked("dented"), _VERDICT, _streams("verdict")) + (
     f"SELECT {KEY}, close_time, close_price, stream_no FROM streams WHERE ok"
 )
+ORACLE["stream_windows"] = _with(f"history AS ({_events('binance')})", _DENTED, _checked("dented"), _VERDICT, _streams("verdict")) + f"""
+SELECT {KEY}, stream_no, max(close_price::DOUBLE) OVER (PARTITION BY {SERIES}, stream_no ORDER BY open_time ROWS 2 PRECEDING) AS highest
+FROM streams WHERE ok"""
 ORACLE["streams_in_range"] = (
     _with(
         _HISTORY,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,6 +136,22 @@ def consistent_streams(spark, sf):
     return streams.consistent_streams(checked).select(*KEY, "close_time", "close_price", "stream_no")
 
 
+def _highest_of_three(candles: pd.DataFrame) -> pd.DataFrame:
+    """The highest price of each candle and the two before it in the stream."""
+    price = candles.close_price.astype(float)
+    highest = price.rolling(3, min_periods=1).max()
+    out = candles[[*KEY, "stream_no"]].assign(highest=highest)
+    return out[~candles.carried.astype(bool)]
+
+
+@query
+def stream_windows(spark, sf):
+    """A rolling value over hourly streams, worked out in pandas segment by segment."""
+    checked = checks.with_verdict(checks.check(fx.dented(fx.event_candles(spark, sf, "1h", "binance"))), keep_chunk=True)
+    schema = ", ".join([f"{c} string" for c in SERIES]) + ", open_time long, stream_no long, highest double"
+    return streams.map_streams(streams.consistent_streams(checked), _highest_of_three, schema, segment=20_000, overlap=7200)
+
+
 @query
 def streams_in_range(spark, sf):
     """Streams of stored statuses in a time range."""

@@ -254,6 +254,13 @@ def merged_upto(spark: SparkSession, root: str, feed: str = FEED) -> int:
     return -1 if found is None else found
 
 
+def logged_upto(spark: SparkSession, root: str, feed: str = FEED) -> int:
+    """The last batch in the log of a feed, or the last merged one if there is none after it."""
+    last = merged_upto(spark, root, feed)
+    names = [folder.rpartition("=")[2] for folder in Files(spark, root).folders(f"log/{feed}", 2)]
+    return max([last, *map(int, names)])
+
+
 def pending(spark: SparkSession, root: str, upto: int | None = None, feed: str = FEED) -> DataFrame:
     """Latest candle per key of the log batches not merged yet, and of those held back."""
     done = merged_upto(spark, root, feed)

@@ -30,9 +30,9 @@ def watch(
 
     Every batch writes three kinds of rows below ``root/judged/batch=N``: ``verdict``,
     candles whose successor came; ``tail``, the newest candle of each series,
-    which is the state the next batch starts from; and ``late``, candles at or
+    which is the state the next batch starts from; and ``late``, candles
     before that state. A late candle may change verdicts already given, so it
-    is left to the next batch check. ``seed`` gives the newest stored candle
+    is left to the next batch check. A correction of the newest candle replaces it. ``seed`` gives the newest stored candle
     of each series to start from. A replayed batch reads the same state and
     replaces its output.
     """
@@ -47,9 +47,11 @@ def watch(
         # One row per series; Spark broadcasts it if it is small.
         newest = tails.selectExpr(*SERIES, "open_time as tail_time")
         arrived = last_wins(batch.select(*KLINE_COLUMNS, "seq"), ["seq"]).join(newest, [*SERIES], "left")
-        late = "coalesce(open_time <= tail_time, false)"
+        late = "coalesce(open_time < tail_time, false)"
         in_order = arrived.where(f"not {late}").select(*KLINE_COLUMNS)
-        judged = check(tails.unionByName(in_order), span=span).selectExpr(
+        # A candle of the tail's time is a correction and takes its place.
+        kept = tails.join(in_order.select(*KEY), [*KEY], "left_anti")
+        judged = check(kept.unionByName(in_order), span=span).selectExpr(
             *KLINE_COLUMNS, "next_open", "checked", "if(next_open is null, 'tail', 'verdict') as kind"
         )
         aside = arrived.where(late).selectExpr(*KLINE_COLUMNS, "'late' as kind")

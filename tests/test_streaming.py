@@ -58,3 +58,36 @@ def test_refresh(spark, tmp_path):
     assert {(r.open_time, r.open_price) for r in history.candles().collect()} == {(T, "8"), (T + 3600, "8")}
     run([candle(T - 3600)], "null", merge_every=1)  # late
     assert sorted(r.open_time for r in history.candles().select(*KLINE_COLUMNS).collect()) == [T - 3600, T, T + 3600]
+
+
+def test_correction_of_the_newest_candle_replaces_it(spark, tmp_path):
+    """The tail comes again with another end: the verdict is on the new values."""
+    landed, root = str(tmp_path / "landed"), str(tmp_path / "root")
+    batches = [[candle(T, T + 60)], [candle(T, volume="right"), candle(T + 3600)], [candle(T + 7200)]]
+    for rows in batches:
+        part = frame(spark, rows).selectExpr("*", "0L as seq")
+        part.write.mode("append").parquet(landed)
+        continuity.watch(spark.readStream.schema(part.schema).parquet(landed), root, f"{root}/checkpoint", availableNow=True).awaitTermination()
+    found = {r.open_time: r.checked for r in continuity.verdicts(spark, root).collect()}
+    assert found == {T: "__OK__", T + 3600: "__OK__"}
+    assert continuity.judged(spark, root, "late").count() == 0
+
+
+def test_live_candles_on_the_object(spark, tmp_path):
+    history = CandleHistory(spark, str(tmp_path / "store"))
+    from candlewick import fixtures as fx
+
+    history.upsert(frame(spark, [candle(T, volume="stored")]))
+    feed = str(tmp_path / "feed")
+    elements = fx.live_elements(frame(spark, [candle(T, volume="corrected"), candle(T + 3600), candle(T + 7200)]), f"open_time < {T + 7200}")
+    elements.write.json(feed)
+    assert history.merge_live() == -1
+    history.follow(live.json_feed(spark, feed), str(tmp_path / "checkpoint"), availableNow=True).awaitTermination()
+
+    def read(**options):
+        return [(r.open_time, r.volume) for r in history.read("binance", "A/USD", "1h", until_to=T + 10**6, lenient=True, **options).collect()]
+
+    assert [t for t, _ in read()] == [T]
+    assert [t for t, _ in read(feed="live")] == [T, T + 3600]
+    assert history.merge_live() == 0
+    assert [t for t, _ in read()] == [T, T + 3600]

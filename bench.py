@@ -9,16 +9,17 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 from collections.abc import Callable
 
+from candlewick import CandleHistory, store
 from candlewick import fixtures as fx
-from candlewick import store
 from candlewick.operators import check as checks
 from candlewick.operators import merge, profile, reader, repair, streams
 from candlewick.plans.backfill import backfill_plan
 from candlewick.queries import NOW
-from candlewick.schema import SERIES
+from candlewick.schema import KEY, SERIES
 from candlewick.session import build_session, new_dir, staged
 from candlewick.sources import archives, live, payloads
 from candlewick.streaming import continuity
@@ -39,6 +40,7 @@ def main() -> None:
             "spark.driver.memory": "12g",
             "spark.sql.shuffle.partitions": CPUS,
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="candlewick-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -74,6 +76,8 @@ def main() -> None:
     def upsert() -> None:
         store.upsert(spark, root, incoming, ["seq"])
 
+    changes = staged(checks.errors(checks.check(table())).selectExpr(*KEY, "status"), "bench-changes")
+
     def stream() -> None:
         folder = new_dir(spark, "bench-stream")
         rows = clean.where("interval = '1h'").selectExpr("*", "0L as seq")
@@ -101,6 +105,8 @@ def main() -> None:
         "dedupe_last_wins": lambda: run(merge.last_wins(incoming, ["seq"])),
         "upsert_merge": lambda: run(merge.merge_klines(table(), merge.last_wins(incoming, ["seq"]))),
         "upsert_store": upsert,
+        "status_writeback": lambda: store.write_status(spark, root, changes),
+        "check_and_store": lambda: run(CandleHistory(spark, root).check_and_store()),
         "repair_accept": lambda: run(repair.accepted_candles(requests, answers)),
         "repair_from_pool": lambda: run(repair.accepted_from_pool(requests, clean)),
         "live_tail": lambda: run(live.live_tail(feed, live.LAST_N, live.LAST_N_1M)),
@@ -115,7 +121,7 @@ def main() -> None:
         job()
         times[name] = round(time.perf_counter() - start, 3)
 
-    touched = incoming.count()
+    touched, files = incoming.count(), zips.count()
     print(
         json.dumps(
             {
@@ -127,6 +133,7 @@ def main() -> None:
                 "candles": candles,
                 "check_candles_per_sec": round(candles / times["consistency_check"]),
                 "upsert_candles_per_sec": round(touched / times["upsert_store"]),
+                "archive_files_per_sec": round(files / times["archive_ingest"]),
             }
         )
     )

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick import store
@@ -45,6 +47,14 @@ class CandleHistory:
             return requests
         return requests.selectExpr("*", f"'{self.trading_type}' as trading_type")
 
+    def _asked_for(self, requests: DataFrame) -> DataFrame:
+        """Stored candles of the requested series. Folders of other exchanges and intervals aren't read, candles of other
+        symbols are left out before anything is added up."""
+        # Exchanges x intervals, 84 rows at most.
+        pairs = requests.select("exchange", "interval").dropna().distinct().collect()
+        inside = reduce(lambda a, b: a | b, [(F.col("exchange") == e) & (F.col("interval") == i) for e, i in pairs], F.lit(False))
+        return self.candles().where(inside).join(requests.select(*SERIES).distinct(), [*SERIES], "left_semi")
+
     # Load
 
     def upsert(self, candles: DataFrame, order: tuple[str, ...] = ()) -> None:
@@ -112,7 +122,8 @@ class CandleHistory:
 
     def exists(self, requests: DataFrame) -> DataFrame:
         """Requested (exchange, symbol, interval) with ``present``."""
-        return profiles.series_exists(self._requests(requests), self.candles())
+        asked = self._requests(requests)
+        return profiles.series_exists(asked, self._asked_for(asked))
 
     def map_streams(
         self, exchange: str, symbol: str, interval: str, work, schema: str, segment: int = streams.SEGMENT, overlap: int = 0, **limits
@@ -140,8 +151,10 @@ class CandleHistory:
 
     def profile(self, requests: DataFrame | None = None) -> DataFrame:
         """First and last times, first unchecked and oldest valid time, counts per series."""
-        found = profiles.series_profile(self.candles())
-        return found if requests is None else profiles.for_requests(self._requests(requests), found)
+        if requests is None:
+            return profiles.series_profile(self.candles())
+        asked = self._requests(requests)
+        return profiles.for_requests(asked, profiles.series_profile(self._asked_for(asked)))
 
     def first_listed(self, requests: DataFrame, as_of: int | None = None) -> DataFrame:
         return profiles.first_listed(self.profile(requests), self._now(as_of))

@@ -8,8 +8,8 @@ import pytest
 from helpers import epoch
 from pyspark.sql import functions as F
 
+from candlewick import CandleHistory, store
 from candlewick import fixtures as fx
-from candlewick import store
 from candlewick.operators import check as checks
 from candlewick.operators import merge, profile, reader, repair, streams
 from candlewick.operators.chunks import nearest
@@ -203,3 +203,13 @@ def test_pool_is_cut_to_the_requests_first(spark, root):
     lines = [re.sub(r"^[ :+\-]*", "", line) for line in text.splitlines()]
     first = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
     assert any("Window" in line for line in lines[:first]) and "bucket" in lines[first]
+
+
+def test_requests_read_their_folders_only(spark, root):
+    history = CandleHistory(spark, root)
+    requests = history.candles("binance", interval="1h").select("exchange", "symbol", "interval").distinct().limit(1)
+    for found in (history.profile(requests), history.exists(requests)):
+        scans = [line for line in plan(found).splitlines() if "FileScan" in line and "PartitionFilters" in line]
+        assert any(re.search(r"PartitionFilters: \[.*exchange#\d+ = binance.*interval#\d+ = 1h", line) for line in scans), scans
+    assert history.exists(requests).first().present
+    assert history.profile(requests).first().n_candles > 0

@@ -14,8 +14,8 @@ number of its shingles and of those darts, not their product.
 ``BANDS`` bands of ``ROWS`` coordinates are compared: a pair of likeness 0.8 shares one with probability 0.9999. Equal texts are one
 node from the start. A band's texts aren't paired with each other: each meets the band's leader only, pairs are checked
 by their exact likeness, and checked links are put together to classes. What a band then still holds of other classes than
-its leader's is settled by all pairs across classes, if the band has at most ``SMALL`` texts; in larger bands another text
-leads in each round, until a round adds no link.
+its leader's is settled by all pairs across classes, if the band has at most ``SMALL`` texts; in larger bands ``LEADERS`` other
+texts lead in each round, until a round adds no link.
 
 A null text is empty. Texts without words are alike only if equal. Rows without id belong to classes like others; a class is
 named by its least id (null if it has none). Repeated rows are rows of one class. An empty table gives an empty result.
@@ -39,6 +39,8 @@ WORDS, LIKE = 5, 0.8
 BANDS, ROWS = 25, 5
 #: Texts of a band whose pairs across classes are all tried.
 SMALL = 100
+#: Leaders that texts of a larger band meet in each round after the first.
+LEADERS = 8
 #: Texts to check are found by broadcast up to so many, by a shuffle beyond.
 BROADCAST_ROWS = 1_000_000
 
@@ -168,20 +170,21 @@ def _pairs(placed: DataFrame, round_no: int) -> DataFrame:
     """Pairs to check in bands that hold texts of several classes.
 
     Each text of another class meets the band's leader: in round 0 in all bands, when texts rank alike in each, so that
-    equal groups have one leader; later in bands of more than ``SMALL`` texts, which rank them anew each time. Smaller bands
-    are settled in round 1 by all pairs across classes, at most ``SMALL`` for a text and band.
+    equal groups have one leader; later in bands of more than ``SMALL`` texts, which have ``LEADERS`` others in each round.
+    Smaller bands are settled in round 1 by all pairs across classes, at most ``SMALL`` for a text and band.
     """
-    turn = F.xxhash64("node", F.lit(round_no), *(["band"] if round_no else []))
+    turns = [F.xxhash64("node", F.lit(round_no), F.lit(k), "band") for k in range(LEADERS)] if round_no else [F.xxhash64("node")]
     bands = placed.groupBy("band").agg(
         F.count("*").alias("n"),
-        F.min(F.struct(turn.alias("turn"), "node", "root")).alias("leader"),
+        F.array(*(F.min(F.struct(turn.alias("turn"), "node", "root")) for turn in turns)).alias("leaders"),
         F.min("root").alias("least"),
         F.max("root").alias("most"),
     )
-    bands = bands.where("least != most").select("band", "n", F.col("leader.node").alias("leader"), F.col("leader.root").alias("leader_root"))
+    bands = bands.where("least != most").select("band", "n", "leaders")
     mixed = placed.join(bands, "band")
-    led = mixed.where("root != leader_root" + (f" and n > {SMALL}" if round_no else ""))
-    pairs = led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    led = mixed.where(f"n > {SMALL}" if round_no else "true").select("node", "root", F.explode("leaders").alias("leader"))
+    led = led.where("root != leader.root")
+    pairs = led.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b"))
     if round_no == 1:
         few = mixed.where(f"n <= {SMALL}")
         one = lambda side: few.select("band", F.col("node").alias(side), F.col("root").alias(f"root_{side}"))

@@ -58,6 +58,17 @@ def test_groups_of_near_copies(spark, seed):
     assert rows == dict(enumerate(near_classes(texts)))
 
 
+def test_large_bands(spark, monkeypatch):
+    """Leaders alone, as in bands above the limit: classes are right or a part of the right one, and nearly all are whole."""
+    monkeypatch.setattr(near_dup, "SMALL", 3)
+    draw = random.Random(3)
+    texts = variants(draw, [f"w{draw.randrange(500)}" for _ in range(120)], 60)
+    right = near_classes(texts)
+    rows = {r.doc_id: r.class_id for r in near_dup.classes(documents(spark, list(enumerate(texts)))).collect()}
+    assert all(right[rows[i]] == right[i] for i in rows)
+    assert len(set(rows.values())) <= len(set(right)) + 3
+
+
 def test_empty(spark):
     assert near_dup.classes(documents(spark, [])).count() == 0
     assert near_dup.keep_one(documents(spark, [])).count() == 0

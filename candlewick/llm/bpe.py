@@ -35,7 +35,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 from candlewick.llm.text import ranges
 
-BLOCK = 12_000_000
+BLOCK = 4_000_000
 #: Bytes of a pre-token that gets its own queue.
 LONG = 64
 

@@ -14,8 +14,11 @@ number of its shingles and of those darts, not their product.
 ``BANDS`` bands of ``ROWS`` coordinates are compared: a pair of likeness 0.8 shares one with probability 0.9999. Equal texts are one
 node from the start. A band's texts aren't paired with each other: each meets the band's leader only, pairs are checked
 by their exact likeness, and checked links are put together to classes. What a band then still holds of other classes than
-its leader's is settled by all pairs across classes, if the band has at most ``SMALL`` texts; in larger bands ``LEADERS`` other
-texts lead in each round, until a round adds no link.
+its leader's is settled by all pairs across classes: pair by pair if the band has at most ``SMALL`` texts, else by an exact join of
+the texts of all larger bands with the same leader. These are cut into parts of about ``PART`` shingles, and each two parts meet
+in one task, except two of the group's biggest class, whose texts are linked already. In the task pairs that share no
+shingle among their rarest, or whose sizes differ too much, can't be alike; all others across classes are checked in full,
+but those that a link found before has put in one class.
 
 A null text is empty. Texts without words are alike only if equal. Rows without id belong to classes like others; a class is
 named by its least id (null if it has none). Repeated rows are rows of one class. An empty table gives an empty result.
@@ -24,11 +27,10 @@ named by its least id (null if it has none). Repeated rows are rows of one class
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.components import components
@@ -39,8 +41,10 @@ WORDS, LIKE = 5, 0.8
 BANDS, ROWS = 25, 5
 #: Texts of a band whose pairs across classes are all tried.
 SMALL = 100
-#: Leaders that texts of a larger band meet in each round after the first.
-LEADERS = 8
+#: Shingles of a part of a larger group, a text counting as ``TEXT`` more.
+PART, TEXT = 1 << 20, 100
+#: Shingles that are compared with those of a text at once.
+STRIDE = 1 << 20
 #: Texts to check are found by broadcast up to so many, by a shuffle beyond.
 BROADCAST_ROWS = 1_000_000
 
@@ -166,51 +170,123 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one("a"), "a").join(one("b"), "b").mapInArrow(_likeness, "a binary, b binary, likeness double")
 
 
-def _pairs(placed: DataFrame, round_no: int) -> DataFrame:
-    """Pairs to check in bands that hold texts of several classes.
-
-    Each text of another class meets the band's leader: in round 0 in all bands, when texts rank alike in each, so that
-    equal groups have one leader; later in bands of more than ``SMALL`` texts, which have ``LEADERS`` others in each round.
-    Smaller bands are settled in round 1 by all pairs across classes, at most ``SMALL`` for a text and band.
-    """
-    turns = [F.xxhash64("node", F.lit(round_no), F.lit(k), "band") for k in range(LEADERS)] if round_no else [F.xxhash64("node")]
+def _mixed(placed: DataFrame) -> DataFrame:
+    """Bands that hold texts of several classes, with their number of texts and their leader. Texts rank alike in all bands, so that
+    equal groups have one leader."""
     bands = placed.groupBy("band").agg(
         F.count("*").alias("n"),
-        F.array(*(F.min(F.struct(turn.alias("turn"), "node", "root")) for turn in turns)).alias("leaders"),
+        F.min(F.struct(F.xxhash64("node").alias("turn"), "node", "root")).alias("leader"),
         F.min("root").alias("least"),
         F.max("root").alias("most"),
     )
-    bands = bands.where("least != most").select("band", "n", "leaders")
-    mixed = placed.join(bands, "band")
-    led = mixed.where(f"n > {SMALL}" if round_no else "true").select("node", "root", F.explode("leaders").alias("leader"))
-    led = led.where("root != leader.root")
-    pairs = led.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b"))
-    if round_no == 1:
-        few = mixed.where(f"n <= {SMALL}")
-        one = lambda side: few.select("band", F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-        crossed = one("a").join(one("b"), "band").where("a < b and root_a != root_b")
-        pairs = pairs.unionByName(crossed.select("a", "b"))
-    return pairs.distinct()
+    return placed.join(bands.where("least != most").select("band", "n", "leader"), "band")
+
+
+def _led(mixed: DataFrame) -> DataFrame:
+    """Each text of another class with its band's leader."""
+    led = mixed.where("root != leader.root")
+    return led.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
+
+
+def _crossed(mixed: DataFrame) -> DataFrame:
+    """All pairs across classes of bands of at most ``SMALL`` texts."""
+    few = mixed.where(f"n <= {SMALL}")
+    one = lambda side: few.select("band", F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+    return one("a").join(one("b"), "band").where("a < b and root_a != root_b").select("a", "b").distinct()
+
+
+def _elements(cells: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Text and element of each shingle, in the order of texts: the k-th occurrence of a shingle is an element of its own."""
+    sets = [np.frombuffer(cell.as_buffer(), np.uint32) for cell in cells]
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    hashes = np.concatenate([*sets, np.empty(0, np.uint32)]).astype(np.int64)
+    fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1]))[: len(rows)]
+    return rows, hashes << 31 | ranges(np.diff(np.append(np.flatnonzero(fresh), len(rows)))).astype(np.int64)
+
+
+def across(cells: pa.Array, label: np.ndarray, here: np.ndarray, like: float) -> list[tuple[int, int]]:
+    """Links that join the classes ``label`` of texts as all links between texts of both sides (``here`` or not) would, or those between
+    any two if all are ``here``."""
+    if (label == label[0]).all():
+        return []
+    rows, elements = _elements(cells)
+    _, code, often = np.unique(elements, return_inverse=True, return_counts=True)
+    rank = np.empty(len(often), np.int64)
+    rank[np.argsort(often, kind="stable")] = np.arange(len(often))
+    code, label = rank[code.reshape(-1)], label.copy()
+    code = code[np.lexsort((code, rows))]  # the rarest first
+    size = np.bincount(rows, minlength=len(label))
+    begin = np.cumsum(size) - size
+    rare = np.where(size > 0, size - np.ceil(like * size - 1e-6).astype(np.int64) + 1, 0).clip(0, size)
+    within = bool(here.all())
+    sought, held = (here, here) if within else (here, ~here) if here.sum() <= (~here).sum() else (~here, here)
+    held = np.flatnonzero(held)
+    place, owner = code[np.repeat(begin[held], rare[held]) + ranges(rare[held])], np.repeat(held, rare[held])
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    first = np.searchsorted(place, np.arange(len(often) + 1))
+    mine, found = np.zeros(len(often), bool), []
+    for x in np.flatnonzero(sought & (size > 0)):
+        mark = code[begin[x] : begin[x] + rare[x]]
+        n = first[mark + 1] - first[mark]
+        near = np.unique(owner[np.repeat(first[mark], n) + ranges(n)])
+        low, high = np.minimum(size[near], size[x]), np.maximum(size[near], size[x])
+        near = near[(label[near] != label[x]) & (low >= like * high - 1e-6) & ((near > x) | (not within))]
+        own = code[begin[x] : begin[x] + size[x]]
+        mine[own] = True
+        while len(near):
+            some = near[: max(1, int(np.searchsorted(np.cumsum(size[near]), STRIDE, "right")))]
+            hit = mine[code[np.repeat(begin[some], size[some]) + ranges(size[some])]]
+            both = np.add.reduceat(hit, np.cumsum(size[some]) - size[some], dtype=np.int64)
+            some_alike = some[both / (size[some] + size[x] - both) >= like]
+            for y in some_alike:
+                if label[y] != label[x]:
+                    found.append((int(x), int(y)))
+                    label[label == label[y]] = label[x]
+            near = near[len(some) :]
+            near = near[label[near] != label[x]]
+        mine[own] = False
+    return found
+
+
+def _grouped(mixed: DataFrame, sets: DataFrame, like: float) -> DataFrame:
+    """Links (a, b) that join the classes of bands of more than ``SMALL`` texts as all links between their texts would."""
+    texts = mixed.where(f"n > {SMALL}").select(F.col("leader.node").alias("leader"), "node", "root").distinct()
+    texts = staged(texts.join(sets.select("node", (F.length("shingles") / 4 + TEXT).alias("weight")), "node"), "groups")
+    per_class = texts.groupBy("leader", "root").agg(F.sum("weight").alias("weight"))
+    groups = per_class.groupBy("leader").agg(F.max(F.struct("weight", "root")).alias("most"), F.sum("weight").alias("weight"))
+    parts = lambda weight: F.greatest(F.lit(1), F.ceil(weight / PART)).cast("int")
+    groups = groups.select("leader", F.col("most.root").alias("biggest"), parts(F.col("most.weight")).alias("n_big"), parts(F.col("weight") - F.col("most.weight")).alias("n_rest"))
+    big, turn = F.expr("root = biggest"), F.xxhash64("node")
+    part = F.when(big, F.pmod(turn, F.col("n_big"))).otherwise(F.col("n_big") + F.pmod(turn, F.col("n_rest"))).cast("int")
+    other = F.sequence(F.when(big, F.col("n_big")).otherwise(F.lit(0)), F.col("n_big") + F.col("n_rest") - 1)
+    dealt = texts.join(groups, "leader").select("leader", "node", "root", part.alias("part"), other.alias("others"))
+    dealt = dealt.join(sets, "node").select("leader", "node", "root", "part", "shingles", F.explode("others").alias("other"))
+    dealt = dealt.select("leader", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "node", "root", "shingles")
+
+    def joined(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        nodes, part = block.column("node").to_pylist(), block.column("part").to_numpy()
+        label = np.unique(np.array([root.hex() for root in block.column("root").to_pylist()]), return_inverse=True)[1].reshape(-1)
+        found = across(block.column("shingles").combine_chunks(), label, part == part.max(), like)
+        ends = [pa.array([nodes[pair[side]] for pair in found], pa.binary()) for side in (0, 1)]
+        return pa.table(ends, ["a", "b"])
+
+    return dealt.groupBy("leader", "one", "two").applyInArrow(joined, "a binary, b binary")
 
 
 def links(docs: DataFrame, entries: DataFrame, like: float) -> DataFrame:
     """``node`` and ``root`` of the classes of near duplicates among ``entries`` (node, band); a class's root has no row."""
     shared = staged(entries.join(entries.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "band"), "bands")
     sets = staged(_multisets_of(docs, shared.select("node").distinct()), "shingles")
-    placed, tried, roots = shared.withColumn("root", F.col("node")), None, None
-    for round_no in count():
-        pairs = _pairs(placed, round_no)
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        seen = Observation()
-        checked = staged(_checked(pairs, sets).observe(seen, F.count_if(F.col("likeness") >= like).alias("links")), "checked")
-        tried = checked if tried is None else tried.unionByName(checked)
-        if seen.get["links"]:
-            roots = components(tried.where(F.col("likeness") >= like))
-            placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        elif round_no:
-            break
-    return roots if roots is not None else shared.select("node", F.col("node").alias("root")).limit(0)
+    alone = shared.withColumn("root", F.col("node"))
+    tried = staged(_checked(_led(_mixed(alone)), sets), "checked")
+    roots = components(tried.where(F.col("likeness") >= like))
+    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = staged(_mixed(placed), "mixed")
+    pairs = _crossed(mixed).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    found = _checked(pairs, sets).where(F.col("likeness") >= like).select("a", "b").unionByName(_grouped(mixed, sets, like))
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
 
 
 def classes(docs: DataFrame, like: float = LIKE) -> DataFrame:

@@ -2,11 +2,11 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
-from brute import TEXTS, documents, near_classes, weighted_likeness
-
+from brute import TEXTS, documents, near_classes, shingles, weighted_likeness
 from candlewick.llm import near_dup
 from candlewick.llm.components import components
 
@@ -69,6 +69,69 @@ def test_large_bands(spark, monkeypatch):
     assert len(set(rows.values())) <= len(set(right)) + 3
 
 
+def of_template(draw, copies, groups):
+    """A class of ``copies`` near copies, and two near copies of each of ``groups`` texts that share most of its words, but are a little
+    less alike than near duplicates."""
+    base, texts = [f"w{n}" for n in range(160)], []
+
+    def changed(words, places, name):
+        return [f"{name}n{n}" if n in places else w for n, w in enumerate(words)]
+
+    for c in range(copies):
+        texts.append(" ".join(changed(base, [draw.randrange(5, 155)], f"c{c}")))
+    for g, places in enumerate(draw.sample(list(combinations(range(5, 155, 5), 4)), groups)):
+        one = changed(base, places, f"g{g}")
+        texts += [" ".join(one), " ".join(changed(one, [draw.randrange(5, 155)], f"o{g}"))]
+    draw.shuffle(texts)
+    return texts
+
+
+def borderline(draw, pairs):
+    """Texts with nine changes to one template each, two of them in five of the same places: those are alike just enough, other two
+    hardly ever, and all share nothing but the template, so that they meet in large bands only."""
+    texts = []
+    for g in range(pairs):
+        places = draw.sample(range(5, 595, 5), 13)
+        for name, own in (("a", places[:9]), ("b", places[4:])):
+            texts.append(" ".join(f"{name}{g}n{n}" if n in own else f"w{n}" for n in range(600)))
+    draw.shuffle(texts)
+    return texts
+
+
+def right_classes(texts, like=0.8):
+    """``near_classes`` of texts that repeat no shingle, all pairs at once."""
+    number = {}
+    rows = [[number.setdefault(s, len(number)) for s in shingles(t)] for t in texts]
+    held = np.zeros((len(texts), len(number)), np.float32)
+    for n, row in enumerate(rows):
+        held[n, row] = 1
+    both, size = held @ held.T, held.sum(axis=1)
+    root = np.arange(len(texts))
+    for a, b in zip(*np.nonzero(both / (size[:, None] + size - both) >= like), strict=True):
+        low, high = sorted((root[a], root[b]))
+        root[root == high] = low
+    return root.tolist()
+
+
+def test_template_in_large_bands(spark):
+    texts = borderline(random.Random(4), 450)
+    right = right_classes(texts)
+    assert 300 < len(set(right)) <= 450
+    rows = {r.doc_id: r.class_id for r in near_dup.classes(documents(spark, list(enumerate(texts)))).collect()}
+    assert rows == dict(enumerate(right))
+
+
+@pytest.mark.parametrize("part", [near_dup.PART if hasattr(near_dup, "PART") else 0, 3000])
+def test_large_bands_are_whole(spark, monkeypatch, part):
+    """One large class and small ones beside it, in one part and in several."""
+    monkeypatch.setattr(near_dup, "SMALL", 3)
+    monkeypatch.setattr(near_dup, "PART", part, raising=False)
+    draw = random.Random(6)
+    texts = of_template(draw, 60, 25)
+    rows = {r.doc_id: r.class_id for r in near_dup.classes(documents(spark, list(enumerate(texts)))).collect()}
+    assert rows == dict(enumerate(near_classes(texts)))
+
+
 def test_empty(spark):
     assert near_dup.classes(documents(spark, [])).count() == 0
     assert near_dup.keep_one(documents(spark, [])).count() == 0

@@ -7,6 +7,8 @@ from itertools import combinations
 import numpy as np
 import pytest
 from brute import TEXTS, documents, near_classes, shingles, weighted_likeness
+
+import corpus_pipeline
 from candlewick.llm import near_dup
 from candlewick.llm.components import components
 
@@ -121,6 +123,12 @@ def test_template_in_large_bands(spark):
     assert rows == dict(enumerate(right))
 
 
+def test_pipeline_keeps_one_of_a_template_class(spark):
+    texts = borderline(random.Random(5), 450)
+    kept = corpus_pipeline._near_duplicates(spark, documents(spark, list(enumerate(texts))), "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(right_classes(texts)))
+
+
 @pytest.mark.parametrize("part", [near_dup.PART if hasattr(near_dup, "PART") else 0, 3000])
 def test_large_bands_are_whole(spark, monkeypatch, part):
     """One large class and small ones beside it, in one part and in several."""

@@ -9,7 +9,8 @@ one pop merges the leftmost pair of that rank in every one of them at once, and
 would alone. Pre-tokens above ``LONG`` bytes, where one rank may have many pairs in a row, have a queue of their own,
 with the positions of a bucket in a heap: n bytes take time in n log n.
 
-Texts are cut at spaces first, where no pre-token can cross, so that the pattern sees each distinct piece once.
+With the pattern ``CUT``, texts are cut at spaces first, unless a pre-token may cross one, so that the pattern sees each distinct
+piece once. Other patterns see whole texts.
 Ids are what the rank file says, without special tokens. The file's path is a parameter; the driver reads it and sends the
 vocabulary, whose size is fixed, to the executors. A worker handles blocks of texts of about ``BLOCK`` characters.
 
@@ -96,7 +97,7 @@ class Codec:
     """Encodes and decodes blocks of texts with one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
+        self.ranks, self.pattern, self.cut = ranks, regex.compile(pattern), pattern == CUT
         top = max(ranks.values()) + 1
         self.nothing = top  # a symbol that is in no pair
         self.bytes_of = np.array([ranks.get(bytes([b]), top) for b in range(256)], np.int64)
@@ -204,7 +205,7 @@ class Codec:
         pieces.default_factory = pieces.__len__
         rows, sizes = [], []
         for text in texts:
-            if _CROSSED.search(text):
+            if not self.cut or _CROSSED.search(text):
                 parts = [text + " "]
             else:
                 parts = text.split(" ")
@@ -216,7 +217,7 @@ class Codec:
         find, known, flat, counts = self.pattern.findall, tokens.__getitem__, [], []
         for piece in pieces:
             piece = piece[:-1] if piece.endswith(" ") else " " + piece
-            if piece[1:].isalpha() and piece.isascii() and (piece[0] == " " or piece[0].isalpha()):
+            if self.cut and piece[1:].isalpha() and piece.isascii() and (piece[0] == " " or piece[0].isalpha()):
                 flat.append(known(piece))
                 counts.append(1)
             else:
@@ -267,8 +268,10 @@ def _joined(flat: np.ndarray, sizes: np.ndarray, cells: np.ndarray, counts: np.n
     return flat[np.repeat(begins[cells], length) + ranges(length)], total[ends] - total[ends - counts]
 
 
-#: A space between white space, which a pre-token may cross.
-_CROSSED = regex.compile(r"\s \s")
+#: The pattern whose pre-tokens begin at spaces, but for those in runs of white space.
+CUT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A space after white space and before white space or the end, which a pre-token may cross.
+_CROSSED = regex.compile(r"\s (?:\s|\Z)")
 
 
 def blocks(texts: list[str | None], limit: int = BLOCK) -> Iterator[tuple[int, int]]:

@@ -52,6 +52,19 @@ def test_earlier_ranks_that_come_up_late():
     assert bpe.merge_long(b"abc" * 30, ranks) == library.encode_ordinary("abc" * 30)
 
 
+@pytest.mark.parametrize("pattern", [public_tokenizers.PATTERN, r"\S+", r"\s*\S+|\s+"])
+def test_white_space_tokens_and_other_patterns(pattern):
+    ranks = {bytes([b]): b for b in range(256)} | {b"  ": 256, b"\n ": 257, b"   ": 258, b" a": 259, b"ab": 260, b"b ": 261}
+    library = tiktoken.Encoding("spaces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    codec = bpe.Codec(ranks, pattern)
+    draw = random.Random(7)
+    texts = ["a  ", "a\n ", " abc", "  ", "a ", "ab ab", "\n "] + ["".join(draw.choices("ab  \n\t.1", k=draw.randrange(12))) for _ in range(3000)]
+    ids, counts = codec.encode(texts)
+    assert ids.tolist() == [i for t in texts for i in library.encode_ordinary(t)]
+    assert counts.tolist() == [len(library.encode_ordinary(t)) for t in texts]
+    assert bpe.CUT == public_tokenizers.PATTERN
+
+
 def test_cases(spark, library):
     rows = bpe.round_trip(documents(spark), PATH, public_tokenizers.PATTERN).collect()
     want = []

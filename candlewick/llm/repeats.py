@@ -17,7 +17,7 @@ occurrence, in the order of document and position, is to be found, exactly, with
 
 Documents are named by ``_at``, their id (null: before all others), and ``_tie``, 0 if ids are unique, else a hash of the text:
 rows that agree in both are one document, of rows with equal ids the hash decides which is earlier. Hashes have 64 bits; the
-methods of step 3 compare symbols before they call windows equal. Names of columns that begin with an underscore are taken.
+methods of step 3 compare symbols before they call windows of one block equal; steps 2 and 3 across blocks rely on the hashes. Names of columns that begin with an underscore are taken.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ document) is removed; strings are judged on the input, overlaps count, and strin
 comparisons are logarithmic: prefix polynomial hashes give the hash of any span, a binary search over span lengths
 finds the common extension of two suffixes, and the byte after it decides. A merge step places each suffix of a run by
 binary search in its sibling run, all of them at once. Neighbours with a common extension of ``LENGTH`` bytes are
-compared byte by byte before they count as equal, so a hash collision can't remove anything.
+compared byte by byte before they count as equal. This holds within a block of ``repeats``: covered anchors, and windows that meet
+across blocks, are equal by 64-bit hashes, and a collision there could remove text.
 
 A null text is empty; texts shorter than ``LENGTH`` lose nothing. Rows that agree in id and text are one document and get the
 same result; of rows with equal ids and different texts a hash decides which is earlier; a null id comes before all others.

@@ -33,7 +33,69 @@ WITH kept AS (
 SELECT source, lang, tokenizer, count(*) AS documents, CAST(sum(n) AS BIGINT) AS tokens FROM counted GROUP BY ALL
 """
 
+
+
+def _rounds(rounds: int) -> str:
+    """Each round: nearest centroid of every vector, then floored means; a centroid without vectors stays."""
+    parts = []
+    for r in range(rounds + 1):
+        parts.append(
+            f"""near{r} AS (
+    SELECT n, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+    FROM (SELECT n, cluster, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance FROM vectors, centres{r})
+    GROUP BY n
+)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""sums{r} AS (
+    SELECT cluster, place, sum(x)::BIGINT AS s, count(*) AS m
+    FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS place FROM near{r} JOIN vectors USING (n)) GROUP BY ALL
+), centres{r + 1} AS (
+    SELECT cluster, coalesce(moved, c) AS c FROM centres{r} LEFT JOIN (
+        SELECT cluster, list(((s - ((s % m) + m) % m) // m)::BIGINT ORDER BY place) AS moved FROM sums{r} GROUP BY cluster
+    ) USING (cluster)
+)"""
+            )
+    return ", ".join(parts)
+
+
+_CLUSTERS = f"""
+WITH vectors AS (
+    SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), centres0 AS (
+    SELECT row_number() OVER (ORDER BY h, v) - 1 AS cluster, v AS c
+    FROM (SELECT v, sha256('1:' || vec_id::VARCHAR) AS h FROM vectors ORDER BY h, v LIMIT 16)
+), {_rounds(3)}
+SELECT vec_id, cluster::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM near3 JOIN vectors USING (n) JOIN centres3 USING (cluster)
+"""
+
+_TERMS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+_RANKED = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS t FROM documents),
+size AS (SELECT d, doc_id, len(t) AS n FROM docs WHERE len(t) > 0),
+whole AS (SELECT count(*) AS docs_n, sum(n)::BIGINT AS all_n FROM size),
+tf AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(t) AS term FROM docs) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * docs_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), whole),
+asked AS (SELECT DISTINCT i, item_id, term FROM (SELECT i, item_id, unnest(t) AS term FROM (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS t FROM benchmark))),
+scored AS (
+    SELECT i, item_id, d, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs_n) // all_n))))::BIGINT AS score
+    FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN size USING (d), whole GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0) WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": _URLS,
     "op7_token_deltas": _TOKENS,
+    "op12_hadamard_clusters": _CLUSTERS,
+    "op13_ranked_search": _RANKED,
 }

@@ -8,12 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontaminate, fingerprint, near_dup, quality, reshard, substring_dedup, suffix_dedup, token_counts, url_filter
+from candlewick.llm import (
+    bpe,
+    centroids,
+    decontaminate,
+    fingerprint,
+    near_dup,
+    packing,
+    quality,
+    ranked_search,
+    reshard,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    url_filter,
+)
 from candlewick.session import new_dir, staged
 
-#: The rules of the URL query and the vocabulary of the encoding query.
+#: The rules of the URL query and the vocabularies of the encoding and the packing query.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+PACKED_FILE = "word_bpe_49k.json"
 OLD_SHARDS, NEW_SHARDS = 32, 40
 
 
@@ -120,6 +135,21 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "copy_id", "class_id")
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path(PACKED_FILE), ids=False)
+
+
+def op12_hadamard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.clusters(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return ranked_search.rank(docs.select("doc_id", "text"), items.select("item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_benchmark_index": op2_benchmark_index,
@@ -131,4 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_trees": op8_suffix_trees,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_dart_minhash": op10_dart_minhash,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_hadamard_clusters": op12_hadamard_clusters,
+    "op13_ranked_search": op13_ranked_search,
 }

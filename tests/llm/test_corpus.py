@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 import public_tokenizers
 import pytest
 import tiktoken
 from brute import documents, hits, ink_words, near_classes, repeated, sha
 from oracle_check import compare, duck
+from tokenizers import Tokenizer
 
 import __spark_entry__ as registered
 import corpus_pipeline
@@ -29,7 +33,7 @@ def rows(spark, name):
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(registered.queries())
     assert set(ORACLE) <= set(registered.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -142,3 +146,22 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
         out = corpus_pipeline.run(spark, str(tmp_path))
         assert {"doc_id", "ids", "n_tokens"} <= set(out.columns)
         assert all(r.doc_id != 14 for r in out.collect())
+
+
+def test_packing(spark, texts):
+    found = rows(spark, "op11_best_fit_packing")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = []
+    for i, text in texts:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        for piece, start in enumerate(range(0, len(ids), 2048)):
+            part = ids[start : start + 2048]
+            want.append((i, piece, start, len(part), zlib.crc32(struct.pack(f"<{len(part)}I", *part))))
+    assert [r[:5] for r in found] == want
+    inside = {}
+    for r in found:
+        inside.setdefault(r[5], []).append((r[6], r[3]))
+    for places in inside.values():
+        places.sort()
+        assert [o for o, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))] and sum(n for _, n in places) <= 2048
+    assert len(inside) <= -(-sum(r[3] for r in found) // 2048) + 1

@@ -23,6 +23,7 @@ table. Other columns are dropped, whatever their names.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -30,10 +31,10 @@ from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,10 +43,10 @@ from pyspark.sql import types as T
 from candlewick.session import staged
 
 ROOM = 2048
-#: Words a worker keeps the ids of, and the longest such word.
-KEPT_WORDS, LONGEST_KEPT = 300_000, 64
-#: Bytes of text split into words at a time, and ids handed back to Spark at a time.
-PART, BLOCK_IDS = 1 << 20, 1 << 20
+#: Words a worker keeps the ids of, and ids above which it begins anew.
+KEPT_WORDS, KEPT_IDS = 500_000, 1 << 22
+#: Bytes of text split into words at a time, ids handed back to Spark at a time, and words encoded as one line.
+PART, BLOCK_IDS, LINE = 1 << 22, 1 << 20, 64
 
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 
@@ -53,31 +54,63 @@ _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 class Words:
     """Ids of texts, word by word, where a word is what stands between ASCII white space.
 
-    Right for tokenizers that drop white space and neither normalise nor match across it; the ids of frequent words are kept.
+    Right for tokenizers that drop white space and neither normalise nor match across it. A word is encoded when it first
+    comes, together with the other new ones, and its ids are kept until there are too many.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, list[int]] = {}
-
-    def ids(self, data: bytes) -> np.ndarray:
-        return np.concatenate([self._part(part) for part in _parts(data)])
-
-    def _part(self, data: bytes) -> np.ndarray:
-        words, known = data.split(), self._known
-        if new := [w for w in dict.fromkeys(words) if w not in known]:
-            if len(known) + len(new) > KEPT_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            found = self._tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            known.update(zip(new, (e.ids for e in found), strict=True))
-        ids = np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32)
-        for word in new:
-            if len(word) > LONGEST_KEPT:
-                del known[word]
-        return ids
+        last = json.loads(self._tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self._tokenizer.get_vocab()
+        self._last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self._last[[i for t, i in vocabulary.items() if last and t.endswith(last)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self._places: dict[str, int] = {}
+        self._ids, self._ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has."""
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        words, whose = split.flatten(), pc.list_parent_indices(split).to_numpy()
+        # White space at an end leaves an empty word there.
+        ink = pc.greater(pc.binary_length(words), 0)
+        kinds = words.filter(ink).dictionary_encode()
+        whose, distinct = whose[ink.to_numpy(zero_copy_only=False)], kinds.dictionary.to_pylist()
+        if new := [w for w in distinct if w not in self._places]:
+            if len(self._places) + len(new) > KEPT_WORDS or len(self._ids) > KEPT_IDS:
+                self._forget()
+                new = distinct
+            letters = [w for w in new if w.isascii() and w.isalpha()]
+            known = set(letters)
+            for some, encode in ((letters, self._by_last), ([w for w in new if w not in known], self._by_offset)):
+                self._places.update(zip(some, range(len(self._places), len(self._places) + len(some)), strict=True))
+                found, ends = encode(some)
+                self._ends = np.append(self._ends, len(self._ids) + ends)
+                self._ids = np.append(self._ids, found)
+        places = np.array([self._places[w] for w in distinct], np.int64)
+        word = places[kinds.indices.to_numpy()]
+        size = np.diff(self._ends)[word]
+        ids = self._ids[np.arange(size.sum()) + np.repeat(self._ends[word] - np.cumsum(size) + size, size)]
+        return ids, np.bincount(whose, size, len(texts)).astype(np.int64)
+
+    def _by_last(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and where each word's end, told by the ids that end a word. The tokenizer does without offsets here."""
+        lines = [" ".join(words[i : i + LINE]) for i in range(0, len(words), LINE)]
+        found = self._tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.empty(0, np.int32), *(np.array(e.ids, np.int32) for e in found)])
+        ends = np.flatnonzero(self._last[ids]) + 1
+        # A vocabulary that doesn't mark its last ids, or parts letters, has another number of them.
+        return (ids, ends) if len(ends) == len(words) else self._by_offset(words)
+
+    def _by_offset(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same by the places in the joined text: the ids of a word begin inside it."""
+        found = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
+        starts = np.fromiter((first for first, _ in found.offsets), np.int64, len(found.ids))
+        return np.array(found.ids, np.int32), np.searchsorted(starts, np.cumsum([len(w) + 1 for w in words]))
 
 
 def _parts(data: bytes) -> Iterator[bytes]:
@@ -97,8 +130,9 @@ class Whole:
 
         self._tokenizer = Tokenizer.from_file(path)
 
-    def ids(self, data: bytes) -> np.ndarray:
-        return np.array(self._tokenizer.encode(data.decode(), add_special_tokens=False).ids, np.int32)
+    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self._tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+        return np.array([i for ids in found for i in ids], np.int32), np.array([len(ids) for ids in found], np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -107,6 +141,28 @@ def _encoder(path: str, by_word: bool) -> Words | Whole:
     return (Words if by_word else Whole)(path)
 
 
+def _encoded(encoder: Words | Whole, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(place in the batch, ids) of every text; short texts are encoded together, long ones in parts where words allow it."""
+    some, held = [], 0
+
+    def done() -> Iterator[tuple[int, np.ndarray]]:
+        ids, sizes = encoder.ids([data for _, data in some])
+        yield from zip((at for at, _ in some), np.split(ids, np.cumsum(sizes)[:-1]), strict=True)
+
+    for at in range(len(texts)):
+        data = (texts[at].as_py() or "").encode()
+        if some and held + len(data) > PART:
+            yield from done()
+            some, held = [], 0
+        if len(data) > PART and isinstance(encoder, Words):
+            yield at, np.concatenate([encoder.ids([part])[0] for part in _parts(data)])
+        else:
+            some.append((at, data))
+            held += len(data)
+    if some:
+        yield from done()
+
+
 def pieces(docs: DataFrame, path: str, room: int = ROOM, end: int = 0, by_word: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids, ids_crc32, and task and turn: the piece's number within its task and length. Written once."""
     key = docs.schema["doc_id"].dataType
@@ -123,17 +179,18 @@ def pieces(docs: DataFrame, path: str, room: int = ROOM, end: int = 0, by_word:
         encoder, task, seen = _encoder(path, by_word), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows, held = [], 0
-            texts = batch.column(1)
-            for at in range(len(texts)):
-                ids = np.append(encoder.ids((texts[at].as_py() or "").encode()), np.int32(end))
+            for at, ids in _encoded(encoder, batch.column(1)):
+                ids = np.append(ids, np.int32(end))
                 for piece, start in enumerate(range(0, len(ids), room)):
                     part = ids[start : start + room]
                     rows.append((at, piece, start, part, zlib.crc32(part.astype("<u4").tobytes()), seen[len(part)]))
                     seen[len(part)] += 1
                 held += len(ids)
-                if held >= BLOCK_IDS or at == len(texts) - 1:
+                if held >= BLOCK_IDS:
                     yield _batch(batch.column(0), rows, task)
                     rows, held = [], 0
+            if rows:
+                yield _batch(batch.column(0), rows, task)
 
     return staged(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(cut, schema), "pieces")
 

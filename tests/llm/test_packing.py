@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from brute import TEXTS, documents
 from tokenizers import Tokenizer
@@ -148,17 +149,18 @@ BIG = " ".join(f"word{n % 97} Word{n % 89}!" for n in range(9000))
 
 def test_parts_of_a_long_text(spark, monkeypatch):
     monkeypatch.setattr(packing, "PART", 50)
-    words = packing.Words(PATH)
-    for _, text in [*HARD, *TEXTS]:
-        assert words.ids((text or "").encode()).tolist() == library(text)[:-1]
-    assert packing.Whole(PATH).ids(HARD[0][1].encode()).tolist() == library(HARD[0][1])[:-1]
+    texts = [t for _, t in [*HARD, *TEXTS]]
+    for encoder in (packing.Words(PATH), packing.Whole(PATH)):
+        found = dict(packing._encoded(encoder, pa.array(texts)))
+        assert [found[k].tolist() for k in range(len(texts))] == [library(t)[:-1] for t in texts]
 
 
 def test_words_forgotten(monkeypatch):
     monkeypatch.setattr(packing, "KEPT_WORDS", 3)
     words = packing.Words(PATH)
     for text in ("a b", "b c d", "a " * 5 + "e f g h", "x" * 100 + " a"):
-        assert words.ids(text.encode()).tolist() == library(text)[:-1]
+        ids, sizes = words.ids([text.encode(), b"", b"b zz"])
+        assert ids.tolist() == library(text)[:-1] + library("b zz")[:-1] and sizes[1] == 0
 
 
 def test_sequences(spark):

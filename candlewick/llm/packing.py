@@ -44,7 +44,7 @@ from candlewick.session import staged
 
 ROOM = 2048
 #: Words a worker keeps the ids of, and ids above which it begins anew.
-KEPT_WORDS, KEPT_IDS = 500_000, 1 << 22
+KEPT_WORDS, KEPT_IDS = 1_000_000, 1 << 23
 #: Bytes of text split into words at a time, ids handed back to Spark at a time, and words encoded as one line.
 PART, BLOCK_IDS, LINE = 1 << 22, 1 << 20, 64
 

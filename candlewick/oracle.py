@@ -379,6 +379,17 @@ ORACLE["stream_continuity"] = _with(
     f"history AS ({_events('binance')})", _DENTED, _checked("dented")
 ) + f"SELECT {KEY}, close_time, next_open, checked FROM checked WHERE next_open IS NOT NULL"
 
+ORACLE["stream_verdict_revisions"] = _with(
+    f"history AS ({_events('binance')})",
+    _DENTED,
+    _checked("dented"),
+    f"""early AS (SELECT {KEY}, lead(open_time) OVER (PARTITION BY {SERIES} ORDER BY open_time) AS early_open
+    FROM dented WHERE (open_time // 3600) % 5 <> 0)""",
+) + f"""SELECT {KEY}, close_time, next_open, checked, coalesce(early_open, next_open) AS first_next_open,
+  CASE WHEN early_open IS NULL THEN checked WHEN close_time = early_open AND close_time - open_time = delta THEN '__OK__'
+  ELSE '__ERROR__' END AS first_checked
+FROM checked LEFT JOIN early USING ({KEY}) WHERE next_open IS NOT NULL"""
+
 # Expressions
 
 ORACLE["calendar_exprs"] = """

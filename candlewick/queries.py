@@ -588,6 +588,24 @@ def stream_continuity(spark, sf):
     return continuity.verdicts(spark, root)
 
 
+@query
+def stream_verdict_revisions(spark, sf):
+    """Every fifth hour comes late and splits pairs judged before: the verdicts that hold, and those first given."""
+    landed, root = new_dir(spark, "candles"), new_dir(spark, "revisions")
+    candles = fx.dented(fx.event_candles(spark, sf, "1h", "binance")).selectExpr("*", "0L as seq")
+    for hours in (f"{fx.HOUR} % 5 <> 0", f"{fx.HOUR} % 5 = 0"):
+        part = candles.where(hours)
+        part.write.mode("append").parquet(landed)
+        feed = spark.readStream.schema(part.schema).parquet(landed)
+        continuity.watch(feed, root, f"{root}/checkpoint", availableNow=True).awaitTermination()
+    firsts = continuity.revised(spark, root).select(*KEY, "first_next_open", "first_checked")
+    return (
+        continuity.verdicts(spark, root)
+        .join(firsts, [*KEY], "left")
+        .selectExpr(*continuity.VERDICT_COLUMNS, "coalesce(first_next_open, next_open) as first_next_open", "coalesce(first_checked, checked) as first_checked")
+    )
+
+
 # Expressions
 
 

@@ -38,10 +38,18 @@ def _blocks(content: bytes) -> Iterator[tuple[int, str]]:
 
 
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Blocks of all archives; small ones are handed back together."""
+    rows, held = [], 0
     for batch in batches:
         for file, content in zip(batch["file"], batch["content"]):
             for first, text in _blocks(content):
-                yield pd.DataFrame({"file": [file], "first": [first], "text": [text]})
+                rows.append((file, first, text))
+                held += len(text)
+                if held >= _BLOCK:
+                    yield pd.DataFrame(rows, columns=["file", "first", "text"])
+                    rows, held = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=["file", "first", "text"])
 
 
 def landed_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

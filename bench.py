@@ -53,6 +53,7 @@ def main() -> None:
     store.upsert(spark, root, fx.dented(clean))
     table = lambda: store.scan(spark, root)
     store.write_status(spark, root, checks.status_changes(checks.check(table())))
+    store.fold_status(spark, root)
     candles = table().count()
 
     packed = {
@@ -85,6 +86,10 @@ def main() -> None:
         source = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
         continuity.watch(source, f"{folder}/out", f"{folder}/checkpoint", availableNow=True).awaitTermination()
 
+    def fold() -> None:
+        store.write_status(spark, root, changes)
+        store.fold_status(spark, root)
+
     def plan() -> None:
         marked = profile.with_high_water(profile.first_listed(profile.series_profile(table()), NOW))
         run(backfill_plan(profile.with_staleness(marked, NOW, "high_water"), NOW))
@@ -101,12 +106,14 @@ def main() -> None:
         "consistent_streams": lambda: run(streams.consistent_streams(table())),
         "nested_streams": lambda: run(streams.nested_streams(streams.consistent_streams(table()))),
         "series_profile": lambda: run(profile.series_profile(table())),
+        "table_profile": lambda: run(store.profile(spark, root)),
         "backfill_plan": plan,
         "dedupe_last_wins": lambda: run(merge.last_wins(incoming, ["seq"])),
         "upsert_merge": lambda: run(merge.merge_klines(table(), merge.last_wins(incoming, ["seq"]))),
         "upsert_store": upsert,
         "status_writeback": lambda: store.write_status(spark, root, changes),
         "check_and_store": lambda: run(CandleHistory(spark, root).check_and_store()),
+        "fold_status": fold,
         "repair_accept": lambda: run(repair.accepted_candles(requests, answers)),
         "repair_from_pool": lambda: run(repair.accepted_from_pool(requests, clean)),
         "live_tail": lambda: run(live.live_tail(feed, live.LAST_N, live.LAST_N_1M)),

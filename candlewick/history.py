@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import time
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,14 +46,6 @@ class CandleHistory:
             return requests
         return requests.selectExpr("*", f"'{self.trading_type}' as trading_type")
 
-    def _asked_for(self, requests: DataFrame) -> DataFrame:
-        """Stored candles of the requested series. Folders of other exchanges and intervals aren't read, candles of other
-        symbols are left out before anything is added up."""
-        # Exchanges x intervals, 84 rows at most.
-        pairs = requests.select("exchange", "interval").dropna().distinct().collect()
-        inside = reduce(lambda a, b: a | b, [(F.col("exchange") == e) & (F.col("interval") == i) for e, i in pairs], F.lit(False))
-        return self.candles().where(inside).join(requests.select(*SERIES).distinct(), [*SERIES], "left_semi")
-
     # Load
 
     def upsert(self, candles: DataFrame, order: tuple[str, ...] = ()) -> None:
@@ -123,7 +114,7 @@ class CandleHistory:
     def exists(self, requests: DataFrame) -> DataFrame:
         """Requested (exchange, symbol, interval) with ``present``."""
         asked = self._requests(requests)
-        return profiles.series_exists(asked, self._asked_for(asked))
+        return profiles.series_exists(asked, store.profile(self.spark, self.root, asked))
 
     def map_streams(
         self, exchange: str, symbol: str, interval: str, work, schema: str, segment: int = streams.SEGMENT, overlap: int = 0, **limits
@@ -152,9 +143,9 @@ class CandleHistory:
     def profile(self, requests: DataFrame | None = None) -> DataFrame:
         """First and last times, first unchecked and oldest valid time, counts per series."""
         if requests is None:
-            return profiles.series_profile(self.candles())
+            return store.profile(self.spark, self.root).where(F.col("trading_type") == self.trading_type)
         asked = self._requests(requests)
-        return profiles.for_requests(asked, profiles.series_profile(self._asked_for(asked)))
+        return profiles.for_requests(asked, store.profile(self.spark, self.root, asked))
 
     def first_listed(self, requests: DataFrame, as_of: int | None = None) -> DataFrame:
         return profiles.first_listed(self.profile(requests), self._now(as_of))
@@ -180,12 +171,12 @@ class CandleHistory:
         return checks.check(self.candles(), start)
 
     def check_and_store(self, start_from: int = 0, as_of: int | None = None, last_n: int | None = None) -> DataFrame:
-        """Check, write the changed statuses, and return the errors."""
+        """Check, write the changed statuses, and return the errors. ``fold`` after a first check, and now and then."""
         checked = self.check(start_from, as_of, last_n)
         # Errors and changes come from one pass; the rest of the candles is not kept.
         found = checked.select(*KEY, "close_time", "status", "next_open", "checked")
         found = staged(found.where(f"checked = '{ERROR}' or not (checked <=> status)"), "checked")
-        store.set_status(self.spark, self.root, checks.status_changes(found))
+        store.write_status(self.spark, self.root, checks.status_changes(found))
         return checks.errors(found)
 
     def report(self, start_from: int = 0, as_of: int | None = None, last_n: int | None = None) -> DataFrame:
@@ -207,6 +198,10 @@ class CandleHistory:
         self.upsert(good)
         return good
 
+    def fold(self) -> None:
+        """Move the statuses written since the last time into the table, so that reads need no join."""
+        store.fold_status(self.spark, self.root)
+
     def recover(self) -> None:
         """Finish or undo the write of a process that is gone; see ``store``."""
         store.recover(self.spark, self.root)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,19 +12,45 @@ from candlewick.functions.calendar import date_of, epoch_of, interval_seconds, m
 from candlewick.schema import ERROR, OK, SERIES, UNCHECKED
 
 
+# Of each figure: how it comes from candles, and how those of two groups of candles are put together.
+_FIGURES = {
+    "first_open": ("min(open_time)", "min"),
+    "last_open": ("max(open_time)", "max"),
+    "last_close": ("max(close_time)", "max"),
+    "first_unchecked": (f"min(if(status = '{UNCHECKED}', open_time, null))", "min"),
+    "last_not_ok": (f"max(if(status <> '{OK}', open_time, null))", "max"),
+    "n_candles": ("count(*)", "sum"),
+    "n_errors": (f"count_if(status = '{ERROR}')", "sum"),
+}
+
+
+def extents(candles: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The figures of every group of candles in one pass."""
+    return candles.groupBy(*by).agg(*[F.expr(f"{e} as {name}") for name, (e, _) in _FIGURES.items()])
+
+
+def together(kept: DataFrame) -> DataFrame:
+    """The profile of every series out of the extents of its parts."""
+    return _profile(kept.groupBy(*SERIES).agg(*[F.expr(f"{add}({name}) as {name}") for name, (_, add) in _FIGURES.items()]))
+
+
 def series_profile(candles: DataFrame) -> DataFrame:
     """All extent figures of every series in one pass."""
-    figures = {
-        "first_open": "min(open_time)",
-        "last_open": "max(open_time)",
-        "last_close": "max(close_time)",
-        "min_unchecked": f"coalesce(min(if(status = '{UNCHECKED}', open_time, null)), 0)",
+    return _profile(extents(candles, SERIES))
+
+
+def _profile(figures: DataFrame) -> DataFrame:
+    return figures.selectExpr(
+        *SERIES,
+        "first_open",
+        "last_open",
+        "last_close",
+        "coalesce(first_unchecked, 0) as min_unchecked",
         # The newest candle that is not OK, else the oldest candle.
-        "min_valid": f"coalesce(max(if(status <> '{OK}', open_time, null)), min(open_time))",
-        "n_candles": "count(*)",
-        "n_errors": f"count_if(status = '{ERROR}')",
-    }
-    return candles.groupBy(*SERIES).agg(*[F.expr(f"{e} as {name}") for name, e in figures.items()])
+        "coalesce(last_not_ok, first_open) as min_valid",
+        "n_candles",
+        "n_errors",
+    )
 
 
 def for_requests(requests: DataFrame, profile: DataFrame) -> DataFrame:

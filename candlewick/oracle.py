@@ -202,6 +202,10 @@ _MERGED = f"""SELECT {KEY}, n.open_price, n.close_time, n.close_price, n.low, n.
 ORACLE["dedupe_last_wins"] = _with(_HISTORY, _INCOMING) + f"SELECT {COLUMNS} FROM latest"
 ORACLE["upsert_merge"] = _with(_HISTORY, _part_checked("history"), _INCOMING) + _MERGED.format("part_checked", "latest")
 ORACLE["upsert_store"] = ORACLE["upsert_merge"]
+ORACLE["table_profile"] = (
+    _with(_HISTORY, _part_checked("history"), _INCOMING, f"merged AS ({_MERGED.format('part_checked', 'latest')})", _PROFILE.format("merged"))
+    + "SELECT * FROM profile"
+)
 _FIRST = f"""firsts AS (SELECT {SERIES}, make_timestamp(min(open_time) * 1000000)
     + CASE WHEN {{}} THEN INTERVAL 2 MONTH ELSE INTERVAL 0 MONTH END AS d FROM history GROUP BY {SERIES})"""
 _META = "'{\"year\":' || year(d) || ',\"month\":' || month(d) || '}'"

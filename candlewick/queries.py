@@ -19,7 +19,7 @@ from candlewick.operators import check as checks
 from candlewick.operators import merge, profile, reader, repair, streams
 from candlewick.plans.backfill import backfill_plan as plan_backfill
 from candlewick.plans.manifest import archive_manifest as plan_archives
-from candlewick.schema import KEY, KLINE_COLUMNS, META_KEY, PARTITION, PRICES, SERIES, SPOT
+from candlewick.schema import KEY, KLINE_COLUMNS, META_KEY, PRICES, SERIES, SPOT
 from candlewick.session import new_dir
 from candlewick.sources import archives, catalog, live, payloads
 from candlewick.streaming import continuity
@@ -62,11 +62,12 @@ def typed_read(spark, sf):
 
 @query
 def table_read(spark, sf):
-    """Write the table, check it, then read one exchange and interval in a range from it."""
+    """Write the table, check it, fold the statuses in, then read one exchange and interval in a range from it."""
     root = new_dir(spark, "table_read")
     store.create(spark, root)
     store.upsert(spark, root, fx.history(spark, sf))
     store.write_status(spark, root, checks.status_changes(checks.check(store.scan(spark, root))))
+    store.fold_status(spark, root)
     return reader.typed(reader.in_range(store.scan(spark, root, "bybit", None, "1d"), 852076800, 915148800))
 
 
@@ -121,10 +122,15 @@ def status_changes(spark, sf):
 
 @query
 def status_writeback(spark, sf):
-    """Stored candles after the changed statuses are written."""
-    stored = fx.part_checked(fx.dented(fx.history(spark, sf)))
-    changes = checks.status_changes(checks.check(stored))
-    return merge.merge_status(stored, changes).select(*KEY, "close_time", "status")
+    """Stored candles after statuses are set, folded into the table, and changed by a check, which is met at the read."""
+    root = new_dir(spark, "status_writeback")
+    store.create(spark, root)
+    candles = fx.dented(fx.history(spark, sf))
+    store.upsert(spark, root, candles)
+    store.write_status(spark, root, fx.part_checked(candles))
+    store.fold_status(spark, root)
+    store.write_status(spark, root, checks.status_changes(checks.check(store.scan(spark, root))))
+    return store.scan(spark, root).select(*KEY, "close_time", "status")
 
 
 # Streams
@@ -252,12 +258,26 @@ def upsert_merge(spark, sf):
 @query
 def upsert_store(spark, sf):
     """The same merge through the table, folder by folder."""
-    root = new_dir(spark, "upsert_store")
+    return store.scan(spark, _upserted(spark, sf, "upsert_store")).select(*KLINE_COLUMNS)
+
+
+def _upserted(spark: SparkSession, sf: str, label: str) -> str:
+    """A table whose candles got statuses, then new versions."""
+    root = new_dir(spark, label)
     store.create(spark, root)
-    stored = fx.part_checked(fx.history(spark, sf))
-    store.with_part(stored).write.mode("overwrite").partitionBy(*PARTITION).parquet(store.klines_path(root))
+    store.upsert(spark, root, fx.history(spark, sf))
+    store.write_status(spark, root, fx.part_checked(fx.history(spark, sf)))
     store.upsert(spark, root, _incoming(fx.history(spark, sf)), ["seq"])
-    return store.scan(spark, root).select(*KLINE_COLUMNS)
+    return root
+
+
+@query
+def table_profile(spark, sf):
+    """The profile of that table out of the extents kept by its writes; the daily statuses are folded in, the others not."""
+    root = _upserted(spark, sf, "table_profile")
+    store.fold_status(spark, root)
+    store.write_status(spark, root, fx.part_checked(fx.history(spark, sf)).where("interval <> '1d'"))
+    return store.profile(spark, root)
 
 
 def _first_months(spark: SparkSession, sf: str) -> DataFrame:

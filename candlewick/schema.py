@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 SERIES = ("exchange", "trading_type", "symbol", "interval")
 KEY = (*SERIES, "open_time")
-PARTITION = ("exchange", "interval", "part")
+PARTITION = ("exchange", "interval", "part", "bucket")
 
 # Candle values an upsert replaces. Prices stay text to keep the exchange's precision.
 VALUES = ("open_price", "close_time", "close_price", "low", "high", "volume")
@@ -36,7 +36,17 @@ KLINE = T.StructType(
     ]
 )
 KLINE_COLUMNS = tuple(KLINE.fieldNames())
-STORED = T.StructType([*KLINE.fields, T.StructField("part", T.IntegerType())])
+STORED = T.StructType([*KLINE.fields, T.StructField("part", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
+
+# One change of a status, and what is kept of each series in each folder.
+STATUS = T.StructType([*(f for f in KLINE.fields if f.name in (*KEY, "status")), T.StructField("batch", T.LongType())])
+EXTENT_FIGURES = ("first_open", "last_open", "last_close", "first_unchecked", "last_not_ok", "n_candles", "n_errors")
+EXTENT = T.StructType(
+    [
+        *(f for f in STORED.fields if f.name in (*SERIES, *PARTITION)),
+        *(T.StructField(name, T.LongType()) for name in EXTENT_FIGURES),
+    ]
+)
 
 PAYLOAD = T.StructType(
     [

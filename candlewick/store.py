@@ -2,12 +2,21 @@
 
 Layout under a root folder::
 
-    klines/exchange=/interval=/part=/   the table, files sorted by symbol and time
-    log/<feed>/folder=/batch=N/         candles of live batches
-    held/<feed>/batch=N/                candles held back when batch N was merged
-    merged/<feed>/                      how far the log has been merged
-    meta/                               metadata of series
-    writing, pending/                   of the write under way
+    klines/exchange=/interval=/part=/bucket=/   the table, files sorted by symbol and time
+    extents/exchange=/interval=/part=/bucket=/  first and last times and counts of each series in that folder
+    status/batch=N/                             changed statuses not folded into the table yet
+    log/<feed>/folder=/batch=N/                 candles of live batches
+    held/<feed>/batch=N/                        candles held back when batch N was merged
+    merged/<feed>/                              how far the log has been merged
+    meta/                                       metadata of series
+    writing, pending/                           of the write under way
+
+Symbols are dealt to ``BUCKETS`` folders, so an upsert rewrites, and a read of one symbol lists, one in so many of them.
+
+A status is written without its candle: changes are appended to ``status`` by key, and ``scan`` puts the last one in the place of the
+stored one. ``fold_status`` moves them into the table now and then; until then a read joins the candles it asks for with
+their changes, after that with none. Extents are written with their folder, from its own rows; ``profile`` adds them up and
+reads candles of those series only that have changed statuses in a folder.
 
 A write of the table holds ``writing``, from before it reads what it merges with until its folders are in place, so two
 writers can't lose each other's candles; the second one fails. The new folders are written below ``pending`` first.
@@ -17,6 +26,7 @@ writers can't lose each other's candles; the second one fails. The new folders a
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -29,7 +39,8 @@ from candlewick.files import Files
 from candlewick.functions.calendar import part_of
 from candlewick.functions.text import meta_key
 from candlewick.operators.merge import last_wins, merge_klines, merge_meta, merge_status
-from candlewick.schema import KEY, KLINE, KLINE_COLUMNS, META, META_KEY, PARTITION, STORED
+from candlewick.operators.profile import extents, together
+from candlewick.schema import EXTENT, EXTENT_FIGURES, KEY, KLINE, KLINE_COLUMNS, META, META_KEY, PARTITION, SERIES, STATUS, STORED
 from candlewick.session import staged
 from candlewick.sources.live import without_tail
 
@@ -37,13 +48,23 @@ HELD_SCHEMA = "seq long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" f
 LOG_SCHEMA = "batch long, " + HELD_SCHEMA
 
 
+# Folders that the symbols of an exchange, interval and part are dealt to.
+BUCKETS = 16
+_BUCKET = f"cast(pmod(xxhash64(symbol), {BUCKETS}) as int)"
+
+
 def klines_path(root: str) -> str:
     return f"{root}/klines"
 
 
+def _extents_path(root: str) -> str:
+    return f"{root}/extents"
+
+
 def create(spark: SparkSession, root: str, table: str | None = None) -> None:
-    """Make an empty store; ``table`` also registers the candles in the catalog."""
+    """Make an empty store; ``table`` also registers the candles in the catalog, with the statuses folded so far."""
     spark.createDataFrame([], STORED).write.mode("ignore").partitionBy(*PARTITION).parquet(klines_path(root))
+    spark.createDataFrame([], EXTENT).write.mode("ignore").partitionBy(*PARTITION).parquet(_extents_path(root))
     if table:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED)
         spark.sql(
@@ -60,14 +81,32 @@ def scan(
     interval: str | None = None,
     trading_type: str | None = None,
 ) -> DataFrame:
-    """Stored candles with ``part``; exchange and interval prune folders, the symbol
-    skips row groups."""
-    candles = spark.read.schema(STORED).parquet(klines_path(root))
+    """Stored candles with ``part`` and ``bucket``, and their last statuses; exchange, interval and the symbol's bucket prune
+    folders, the symbol skips row groups."""
     wanted = {"exchange": exchange, "interval": interval, "symbol": symbol, "trading_type": trading_type}
+    candles = _of_series(_in_folders(spark, root), wanted)
+    changes = status_changes(spark, root)
+    return candles if changes is None else _with_status(candles, _of_series(changes, wanted))
+
+
+def _of_series(rows: DataFrame, wanted: dict[str, str | None]) -> DataFrame:
     for name, value in wanted.items():
         if value is not None:
-            candles = candles.where(F.col(name) == value)
-    return candles
+            rows = rows.where(F.col(name) == value)
+            if name == "symbol" and "bucket" in rows.columns:
+                rows = rows.where(F.col("bucket") == F.expr(_BUCKET.replace("symbol", repr(value))))
+    return rows
+
+
+def _in_folders(spark: SparkSession, root: str) -> DataFrame:
+    """Candles as the folders have them, without the statuses not folded yet."""
+    return spark.read.schema(STORED).parquet(klines_path(root))
+
+
+def _with_status(candles: DataFrame, changes: DataFrame) -> DataFrame:
+    last = last_wins(changes, ["batch"]).select(*KEY, F.struct("status").alias("_changed"))
+    status = F.expr("if(_changed is null, status, _changed.status)").alias("status")
+    return candles.join(last, [*KEY], "left").select(*[status if c == "status" else c for c in candles.columns])
 
 
 # Folder, then sort order within files. The rest of the candle key follows the
@@ -77,7 +116,7 @@ STORED_KEY = (*ORDER, "trading_type")
 
 
 def with_part(rows: DataFrame) -> DataFrame:
-    return rows.selectExpr("*", f"{part_of('interval', 'open_time')} as part")
+    return rows.drop("part", "bucket").selectExpr("*", f"{part_of('interval', 'open_time')} as part", f"{_BUCKET} as bucket")
 
 
 def placed(rows: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -120,8 +159,11 @@ def recover(spark: SparkSession, root: str) -> None:
 
 def _publish(files: Files) -> None:
     """Move the valid folders into place. Folders moved before are no longer there, so it can be done again."""
-    for folder in files.folders("pending/klines", len(PARTITION)):
-        files.move(folder, folder.removeprefix("pending/"))
+    for table in ("klines", "extents"):
+        for folder in files.folders(f"pending/{table}", len(PARTITION)):
+            files.move(folder, folder.removeprefix("pending/"))
+    if files.exists("pending/meta"):
+        files.move("pending/meta", "meta")
     files.delete("pending/READY")
 
 
@@ -138,6 +180,8 @@ def _write(candles: DataFrame, root: str) -> None:
         .write.partitionBy(*PARTITION)
         .parquet(klines_path(f"{root}/pending"))
     )
+    written = extents(_in_folders(candles.sparkSession, f"{root}/pending"), [*SERIES, *(c for c in PARTITION if c not in SERIES)])
+    written.repartition(*PARTITION).write.partitionBy(*PARTITION).parquet(_extents_path(f"{root}/pending"))
     files.claim("pending/READY")
     _publish(files)
 
@@ -145,18 +189,14 @@ def _write(candles: DataFrame, root: str) -> None:
 def touched(rows: DataFrame) -> str:
     """Condition for the stored folders that ``rows`` fall in.
 
-    Collects the folder names: exchanges x intervals x months, a few thousand at most.
+    Collects the folder numbers: exchanges x intervals x months x buckets.
     """
-    # First down to a row per day, then to folders.
-    days = rows.selectExpr("exchange", "interval", "floor(open_time / 86400) * 86400 as open_time").distinct()
-    folders = (
-        with_part(days)
-        .groupBy("exchange", "interval")
-        .agg(F.expr("collect_set(part) as parts"))
-        .collect()
-    )
+    # First down to a row per day and bucket, then to folders.
+    days = rows.selectExpr("exchange", "interval", f"{_BUCKET} as bucket", "floor(open_time / 86400) * 86400 as open_time").distinct()
+    places = days.selectExpr("exchange", "interval", f"{part_of('interval', 'open_time')} * {BUCKETS} + bucket as place")
+    folders = places.groupBy("exchange", "interval").agg(F.expr("collect_set(place) as places")).collect()
     conditions = [
-        f"(exchange = {f.exchange!r} and interval = {f.interval!r} and part in ({', '.join(map(str, f.parts))}))"
+        f"(exchange = {f.exchange!r} and interval = {f.interval!r} and part * {BUCKETS} + bucket in ({', '.join(map(str, f.places))}))"
         for f in folders
     ]
     return " or ".join(conditions) or "false"
@@ -180,7 +220,7 @@ def upsert(
     """
     rows = staged(last_wins(incoming, order) if order else incoming.select(*KLINE_COLUMNS), "incoming")
     with writing(spark, root):
-        _write(_merged(scan(spark, root).where(touched(rows)), rows, partitions), root)
+        _write(_merged(_in_folders(spark, root).where(touched(rows)), rows, partitions), root)
 
 
 def _merged(stored: DataFrame, rows: DataFrame, partitions: int | None) -> DataFrame:
@@ -202,16 +242,69 @@ def snapshot(
         _write(_merged(scan(spark, root), rows, partitions), target)
 
 
-def write_status(spark: SparkSession, root: str, changes: DataFrame, partitions: int | None = None) -> None:
-    """Set the status of the keys in ``changes``; folders without a change stay untouched."""
-    set_status(spark, root, staged(changes, "changes"), partitions)
+def write_status(spark: SparkSession, root: str, changes: DataFrame) -> None:
+    """Set the status of the keys in ``changes`` (unique by key): appends them, no candle is read or written.
+
+    A status of a key that isn't stored does nothing. Of several changes of a key the last by the writer's clock counts.
+    """
+    rows = changes.select(*KEY, "status").repartitionByRange(*KEY).sortWithinPartitions(*KEY)
+    rows.write.parquet(f"{root}/status/batch={time.time_ns()}")
+
+
+def _status_batches(spark: SparkSession, root: str) -> list[str]:
+    return sorted(Files(spark, root).folders("status", 1))
 
 
-def set_status(spark: SparkSession, root: str, rows: DataFrame, partitions: int | None = None) -> None:
-    """``write_status`` of rows that are staged already."""
+def status_changes(spark: SparkSession, root: str) -> DataFrame | None:
+    """Statuses not folded yet, with the ``batch`` they came in; None if there is none."""
+    return _read_status(spark, root, _status_batches(spark, root))
+
+
+def _read_status(spark: SparkSession, root: str, batches: list[str]) -> DataFrame | None:
+    if not batches:
+        return None
+    return spark.read.schema(STATUS).option("basePath", f"{root}/status").parquet(*[f"{root}/{name}" for name in batches])
+
+
+def fold_status(spark: SparkSession, root: str, partitions: int | None = None) -> None:
+    """Move the changed statuses into the table; folders without a change stay untouched. What is appended meanwhile waits for
+    the next time, and after a crash the same fold gives the same table."""
+    batches = _status_batches(spark, root)
+    changes = _read_status(spark, root, batches)
+    if changes is None:
+        return
+    rows = staged(last_wins(changes, ["batch"]), "changes")
     with writing(spark, root):
-        stored = scan(spark, root).where(touched(rows))
+        stored = _in_folders(spark, root).where(touched(rows))
         _write(merge_status(stored, with_part(rows), STORED_KEY, lambda both: placed(both, partitions)), root)
+    for name in batches:
+        Files(spark, root).delete(name)
+
+
+def series_extents(spark: SparkSession, root: str, requests: DataFrame | None = None) -> DataFrame:
+    """Figures of every (requested) series in each folder; see ``profile``."""
+
+    def asked(rows: DataFrame) -> DataFrame:
+        if requests is None:
+            return rows
+        # Exchanges x intervals, 84 rows at most; other folders aren't read.
+        pairs = requests.select("exchange", "interval").dropna().distinct().collect()
+        inside = " or ".join(f"(exchange = {p.exchange!r} and interval = {p.interval!r})" for p in pairs) or "false"
+        return rows.where(inside).join(requests.select(*SERIES).distinct(), [*SERIES], "left_semi")
+
+    group = [*SERIES, *(c for c in PARTITION if c not in SERIES)]
+    kept = asked(spark.read.schema(EXTENT).parquet(_extents_path(root))).select(*group, *EXTENT_FIGURES)
+    changes = status_changes(spark, root)
+    if changes is None:
+        return kept
+    changed = with_part(asked(changes)).select(*group).distinct()
+    rows = _in_folders(spark, root).join(changed, group, "left_semi")
+    return kept.join(changed, group, "left_anti").unionByName(extents(_with_status(rows, asked(changes)), group))
+
+
+def profile(spark: SparkSession, root: str, requests: DataFrame | None = None) -> DataFrame:
+    """``series_profile`` of the table out of the kept extents. Only of series with changed statuses candles are read."""
+    return together(series_extents(spark, root, requests))
 
 
 # Live batches are appended to a log and merged in bulk, so that a few new
@@ -316,9 +409,13 @@ def with_meta_key(rows: DataFrame) -> DataFrame:
 
 
 def upsert_meta(spark: SparkSession, root: str, incoming: DataFrame) -> None:
-    """Merge metadata rows (unique by key)."""
-    merged = staged(merge_meta(meta(spark, root), incoming).select(*META_KEY, "data"), "meta")
-    merged.write.mode("overwrite").parquet(f"{root}/meta")
+    """Merge metadata rows (unique by key), as one write of the table."""
+    files = Files(spark, root)
+    with writing(spark, root):
+        files.delete("pending")
+        merge_meta(meta(spark, root), incoming).select(*META_KEY, "data").write.parquet(f"{root}/pending/meta")
+        files.claim("pending/READY")
+        _publish(files)
 
 
 def lookup_meta(requests: DataFrame, stored: DataFrame) -> DataFrame:

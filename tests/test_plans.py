@@ -61,7 +61,7 @@ def test_range_read_prunes(spark, root):
     scan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in scan
     filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters: \[(.*?)\]", scan)
-    for name in ("exchange", "interval", "part"):
+    for name in ("exchange", "interval", "part", "bucket"):
         assert name in filters[1]
     assert "EqualTo(symbol,CLICK/USD)" in filters[2]
 
@@ -205,11 +205,22 @@ def test_pool_is_cut_to_the_requests_first(spark, root):
     assert any("Window" in line for line in lines[:first]) and "bucket" in lines[first]
 
 
-def test_requests_read_their_folders_only(spark, root):
+def test_requests_read_no_candles(spark, root):
+    """Where every status is folded in, what is kept of a series comes from its extents, in the folders asked for."""
     history = CandleHistory(spark, root)
-    requests = history.candles("binance", interval="1h").select("exchange", "symbol", "interval").distinct().limit(1)
-    for found in (history.profile(requests), history.exists(requests)):
-        scans = [line for line in plan(found).splitlines() if "FileScan" in line and "PartitionFilters" in line]
+    requests = history.candles("binance", interval="1h").select("exchange", "symbol", "interval").distinct().limit(1).toPandas()
+    requests = spark.createDataFrame(requests)
+    for found in (history.profile(requests), history.exists(requests), history.first_listed(requests)):
+        assert found.inputFiles() and all("/extents/" in f for f in found.inputFiles())
+        scans = [line for line in plan(found).splitlines() if "FileScan" in line]
         assert any(re.search(r"PartitionFilters: \[.*exchange#\d+ = binance.*interval#\d+ = 1h", line) for line in scans), scans
     assert history.exists(requests).first().present
     assert history.profile(requests).first().n_candles > 0
+
+
+def test_a_changed_status_moves_no_price(spark, root, monkeypatch):
+    """Neither the write of statuses nor what is shuffled of them at a read holds a price."""
+    changes = checks.status_changes(checks.check(store.scan(spark, root)))
+    assert "open_price" not in plan(changes.select(*checks.KEY, "status").repartitionByRange("open_time"))
+    text = plan(store._with_status(store.scan(spark, root), changes.selectExpr("*", "0L as batch")).select("open_time", "status"))
+    assert "open_price" not in text

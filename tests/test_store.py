@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from candlewick import CandleHistory, store
+from candlewick.operators import profile as profiles
 from candlewick.operators.merge import last_wins, merge_klines
 from candlewick.schema import ERROR, KEY, KLINE_COLUMNS, OK, UNCHECKED
 
@@ -59,15 +60,107 @@ def test_upsert_rewrites_touched_folders_only(spark, history):
     history.upsert(frame(spark, minutes + hours + days))
     before = files(history)
     folders = {str(Path(f).parent.relative_to(history.root)) for f in before}
-    assert {f.split("interval=")[1] for f in folders} == {
+    assert {f.split("interval=")[1].rsplit("/", 1)[0] for f in folders} == {
         "1m/part=202312", "1m/part=202401", "1m/part=202402", "1h/part=2024", "1h/part=2025", "1d/part=0",
     }
     history.upsert(frame(spark, [candle(epoch(2024, 1, 5), interval="1m")]))
     kept = before & files(history)
-    assert {f.split("interval=")[1].rsplit("/", 1)[0] for f in before - kept} == {"1m/part=202401"}
+    assert {f.split("interval=")[1].rsplit("/", 2)[0] for f in before - kept} == {"1m/part=202401"}
     assert history.candles().count() == 8
 
 
+def test_a_daily_candle_rewrites_one_bucket(spark, history):
+    symbols = [f"S{n}/USD" for n in range(100)]
+    history.upsert(frame(spark, [candle(T, symbol=s, interval="1d") for s in symbols]))
+    before = files(history)
+    assert len({Path(f).parent for f in before}) == store.BUCKETS
+    history.upsert(frame(spark, [candle(T + 86400, symbol="S7/USD", interval="1d")]))
+    assert len({Path(f).parent for f in before - files(history)}) == 1
+    assert history.candles("binance", "S7/USD", "1d").count() == 2
+
+
+def statuses(history):
+    return {r.open_time: r.status for r in history.candles().collect()}
+
+
+def test_statuses_are_written_without_candles(spark, history):
+    times = [T + 3600 * n for n in range(4)]
+    history.upsert(frame(spark, [candle(t) for t in times]))
+    before = files(history)
+
+    def write(*changes):
+        store.write_status(spark, history.root, frame(spark, [candle(t, status=s) for t, s in changes]))
+
+    write((times[0], OK), (times[1], ERROR), (T - 3600, OK))
+    write((times[1], OK), (times[2], None))
+    want = {times[0]: OK, times[1]: OK, times[2]: None, times[3]: UNCHECKED}
+    assert statuses(history) == want and files(history) == before
+    columns = spark.read.parquet(str(next(Path(history.root, "status").rglob("*.parquet")))).columns
+    assert columns == [*KEY, "status"]
+    # An upsert keeps them, a fold moves them, and later ones win over folded ones.
+    history.upsert(frame(spark, [candle(t, volume="new") for t in times]))
+    assert statuses(history) == want
+    history.fold()
+    assert statuses(history) == want and not list(Path(history.root, "status").iterdir())
+    write((times[3], ERROR))
+    assert statuses(history) == want | {times[3]: ERROR}
+    history.fold()
+    history.fold()
+    assert statuses(history) == want | {times[3]: ERROR}
+
+
+def test_statuses_written_during_a_fold_wait(spark, history, monkeypatch):
+    history.upsert(frame(spark, [candle(T), candle(T + 3600)]))
+    store.write_status(spark, history.root, frame(spark, [candle(T, status=OK)]))
+    publish = store._publish
+
+    def late(moved):
+        store.write_status(spark, history.root, frame(spark, [candle(T, status=ERROR)]))
+        publish(moved)
+
+    monkeypatch.setattr(store, "_publish", late)
+    history.fold()
+    monkeypatch.undo()
+    assert statuses(history) == {T: ERROR, T + 3600: UNCHECKED}
+    history.fold()
+    assert statuses(history) == {T: ERROR, T + 3600: UNCHECKED}
+
+
+def test_a_fold_that_dies_is_done_again(spark, history, monkeypatch):
+    history.upsert(frame(spark, [candle(T), candle(T + 3600)]))
+    store.write_status(spark, history.root, frame(spark, [candle(T, status=OK)]))
+    delete = store.Files.delete
+    monkeypatch.setattr(store.Files, "delete", lambda self, name: 1 / 0 if name.startswith("status") else delete(self, name))
+    with pytest.raises(ZeroDivisionError):
+        history.fold()
+    monkeypatch.undo()
+    assert statuses(history) == {T: OK, T + 3600: UNCHECKED}
+    history.fold()
+    assert statuses(history) == {T: OK, T + 3600: UNCHECKED}
+
+
+def test_the_kept_profile_is_that_of_all_candles(spark, history):
+    def same():
+        kept = {tuple(r) for r in history.profile().collect()}
+        assert kept == {tuple(r) for r in profiles.series_profile(history.candles()).collect()}
+
+    same()
+    for seed in range(3):
+        rows = random_series(seed, 6, "1d") + random_series(seed + 10, 6, "1h", 30)
+        history.upsert(frame(spark, rows))
+        same()
+        some = frame(spark, [(*r[:11], OK if n % 2 else ERROR) for n, r in enumerate(rows) if n % 3 == seed])
+        store.write_status(spark, history.root, some)
+        same()
+        if seed == 1:
+            history.fold()
+            same()
+    asked = spark.createDataFrame([("binance", "S1/USD", "1d"), ("binance", "S1/USD", "1h"), ("okx", "none", "1d")], "exchange string, symbol string, interval string")
+    want = {(r.symbol, r.interval): r.n_candles for r in profiles.series_profile(history.candles("binance", "S1/USD")).collect()} | {("none", "1d"): 0}
+    assert {(r.symbol, r.interval): r.n_candles for r in history.profile(asked).collect()} == want
+    assert {r.symbol: r.present for r in history.exists(asked).collect()} == {"S1/USD": True, "none": False}
+
+
 def test_upsert_refuses_backward_candles(spark, history):
     with pytest.raises(Exception, match="closes before it opens"):
         history.upsert(frame(spark, [candle(T, T - 60)]))
@@ -296,10 +389,11 @@ def test_a_crash_while_folders_move_is_finished(spark, history, monkeypatch, aft
 def test_two_writers(spark, history):
     history.upsert(frame(spark, [candle(T, volume="1")]))
     with store.writing(spark, history.root):
-        for write in (lambda: history.upsert(frame(spark, [candle(T)])), lambda: history.check_and_store()):
+        store.write_status(spark, history.root, frame(spark, [candle(T, status=OK)]))
+        for write in (lambda: history.upsert(frame(spark, [candle(T)])), history.fold):
             with pytest.raises(store.BusyError):
                 write()
-    assert by_time(history) == {T: "1"}
+    assert by_time(history) == {T: "1"} and statuses(history) == {T: OK}
     history.upsert(frame(spark, [candle(T + 3600, volume="2")]))
     assert by_time(history) == {T: "1", T + 3600: "2"}
 

@@ -74,7 +74,9 @@ def accepted_from_pool(requests: DataFrame, pool: DataFrame, span: int = SPAN, r
     if reach is not None:
         within = f"{{}} < {{}} + {reach}"
         asked = requests.selectExpr(*SERIES, f"explode(sequence(floor(request_start / ({reach})), floor(request_start / ({reach})) + 1)) as bucket")
-        pool = pool.withColumn("bucket", F.expr(f"floor(open_time / ({reach}))")).join(asked.distinct(), [*SERIES, "bucket"], "left_semi").drop("bucket")
+        near = pool.withColumn("bucket", F.expr(f"floor(open_time / ({reach}))")).join(asked.distinct(), [*SERIES, "bucket"], "left_semi")
+        # Read three times below: the pool itself is read, and met with the requests, once.
+        pool = staged(near.select(*KLINE_COLUMNS), "pool")
     heads = check(pool, span=span).selectExpr(
         *SERIES,
         "open_time",

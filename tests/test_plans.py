@@ -195,14 +195,15 @@ def test_copies_of_one_key_are_reduced_before_the_shuffle(spark, one_series):
     assert row.close_time == 1500003600 + 47_999 * 3600
 
 
-def test_pool_is_cut_to_the_requests_first(spark, root):
-    """Whatever is windowed has met the requests' buckets before."""
+def test_pool_is_read_once(spark, root, monkeypatch):
+    """The pool is cut to the requests' buckets before anything is windowed, and written; the store isn't read again."""
     pool = store.scan(spark, root)
-    requests = repair.repair_requests(checks.errors(checks.check(pool)))
-    text = plan(repair.accepted_from_pool(requests, pool))
-    lines = [re.sub(r"^[ :+\-]*", "", line) for line in text.splitlines()]
-    first = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
-    assert any("Window" in line for line in lines[:first]) and "bucket" in lines[first]
+    requests = repair.repair_requests(checks.errors(checks.check(pool))).where("exchange = 'okx'")
+    written, staged = {}, repair.staged
+    monkeypatch.setattr(repair, "staged", lambda rows, label: written.setdefault(label, staged(rows, label)))
+    found = repair.accepted_from_pool(requests, pool)
+    assert sorted(written) == ["accepted", "pool"] and not any("/klines/" in f for f in found.inputFiles())
+    assert 0 < written["pool"].count() < pool.count() and {r.exchange for r in written["pool"].select("exchange").distinct().collect()} == {"okx"}
 
 
 def test_requests_read_no_candles(spark, root):

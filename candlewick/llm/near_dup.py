@@ -14,8 +14,8 @@ number of its shingles and of those darts, not their product.
 ``BANDS`` bands of ``ROWS`` coordinates are compared: a pair of likeness 0.8 shares one with probability 0.9999. Equal texts are one
 node from the start. A band's texts aren't paired with each other: each meets the band's leader only, pairs are checked
 by their exact likeness, and checked links are put together to classes. What a band then still holds of other classes than
-its leader's is settled by all pairs across classes: pair by pair if the band has at most ``SMALL`` texts, else by an exact join of
-the texts of all larger bands with the same leader. These are cut into parts of about ``PART`` shingles, and each two parts meet
+its leader's is settled by an exact join of the texts of all bands with the same leader. Groups of up to ``PART`` shingles are put
+together to tasks of about as many; larger ones are cut into parts of as many, and each two parts meet
 in one task, except two of the group's biggest class, whose texts are linked already. In the task pairs that share no
 shingle among their rarest, or whose sizes differ too much, can't be alike; all others across classes are checked in full,
 but those that a link found before has put in one class.
@@ -39,8 +39,6 @@ from candlewick.session import staged
 
 WORDS, LIKE = 5, 0.8
 BANDS, ROWS = 25, 5
-#: Texts of a band whose pairs across classes are all tried.
-SMALL = 100
 #: Shingles of a part of a larger group, a text counting as ``TEXT`` more.
 PART, TEXT = 1 << 20, 100
 #: Shingles that are compared with those of a text at once.
@@ -171,15 +169,14 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _mixed(placed: DataFrame) -> DataFrame:
-    """Bands that hold texts of several classes, with their number of texts and their leader. Texts rank alike in all bands, so that
+    """Bands that hold texts of several classes, with their leader. Texts rank alike in all bands, so that
     equal groups have one leader."""
     bands = placed.groupBy("band").agg(
-        F.count("*").alias("n"),
         F.min(F.struct(F.xxhash64("node").alias("turn"), "node", "root")).alias("leader"),
         F.min("root").alias("least"),
         F.max("root").alias("most"),
     )
-    return placed.join(bands.where("least != most").select("band", "n", "leader"), "band")
+    return placed.join(bands.where("least != most").select("band", "leader"), "band")
 
 
 def _led(mixed: DataFrame) -> DataFrame:
@@ -188,13 +185,6 @@ def _led(mixed: DataFrame) -> DataFrame:
     return led.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
 
 
-def _crossed(mixed: DataFrame) -> DataFrame:
-    """All pairs across classes of bands of at most ``SMALL`` texts."""
-    few = mixed.where(f"n <= {SMALL}")
-    one = lambda side: few.select("band", F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-    return one("a").join(one("b"), "band").where("a < b and root_a != root_b").select("a", "b").distinct()
-
-
 def _elements(cells: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Text and element of each shingle, in the order of texts: the k-th occurrence of a shingle is an element of its own."""
     sets = [np.frombuffer(cell.as_buffer(), np.uint32) for cell in cells]
@@ -250,17 +240,33 @@ def across(cells: pa.Array, label: np.ndarray, here: np.ndarray, like: float) ->
 
 
 def _grouped(mixed: DataFrame, sets: DataFrame, like: float) -> DataFrame:
-    """Links (a, b) that join the classes of bands of more than ``SMALL`` texts as all links between their texts would."""
-    texts = mixed.where(f"n > {SMALL}").select(F.col("leader.node").alias("leader"), "node", "root").distinct()
+    """Links (a, b) that join the classes of each band as all links between its texts would."""
+    texts = mixed.select(F.col("leader.node").alias("leader"), "node", "root").distinct()
     texts = staged(texts.join(sets.select("node", (F.length("shingles") / 4 + TEXT).alias("weight")), "node"), "groups")
     per_class = texts.groupBy("leader", "root").agg(F.sum("weight").alias("weight"))
     groups = per_class.groupBy("leader").agg(F.max(F.struct("weight", "root")).alias("most"), F.sum("weight").alias("weight"))
     parts = lambda weight: F.greatest(F.lit(1), F.ceil(weight / PART)).cast("int")
-    groups = groups.select("leader", F.col("most.root").alias("biggest"), parts(F.col("most.weight")).alias("n_big"), parts(F.col("weight") - F.col("most.weight")).alias("n_rest"))
+    light = F.col("weight") <= PART
+    bins = int((groups.where(light).agg(F.sum("weight")).first()[0] or 0) // PART) + 1
+    groups = groups.select(
+        "leader",
+        F.col("most.root").alias("biggest"),
+        parts(F.col("most.weight")).alias("n_big"),
+        parts(F.col("weight") - F.col("most.weight")).alias("n_rest"),
+        F.when(light, F.pmod(F.xxhash64("leader"), F.lit(bins)).cast("int")).alias("bin"),
+    )
     big, turn = F.expr("root = biggest"), F.xxhash64("node")
     part = F.when(big, F.pmod(turn, F.col("n_big"))).otherwise(F.col("n_big") + F.pmod(turn, F.col("n_rest"))).cast("int")
     other = F.sequence(F.when(big, F.col("n_big")).otherwise(F.lit(0)), F.col("n_big") + F.col("n_rest") - 1)
-    dealt = texts.join(groups, "leader").select("leader", "node", "root", part.alias("part"), other.alias("others"))
+    together = F.col("bin").isNotNull()
+    dealt = texts.join(groups, "leader").select(
+        F.when(~together, F.col("leader")).alias("leader"),
+        "node",
+        "root",
+        F.when(together, F.col("bin")).otherwise(part).alias("part"),
+        F.when(together, F.array("bin")).otherwise(other).alias("others"),
+    )
+    dealt = dealt.distinct()
     dealt = dealt.join(sets, "node").select("leader", "node", "root", "part", "shingles", F.explode("others").alias("other"))
     dealt = dealt.select("leader", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "node", "root", "shingles")
 
@@ -284,9 +290,7 @@ def links(docs: DataFrame, entries: DataFrame, like: float) -> DataFrame:
     roots = components(tried.where(F.col("likeness") >= like))
     placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = staged(_mixed(placed), "mixed")
-    pairs = _crossed(mixed).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    found = _checked(pairs, sets).where(F.col("likeness") >= like).select("a", "b").unionByName(_grouped(mixed, sets, like))
-    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(_grouped(mixed, sets, like)))
 
 
 def classes(docs: DataFrame, like: float = LIKE) -> DataFrame:

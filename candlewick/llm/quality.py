@@ -134,6 +134,16 @@ def _learner(state):
     return learn
 
 
+_STATE = "z binary, n binary, size long"
+
+
+def _averaged(rows: pd.DataFrame) -> pd.DataFrame:
+    """The states of all groups put together, each by its share of the examples."""
+    rows = rows.sort_values(["size", "z"])
+    mean = {c: sum(size / rows["size"].sum() * np.frombuffer(state) for size, state in zip(rows["size"], rows[c], strict=True)) for c in ("z", "n")}
+    return pd.DataFrame({"z": [mean["z"].tobytes()], "n": [mean["n"].tobytes()], "size": [rows["size"].sum()]})
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learnt: crc32 of the id as text is 2 modulo 4."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -154,12 +164,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     groups = examples.groupBy(F.pmod("turn", F.lit(WORKERS)).alias("worker"))
     for _ in range(ROUNDS):
         state = docs.sparkSession.sparkContext.broadcast((z, n))
-        found = groups.applyInPandas(_learner(state), "z binary, n binary, size long").collect()
-        if not found:
+        # ``WORKERS`` rows are averaged in one task; the driver gets one.
+        learnt = groups.applyInPandas(_learner(state), _STATE).groupBy().applyInPandas(_averaged, _STATE).first()
+        state.destroy()
+        if learnt is None:
             break
-        share = np.array([r["size"] for r in found], float) / sum(r["size"] for r in found)
-        z = sum(s * np.frombuffer(r["z"]) for s, r in zip(share, found, strict=True))
-        n = sum(s * np.frombuffer(r["n"]) for s, r in zip(share, found, strict=True))
+        z, n = np.frombuffer(learnt["z"]), np.frombuffer(learnt["n"])
     return weights_of(z, n)
 
 

@@ -65,7 +65,7 @@ class TokenCounts:
         """Write a batch of changes; False if it is there already."""
         if not batch or "/" in batch or batch[0] in "._":
             raise ValueError(f"not a batch name: {batch!r}")
-        if batch in self._committed("batches") or batch in self._folded():
+        if batch in self._committed("batches") or batch in self._folded(self._base()):
             return False
         self._summed(changes).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/batches/{batch}")
         return True
@@ -79,24 +79,30 @@ class TokenCounts:
         """The last base; names sort in the order of folding."""
         return next(reversed(self._committed("bases")), None)
 
-    def _folded(self) -> set[str]:
-        base = self._base()
+    def _folded(self, base: str | None) -> set[str]:
+        """The batches that are in a base."""
         if base is None:
             return set()
         return {r[0] for r in self.spark.read.schema("batch string").parquet(f"{self.folder}/folded/{base}").collect()}
 
-    def totals(self) -> DataFrame:
-        """source, lang, tokenizer, documents and tokens."""
-        base, folded = self._base(), self._folded()
-        paths = [f"{self.folder}/batches/{b}" for b in self._committed("batches") if b not in folded]
-        paths += [f"{self.folder}/bases/{base}"] if base else []
+    def _added(self, base: str | None, batches: list[str]) -> DataFrame:
+        """The totals of a base and of batches that aren't in it."""
+        paths = [f"{self.folder}/batches/{b}" for b in batches] + ([f"{self.folder}/bases/{base}"] if base else [])
         rows = self.spark.read.schema(_DELTA).parquet(*paths) if paths else self.spark.createDataFrame([], _DELTA)
         return self._summed(rows).where("documents != 0 or tokens != 0")
 
+    def totals(self) -> DataFrame:
+        """source, lang, tokenizer, documents and tokens."""
+        base = self._base()
+        folded = self._folded(base)
+        return self._added(base, [b for b in self._committed("batches") if b not in folded])
+
     def fold(self) -> None:
-        """Put all committed batches into a new base. Names of batches are kept with it, so that none counts twice."""
-        names = sorted(self._folded() | set(self._committed("batches")))
+        """Put all committed batches into a new base. Names of batches are kept with it, so that none counts twice: the base is made of
+        the batches named, and one committed meanwhile is left for the next."""
         last = self._base()
+        folded = self._folded(last)
+        fresh = [b for b in self._committed("batches") if b not in folded]
         name = f"{int(last.split('-')[0]) + 1 if last else 0:08d}-{uuid.uuid4().hex[:8]}"
-        self.spark.createDataFrame([(n,) for n in names], "batch string").coalesce(1).write.parquet(f"{self.folder}/folded/{name}")
-        self.totals().coalesce(1).write.parquet(f"{self.folder}/bases/{name}")
+        self.spark.createDataFrame([(n,) for n in sorted(folded.union(fresh))], "batch string").coalesce(1).write.parquet(f"{self.folder}/folded/{name}")
+        self._added(last, fresh).coalesce(1).write.parquet(f"{self.folder}/bases/{name}")

@@ -53,6 +53,24 @@ def test_a_failed_batch_is_written_anew(spark, tmp_path):
     assert totals(store) == {("a", "en", "v"): (1, 5)}
 
 
+def test_a_commit_during_a_fold_counts_once(spark, tmp_path, monkeypatch):
+    store = TokenCounts(spark, str(tmp_path))
+    frame = spark.createDataFrame([("a", "en", 5, 0)], COUNTS)
+    store.commit("one", signed(frame, 1, "v", "n"))
+    added = store._added
+
+    def late(base, batches):
+        monkeypatch.undo()
+        store.commit("two", signed(frame, 1, "v", "n"))
+        return added(base, batches)
+
+    monkeypatch.setattr(store, "_added", late)
+    store.fold()
+    assert totals(store) == {("a", "en", "v"): (2, 10)}
+    store.fold()
+    assert totals(store) == {("a", "en", "v"): (2, 10)}
+
+
 def test_empty_null_and_names(spark, tmp_path):
     store = TokenCounts(spark, str(tmp_path))
     assert totals(store) == {}

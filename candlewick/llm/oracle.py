@@ -93,9 +93,60 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0) WHERE rank <= 10
 """
 
+_WORDS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+_LEAKS = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS passage
+    FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM items WHERE len(w) > 0)
+), places AS (
+    SELECT d, n, p, array_to_string(w[p:p + n - 1], ' ') AS passage
+    FROM (SELECT d, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM docs, (SELECT DISTINCT n FROM windows))
+), found AS (SELECT DISTINCT d, n, p, item FROM places JOIN windows USING (n, passage)),
+hit AS (SELECT d, count(DISTINCT place) AS n_hit FROM (SELECT DISTINCT d, unnest(range(p, p + n)) AS place FROM found) GROUP BY d),
+held AS (
+    SELECT d, count(*) AS n_items, array_to_string(list(item ORDER BY item), ',') AS items
+    FROM (SELECT DISTINCT d, item FROM found WHERE item IS NOT NULL) GROUP BY d
+), words AS (SELECT d, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs),
+often AS (SELECT word, count(*) AS n FROM words GROUP BY word),
+rarest AS (
+    SELECT passage, arg_min(word, (coalesce(often.n, 0), p)) AS word
+    FROM (SELECT passage, unnest(string_split(passage, ' ')) AS word, unnest(range(1, n + 1)) AS p FROM (SELECT DISTINCT passage, n FROM windows))
+    LEFT JOIN often USING (word) GROUP BY passage
+), close AS (
+    SELECT d, count(DISTINCT item) AS n_near_items FROM windows JOIN rarest USING (passage) JOIN words USING (word) JOIN docs USING (d)
+    WHERE list_has_all(w[greatest(p - 15, 1):p + 15], string_split(passage, ' ')) GROUP BY d
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0) AS n_near_items
+FROM docs LEFT JOIN hit USING (d) LEFT JOIN held USING (d) LEFT JOIN close USING (d)
+"""
+
+_REPEATS = r"""
+WITH docs AS (
+    SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS d, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT d, p, row_number() OVER (PARTITION BY array_to_string(w[p:p + 19], ' ') ORDER BY d, p) > 1 AS again
+    FROM (SELECT d, w, unnest(range(1, len(w) - 18)) AS p FROM docs)
+), marked AS (
+    SELECT d, p, word, coalesce(bool_or(again) OVER (PARTITION BY d ORDER BY p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone
+    FROM (SELECT d, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs) LEFT JOIN windows USING (d, p)
+), kept AS (
+    SELECT d, count(*) AS n, count(*) FILTER (gone) AS n_removed, array_to_string(list(word ORDER BY p) FILTER (NOT gone), ' ') AS text FROM marked GROUP BY d
+)
+SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (d)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": _URLS,
+    "op2_benchmark_index": _LEAKS,
     "op7_token_deltas": _TOKENS,
+    "op8_suffix_trees": _REPEATS,
     "op12_hadamard_clusters": _CLUSTERS,
     "op13_ranked_search": _RANKED,
 }

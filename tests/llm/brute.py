@@ -90,6 +90,12 @@ def hits(texts, items, width=10):
     return out
 
 
+def twins(size=1024):
+    """Two different words on which sums of powers modulo 2^64 agree for any odd base: an order of two letters, and its complement."""
+    ones = [bin(n).count("1") % 2 for n in range(size)]
+    return "".join("ab"[n] for n in ones), "".join("ba"[n] for n in ones)
+
+
 def weighted_likeness(a, b):
     both = sum((a | b).values())
     return sum((a & b).values()) / both if both else 1.0

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from brute import BASE, DOCS, TEXTS, documents, hits, small_words
+from brute import BASE, DOCS, TEXTS, documents, hits, small_words, twins
 
 from candlewick.llm import decontaminate
 
@@ -63,3 +63,10 @@ def test_index_holds_every_posting(spark, tmp_path):
     assert index.where("kind = 0").selectExpr("sum(n)").first()[0] == sum(len(small_words(t)) for _, t in TEXTS)
     assert index.where("kind = 1").count() == len(TEXTS)
     assert "text" in DOCS
+
+
+def test_words_that_are_built_to_collide(spark):
+    one, other = twins()
+    passage = " ".join(f"w{n}" for n in range(9))
+    texts, items = [(1, f"{passage} {one}"), (2, f"{passage} {other}")], [(1, f"{passage} {one}")]
+    assert found(spark, texts, items) == wanted(texts, items) == [(1, 10, list(range(10)), ["1"]), (2, 10, [], [])]

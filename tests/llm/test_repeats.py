@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import TEXTS, documents, ink_words, repeated, sha
+from brute import TEXTS, documents, ink_words, repeated, sha, twins
 
 from candlewick.llm import repeats, substring_dedup, suffix_dedup
 
@@ -105,3 +105,10 @@ def test_deep_nodes():
     assert label[0] == label[2] != label[1]
     label = substring_dedup.deep_nodes(raw, np.array([0, 8]), np.array([0, 1]), 4)
     assert label[0] != label[1]
+
+
+def test_words_that_are_built_to_collide(spark):
+    common = " ".join(f"w{n}" for n in range(19))
+    texts = [(n, f"{common} {word} tail {n}") for n, word in enumerate(twins())]
+    assert by_words(spark, texts) == plain_words(texts)
+    assert sum(n for _, _, n, _ in plain_words(texts)) == 0

@@ -2,13 +2,15 @@
 
 Shard i of the old layout is shard i of the new one; bytes that stay cost nothing, bytes that change shard cost one each.
 The flow runs over shards, not documents: Spark adds up the bytes of each old shard, the driver solves a network with one
-node per old and new shard, and the documents follow from the flow:
+node per old and new shard, whose arcs say how many bytes each old shard hands to each new one, and the documents follow from the arcs:
 
-* Documents of more than 1 / ``FINE`` of a new shard are too coarse to cut at will. There are at most ``FINE`` times
-  as many as new shards; they are placed first, each in its own shard while that has room, else where most room is.
-* All others lie on one line per old shard, in the order of (block, hash), and the flow cuts the line: a document goes
-  where its middle lies. A block is some documents of one old shard by hash of the id; lines are added up per block first,
-  so no task orders a whole shard, however large.
+* Documents of more than 1 / ``FINE`` of a new shard are too coarse to cut at will. There are at most ``FINE`` times as many as new
+  shards. Per old shard, the largest first, each goes into the arc with the least room that still holds it.
+* What fits in no arc is larger than all that is left of each, and what is left of all arcs is as much as the documents left, so there are
+  fewer of them than arcs. Only these reach the driver, which puts each where most room is.
+* All others lie on one line per old shard, in the order of (block, hash), and what is left of the flow, settled anew for the few
+  above, cuts the line: a document goes where its middle lies. A block is some documents of one old shard by hash of the id;
+  lines are added up per block first, so no task orders a whole shard, however large.
 
 Sizes of new shards then differ from their capacity by a few documents of that small size at most, unless a single
 document is larger than a shard. ``rewrite`` writes the new files of the shards that change, and of no others.
@@ -23,6 +25,7 @@ from __future__ import annotations
 import heapq
 from collections import defaultdict
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -101,33 +104,31 @@ def sized(docs: DataFrame, old_shard) -> DataFrame:
 
 
 def plan(docs: DataFrame, old_shard, shards: int) -> tuple[DataFrame, dict[tuple[int, int], int]]:
-    """The new layout (doc_id, size, text_crc32, old, shard, slot) and the bytes that small documents move between shards."""
+    """The new layout (doc_id, size, text_crc32, old, shard, slot) and the flow: bytes from each old to each new shard."""
     spark = docs.sparkSession
     rows = staged(sized(docs, old_shard), "sizes")
-    n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    sums = {r["old"]: (r["n"], r["bytes"]) for r in rows.groupBy("old").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).collect()}
+    n, total = sum(n for n, _ in sums.values()), sum(size for _, size in sums.values())
+    flow = least_moves({i: size for i, (_, size) in sums.items()}, dict(enumerate(level(total, [0] * shards))))
     coarse = max(1, total // (shards * FINE))
-    placed = _coarse(rows.where(F.col("size") > coarse), total, shards)
-    taken = [0] * shards
-    for *_, size, _, shard in placed:
-        taken[shard] += size
+    whole, taken = _coarse(rows.where(F.col("size") > coarse), flow, total, shards)
     blocks = max(1, -(-n // BLOCK_ROWS))
     fine = rows.where(F.col("size") <= coarse).withColumn("block", F.pmod("turn", F.lit(blocks)).cast("int"))
     sums = fine.groupBy("old", "block").agg(F.sum("size").alias("bytes"))
     old = {r["old"]: r["bytes"] for r in sums.groupBy("old").agg(F.sum("bytes").alias("bytes")).collect()}
-    flow = least_moves(old, dict(enumerate(level(sum(old.values()), taken))))
+    left = least_moves(old, dict(enumerate(level(sum(old.values()), taken))))
 
     line = Window.partitionBy("old").orderBy("block")  # a row for each block
     begins = sums.select("old", "block", (F.sum("bytes").over(line) - F.col("bytes")).alias("begin"))
     within = Window.partitionBy("old", "block").orderBy("turn", "doc_id", "size", "text_crc32")
     ordered = fine.withColumn("before", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    cuts = _cuts(spark, flow)
+    cuts = _cuts(spark, left)
     middle = F.col("begin") + F.col("before") + F.expr("size div 2")
     laid = (
         ordered.join(begins, ["old", "block"])
         .join(F.broadcast(cuts), "old")
         .select("doc_id", "size", "text_crc32", "old", "turn", "block", F.element_at("shards", _count(F.col("ends"), middle) + 1).alias("shard"))
     )
-    whole = _apart(rows.where(F.col("size") > coarse), placed)
     return _slots(laid.unionByName(whole)), flow
 
 
@@ -145,30 +146,46 @@ def _cuts(spark: SparkSession, flow: dict[tuple[int, int], int]) -> DataFrame:
     return spark.createDataFrame(rows, "old int, ends array<long>, shards array<int>")
 
 
-#: What tells coarse documents apart; ``copy`` numbers repeated rows.
-_KEY = ["turn", "text_crc32", "old", "size", "copy"]
+_WHOLE = "doc_id long, size long, text_crc32 long, old int, turn long, shard int, rest int"
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("copy", F.row_number().over(Window.partitionBy("turn", "text_crc32", "old", "size").orderBy("doc_id")))
+def _fitter(flow: dict[tuple[int, int], int]):
+    """Coarse documents of one old shard, the largest first, each in the arc with the least room that holds it; the others, numbered
+    by ``rest``, in none (shard -1)."""
 
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["size", "turn", "text_crc32"], ascending=[False, True, True], ignore_index=True)
+        left = {j: amount for (i, j), amount in flow.items() if i == rows["old"].iloc[0]}
+        found = []
+        for size in rows["size"].tolist():
+            shard = min((j for j in left if left[j] >= size), key=lambda j: (left[j], j), default=-1)
+            if shard >= 0:
+                left[shard] -= size
+            found.append(shard)
+        rows["shard"] = found
+        rows["rest"] = (rows["shard"] < 0).cumsum()
+        return rows
 
-def _coarse(rows: DataFrame, total: int, shards: int) -> list[tuple]:
-    """Key and shard of each coarse document, the largest first. There are fewer than ``shards`` * ``FINE``."""
-    most, taken, out = -(-total // shards), [0] * shards, []
-    for r in _numbered(rows).select(*_KEY).orderBy(F.desc("size"), *_KEY).collect():
-        home = r["old"]
-        if not (0 <= home < shards and taken[home] + r["size"] <= most):
-            home = min(range(shards), key=lambda j: (taken[j], j))
-        taken[home] += r["size"]
-        out.append((*r, home))
-    return out
+    return fit
 
 
-def _apart(rows: DataFrame, placed: list[tuple]) -> DataFrame:
-    table = rows.sparkSession.createDataFrame(placed, "turn long, text_crc32 long, old int, size long, copy int, shard int")
-    joined = _numbered(rows).join(F.broadcast(table), _KEY)
-    return joined.select("doc_id", "size", "text_crc32", "old", "turn", F.lit(-1).alias("block"), "shard")
+def _coarse(rows: DataFrame, flow: dict[tuple[int, int], int], total: int, shards: int) -> tuple[DataFrame, list[int]]:
+    """Coarse documents with their shards, and the bytes of them in each shard."""
+    fitted = staged(rows.groupBy("old").applyInPandas(_fitter(flow), _WHOLE), "coarse")
+    taken = [0] * shards
+    for r in fitted.where("shard >= 0").groupBy("shard").agg(F.sum("size").alias("bytes")).collect():
+        taken[r["shard"]] = r["bytes"]
+    most, placed = -(-total // shards), []
+    unfit = fitted.where("shard < 0").select("size", "old", "rest").collect()  # fewer than arcs
+    for size, old, rest in sorted(unfit, key=lambda r: (-r["size"], r["old"], r["rest"])):
+        at_home = 0 <= old < shards and taken[old] + size <= most
+        shard = old if at_home else min(range(shards), key=lambda j: (taken[j], j))
+        taken[shard] += size
+        placed.append((old, rest, shard))
+    table = rows.sparkSession.createDataFrame(placed, "old int, rest int, put int")
+    own = F.when(F.col("shard") < 0, F.col("rest"))
+    joined = fitted.withColumn("rest", own).join(F.broadcast(table), ["old", "rest"], "left")
+    return joined.select("doc_id", "size", "text_crc32", "old", "turn", F.lit(-1).alias("block"), F.coalesce("put", "shard").alias("shard")), taken
 
 
 def _slots(laid: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import pandas as pd
 import pytest
 from brute import TEXTS, documents
 from pyspark.sql import functions as F
@@ -96,3 +97,32 @@ def test_rewrite(spark, tmp_path):
     same, _ = reshard.plan(docs, F.col("doc_id") % 2, 2)
     settled = same.select("doc_id", "size", "text_crc32", F.col("shard").alias("old"), "shard", "slot")
     assert reshard.rewrite(docs, settled, str(tmp_path / "none")) == []
+
+
+def test_whole_table_moves_as_little_as_it_can(spark):
+    """Beside the floor that the sums of the old shards set, most documents being large ones here."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    layout, flow = reshard.plan(docs, F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(32)), 40)
+    rows = layout.collect()
+    check_slots(rows)
+    sizes, before, moved = [0] * 40, defaultdict(int), 0
+    for r in rows:
+        sizes[r.shard] += r.size
+        before[r.old] += r.size
+        moved += r.size * (r.old != r.shard)
+    floor = sum(max(0, size - sum(sizes) / 40) for size in before.values())
+    assert abs(sum(n for (i, j), n in flow.items() if i != j) - floor) <= 40
+    assert moved - floor <= 0.005 * floor
+    assert max(sizes) - min(sizes) <= 0.01 * max(sizes)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fewer_are_left_than_arcs(seed):
+    draw = random.Random(seed)
+    rows = pd.DataFrame({"size": [draw.randrange(1, 90) for _ in range(80)], "turn": range(80), "text_crc32": 0, "old": 3})
+    cuts = sorted(draw.sample(range(1, int(rows["size"].sum())), 6)) + [int(rows["size"].sum())]
+    amounts = [b - a for a, b in zip([0, *cuts], cuts)]
+    placed = reshard._fitter({(3, j): n for j, n in enumerate(amounts)} | {(4, 9): 1 << 40})(rows)
+    assert (placed["shard"] < 0).sum() < len(amounts) == 7
+    assert all(placed.loc[placed["shard"] == j, "size"].sum() <= n for j, n in enumerate(amounts))
+    assert sorted(placed.loc[placed["shard"] < 0, "rest"]) == list(range(1, (placed["shard"] < 0).sum() + 1))

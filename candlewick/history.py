@@ -120,17 +120,26 @@ class CandleHistory:
         self, exchange: str, symbol: str, interval: str, work, schema: str, segment: int = streams.SEGMENT, overlap: int = 0, **limits
     ) -> DataFrame:
         """Run pandas ``work`` on the streams of a series, segment by segment; see ``operators.streams``. ``limits`` as in ``read``."""
+        return streams.map_streams(self._named(exchange, symbol, interval, **limits), work, schema, segment, overlap)
+
+    def _named(self, exchange: str, symbol: str, interval: str, **limits) -> DataFrame:
+        """The streams of a series with the columns that name it."""
         found = self.read(exchange, symbol, interval, result="streams", **limits)
-        named = found.selectExpr(
-            *(f"'{value}' as {name}" for name, value in zip(SERIES, (exchange, self.trading_type, symbol, interval)) if name not in found.columns), "*"
-        )
-        return streams.map_streams(named, work, schema, segment, overlap)
+        series = zip(SERIES, (exchange, self.trading_type, symbol, interval))
+        return found.selectExpr(*(f"'{value}' as {name}" for name, value in series if name not in found.columns), "*")
+
+    def map_whole_streams(self, exchange: str, symbol: str, interval: str, work, schema: str, **limits) -> DataFrame:
+        """Run Arrow ``work`` on each whole stream of a series, batch by batch in time order; see ``operators.streams``. ``limits`` as in ``read``."""
+        return streams.map_whole_streams(self._named(exchange, symbol, interval, **limits), work, schema)
 
     # Live
 
-    def follow(self, elements: DataFrame, checkpoint: str, feed: str = store.FEED, merge_every: int = 0, **trigger) -> StreamingQuery:
-        """Log the closed candles of a streaming feed as they come; ``read(feed=...)`` sees them, ``merge_live`` merges them."""
-        return live_stream.refresh(elements, self.root, checkpoint, merge_every, feed=feed, **trigger)
+    def follow(
+        self, elements: DataFrame, checkpoint: str, feed: str = store.FEED, merge_every: int = 0, repeats: str | None = None, **trigger
+    ) -> StreamingQuery:
+        """Log the closed candles of a streaming feed as they come; ``read(feed=...)`` sees them, ``merge_live`` merges them.
+        Elements delivered again within ``repeats`` (say "1 hour") are logged once."""
+        return live_stream.refresh(elements, self.root, checkpoint, merge_every, feed=feed, repeats=repeats, **trigger)
 
     def merge_live(self, feed: str = store.FEED) -> int:
         """Merge what the log of a feed holds by now; returns the last batch merged, -1 if there is none."""

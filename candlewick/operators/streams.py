@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,6 +94,35 @@ def map_streams(
     return rows.groupBy(*SERIES, "stream_no", "segment_no").applyInPandas(ordered, schema)
 
 
+def map_whole_streams(streams: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Run ``work`` on each whole stream, handed over in time order as an iterator of Arrow batches.
+
+    For values that depend on all of a stream before them: ``work`` is a generator that carries what it needs from batch to batch and
+    yields its rows as it goes. A stream is one after the other by nature, so it is one task's, but never in its memory: what is held is a
+    batch (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows) and what ``work`` keeps. The sort that puts the streams
+    together is that of their candles as well, and spills.
+    """
+
+    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = -math.inf
+        for batch in batches:
+            times = batch.column("open_time").to_numpy()
+            if len(times) and (times[0] < last or (times[1:] < times[:-1]).any()):
+                raise ValueError("candles of a stream are not in time order")
+            last = times[-1] if len(times) else last
+            yield batch.select(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(in_order(batches))
+
+    columns = streams.columns
+    run.__annotations__ = {"batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
+    # One key: constant columns, which a sort by several leaves out, would make grouping sort again, by the keys alone.
+    rows = streams.withColumn("_stream", F.struct(*SERIES, "stream_no"))
+    rows = rows.repartition("_stream").sortWithinPartitions("_stream", "open_time")
+    return rows.groupBy("_stream").applyInArrow(run, schema)
+
+
 def nested_streams(streams: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """Streams as arrays of candles in time order, one row per stream and segment."""
     inner = [c for c in streams.columns if c not in (*SERIES, "stream_no", "open_time")]

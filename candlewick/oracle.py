@@ -138,6 +138,9 @@ ORACLE["consistent_streams"] = _with(_HISTORY, _DENTED, _checked("dented"), _VER
 ORACLE["stream_windows"] = _with(f"history AS ({_events('binance')})", _DENTED, _checked("dented"), _VERDICT, _streams("verdict")) + f"""
 SELECT {KEY}, stream_no, max(close_price::DOUBLE) OVER (PARTITION BY {SERIES}, stream_no ORDER BY open_time ROWS 2 PRECEDING) AS highest
 FROM streams WHERE ok"""
+ORACLE["stream_running_high"] = _with(f"history AS ({_events('binance')})", _DENTED, _checked("dented"), _VERDICT, _streams("verdict")) + f"""
+SELECT {KEY}, stream_no, max(close_price::DOUBLE) OVER whole AS highest, row_number() OVER whole AS candle_no
+FROM streams WHERE ok WINDOW whole AS (PARTITION BY {SERIES}, stream_no ORDER BY open_time)"""
 ORACLE["streams_in_range"] = (
     _with(
         _HISTORY,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -158,6 +161,28 @@ def stream_windows(spark, sf):
     return streams.map_streams(streams.consistent_streams(checked), _highest_of_three, schema, segment=20_000, overlap=7200)
 
 
+def _highest_so_far(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The highest price of the stream up to each candle, and how many candles that is."""
+    highest, seen = -math.inf, 0
+    for batch in batches:
+        prices = batch.column("close_price").cast(pa.float64()).to_numpy()
+        top = np.maximum(np.maximum.accumulate(prices), highest)
+        own = [batch.column(c) for c in (*KEY, "stream_no")]
+        yield pa.RecordBatch.from_arrays(
+            [*own, pa.array(top), pa.array(np.arange(seen + 1, seen + len(top) + 1))], names=[*KEY, "stream_no", "highest", "candle_no"]
+        )
+        highest, seen = float(top[-1]), seen + len(top)
+
+
+@query
+def stream_running_high(spark, sf):
+    """A value that depends on the whole stream before each hourly candle, worked out batch by batch."""
+    checked = checks.with_verdict(checks.check(fx.dented(fx.event_candles(spark, sf, "1h", "binance"))), keep_chunk=True)
+    schema = ", ".join(f"{c} {'long' if c == 'open_time' else 'string'}" for c in KEY) + ", stream_no long, highest double, candle_no long"
+    narrow = streams.consistent_streams(checked).select(*KEY, "stream_no", "close_price")
+    return streams.map_whole_streams(narrow, _highest_so_far, schema)
+
+
 @query
 def streams_in_range(spark, sf):
     """Streams of stored statuses in a time range."""

@@ -7,7 +7,7 @@ Layout under a root folder::
     status/batch=N/                             changed statuses not folded into the table yet
     log/<feed>/folder=/batch=N/                 candles of live batches
     held/<feed>/batch=N/                        candles held back when batch N was merged
-    merged/<feed>/                              how far the log has been merged
+    merged/<feed>/batch=N/                      how far the log has been merged
     meta/                                       metadata of series
     writing, pending/                           of the write under way
 
@@ -375,6 +375,9 @@ def merge_log(
     may still change; it is held back until a newer one arrives. Run again
     after a failure, the merge gives the same table. Feeds may merge at the
     same time if they do not share folders, say if each has its own exchange.
+
+    What the merge before this one made superfluous is deleted, so log, held candles and marks stay as large as two merges
+    make them; who began to read the log before this merge still finds it.
     """
     if upto <= merged_upto(spark, root, feed):
         return
@@ -383,7 +386,31 @@ def merge_log(
     held = rows.join(final, [*KEY], "left_anti")
     held.selectExpr("-1L as seq", *KLINE_COLUMNS).write.mode("overwrite").parquet(f"{root}/held/{feed}/batch={upto}")
     upsert(spark, root, final, partitions=partitions)
-    spark.createDataFrame([(upto,)], "upto long").write.mode("append").parquet(f"{root}/merged/{feed}")
+    spark.createDataFrame([(upto,)], "upto long").write.mode("overwrite").parquet(f"{root}/merged/{feed}/batch={upto}")
+    expire_log(spark, root, feed)
+
+
+def _numbered(folders: Iterator[str]) -> list[tuple[int, str]]:
+    return sorted((int(name.rpartition("=")[2]), name) for name in folders)
+
+
+def expire_log(spark: SparkSession, root: str, feed: str = FEED) -> None:
+    """Delete batches, held candles and marks that neither the last merge of a feed nor the one before it needs."""
+    files = Files(spark, root)
+    marks = _numbered(files.folders(f"merged/{feed}", 1))
+    if len(marks) < 2:
+        return
+    before = marks[-2][0]
+    for number, name in _numbered(files.folders(f"log/{feed}", 1)):
+        if (number + 1) * LOG_FOLDER <= before + 1:
+            files.delete(name)
+        elif number * LOG_FOLDER <= before:
+            for batch, inner in _numbered(files.folders(name, 1)):
+                if batch <= before:
+                    files.delete(inner)
+    for batch, name in [*_numbered(files.folders(f"held/{feed}", 1)), *marks]:
+        if batch < before:
+            files.delete(name)
 
 
 def current(spark: SparkSession, root: str, feed: str = FEED, **series: str) -> DataFrame:

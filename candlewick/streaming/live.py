@@ -40,6 +40,7 @@ def refresh(
     merge_every: int = 0,
     order: str = "seq",
     feed: str = store.FEED,
+    repeats: str | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Append the closed candles of ``elements`` to the log of ``feed``, and merge
@@ -48,10 +49,18 @@ def refresh(
     Candles may come late, repeatedly or corrected: the last one by batch and
     ``order`` (a number per element) wins, and a replayed batch replaces itself.
     Batches are counted by the checkpoint: a new checkpoint needs a new feed name.
+
+    With ``repeats`` (a time such as "1 hour") a candle delivered again, with the same ``order`` and values, within that time
+    of its first delivery is left out before the log. The time is that of arrival, so candles of any age still pass, as
+    does a correction.
     """
     spark = elements.sparkSession
     candles = to_candles(closed(elements.withColumn("seq", F.expr(f"coalesce({order}, 0L)"))), "seq")
 
+    if repeats:
+        arrived = candles.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", repeats)
+        candles = arrived.dropDuplicatesWithinWatermark(candles.columns).drop("_arrived")
+
     def store_batch(batch: DataFrame, number: int) -> None:
         store.append_log(batch, root, number, feed)
         if merge_every and (number + 1) % merge_every == 0:

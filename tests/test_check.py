@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow as pa
 import pytest
 from helpers import candle, epoch, frame, plain_check, plain_streams, random_series
 
 from candlewick.operators import check as checks
 from candlewick.operators.chunks import SPAN
-from candlewick.operators.streams import consistent_streams, map_streams, nested_streams
+from candlewick.operators.streams import consistent_streams, map_streams, map_whole_streams, nested_streams
 from candlewick.schema import ERROR, KEY, OK, UNCHECKED
 
 
@@ -102,3 +105,28 @@ def test_nested_and_mapped_streams(spark):
     mapped = map_streams(streams, count, "symbol string, stream_no long, n long, ordered boolean", segment=20_000)
     assert sum(r.n for r in mapped.collect()) == len(flat)
     assert all(r.ordered for r in mapped.collect())
+
+
+def test_whole_streams_come_batch_by_batch(spark):
+    rows = random_series(5, 40)
+    flat = consistent_streams(frame(spark, rows))
+
+    def count(batches):
+        seen, no, last = 0, 0, -1
+        for batch in batches:
+            times = batch.column("open_time").to_pylist()
+            assert times == sorted(times) and times[0] > last
+            seen, no, last = seen + len(times), no + 1, times[-1]
+            key = [batch.column(c)[:1] for c in (*KEY[:4], "stream_no")]
+            yield pa.RecordBatch.from_arrays([*key, pa.array([no]), pa.array([len(times)]), pa.array([seen])], names=names)
+
+    names = [*KEY[:4], "stream_no", "batch", "n", "seen"]
+    schema = ", ".join(f"{c} string" for c in KEY[:4]) + ", stream_no long, batch long, n long, seen long"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        found = map_whole_streams(flat, count, schema).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sizes = Counter((*k[:4], no) for k, no in plain_streams(rows).items())
+    assert max(r.n for r in found) <= 3 and max(r.batch for r in found) > 1
+    assert {tuple(r[:5]): max(q.seen for q in found if q[:5] == r[:5]) for r in found} == sizes

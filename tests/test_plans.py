@@ -102,6 +102,13 @@ def test_streams_add_no_shuffle_of_candles(spark, root):
     assert above == 1 and wide
 
 
+def test_whole_streams_are_sorted_once(spark, root):
+    """Also where columns are constant, as those of a series read by name."""
+    numbered = store.scan(spark, root).selectExpr("* except (exchange)", "'binance' as exchange", "open_time div 10 as stream_no")
+    text = plan(streams.map_whole_streams(numbered, lambda batches: batches, numbered.schema))
+    assert text.count("Exchange ") == 1 and text.count("Sort [") == 1
+
+
 def test_live_tail_cuts_before_the_shuffle(spark, root):
     text = plan(live.live_tail(fx.live_elements(store.scan(spark, root), "null"), 9, 27))
     assert text.count("Exchange") == 1

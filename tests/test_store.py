@@ -340,6 +340,30 @@ def test_log_merge(spark, history):
     assert kucoin == {T: "1.5", T + 3600: "4"}
 
 
+def test_a_merged_log_expires(spark, history, monkeypatch):
+    """After each merge: what a read that began before it needs, and no more."""
+    monkeypatch.setattr(store, "LOG_FOLDER", 4)
+    root = Path(history.root)
+
+    def kept(name, depth):
+        return sorted(int(p.name.rpartition("=")[2]) for p in root.glob("/".join([name, "live", *["*=*"] * depth])) if p.is_dir())
+
+    for n in range(24):
+        row = candle(T + n * 3600, exchange="kucoin")
+        store.append_log(frame(spark, [row]).selectExpr("*", "0L as seq"), history.root, n)
+        if n % 3 == 2:
+            before = store.pending(spark, history.root)
+            store.merge_log(spark, history.root, n)
+            assert before.count() == (3 if n == 2 else 4)  # planned before the merge, read after it
+            assert kept("log", 2) == [m for m in range(n + 1) if m > n - 3]
+            assert kept("held", 1) == kept("merged", 1) == [m for m in (n - 3, n) if m >= 0]
+            assert len(kept("log", 1)) <= 2
+    assert store.merged_upto(spark, history.root) == 23
+    assert history.candles().count() == 23
+    store.append_log(frame(spark, [candle(T, exchange="kucoin", volume="late replay")]).selectExpr("*", "0L as seq"), history.root, 1)
+    assert store.pending(spark, history.root).count() == 1  # the held one; what is merged stays merged
+
+
 # Crashes and two writers
 
 

@@ -130,3 +130,22 @@ def test_live_candles_on_the_object(spark, tmp_path):
     assert [t for t, _ in read(feed="live")] == [T, T + 3600]
     assert history.merge_live() == 0
     assert [t for t, _ in read()] == [T, T + 3600]
+
+
+def test_elements_that_come_again_are_logged_once(spark, tmp_path):
+    from candlewick import fixtures as fx
+
+    history = CandleHistory(spark, str(tmp_path / "store"))
+    feed, checkpoint = str(tmp_path / "feed"), str(tmp_path / "checkpoint")
+
+    def run(rows):
+        fx.live_elements(frame(spark, rows), "true").write.mode("append").json(feed)
+        history.follow(live.json_feed(spark, feed, files_per_batch=100), checkpoint, repeats="1 hour", availableNow=True).awaitTermination()
+        logged = spark.read.option("recursiveFileLookup", "true").parquet(f"{history.root}/log/live")
+        return sorted((r.open_time, r.open_price) for r in logged.collect())
+
+    assert run([candle(T), candle(T), candle(T + 3600)]) == [(T, "1.5"), (T + 3600, "1.5")]
+    assert run([candle(T)]) == [(T, "1.5"), (T + 3600, "1.5")]
+    assert run([candle(T, price="8"), candle(T - 10**7)]) == [(T - 10**7, "1.5"), (T, "1.5"), (T, "8"), (T + 3600, "1.5")]
+    history.merge_live()
+    assert {r.open_time: r.open_price for r in history.candles().collect()} == {T - 10**7: "1.5", T: "8", T + 3600: "1.5"}

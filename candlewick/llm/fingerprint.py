@@ -49,19 +49,28 @@ def _sample(term: str, log_weight: str, k: int) -> Column:
     return F.call_function("shiftleft", rank, F.lit(32)).bitwiseOR(mark)
 
 
-def signatures(rows: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``signature``, an array of ``samples`` numbers. If ``rows`` is dealt by some of the keys, nothing is shuffled."""
+def signatures(rows: DataFrame, keys: list[str], texts: dict[str, str], samples: int = SAMPLES) -> DataFrame:
+    """``keys`` and, under each name in ``texts``, an array of ``samples`` numbers for the text column it stands for.
+
+    A term that several texts of a row hold is one row, and draws once for all of them. If ``rows`` is dealt by some of the
+    keys, nothing is shuffled.
+    """
+    kinds = range(len(texts))
+    weights = [F.count_if(F.col("kind") == i).cast("double") for i in kinds]
     counted = (
-        rows.select(*keys, F.explode_outer(terms(F.col(text))).alias("term"))
-        .select(*keys, F.when(F.col("term").isNotNull(), F.xxhash64("term")).alias("term"))
+        rows.select(*keys, F.posexplode(F.array(*texts.values())).alias("kind", "text"))
+        .select(*keys, "kind", F.explode_outer(terms(F.col("text"))).alias("term"))
+        .select(*keys, "kind", F.when(F.col("term").isNotNull(), F.xxhash64("term")).alias("term"))
         .groupBy(*keys, "term")
-        .agg(F.ln(F.count("*").cast("double")).alias("log_weight"))
+        # No weight where a text doesn't hold the term: its sample is null then, and the least leaves it out.
+        .agg(*(F.when(F.col("term").isNotNull() & (w > 0), F.ln(w)).alias(f"w{i}") for i, w in enumerate(weights)))
     )
-    least = counted.groupBy(*keys).agg(
-        *(F.min(F.when(F.col("term").isNotNull(), _sample("term", "log_weight", k))).alias(f"s{k}") for k in range(samples))
-    )
-    marks = [F.coalesce(F.col(f"s{k}").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(0xFFFFFFFF)) for k in range(samples)]
-    return least.select(*keys, F.array(*marks).alias("signature"))
+    least = counted.groupBy(*keys).agg(*(F.min(_sample("term", f"w{i}", k)).alias(f"s{i}_{k}") for k in range(samples) for i in kinds))
+
+    def marks(i: int) -> Column:
+        return F.array(*(F.coalesce(F.col(f"s{i}_{k}").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(0xFFFFFFFF)) for k in range(samples)))
+
+    return least.select(*keys, *(marks(i).alias(name) for i, name in enumerate(texts)))
 
 
 def as_text(signature: Column) -> Column:
@@ -132,17 +141,9 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     A single document is its own next one.
     """
     rows = edited(docs)
-    both = rows.select("part", "n", F.posexplode(F.array("text", "edited")).alias("kind", "text"))
-    signed = signatures(both, ["part", "n", "kind"], "text", samples)
-    order = Window.partitionBy("part").orderBy("n", "kind")
-    signed = signed.select(
-        "part",
-        "n",
-        "kind",
-        "signature",
-        F.lead("signature", 1).over(order).alias("edited_signature"),
-        F.lead("signature", 2).over(order).alias("next_signature"),
-    ).where("kind = 0")
+    signed = signatures(rows, ["part", "n"], {"signature": "text", "edited_signature": "edited"}, samples)
+    order = Window.partitionBy("part").orderBy("n")
+    signed = signed.select("*", F.lead("signature").over(order).alias("next_signature"))
     facts = rows.where("last = 0").select(
         "part", "n", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")
     )

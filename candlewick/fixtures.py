@@ -23,6 +23,9 @@ from candlewick.schema import ERROR, KEY, KLINE_COLUMNS, OK, SPOT, UNCHECKED
 HOUR = "floor(open_time / 3600)"
 DAY = "floor(open_time / 86400)"
 
+# Conditions on a time: the three parts in which streams get their input.
+DECADES = ("{0} < 1704931200", "{0} >= 1704931200 and {0} < 1705795200", "{0} >= 1705795200")
+
 
 def replaced(df: DataFrame, **expressions: str) -> DataFrame:
     """``df`` with some columns replaced."""
@@ -232,6 +235,17 @@ def archives(candles: DataFrame) -> tuple[DataFrame, DataFrame]:
     return zips, sums
 
 
+def landing_archives(candles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """These archives and checksums with the time they land at: an archive after its day, its checksum half a day before it, with it, or three
+    days after it, on every fifth day ten days after it."""
+    zips, sums = archives(candles)
+    day = "to_date(left(right(path, 14), 10))"
+    landed = f"cast({day} as timestamp) + interval 1 day"
+    number = f"unix_date({day})"
+    later = f"case when {number} % 5 = 0 then interval '240' hour when {number} % 3 = 0 then interval '-12' hour when {number} % 3 = 1 then interval '72' hour else interval '0' hour end"
+    return zips.selectExpr("*", f"{landed} as landed"), sums.selectExpr("*", f"{landed} + {later} as landed")
+
+
 def repair_batches(requests: DataFrame, clean: DataFrame) -> DataFrame:
     """Answers to repair requests: the wanted candle and the two after it, if they exist.
 

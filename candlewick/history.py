@@ -20,6 +20,7 @@ from candlewick.session import staged
 from candlewick.sources import archives, catalog
 from candlewick.sources.live import live_tail
 from candlewick.sources.payloads import normalise, split_payloads
+from candlewick.streaming import archives as archive_stream
 from candlewick.streaming import live as live_stream
 
 RESULTS = ("frame", "streams", "nested_streams")
@@ -68,6 +69,21 @@ class CandleHistory:
         # Daily files, whose names are longer, win over monthly ones.
         self.upsert(candles.selectExpr("*", "length(file) as detail"), ("detail", "file", "pos"))
 
+    def follow_archives(
+        self,
+        folder: str,
+        symbols: DataFrame,
+        checkpoint: str,
+        files: int = archive_stream.FILES,
+        within: str = archive_stream.WITHIN,
+        **trigger,
+    ) -> StreamingQuery:
+        """Merge archives that land below ``folder`` once their checksum is there, ``files`` at a time; each file is read and hashed once.
+        Started again with the same ``checkpoint``, it goes on where it ended; see ``streaming.archives``."""
+        zips, sums = archive_stream.landing(self.spark, folder, files)
+        contents = archive_stream.landed_contents(self.spark)
+        return archive_stream.load(zips, sums, contents, symbols, self.root, checkpoint, within, **trigger)
+
     def load_live(self, elements: DataFrame) -> None:
         """Merge the closed candles of a buffer of live elements (with ``seq``), the last element of each."""
         self.upsert(live_tail(elements))

@@ -327,6 +327,7 @@ SELECT {SERIES}, CAST(month AS VARCHAR) AS month, 'monthly' AS kind, file FROM m
 UNION ALL SELECT {SERIES}, CAST(month AS VARCHAR), 'daily', file FROM days WHERE month(month) <> 1 AND day(day) >= 10"""
 ORACLE["archive_ingest"] = _with(_HOURS) + f"""
 SELECT {COLUMNS} FROM hours WHERE dayofweek(make_timestamp(open_time * 1000000)) BETWEEN 1 AND 5"""
+ORACLE["archive_stream_load"] = ORACLE["archive_ingest"] + " AND open_time // 86400 % 5 <> 0"
 
 # Repair
 

@@ -23,8 +23,9 @@ from candlewick.operators import merge, profile, reader, repair, streams
 from candlewick.plans.backfill import backfill_plan as plan_backfill
 from candlewick.plans.manifest import archive_manifest as plan_archives
 from candlewick.schema import KEY, KLINE_COLUMNS, META_KEY, PRICES, SERIES, SPOT
-from candlewick.session import new_dir
+from candlewick.session import new_dir, staged
 from candlewick.sources import archives, catalog, live, payloads
+from candlewick.streaming import archives as archive_stream
 from candlewick.streaming import continuity
 from candlewick.streaming import live as live_stream
 
@@ -529,14 +530,37 @@ def archive_manifest_landed(spark, sf):
 def archive_ingest(spark, sf):
     """Candles of the archives whose checksum is right."""
     zips, sums = fx.archives(fx.event_candles(spark, sf, "1h", "binance"))
-    symbols = (
+    found = archives.archive_candles(archives.verified(zips, sums), _event_symbols(spark, sf))
+    return found.select(*KLINE_COLUMNS)
+
+
+def _event_symbols(spark: SparkSession, sf: str) -> DataFrame:
+    return (
         spark.read.parquet(f"{sf}/events.parquet")
         .selectExpr("upper(event_type) || '/USD' as symbol")
         .distinct()
         .selectExpr("symbol", "replace(symbol, '/') as native_symbol")
     )
-    found = archives.archive_candles(archives.verified(zips, sums), symbols)
-    return found.select(*KLINE_COLUMNS)
+
+
+@query
+def archive_stream_load(spark, sf):
+    """The same archives as they land, in three runs of a stream: checksums come before, with or after them, some too late, some never."""
+    folder, root = new_dir(spark, "landed"), new_dir(spark, "archive_stream")
+    store.create(spark, root)
+    zips, sums = fx.landing_archives(fx.event_candles(spark, sf, "1h", "binance"))
+    zips, sums = staged(zips, "zips"), staged(sums, "sums")
+    for days in fx.DECADES:
+        feeds = []
+        for name, part in (("zips", zips), ("sums", sums)):
+            part.where(days.format("unix_seconds(landed)")).write.mode("append").parquet(f"{folder}/{name}")
+            feeds.append(spark.readStream.schema(part.schema).parquet(f"{folder}/{name}"))
+
+        def contents(paths: list[str]) -> DataFrame:
+            return spark.read.parquet(f"{folder}/zips").where(F.col("path").isin(paths)).select("file", "content")
+
+        archive_stream.load(*feeds, contents, _event_symbols(spark, sf), root, f"{root}/checkpoint", availableNow=True).awaitTermination()
+    return store.scan(spark, root).select(*KLINE_COLUMNS)
 
 
 # Repair
@@ -625,8 +649,8 @@ def stream_continuity(spark, sf):
     """Verdicts given while the candles stream in, ten days at a time."""
     landed, root = new_dir(spark, "candles"), new_dir(spark, "continuity")
     candles = fx.dented(fx.event_candles(spark, sf, "1h", "binance")).selectExpr("*", "0L as seq")
-    for days in ("open_time < 1704931200", "open_time >= 1704931200 and open_time < 1705795200", "open_time >= 1705795200"):
-        part = candles.where(days)
+    for days in fx.DECADES:
+        part = candles.where(days.format("open_time"))
         part.write.mode("append").parquet(landed)
         feed = spark.readStream.schema(part.schema).parquet(landed)
         continuity.watch(feed, root, f"{root}/checkpoint", availableNow=True).awaitTermination()

@@ -52,6 +52,15 @@ def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["file", "first", "text"])
 
 
+def expected_sums(files: DataFrame, *columns: str) -> DataFrame:
+    """Checksum files as (path of the archive, ``columns``, expected)."""
+    return files.selectExpr(
+        f"regexp_replace(path, '{CHECKSUM.replace('.', '[.]')}$', '') as path",
+        *columns,
+        r"get(split(trim(decode(content, 'UTF-8')), '[ \t\r\n]+'), 0) as expected",
+    )
+
+
 def landed_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Archives (path, file, content) and checksum files (path, expected) below ``folder``."""
 
@@ -60,11 +69,7 @@ def landed_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
         return reader.option("pathGlobFilter", pattern).load(folder)
 
     archives = files("*.zip").selectExpr("path", "element_at(split(path, '/'), -1) as file", "content")
-    sums = files("*" + CHECKSUM).selectExpr(
-        f"regexp_replace(path, '{CHECKSUM.replace('.', '[.]')}$', '') as path",
-        r"get(split(trim(decode(content, 'UTF-8')), '[ \t\r\n]+'), 0) as expected",
-    )
-    return archives, sums
+    return archives, expected_sums(files("*" + CHECKSUM))
 
 
 def verified(archives: DataFrame, sums: DataFrame) -> DataFrame:

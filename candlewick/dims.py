@@ -5,9 +5,11 @@ Adding an exchange means adding an entry here; no job changes.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Seconds per interval; a month has no fixed length.
 INTERVAL_SECONDS = {
@@ -165,3 +167,43 @@ def interval_codes(spark: SparkSession) -> DataFrame:
     """Supported intervals of every exchange with the exchange's own code."""
     rows = [(n, i, e.native_intervals[i]) for n, e in EXCHANGES.items() for i in e.intervals]
     return spark.createDataFrame(rows, "exchange string, interval string, native string")
+
+
+# Fields and types of a layout as a row.
+_LAYOUT = {
+    "root": "string",
+    "min_len": "int",
+    "open": "int",
+    "close": "int",
+    "open_price": "int",
+    "high": "int",
+    "low": "int",
+    "close_price": "int",
+    "volume": "int",
+    "unit_ms": "boolean",
+    "newest_first": "boolean",
+    "tail": "string",
+    "flag": "int",
+    "success_path": "string",
+    "success_value": "string",
+}
+
+
+def _values(x: Layout) -> tuple:
+    return (x.root, x.min_len, x.open, x.close, *x.ohlcv, x.unit_ms, x.newest_first, x.tail, x.flag, *(x.success or (None, None)))
+
+
+def layout_rows(spark: SparkSession, layouts: Mapping[str, Layout] | None = None) -> DataFrame:
+    """Payload layouts as rows (exchange, layout), to which those of other exchanges can be added; all by default."""
+    given = {name: e.layout for name, e in EXCHANGES.items()} if layouts is None else layouts
+    fields = ", ".join(f"{name}: {kind}" for name, kind in _LAYOUT.items())
+    return spark.createDataFrame([(name, _values(x)) for name, x in given.items()], f"exchange string, layout struct<{fields}>")
+
+
+def layout_of(exchange: str, layouts: Mapping[str, Layout | Mapping]) -> Column:
+    """The layout, as a row, of the exchange in a column; null for others."""
+    entries = []
+    for name, x in layouts.items():
+        values = _values(x) if isinstance(x, Layout) else [x[field] for field in _LAYOUT]
+        entries += [F.lit(name), F.struct(*(F.lit(v).cast(kind).alias(field) for (field, kind), v in zip(_LAYOUT.items(), values, strict=True)))]
+    return F.try_element_at(F.create_map(*entries), F.col(exchange))

@@ -138,6 +138,7 @@ _ITEMS = {
     "okx": ('["%d","%s","%s","%s","%s","%s","0","0","%d"]', "ms o h l c v done"),
     "kucoin": ('["%d","%s","%s","%s","%s","%s","0"]', "s o c h l v"),
     "bingx": ("[%d,%s,%s,%s,%s,%s,%d,0]", "ms o h l c v close"),
+    "newcomer": ('["%s","%s",%d,"%s","%s","%s",%d,%d]', "v c s l h o done closed"),
 }
 _BODIES = {
     "binance": "[%s]",
@@ -146,11 +147,13 @@ _BODIES = {
     "okx": '{"code":"0","data":[%s]}',
     "kucoin": '{"code":"200000","data":[%s]}',
     "bingx": '{"code":0,"data":[%s]}',
+    "newcomer": '{"reply":{"state":"fine","rows":[%s]}}',
 }
 _FIELDS = {
     "ms": "open_time * 1000",
     "s": "open_time",
     "close": "close_time * 1000 - 1",
+    "closed": "close_time",
     "done": f"if({HOUR} % 5 <> 0, 1, 0)",
     "o": "open_price",
     "h": "high",

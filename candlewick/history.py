@@ -19,7 +19,7 @@ from candlewick.schema import ERROR, KEY, SERIES, SPOT
 from candlewick.session import staged
 from candlewick.sources import archives, catalog
 from candlewick.sources.live import live_tail
-from candlewick.sources.payloads import normalise, split_payloads
+from candlewick.sources.payloads import LAYOUTS, normalise, split_payloads
 from candlewick.streaming import archives as archive_stream
 from candlewick.streaming import live as live_stream
 
@@ -53,11 +53,12 @@ class CandleHistory:
         """Merge candles; see ``store.upsert``."""
         store.upsert(self.spark, self.root, candles, order)
 
-    def load_payloads(self, landed: DataFrame) -> DataFrame:
-        """Merge the candles of API payloads; later requests win. Returns payloads that are no JSON."""
-        good, bad = split_payloads(landed)
-        self.upsert(normalise(good), ("request_start", "payload_id", "pos"))
-        return bad
+    def load_payloads(self, landed: DataFrame, layouts: DataFrame | None = None) -> DataFrame:
+        """Merge the candles of API payloads; later requests win. Returns payloads that are no JSON. ``layouts`` are those of ``dims.layout_rows``,
+        with rows for other exchanges."""
+        # Bodies that are no JSON give no candles, so all are parsed once here.
+        self.upsert(normalise(landed, LAYOUTS if layouts is None else layouts), ("request_start", "payload_id", "pos"))
+        return split_payloads(landed)[1]
 
     def load_archives(self, folder: str, symbols: DataFrame, manifest: DataFrame | None = None) -> None:
         """Merge the candles of the verified archives below ``folder``, all or those of a

@@ -228,9 +228,10 @@ _KEPT = {
     "okx": "(open_time // 3600) % 5 <> 0",
     "kucoin": "true",
     "bingx": "newest > 1 OR n = 1",
+    "newcomer": "(open_time // 3600) % 5 <> 0",
 }
-for _name in EXCHANGES:
-    ORACLE[f"payload_normalise_{_name}"] = f"""
+for _name in _KEPT:
+    ORACLE[f"payload_normalise_{_name}" if _name in EXCHANGES else "payload_new_exchange"] = f"""
 WITH hours AS ({_events(_name)}),
   numbered AS (SELECT *, row_number() OVER (PARTITION BY symbol, open_time // 86400 ORDER BY open_time DESC) AS newest,
     count(*) OVER (PARTITION BY symbol, open_time // 86400) AS n FROM hours),

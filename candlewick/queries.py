@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from candlewick import fixtures as fx
 from candlewick import store
-from candlewick.dims import EXCHANGES
+from candlewick.dims import EXCHANGES, Layout, layout_rows
 from candlewick.functions import calendar as cal
 from candlewick.functions import text as names
 from candlewick.history import CandleHistory
@@ -351,6 +351,16 @@ for _name in EXCHANGES:
     _normalise_query(_name)
 
 
+@query
+def payload_new_exchange(spark, sf):
+    """An exchange that the package doesn't know, its layout given as a row beside the others."""
+    candles = fx.event_candles(spark, sf, "1h", "newcomer")
+    own = Layout("$.reply.rows", 8, 2, 7, (5, 4, 3, 1, 0), unit_ms=False, tail="flag", flag=6, success=("$.reply.state", "fine"))
+    layouts = layout_rows(spark).unionByName(layout_rows(spark, {"newcomer": own}))
+    found = payloads.normalise(fx.payloads(candles, "newcomer"), layouts)
+    return found.selectExpr("payload_id", "cast(pos as bigint) as pos", *KLINE_COLUMNS)
+
+
 _AS_TEXT = "regexp_replace(props, ': ([0-9]+)', ': \"$1\"')"
 
 

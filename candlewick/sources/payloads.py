@@ -12,7 +12,7 @@ from typing import TypeVar
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.dims import EXCHANGES, Layout
+from candlewick.dims import EXCHANGES, Layout, layout_of
 from candlewick.functions.calendar import date_of, interval_seconds, rounded_seconds
 from candlewick.functions.text import is_json, same_structure, structure_of_all
 from candlewick.schema import KLINE_COLUMNS, SPOT, UNCHECKED
@@ -37,75 +37,55 @@ def by_exchange(layouts: Mapping[str, T], value: Callable[[T], str]) -> str:
     return "case " + " ".join(f"when exchange in ({', '.join(n)}) then {text}" for text, n in names.items()) + " end"
 
 
-def _items(x: Layout) -> str:
-    """The candle list as one JSON text per item: an odd item spoils itself only."""
-    names = x.root.split(".")[1:]
-    schema = "array<string>"
-    for name in reversed(names):
-        schema = f"struct<{name}:{schema}>"
-    return ".".join([f"from_json(body, '{schema}')", *names])
+def _epoch(place: str) -> str:
+    number = f"cast(get(item, {place}) as bigint)"
+    return f"if(layout.unit_ms, {rounded_seconds(number)}, {number})"
 
 
-def _success(x: Layout) -> str:
-    return f"get_json_object(body, '{x.success[0]}') = '{x.success[1]}'" if x.success else "true"
+# Conditions on an item ``i`` of the candle list.
+_USABLE = """coalesce(
+    size(i) >= layout.min_len
+    and try_cast(get(i, layout.open) as bigint) is not null
+    and (layout.close is null or try_cast(get(i, layout.close) as bigint) is not null)
+    and (layout.flag is null or get(i, layout.flag) = '1'), false)"""
+_SUCCESS = "layout.success_path is null or try_variant_get(parsed, layout.success_path, 'string') = layout.success_value"
+# Whether the newest of ``ordered`` is in progress.
+_OPEN_TAIL = "(layout.tail = 'last' or layout.tail = 'last_of_many' and size(ordered) >= 2)"
 
 
-def _usable(x: Layout) -> str:
-    """Condition on an item ``i``."""
-    times = [x.open] if x.close is None else [x.open, x.close]
-    rules = [f"size(i) >= {x.min_len}", *[f"try_cast(get(i, {t}) as bigint) is not null" for t in times]]
-    if x.flag is not None:
-        rules.append(f"get(i, {x.flag}) = '1'")
-    return f"coalesce({' and '.join(rules)}, false)"
-
-
-def _trimmed(x: Layout) -> str:
-    """``ordered`` without the candle in progress."""
-    if x.tail == "last":
-        return "slice(ordered, 1, greatest(size(ordered) - 1, 0))"
-    if x.tail == "last_of_many":
-        return "if(size(ordered) >= 2, slice(ordered, 1, size(ordered) - 1), ordered)"
-    return "ordered"
-
-
-def _epoch(x: Layout, index: int) -> str:
-    number = f"cast(get(item, {index}) as bigint)"
-    return rounded_seconds(number) if x.unit_ms else number
-
-
-def normalise(payloads: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
+def normalise(payloads: DataFrame, layouts: Mapping[str, Layout] | DataFrame = LAYOUTS) -> DataFrame:
     """Candles of all payloads, oldest first by ``pos`` within a payload.
 
+    ``layouts`` tells where each exchange puts its fields, as a mapping or as rows (exchange, layout) of ``dims.layout_rows``, of which
+    there are as many as exchanges. A body is parsed once, and its fields are looked up by the paths and places in the row.
+
     Items that are no list, too short, or without whole numbers as times are left
     out, and so is the candle still in progress. Bodies that are no JSON, of
     an unknown exchange, or with a failure code give nothing.
     """
-
-    def pick(value: Callable[[Layout], str]) -> str:
-        return by_exchange(layouts, value)
-
-    def price(place: int) -> str:
-        return pick(lambda x: f"get(item, {x.ohlcv[place]})")
-
-    kept = pick(lambda x: f"filter(items, i -> {_usable(x)})")
-    rows = (
-        payloads.where(pick(_success))
-        .selectExpr("*", f"transform({pick(_items)}, i -> from_json(i, 'array<string>')) as items")
-        .selectExpr("*", f"{kept} as kept")
-        .selectExpr("*", f"{pick(lambda x: 'reverse(kept)' if x.newest_first else 'kept')} as ordered")
+    known = {r.exchange: r.layout.asDict() for r in layouts.collect()} if isinstance(layouts, DataFrame) else layouts
+    items = (
+        payloads.select("payload_id", "request_start", "exchange", "symbol", "interval", "body", layout_of("exchange", known).alias("layout"))
+        .where("layout is not null")
+        .selectExpr("*", "try_parse_json(body) as parsed")
+        .selectExpr("*", f"if({_SUCCESS}, try_variant_get(parsed, layout.root, 'array<array<string>>'), null) as items")
+        .selectExpr("*", f"filter(items, i -> {_USABLE}) as kept")
+        .selectExpr("*", "if(layout.newest_first, reverse(kept), kept) as ordered")
+        # An outer explode: for a plain one Spark looks for empty lists first, and parses the body for that as well.
         .selectExpr(
             "payload_id",
             "request_start",
             "exchange",
             "symbol",
             "interval",
-            f"posexplode({pick(_trimmed)}) as (pos, item)",
+            "layout",
+            f"posexplode_outer(slice(ordered, 1, size(ordered) - if({_OPEN_TAIL} and size(ordered) > 0, 1, 0))) as (pos, item)",
         )
-        .selectExpr("*", f"{pick(lambda x: _epoch(x, x.open))} as open_time")
+        .where("item is not null")
+        .selectExpr("*", f"{_epoch('layout.open')} as open_time")
     )
     length = interval_seconds(anchor="open_time")
-    closed = pick(lambda x: f"open_time + {length}" if x.close is None else _epoch(x, x.close))
-    return rows.selectExpr(
+    return items.selectExpr(
         "payload_id",
         "request_start",
         "pos",
@@ -114,12 +94,12 @@ def normalise(payloads: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> D
         "symbol",
         "interval",
         "open_time",
-        f"{price(0)} as open_price",
-        f"{closed} as close_time",
-        f"{price(3)} as close_price",
-        f"{price(2)} as low",
-        f"{price(1)} as high",
-        f"{price(4)} as volume",
+        "get(item, layout.open_price) as open_price",
+        f"if(layout.close is null, open_time + {length}, {_epoch('layout.close')}) as close_time",
+        "get(item, layout.close_price) as close_price",
+        "get(item, layout.low) as low",
+        "get(item, layout.high) as high",
+        "get(item, layout.volume) as volume",
         f"'{UNCHECKED}' as status",
     ).select("payload_id", "request_start", "pos", *KLINE_COLUMNS)
 

@@ -4,7 +4,7 @@ import json
 
 from helpers import epoch
 
-from candlewick.dims import Layout
+from candlewick.dims import Layout, layout_rows
 from candlewick.sources import catalog, payloads
 
 T = epoch(2024, 1, 1)
@@ -102,6 +102,17 @@ def test_new_exchange_is_data(spark):
     assert (row.open_time, row.close_time, row.high) == (T, T + 86400, "4")
 
 
+def test_new_exchange_is_a_row(spark):
+    layout = Layout(root="$.a.rows", min_len=6, unit_ms=False, newest_first=True, tail="last", success=("$.ok", "true"))
+    rows = layout_rows(spark).unionByName(layout_rows(spark, {"mine": layout}))
+    items = [[T + 3600, 2, 4, 0, 2, 7], [T, 0.00000010, "4.50", 1e3, 2, 12345678901234567890]]
+    (row,) = normalised(spark, "mine", {"ok": True, "a": {"rows": items}}, "1h", rows)
+    assert (row.pos, row.open_time, row.close_time, row.high, row.volume) == (0, T, T + 3600, "4.50", "12345678901234567890")
+    assert float(row.open_price) == 1e-7 and float(row.low) == 1000
+    assert normalised(spark, "mine", {"ok": False, "a": {"rows": items}}, "1h", rows) == []
+    assert len(normalised(spark, "binance", [binance_item(T), binance_item(T + 3600)], layouts=rows)) == 1
+
+
 def test_quarantine(spark):
     df = spark.createDataFrame([(1, "[]"), (2, "{"), (3, None), (4, '{"a":1}')], "id int, body string")
     good, bad = payloads.split_payloads(df)

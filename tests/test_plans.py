@@ -127,6 +127,12 @@ def test_normalise_has_no_shuffle(spark):
     assert after.count("Exchange") == before.count("Exchange")
 
 
+def test_a_payload_is_parsed_once(spark, tmp_path):
+    fx.payloads(fx.event_candles(spark, SF), "bybit").write.parquet(f"{tmp_path}/bodies")
+    text = plan(payloads.normalise(spark.read.parquet(f"{tmp_path}/bodies")))
+    assert text.count("parseJson") == 1 and "from_json" not in text and "Exchange" not in text
+
+
 def test_repair_pairs_by_key(spark, root):
     stored = store.scan(spark, root)
     requests = repair.repair_requests(checks.errors(checks.check(stored)))

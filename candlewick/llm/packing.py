@@ -29,8 +29,9 @@ import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,28 +50,64 @@ KEPT_WORDS, KEPT_IDS = 1_000_000, 1 << 23
 PART, BLOCK_IDS, LINE = 1 << 22, 1 << 20, 64
 
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
+#: ASCII marks that may end a word, but for the apostrophe, which this pattern can take with letters.
+_MARKS = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPLIT = {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True}
+_PLAIN = (
+    {"type": "NFC"},
+    {"type": "Lowercase"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+)
+
+
+def _letters_apart(config: dict, vocabulary: dict[str, int]) -> bool:
+    """Whether the tokenizer is known to part letters from the marks after them, and to end each pre-token, and nothing else, by a marked id."""
+    before, model = config["pre_tokenizer"] or {}, config["model"]
+    steps, last = before.get("pretokenizers") or [before], model.get("end_of_word_suffix")
+    normal = config["normalizer"] or {"normalizers": []}
+    if not (
+        all(n in _PLAIN for n in normal.get("normalizers", [normal]))
+        and len(steps) == 2
+        and steps[0] == _SPLIT
+        and steps[1].get("type") == "ByteLevel"
+        and not steps[1]["add_prefix_space"]
+        and not steps[1]["use_regex"]
+        and model["type"] == "BPE"
+        and last
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges"))
+    ):
+        return False
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    whole = all(c in vocabulary and c + last in vocabulary for c in ByteLevel.alphabet())
+    # Letters and then marks must not hold an added token, which is found before all else.
+    return whole and not any((stem := t["content"].rstrip(_MARKS)).isalpha() or not stem for t in config["added_tokens"])
 
 
 class Words:
     """Ids of texts, word by word, where a word is what stands between ASCII white space.
 
     Right for tokenizers that drop white space and neither normalise nor match across it. A word is encoded when it first
-    comes, together with the other new ones, and its ids are kept until there are too many.
+    comes, together with the other new ones, and its ids are kept until there are too many. Where the tokenizer is known to
+    part letters from the marks after them, a word of both takes its ids from the two.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        last = json.loads(self._tokenizer.to_str())["model"].get("end_of_word_suffix")
-        vocabulary = self._tokenizer.get_vocab()
+        config, vocabulary = json.loads(self._tokenizer.to_str()), self._tokenizer.get_vocab()
+        last = config["model"].get("end_of_word_suffix")
         self._last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self._last[[i for t, i in vocabulary.items() if last and t.endswith(last)]] = True
+        self._apart = _letters_apart(config, vocabulary)
         self._forget()
 
     def _forget(self) -> None:
         self._places: dict[str, int] = {}
         self._ids, self._ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+        self._odd: set[str] = set()  # words of letters that the tokenizer parts
 
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each has."""
@@ -79,38 +116,76 @@ class Words:
         # White space at an end leaves an empty word there.
         ink = pc.greater(pc.binary_length(words), 0)
         kinds = words.filter(ink).dictionary_encode()
-        whose, distinct = whose[ink.to_numpy(zero_copy_only=False)], kinds.dictionary.to_pylist()
-        if new := [w for w in distinct if w not in self._places]:
+        whose, distinct = whose[ink.to_numpy(zero_copy_only=False)], kinds.dictionary.to_numpy(zero_copy_only=False)
+        places = self._found(distinct)
+        if len(new := distinct[places < 0]):
             if len(self._places) + len(new) > KEPT_WORDS or len(self._ids) > KEPT_IDS:
                 self._forget()
-                new = distinct
-            letters = [w for w in new if w.isascii() and w.isalpha()]
-            known = set(letters)
-            for some, encode in ((letters, self._by_last), ([w for w in new if w not in known], self._by_offset)):
-                self._places.update(zip(some, range(len(self._places), len(self._places) + len(some)), strict=True))
-                found, ends = encode(some)
-                self._ends = np.append(self._ends, len(self._ids) + ends)
-                self._ids = np.append(self._ids, found)
-        places = np.array([self._places[w] for w in distinct], np.int64)
-        word = places[kinds.indices.to_numpy()]
-        size = np.diff(self._ends)[word]
-        ids = self._ids[np.arange(size.sum()) + np.repeat(self._ends[word] - np.cumsum(size) + size, size)]
+                places[:], new = -1, distinct
+            self._learn(new.tolist())
+            places[places < 0] = self._found(new)
+        ids, size = self._take(places[kinds.indices.to_numpy()])
         return ids, np.bincount(whose, size, len(texts)).astype(np.int64)
 
-    def _by_last(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and where each word's end, told by the ids that end a word. The tokenizer does without offsets here."""
-        lines = [" ".join(words[i : i + LINE]) for i in range(0, len(words), LINE)]
-        found = self._tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-        ids = np.concatenate([np.empty(0, np.int32), *(np.array(e.ids, np.int32) for e in found)])
-        ends = np.flatnonzero(self._last[ids]) + 1
+    def _found(self, words: Sequence[str]) -> np.ndarray:
+        """The place of each word, -1 if it has none."""
+        return np.fromiter(map(self._places.get, words, repeat(-1)), np.int64, len(words))
+
+    def _take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids at the places, one after the other, and how many each has."""
+        size = self._ends[places + 1] - self._ends[places]
+        return self._ids[np.arange(size.sum()) + np.repeat(self._ends[places] - np.cumsum(size) + size, size)], size
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self._places.update(zip(words, range(len(self._places), len(self._places) + len(words)), strict=True))
+        self._ends = np.append(self._ends, len(self._ids) + np.cumsum(sizes))
+        self._ids = np.append(self._ids, ids)
+
+    def _learn(self, words: list[str]) -> None:
+        """Keep the ids of new words."""
+        letters, marked, others = [], [], []
+        for word in words:
+            if word.isalpha() and (self._apart or word.isascii()):
+                letters.append(word)
+            elif self._apart and (stem := word.rstrip(_MARKS)).isalpha():
+                marked.append((word, stem, word[len(stem) :]))
+            else:
+                others.append(word)
+        stems = dict.fromkeys(stem for _, stem, _ in marked)
+        alone = stems.keys() - letters - self._places.keys() - self._odd
+        odd = self._by_last([*letters, *(s for s in stems if s in alone)])
+        others += [w for w in letters if w in odd]
+        self._odd |= odd
+        # What is no letter to the tokenizer, or becomes a mark as in small İ, may be one with the marks after it.
+        others += [w for w, stem, _ in marked if stem in self._odd]
+        marked = [m for m in marked if m[1] not in self._odd]
+        tails = dict.fromkeys(tail for _, _, tail in marked)
+        others = list(dict.fromkeys([*others, *(t for t in tails if t not in self._places)]))
+        self._keep(others, *self._by_offset(others))
+        if marked:
+            ids, sizes = self._take(self._found([part for _, *parts in marked for part in parts]))
+            self._keep([w for w, _, _ in marked], ids, sizes.reshape(-1, 2).sum(1))
+
+    def _by_last(self, words: list[str]) -> set[str]:
+        """Keep words whose ends are told by the ids that end a word, and return those where this doesn't hold. The tokenizer
+        does without offsets here."""
+        lines = [words[i : i + LINE] for i in range(0, len(words), LINE)]
+        found = self._tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)
         # A vocabulary that doesn't mark its last ids, or parts letters, has another number of them.
-        return (ids, ends) if len(ends) == len(words) else self._by_offset(words)
+        ids = [np.array(e.ids, np.int32) for e in found]
+        ends = [np.flatnonzero(self._last[i]) + 1 for i in ids]
+        good = [len(e) == len(line) and e[-1] == len(i) for i, e, line in zip(ids, ends, lines, strict=True)]
+        if any(good):
+            kept = [w for line in compress(lines, good) for w in line]
+            self._keep(kept, np.concatenate([*compress(ids, good)]), np.concatenate([np.diff(e, prepend=0) for e in compress(ends, good)]))
+        return {w for line, ok in zip(lines, good, strict=True) if not ok for w in line}
 
     def _by_offset(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same by the places in the joined text: the ids of a word begin inside it."""
+        """Ids and how many each word has, by the places in the joined text: the ids of a word begin inside it."""
         found = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
         starts = np.fromiter((first for first, _ in found.offsets), np.int64, len(found.ids))
-        return np.array(found.ids, np.int32), np.searchsorted(starts, np.cumsum([len(w) + 1 for w in words]))
+        ends = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in words]))
+        return np.array(found.ids, np.int32), np.diff(ends, prepend=0)
 
 
 def _parts(data: bytes) -> Iterator[bytes]:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -163,6 +164,61 @@ def test_words_forgotten(monkeypatch):
         assert ids.tolist() == library(text)[:-1] + library("b zz")[:-1] and sizes[1] == 0
 
 
+MARKED = [
+    "Wörter, words. Wörter! words) Étude... étude",
+    "aİ aİ. ab, İ? ΣΑΣ. Σας, 한국! ᄒ, x\u0301. é́, a… a…, a.…",
+    "don't, it's. 's 's, 're. 'reads, o'. a'.",
+    "<|endoftext|>, x<|endoftext|>. x<| x|> endoftext|> </w> a</w> a< =\u0338 a=\u0338",
+    "12. 3, a1! 1a! x-y, ٣. aⅷ, ʰ. ﬁ, ª.",
+]
+
+
+@pytest.mark.parametrize("line", [1, 64])
+def test_marked_words(monkeypatch, line):
+    monkeypatch.setattr(packing, "LINE", line)
+    for order in (MARKED, MARKED[::-1], [w for text in MARKED for w in text.split()]):
+        words = packing.Words(PATH)
+        for text in order:
+            assert words.ids([text.encode()])[0].tolist() == library(text)[:-1], text
+
+
+def test_every_letter_before_a_mark():
+    """What is a letter to Python but not to the tokenizer would be one with the mark."""
+    letters = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()]
+    words, tokenizer = packing.Words(PATH), Tokenizer.from_file(PATH)
+    for i in range(0, len(letters), 2000):
+        text = " ".join(f"{c}, a{c}. {c}{c}" for c in letters[i : i + 2000])
+        assert words.ids([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_letters_are_encoded_once_and_without_offsets(monkeypatch):
+    """Offsets cost the tokenizer twice the time; letters with marks after them and letters beyond ASCII went that way."""
+    seen, by_offset = [], packing.Words._by_offset
+    monkeypatch.setattr(packing.Words, "_by_offset", lambda self, words: (seen.extend(words), by_offset(self, words))[1])
+    text = "Wörter, words. Wörter! words) Étude... étude it's"
+    assert packing.Words(PATH).ids([text.encode()])[0].tolist() == library(text)[:-1]
+    assert set(seen) <= {",", ".", "!", ")", "...", "it's"}
+
+
+@pytest.mark.parametrize("change", ["pattern", "ignore", "added", "bytes"])
+def test_tokenizers_that_may_not_part_letters_and_marks(tmp_path, change):
+    config = json.loads(Tokenizer.from_file(PATH).to_str())
+    if change == "pattern":
+        config["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": r"\S+"}
+    elif change == "ignore":
+        config["model"]["ignore_merges"] = True
+    elif change == "added":
+        config["added_tokens"][0]["content"] = "words."
+    else:
+        config["pre_tokenizer"]["pretokenizers"].pop()
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(config))
+    words = packing.Words(str(path))
+    assert packing.Words(PATH)._apart and not words._apart
+    for text in ["the words. the, Words. the... the! words.", *MARKED[:1]]:
+        assert words.ids([text.encode()])[0].tolist() == Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False).ids
+
+
 def test_sequences(spark):
     packed = packing.pack(documents(spark), PATH, 64)
     found = {r.sequence_id: r.ids for r in packing.sequences(packed).collect()}
